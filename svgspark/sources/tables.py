@@ -38,7 +38,7 @@ DUCK_SLOTS = {
     "WC": "len(string_split(text,' '))",
 }
 
-# View templates: <<slot>> marks a dialect slot, {name} a table or view reference.
+# View templates: <<slot>> marks a dialect slot, {name} a table or view reference, {{ }} literal braces.
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "svg_raw": (("part",), """
 SELECT rec_id, k, ts,
@@ -86,6 +86,13 @@ SELECT vec_id, label, CAST(e AS DOUBLE)*CASE WHEN vec_id%5=0 THEN 1 ELSE 255 END
 """),
     "tokens_len": (("documents",), """
 SELECT doc_id, <<WC>> AS n_tok, md5(text) AS h FROM {documents}
+"""),
+    "svg_styled": (("svg_raw",), """
+SELECT rec_id, k, replace(replace(replace(svg,
+  '<title>', concat('<style>.a, .b{{fill:#123;stroke:red}} rect{{x:1}} .b{{fill:blue; stroke-width:2}}</style><defs><linearGradient id="lg', CAST(k AS <<S>>), '"/><clipPath id="cp', CAST(k%4 AS <<S>>), '"><rect width="1" height="1"/></clipPath></defs><title>')),
+  '<rect ', concat('<rect class="a b" id="r', CAST(k AS <<S>>), '" ')),
+  '<path ', concat('<path style="stroke: #0F0 ;opacity:0.5;bad" clip-path="url(#cp', CAST(k%3 AS <<S>>), ')" ')) AS svg
+FROM {svg_raw} WHERE k%25<>2 AND k%15<>1
 """),
     "predictions": (("labels",), """
 SELECT m.model, l.doc_id AS item, 'quality' AS task, l.quality AS label, CASE WHEN (l.doc_id+m.o)%m.m=0 THEN 1-l.quality ELSE l.quality END AS pred FROM {labels} l CROSS JOIN (SELECT 'a' AS model, 0 AS o, 3 AS m UNION ALL SELECT 'b',1,7) m
