@@ -1,0 +1,200 @@
+"""Per-path geometry helper for the end-to-end path rewrite, run as an Arrow-batched pandas UDF.
+
+Same semantics as the column-expression steps in ``operators/geom.py`` (which are checked against
+SQL step by step): commands with implicit repeats, absolute coordinates, S/T reflection, arcs to
+<= 90 degree cubics, optional lines/quadratics to cubics, affine transform times scale,
+zero-length closing lines dropped, closed flag, fixed-decimal text. The whole-expression form
+costs minutes of Catalyst planning per query, so the composed job uses this helper instead.
+"""
+
+from __future__ import annotations
+
+import math
+import re
+from decimal import ROUND_HALF_UP, Decimal
+
+import pandas as pd
+from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+
+from svgspark.operators.geom import ARITY, CLOSE_EPS, PATH_TOKEN_RE
+
+_TOK = re.compile(PATH_TOKEN_RE)
+
+
+def fmt(v: float, decimals: int = 3, to_int: bool = False) -> str:
+    if to_int:
+        return str(int(v))
+    q = Decimal(repr(float(v))).quantize(Decimal(1).scaleb(-decimals), rounding=ROUND_HALF_UP)
+    s = format(q, "f")
+    if "." in s:
+        s = s.rstrip("0").rstrip(".")
+    return "0" if s == "-0" else s
+
+
+def commands(d: str):
+    toks = _TOK.findall(d or "")
+    out, i = [], 0
+    while i < len(toks):
+        cmd = toks[i]
+        j = i + 1
+        while j < len(toks) and not toks[j].isalpha():
+            j += 1
+        nums = [float(x) for x in toks[i + 1:j]]
+        ar = ARITY[cmd.upper()]
+        if ar == 0:
+            out.append((cmd, []))
+        else:
+            for c in range(len(nums) // ar):
+                out.append(((("L" if cmd == "M" else "l" if cmd == "m" else cmd) if c > 0 else cmd), nums[c * ar:(c + 1) * ar]))
+        i = j
+    return out
+
+
+def absolute(cmds):
+    """-> list of (sub, kind, p0, pts, arc, closing)."""
+    cur = start = ctrl = (0.0, 0.0)
+    last, sub, out = "", -1, []
+    for cmd, a in cmds:
+        up = cmd.upper()
+        ox, oy = (cur if cmd != up else (0.0, 0.0))
+        P = lambda i: (ox + a[i], oy + a[i + 1])
+        refl = (2 * cur[0] - ctrl[0], 2 * cur[1] - ctrl[1])
+        if up == "M":
+            sub += 1
+            end = P(0)
+            out.append((sub, "M", end, [], [], False))
+            start, ctrl = end, end
+        elif up in "LHV":
+            end = P(0) if up == "L" else (ox + a[0], cur[1]) if up == "H" else (cur[0], oy + a[0])
+            out.append((sub, "L", cur, [end], [], False))
+            ctrl = end
+        elif up == "C":
+            end = P(4)
+            out.append((sub, "C", cur, [P(0), P(2), end], [], False))
+            ctrl = P(2)
+        elif up == "S":
+            c1 = refl if last.upper() in ("C", "S") else cur
+            end = P(2)
+            out.append((sub, "C", cur, [c1, P(0), end], [], False))
+            ctrl = P(0)
+        elif up == "Q":
+            end = P(2)
+            out.append((sub, "Q", cur, [P(0), end], [], False))
+            ctrl = P(0)
+        elif up == "T":
+            c1 = refl if last.upper() in ("Q", "T") else cur
+            end = P(0)
+            out.append((sub, "Q", cur, [c1, end], [], False))
+            ctrl = c1
+        elif up == "A":
+            end = P(5)
+            out.append((sub, "A", cur, [end], list(a[:5]), False))
+            ctrl = end
+        else:  # Z
+            end = start
+            out.append((sub, "L", cur, [start], [], True))
+            ctrl = end
+        cur, last = end, cmd
+    return out
+
+
+def arc_pieces(seg):
+    sub, _, p1, pts, a, closing = seg
+    p2 = pts[-1]
+    if p1 == p2:
+        return []
+    rx, ry = abs(a[0]), abs(a[1])
+    if rx == 0 or ry == 0:
+        return [(sub, "L", p1, [p2], [], closing)]
+    phi = math.radians(a[2])
+    fa, fs = a[3] != 0, a[4] != 0
+    cp, sp = math.cos(phi), math.sin(phi)
+    dx2, dy2 = (p1[0] - p2[0]) / 2, (p1[1] - p2[1]) / 2
+    x1p, y1p = cp * dx2 + sp * dy2, -sp * dx2 + cp * dy2
+    lam = x1p * x1p / (rx * rx) + y1p * y1p / (ry * ry)
+    if lam > 1:
+        rx, ry = rx * math.sqrt(lam), ry * math.sqrt(lam)
+    num = rx * rx * ry * ry - rx * rx * y1p * y1p - ry * ry * x1p * x1p
+    den = rx * rx * y1p * y1p + ry * ry * x1p * x1p
+    coef = (1.0 if fa != fs else -1.0) * math.sqrt(max(0.0, num / den))
+    cxp, cyp = coef * rx * y1p / ry, -coef * ry * x1p / rx
+    cx = cp * cxp - sp * cyp + (p1[0] + p2[0]) / 2
+    cy = sp * cxp + cp * cyp + (p1[1] + p2[1]) / 2
+    th1 = math.atan2((y1p - cyp) / ry, (x1p - cxp) / rx)
+    dth = math.atan2((-y1p - cyp) / ry, (-x1p - cxp) / rx) - th1
+    if not fs and dth > 0:
+        dth -= 2 * math.pi
+    elif fs and dth < 0:
+        dth += 2 * math.pi
+    n = max(1, math.ceil(abs(dth) / (math.pi / 2) - 1e-9))
+    delta = dth / n
+    k = 4.0 / 3.0 * math.tan(delta / 4)
+
+    def on(ux, uy):
+        return (cx + rx * cp * ux - ry * sp * uy, cy + rx * sp * ux + ry * cp * uy)
+
+    out = []
+    for i in range(n):
+        t1 = th1 + delta * i
+        t2 = t1 + delta
+        s0 = p1 if i == 0 else on(math.cos(t1), math.sin(t1))
+        e = p2 if i == n - 1 else on(math.cos(t2), math.sin(t2))
+        c1 = on(math.cos(t1) - k * math.sin(t1), math.sin(t1) + k * math.cos(t1))
+        c2 = on(math.cos(t2) + k * math.sin(t2), math.sin(t2) - k * math.cos(t2))
+        out.append((sub, "C", s0, [c1, c2, e], [], closing))
+    return out
+
+
+def rewrite(d, m, s, cubic_only=True, decimals=3, to_int=False) -> str:
+    segs = []
+    for g in absolute(commands(d)):
+        segs.extend(arc_pieces(g) if g[1] == "A" else [g])
+    a, b, c, dd, e, f = m
+
+    def tr(p):
+        return ((a * p[0] + c * p[1] + e) * s, (b * p[0] + dd * p[1] + f) * s)
+
+    fixed = []
+    for sub, kind, p0, pts, _, closing in segs:
+        if cubic_only and kind == "L":
+            q = pts[0]
+            pts = [(p0[0] + (q[0] - p0[0]) / 3, p0[1] + (q[1] - p0[1]) / 3),
+                   (p0[0] + (q[0] - p0[0]) * 2 / 3, p0[1] + (q[1] - p0[1]) * 2 / 3), q]
+            kind = "C"
+        elif cubic_only and kind == "Q":
+            q, en = pts
+            pts = [(p0[0] + (q[0] - p0[0]) * 2 / 3, p0[1] + (q[1] - p0[1]) * 2 / 3),
+                   (en[0] + (q[0] - en[0]) * 2 / 3, en[1] + (q[1] - en[1]) * 2 / 3), en]
+            kind = "C"
+        fixed.append((sub, kind, tr(p0), [tr(p) for p in pts], closing))
+    fixed = [g for g in fixed if not (g[4] and math.dist(g[2], g[3][0]) < CLOSE_EPS)]
+    p = lambda q: f"{fmt(q[0], decimals, to_int)} {fmt(q[1], decimals, to_int)}"
+    texts = []
+    for sub in dict.fromkeys(g[0] for g in fixed):
+        mine = [g for g in fixed if g[0] == sub]
+        start = mine[0][2]
+        draw = [g for g in mine if g[1] != "M"]
+        closed = any(g[4] for g in mine) or (bool(draw) and math.dist(draw[-1][3][-1], start) < CLOSE_EPS)
+        body = "".join(f" {g[1]} " + " ".join(p(q) for q in g[3]) for g in draw)
+        texts.append("M " + p(start) + body + ("Z" if closed else ""))
+    return " ".join(texts)
+
+
+def path_udf(cubic_only: bool = True, decimals: int = 3, to_int: bool = False):
+    @pandas_udf("string")
+    def _rw(d: pd.Series, m: pd.DataFrame, s: pd.Series) -> pd.Series:
+        out = []
+        for di, a, b, c, dd, e, f, si in zip(d, m["a"], m["b"], m["c"], m["d"], m["e"], m["f"], s):
+            if di is None or pd.isna(di):
+                out.append(None)
+            else:
+                out.append(rewrite(di, (a, b, c, dd, e, f), 1.0 if si is None or pd.isna(si) else si,
+                                   cubic_only, decimals, to_int))
+        return pd.Series(out, dtype=object)
+
+    return _rw
+
+
+def with_path_udf(df, d: str, m: str, s: str, out: str, cubic_only=True, decimals=3, to_int=False):
+    return df.withColumn(out, path_udf(cubic_only, decimals, to_int)(F.col(d), F.col(m), F.col(s)))
