@@ -98,3 +98,21 @@ def uniform_u32(*parts) -> Column:
 def uniform01(*parts) -> Column:
     """Deterministic pseudo-random double in [0, 1)."""
     return uniform_u32(*parts) / F.lit(4294967296.0)
+
+
+# Canonical camelCase element names restored before rendering (lower-cased by parsers).
+CAMEL_TAGS = ["linearGradient", "radialGradient", "clipPath", "textPath", "foreignObject"]
+
+
+def fix_for_render(svg) -> Column:
+    """``xlink:href`` -> ``href``; camelCase element names restored; ``viewBox="0 0 w h"`` added from the
+    root width/height when the root has no viewBox."""
+    s = F.replace(as_col(svg), F.lit("xlink:href="), F.lit("href="))
+    for t in CAMEL_TAGS:
+        s = F.regexp_replace(s, "(?i)(</?)" + t + r"\b", "$1" + t)
+    w = F.regexp_extract(s, r'<svg[^>]*\swidth="([^"]*)"', 1)
+    h = F.regexp_extract(s, r'<svg[^>]*\sheight="([^"]*)"', 1)
+    has_vb = s.rlike(r"<svg[^>]*\sviewBox=")
+    has_size = s.rlike(r'<svg[^>]*\swidth="[^"]*"[^>]*\sheight="[^"]*"')
+    vb = F.concat(F.lit('<svg viewBox="0 0 '), w, F.lit(" "), h, F.lit('"'))
+    return F.when(has_vb, s).when(has_size, F.overlay(s, vb, F.locate("<svg", s), F.lit(4))).otherwise(s)
