@@ -83,3 +83,11 @@ def with_svg_alias(df: DataFrame) -> DataFrame:
 def fetch_log_scan(df: DataFrame) -> DataFrame:
     """Crawl results as a typed table (the HTTP client is outside the engine)."""
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in FETCH_LOG_SCHEMA.fields])
+
+
+def hash_files(spark: SparkSession, path: str, glob: str = "*", algorithm: str = "md5") -> DataFrame:
+    """Digest of every file's bytes under ``path`` as ``(path, hash)``; order is the path column."""
+    from svgspark.functions.text import content_hash
+
+    df = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
+    return df.select("path", content_hash(F.col("content"), algorithm).alias("hash"))

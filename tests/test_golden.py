@@ -95,3 +95,11 @@ def test_hash_algorithms(spark):
     with pytest.raises(ValueError):
         content_hash("s", "blake9")
     assert os.path.sep
+
+
+def test_hash_files(spark, tmp_path):
+    import hashlib
+
+    (tmp_path / "x.svg").write_bytes(b"<svg>\xc3\xa9</svg>")
+    r = scans.hash_files(spark, str(tmp_path), "*.svg").first()
+    assert r["hash"] == hashlib.md5(b"<svg>\xc3\xa9</svg>").hexdigest()
