@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from svgspark.llm import line_dedup, near_dup, packing
+from svgspark.llm import line_dedup, near_dup, packing, suffix_dedup
 from svgspark.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.op3(table(spark, sf_dir, "documents"))
+
+
 def op7_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -24,6 +28,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_dup": op2_near_dup,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op7_best_two_fit": op7_best_two_fit,
     "op8_line_dedup": op8_line_dedup,
 }

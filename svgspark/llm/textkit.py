@@ -21,8 +21,8 @@ IN_WORD = ~_sep
 
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, offsets) of a string column; null counts as empty."""
-    arr = pc.fill_null(column, "").cast(pa.large_string())
+    """(bytes, offsets) of a string or large binary column; null strings count as empty."""
+    arr = column if pa.types.is_large_binary(column.type) else pc.fill_null(column, "").cast(pa.large_string())
     _, off, data = arr.buffers()
     offsets = np.frombuffer(off, np.int64)[arr.offset:arr.offset + len(arr) + 1] if len(arr) else np.zeros(1, np.int64)
     return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), offsets
