@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from svgspark.llm import embed_dedup, line_dedup, near_dup, packing, suffix_dedup
+from svgspark.llm import embed_dedup, line_dedup, mixing, near_dup, packing, suffix_dedup
 from svgspark.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.op3(table(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.op5(table(spark, sf_dir, "documents"))
+
+
 def op6_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -33,6 +37,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_dup": op2_near_dup,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op5_mixing": op5_mixing,
     "op6_embed_dedup": op6_embed_dedup,
     "op7_best_two_fit": op7_best_two_fit,
     "op8_line_dedup": op8_line_dedup,
@@ -40,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op2_near_dup": near_dup.ORACLE,
+    "op5_mixing": mixing.ORACLE,
     "op6_embed_dedup": embed_dedup.ORACLE,
     "op8_line_dedup": line_dedup.ORACLE,
 }
