@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from svgspark.llm import embed_dedup, line_dedup, mixing, near_dup, packing, suffix_dedup
+from svgspark.llm import embed_dedup, line_dedup, mixing, near_dup, packing, secrets, suffix_dedup
 from svgspark.llm.common import table
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secrets": op1_secrets,
     "op2_near_dup": op2_near_dup,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op5_mixing": op5_mixing,
