@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from svgspark.llm import embed_dedup, line_dedup, mixing, near_dup, packing, secrets, suffix_dedup
+from svgspark.llm import (
+    embed_dedup, line_dedup, mixing, near_dup, packing, quality_rank, quality_rules, secrets, suffix_dedup, toxicity,
+)
 from svgspark.llm.common import table
 
 
@@ -22,6 +24,11 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.op3(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, *toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op5(table(spark, sf_dir, "documents"))
 
@@ -38,14 +45,27 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.op8(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_rank.score(docs, quality_rank.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.judge(docs, quality_rules.train(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_near_dup": op2_near_dup,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_toxicity": op4_toxicity,
     "op5_mixing": op5_mixing,
     "op6_embed_dedup": op6_embed_dedup,
     "op7_best_two_fit": op7_best_two_fit,
     "op8_line_dedup": op8_line_dedup,
+    "op9_quality_rank": op9_quality_rank,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE: dict[str, str] = {
