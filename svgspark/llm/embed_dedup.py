@@ -9,7 +9,9 @@ double precision on the vectors as given.
 
 Equal vectors collapse into a class first; a class counts as often as it occurs and is not expanded. Every
 label is cut into tiles, and every pair of tiles of a label is a task of its own kind (tile i with tile j), so
-a label with a third of all vectors is shared by many tasks and none ever holds a whole label. The axes come
+a label with a third of all vectors is shared by many tasks and none ever holds a whole label. A pair of tiles
+hands on a row for each linked vector (its number of links, and the smallest vector that it reaches through
+them), not a row for each link. The axes come
 from the 64 x 64 or so matrix of second moments, summed by Spark over all vectors.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components link with nothing,
@@ -95,9 +97,8 @@ def cosine(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def _compare(turn: dict[int, np.ndarray], threshold: float):
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
         if not len(left) or not len(right):
-            return none
+            return pd.DataFrame({"id": np.zeros(0, np.int64), "least": np.zeros(0, np.int64), "others": np.zeros(0, np.int64)})
         v, w = np.stack(left["v"].to_numpy()), np.stack(right["v"].to_numpy())
         axis = turn[v.shape[1]]
         unit = [z / np.abs(z).max(axis=1, keepdims=True) for z in (v, w)]
@@ -107,11 +108,30 @@ def _compare(turn: dict[int, np.ndarray], threshold: float):
         once = a < b if key[2] == key[3] else a != b
         i, j = i[once], j[once]
         sure = cosine(v[i], w[j]) >= threshold
-        return pd.DataFrame({"a": a[once][sure], "b": b[once][sure]})
+        i, j = i[sure], j[sure]
+        return _summary(left["id"].to_numpy()[i], right["id"].to_numpy()[j], left["n"].to_numpy()[i], right["n"].to_numpy()[j])
 
     return run
 
 
+def _summary(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> pd.DataFrame:
+    """What the links (a, b) of two tiles say, a row for each linked vector: the smallest vector that it reaches
+    through them, and how many vectors they link it to."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[:len(a)], at[len(a):]
+    others = np.bincount(at, np.concatenate([size_b, size_a]), len(ids)).astype(np.int64)
+    least = np.arange(len(ids))
+    while True:
+        low = np.minimum(least[x], least[y])
+        new = least.copy()
+        np.minimum.at(new, x, low)
+        np.minimum.at(new, y, low)
+        new = new[new]
+        if (new == least).all():
+            return pd.DataFrame({"id": ids, "least": ids[least], "others": others})
+        least = new
+
+
 def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
     """(vec_id, n_links, component_id, kept), a row for each row of ``embeddings``."""
     spark = embeddings.sparkSession
@@ -132,16 +152,14 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, tile: i
     sizes = path.groupBy("label", "dim").count().withColumn("tiles", F.ceil(F.col("count") / tile).cast("int")).drop("count")
     placed = written(path.join(sizes, ["label", "dim"]).withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")), "tiles")
     # tile t is the left side against tiles t.. and the right side against tiles ..t: its vectors go to each task once
-    left = placed.select("label", "dim", F.col("tile").alias("s"), F.explode(F.sequence("tile", F.col("tiles") - 1)).alias("t"), "id", "v")
-    right = placed.select("label", "dim", F.explode(F.sequence(F.lit(0), F.col("tile"))).alias("s"), F.col("tile").alias("t"), "id", "v")
+    left = placed.select("label", "dim", F.col("tile").alias("s"), F.explode(F.sequence("tile", F.col("tiles") - 1)).alias("t"), "id", "n", "v")
+    right = placed.select("label", "dim", F.explode(F.sequence(F.lit(0), F.col("tile"))).alias("s"), F.col("tile").alias("t"), "id", "n", "v")
     keys = ["label", "dim", "s", "t"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_compare(turn, threshold), "a long, b long")
-    links = written(found, "links")
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_compare(turn, threshold), "id long, least long, others long")
+    found = written(found, "found")
 
-    size = placed.select("id", F.col("n").alias("m"))
-    degree = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))) \
-        .join(size, F.col("b") == size["id"]).groupBy("a").agg(F.sum("m").alias("others"))
-    label = components(links)
+    degree = found.groupBy(F.col("id").alias("a")).agg(F.sum("others").alias("others"))
+    label = components(found.select(F.col("id").alias("a"), F.col("least").alias("b")))
     member = live.select("vec_id", "label", "v").join(placed.select("label", "v", "id", "n"), ["label", "v"]) \
         .select("vec_id", "id", "n").join(degree, F.col("id") == degree["a"], "left").drop("a") \
         .join(label, F.col("id") == label["node"], "left") \
