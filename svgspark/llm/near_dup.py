@@ -8,9 +8,12 @@ in a bucket. With 60 slots the guarantee holds up to distance 23; two sets of si
 slots on average, and miss every bucket with probability 1e-7.
 
 Buckets propose, sets decide: every proposed pair is confirmed on the full sets. Buckets are not expanded
-into all pairs. First each member meets the bucket's smallest member (a star, linear in the bucket); after
-the confirmed links are joined into components, only members of different components that still share a
-bucket meet each other. Pairs inside one component cannot change it, so no link between components is lost.
+into all pairs. First each member meets the bucket's smallest member, its hub (a star, linear in the bucket).
+After the confirmed links are joined into components, the buckets whose hubs share a component form a family;
+of a family only members of different components can add anything, since pairs inside one component cannot
+change it. Small families meet pair by pair; large ones are cut into tiles, and two tiles are compared inside
+a task by one product of their incidence matrices, which hands on nothing but confirmed links. So every pair
+that shares a bucket is confirmed, refuted, or already connected, and no link between components is lost.
 Documents with equal sets collapse into a class before any of this, by partial aggregation.
 
 Defined results: null, empty or blank texts have no shingles and link with nothing; fewer than two words are
@@ -24,6 +27,7 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +40,9 @@ CHUNKS, CHUNK_SLOTS, ERRORS = 12, 5, 1
 SLOTS = CHUNKS * CHUNK_SLOTS
 BITS = 16
 SALTS = 16
-CHUNK = 8192
+CHUNK = 4096
+SMALL = 12  # members of a family up to which its pairs are joined one by one
+TILE = 512
 
 _rng = np.random.default_rng(2)
 _A = _rng.integers(1, 2**63, SLOTS, dtype=np.uint64)[:, None] * K.U64(2) + K.U64(1)
@@ -117,6 +123,33 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.where("100 * both >= 80 * (sum - both)").select("a", "b")
 
 
+def _incidence(rows: list[np.ndarray], tokens: np.ndarray) -> np.ndarray:
+    """0/1 matrix of which of the sorted tokens each row's sorted set holds."""
+    out = np.zeros((len(rows), len(tokens)), np.float32)
+    for k, s in enumerate(rows):
+        part = s[np.searchsorted(s, tokens[0]):np.searchsorted(s, tokens[-1], "right")]
+        at = np.searchsorted(tokens, part)
+        out[k, at[tokens[np.minimum(at, len(tokens) - 1)] == part]] = 1
+    return out
+
+
+def _tile_links(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """The links between two tiles of a family, of members in different components."""
+    none = pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+    if not len(left) or not len(right):
+        return none
+    x, y = ([np.sort(s) for s in side["shingles"]] for side in (left, right))
+    tokens = np.intersect1d(np.concatenate(x), np.concatenate(y))
+    both = np.zeros((len(x), len(y)), np.float32)  # exact: counts below 2^24 are whole numbers
+    for i in range(0, len(tokens), CHUNK):
+        both += _incidence(x, tokens[i:i + CHUNK]) @ _incidence(y, tokens[i:i + CHUNK]).T
+    total = np.array([len(s) for s in x], np.float64)[:, None] + np.array([len(s) for s in y], np.float64)[None, :]
+    i, j = np.nonzero(100 * both.astype(np.float64) >= 80 * (total - both))
+    a, b = left["id"].to_numpy()[i], right["id"].to_numpy()[j]
+    ok = left["component"].to_numpy()[i] != right["component"].to_numpy()[j]
+    return pd.DataFrame({"a": a[ok], "b": b[ok]})
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), a row for each row of ``docs``."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -135,24 +168,44 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     entries = nodes.select(F.col("rep").alias("id"), F.explode("keys").alias("key"))
     hubs = entries.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last").drop("last")
-    members = written(entries.join(hubs, "key").where("id <> hub"), "buckets")
-    stars = written(members.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "stars")
+    stars = written(entries.join(hubs, "key").where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "stars")
 
     wanted = stars.select(F.col("a").alias("id")).union(stars.select("b")).distinct()
     sets = written(texts.join(wanted, texts["doc_id"] == wanted["id"], "left_semi").mapInArrow(_sets, "id long, shingles array<long>"), "sets")
     links = written(_confirmed(stars, sets), "links")
     same = nodes.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
 
-    # what stars cannot see: members of one bucket that are in different components so far
-    label = components(links)
-    placed = members.join(label, members["id"] == label["node"], "left") \
-        .select("key", "id", F.coalesce("component", "id").alias("component"))
-    split = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    open_ = placed.join(split, "key", "left_semi")
-    left, right = open_.select("key", F.col("id").alias("a"), F.col("component").alias("ca")), \
-        open_.select("key", F.col("id").alias("b"), F.col("component").alias("cb"))
-    more = left.join(right, "key").where("a < b AND ca <> cb").select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
-    links = links.unionByName(_confirmed(written(more, "pairs"), sets))
+    # what stars cannot see: members of one family that are in different components so far
+    label = written(components(links), "labels")
+    hub, member = label.select(F.col("node").alias("a"), F.col("component").alias("fa")), label.select(F.col("node").alias("b"), F.col("component").alias("fb"))
+    family = written(stars.join(hub, "a", "left").join(member, "b", "left").select(
+        F.coalesce("fa", "a").alias("family"), F.col("b").alias("id"), F.coalesce("fb", "b").alias("component")).distinct(), "families")
+    foreign = F.col("component") != F.col("family")
+    count = family.groupBy("family").agg(F.sum(foreign.cast("int")).alias("out"), F.sum((~foreign).cast("int")).alias("own")) \
+        .where("out > 0 AND out + own > 1")
+    family = written(family.join(count, "family"), "open")
+
+    small = family.where(f"out + own <= {SMALL}").select("family", "id", "component")
+    right = small.select("family", F.col("id").alias("b"), F.col("component").alias("cb"))
+    pairs = small.select("family", F.col("id").alias("a"), F.col("component").alias("ca")).join(right, "family") \
+        .where("a < b AND ca <> cb").select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
+    more = _confirmed(written(pairs, "pairs"), sets)
+
+    large = family.where(f"out + own > {SMALL}").join(sets, "id")
+    tiles = {"out": F.ceil(F.col("out") / TILE).cast("int"), "own": F.ceil(F.col("own") / TILE).cast("int")}
+    large = large.withColumns(tiles).withColumn("far", foreign) \
+        .withColumn("tile", F.pmod(F.xxhash64("id"), F.when(F.col("far"), F.col("out")).otherwise(F.col("own"))).cast("int"))
+    # foreign tile s meets every own tile, and the foreign tiles s..
+    t = F.when(F.col("far"), F.col("own") + F.col("tile")).otherwise(F.col("tile"))
+    last = F.when(F.col("far"), F.col("tile")).otherwise(F.col("out") - 1)
+    columns = ["family", "s", "t", "id", "component", "shingles"]
+    left = large.where("far").select("family", F.col("tile").alias("s"), F.explode(F.concat(
+        F.slice(F.sequence(F.lit(0), F.col("own")), F.lit(1), F.col("own")), F.sequence(F.col("own") + F.col("tile"), F.col("own") + F.col("out") - 1))).alias("t"),
+        "id", "component", "shingles")
+    right = large.select("family", F.explode(F.sequence(F.lit(0), last)).alias("s"), t.alias("t"), "id", "component", "shingles").toDF(*columns)
+    keys = ["family", "s", "t"]
+    dense = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_tile_links, "a long, b long")
+    links = links.unionByName(more).unionByName(dense)
 
     label = components(links.unionByName(same))
     out = signed.join(label, (signed["doc_id"] == label["node"]) & (signed["n_shingles"] > 0), "left")
