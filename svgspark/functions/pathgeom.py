@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 import re
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import ROUND_HALF_UP, Context, Decimal
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -20,12 +20,17 @@ from pyspark.sql.functions import pandas_udf
 from svgspark.operators.geom import ARITY, CLOSE_EPS, PATH_TOKEN_RE
 
 _TOK = re.compile(PATH_TOKEN_RE)
+_NUM = r"[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?"
+#: The flags of an arc are one digit each and need no space behind them: ``a1 1 0 012 2``.
+_ARC = re.compile(rf"({_NUM})[\s,]*({_NUM})[\s,]*({_NUM})[\s,]*([01])[\s,]*([01])[\s,]*({_NUM})[\s,]*({_NUM})")
+_COMMAND = re.compile(r"([MmZzLlHhVvCcSsQqTtAa])([^MmZzLlHhVvCcSsQqTtAa]*)")
+_WIDE = Context(prec=700)
 
 
 def fmt(v: float, decimals: int = 3, to_int: bool = False) -> str:
     if to_int:
         return str(int(v))
-    q = Decimal(repr(float(v))).quantize(Decimal(1).scaleb(-decimals), rounding=ROUND_HALF_UP)
+    q = Decimal(repr(float(v))).quantize(Decimal(1).scaleb(-decimals), rounding=ROUND_HALF_UP, context=_WIDE)
     s = format(q, "f")
     if "." in s:
         s = s.rstrip("0").rstrip(".")
@@ -33,21 +38,19 @@ def fmt(v: float, decimals: int = 3, to_int: bool = False) -> str:
 
 
 def commands(d: str):
-    toks = _TOK.findall(d or "")
-    out, i = [], 0
-    while i < len(toks):
-        cmd = toks[i]
-        j = i + 1
-        while j < len(toks) and not toks[j].isalpha():
-            j += 1
-        nums = [float(x) for x in toks[i + 1:j]]
+    """Commands with their arguments; numbers before the first command letter belong to none and are skipped."""
+    out = []
+    for cmd, rest in _COMMAND.findall(d or ""):
+        if cmd in "Aa":
+            nums = [float(x) for arc in _ARC.findall(rest) for x in arc]
+        else:
+            nums = [float(x) for x in _TOK.findall(rest)]
         ar = ARITY[cmd.upper()]
         if ar == 0:
             out.append((cmd, []))
         else:
             for c in range(len(nums) // ar):
                 out.append(((("L" if cmd == "M" else "l" if cmd == "m" else cmd) if c > 0 else cmd), nums[c * ar:(c + 1) * ar]))
-        i = j
     return out
 
 
@@ -146,7 +149,8 @@ def arc_pieces(seg):
     return out
 
 
-def rewrite(d, m, s, cubic_only=True, decimals=3, to_int=False) -> str:
+def rewrite(d, m, s, cubic_only=True, decimals=3, to_int=False) -> str | None:
+    """The path's new text; None if a coordinate is beyond double range."""
     segs = []
     for g in absolute(commands(d)):
         segs.extend(arc_pieces(g) if g[1] == "A" else [g])
@@ -168,6 +172,8 @@ def rewrite(d, m, s, cubic_only=True, decimals=3, to_int=False) -> str:
                    (en[0] + (q[0] - en[0]) * 2 / 3, en[1] + (q[1] - en[1]) * 2 / 3), en]
             kind = "C"
         fixed.append((sub, kind, tr(p0), [tr(p) for p in pts], closing))
+    if not all(math.isfinite(x) for g in fixed for q in (g[2], *g[3]) for x in q):
+        return None
     fixed = [g for g in fixed if not (g[4] and math.dist(g[2], g[3][0]) < CLOSE_EPS)]
     p = lambda q: f"{fmt(q[0], decimals, to_int)} {fmt(q[1], decimals, to_int)}"
     texts = []

@@ -49,12 +49,17 @@ def strip_ws(c) -> Column:
     return F.regexp_replace(as_col(c), r"^\s+|\s+$", "")
 
 
-def style_map(c) -> Column:
-    """``k:v;k:v`` -> MAP. Pieces without exactly one ``:`` are dropped, both sides trimmed, last key wins."""
-    pieces = F.transform(
-        F.filter(F.split(as_col(c), ";"), lambda p: F.size(F.split(p, ":")) == 2),
-        lambda p: F.struct(strip_ws(F.split(p, ":")[0]).alias("key"), strip_ws(F.split(p, ":")[1]).alias("value")),
-    )
+def style_map(c, whole: bool = False) -> Column:
+    """``k:v;k:v`` -> MAP, both sides trimmed, last key wins. Pieces without exactly one ``:`` are dropped.
+
+    ``whole``: values may hold ``:``, and ``;`` inside parentheses, as in ``fill:url(http://a/b#c)``.
+    """
+    if whole:
+        kept = F.filter(F.split(as_col(c), r";(?![^(]*\))"), lambda p: F.locate(":", p) > 1)
+    else:
+        kept = F.filter(F.split(as_col(c), ";"), lambda p: F.size(F.split(p, ":")) == 2)
+    pieces = F.transform(kept, lambda p: F.struct(
+        strip_ws(F.split(p, ":", 2)[0]).alias("key"), strip_ws(F.split(p, ":", 2)[1]).alias("value")))
     # keep the last occurrence of every key so the map has unique keys
     last = F.filter(
         pieces,

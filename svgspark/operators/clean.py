@@ -64,7 +64,7 @@ def clean_value(v) -> F.Column:
 
 def short_num(x, decimals: int) -> F.Column:
     """Number text rounded to ``decimals`` through DECIMAL, trailing zeros cut, leading zero removed."""
-    s = F.round(x, decimals).cast(f"decimal(38,{max(decimals, 0)})").cast("string")
+    s = F.coalesce(F.round(x, decimals).try_cast(f"decimal(38,{max(decimals, 0)})").cast("string"), x.cast("string"))
     if decimals > 0:
         s = F.regexp_replace(F.regexp_replace(s, r"(\.\d*?)0+$", "$1"), r"\.$", "")
     s = F.when(s == "-0", F.lit("0")).otherwise(s)
@@ -110,7 +110,7 @@ def normal_colors(el: DataFrame, m: str = "attrs") -> DataFrame:
 
 def style_to_attrs(el: DataFrame, m: str = "attrs") -> DataFrame:
     """Inline ``style`` declarations become attributes (they override same-named attributes)."""
-    st = style_map(F.col(m).getItem("style"))
+    st = style_map(F.col(m).getItem("style"), whole=True)
     base = F.map_filter(m, lambda k, v: (k != "style") & ~F.coalesce(F.array_contains(F.map_keys(st), k), F.lit(False)))
     return el.withColumn(m, F.when(st.isNull(), F.col(m)).otherwise(F.map_concat(base, st)))
 
@@ -119,6 +119,7 @@ def drop_attrs(el: DataFrame, m: str = "attrs") -> DataFrame:
     """Drop version/xmlns/aria-hidden/class and the root width/height; ``xlink:href`` -> ``href``."""
     kept = F.map_filter(m, lambda k, v: ~F.lower(k).isin(*DROP_ATTRS) & ~F.lower(k).startswith("xmlns")
                         & ~((F.col("depth") == 0) & F.lower(k).isin("width", "height"))
+                        & ~((F.lower(k) == "xlink:href") & F.array_contains(F.map_keys(m), "href"))
                         & ~F.exists(F.array(*[F.lit(p + ":") for p in EDITOR_PREFIXES]), lambda p: F.lower(k).startswith(p)))
     renamed = F.transform_keys(kept, lambda k, v: F.when(F.lower(k) == "xlink:href", F.lit("href")).otherwise(k))
     return el.withColumn(m, renamed)

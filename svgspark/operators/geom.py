@@ -234,17 +234,17 @@ def arc_centres(segs) -> Column:
         cphi, sphi = F.cos(phi), F.sin(phi)
         dx2, dy2 = (p1["x"] - p2["x"]) / 2, (p1["y"] - p2["y"]) / 2
         x1p, y1p = cphi * dx2 + sphi * dy2, -sphi * dx2 + cphi * dy2
-        lam = x1p * x1p / (rx0 * rx0) + y1p * y1p / (ry0 * ry0)
+        lam = F.coalesce(F.try_divide(x1p * x1p, rx0 * rx0) + F.try_divide(y1p * y1p, ry0 * ry0), F.lit(0.0))
         grow = F.when(lam > 1, F.sqrt(lam)).otherwise(F.lit(1.0))
         rx, ry = rx0 * grow, ry0 * grow
         num = rx * rx * ry * ry - rx * rx * y1p * y1p - ry * ry * x1p * x1p
         den = rx * rx * y1p * y1p + ry * ry * x1p * x1p
-        coef = F.when(fa != fs, F.lit(1.0)).otherwise(F.lit(-1.0)) * F.sqrt(F.greatest(F.lit(0.0), num / den))
-        cxp, cyp = coef * rx * y1p / ry, -coef * ry * x1p / rx
+        coef = F.when(fa != fs, F.lit(1.0)).otherwise(F.lit(-1.0)) * F.sqrt(F.greatest(F.lit(0.0), F.try_divide(num, den)))
+        cxp, cyp = F.try_divide(coef * rx * y1p, ry), F.try_divide(-coef * ry * x1p, rx)
         cx = cphi * cxp - sphi * cyp + (p1["x"] + p2["x"]) / 2
         cy = sphi * cxp + cphi * cyp + (p1["y"] + p2["y"]) / 2
-        th1 = F.atan2((y1p - cyp) / ry, (x1p - cxp) / rx)
-        dth0 = F.atan2((-y1p - cyp) / ry, (-x1p - cxp) / rx) - th1
+        th1 = F.atan2(F.try_divide(y1p - cyp, ry), F.try_divide(x1p - cxp, rx))
+        dth0 = F.atan2(F.try_divide(-y1p - cyp, ry), F.try_divide(-x1p - cxp, rx)) - th1
         dth = F.when(~fs & (dth0 > 0), dth0 - 2 * math.pi).when(fs & (dth0 < 0), dth0 + 2 * math.pi).otherwise(dth0)
         n = F.greatest(F.lit(1.0), F.ceil(F.abs(dth) / (math.pi / 2) - 1e-9).cast("double"))
         degenerate = F.when((p1["x"] == p2["x"]) & (p1["y"] == p2["y"]), F.lit(-1.0)).when((rx0 == 0) | (ry0 == 0), F.lit(0.0))
@@ -294,7 +294,7 @@ def fmt_num(v, decimals: int = 3, to_int: bool = False) -> Column:
     v = as_col(v)
     if to_int:
         return v.cast("long").cast("string")
-    s = F.round(v, decimals).cast(f"decimal(38,{decimals})").cast("string")
+    s = F.coalesce(F.round(v, decimals).try_cast(f"decimal(38,{decimals})").cast("string"), v.cast("string"))
     s = F.regexp_replace(F.regexp_replace(s, r"(\.\d*?)0+$", "$1"), r"\.$", "")
     return F.when(s == "-0", F.lit("0")).otherwise(s)
 

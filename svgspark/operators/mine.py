@@ -16,9 +16,16 @@ SVG_FALLBACK_RE = r"(?is)<svg\b.*\z"          # unclosed <svg ... to the end of
 TAG_BODY = r"""(?:[^>"']|"[^"]*"|'[^']*')*>"""
 SRC_TAG_RE = r"(?is)<(?:img|object|embed)\b" + TAG_BODY
 OBJECT_TAG_RE = r"(?is)<object\b" + TAG_BODY
+# The tag patterns for Java's engine: possessive, so that a long tag cannot overflow the stack.
+TAG_RUNS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+SRC_TAG_RUNS = r"(?is)<(?:img|object|embed)\b" + TAG_RUNS
+OBJECT_TAG_RUNS = r"(?is)<object\b" + TAG_RUNS
 SRC_ATTR_RE = r"""(?is)\ssrc\s*=\s*["']?([^"'\s>]*)"""
 DATA_ATTR_RE = r"""(?is)\sdata\s*=\s*["']?([^"'\s>]*)"""
 
+# Batches of a report whose running totals are summed in one task.
+BLOCK = 4096
+
 CAND_TYPE = "array<struct<origin:int,ord:int,svg:string,ref:string>>"
 
 # candidate origins, in the order the reference visits them
@@ -63,13 +70,13 @@ def svg_ref(ref) -> F.Column:
 
 
 def extract_src_refs(pages: DataFrame, html: str = "html", keys=("page_id", "url")) -> DataFrame:
-    refs = F.filter(_attr_refs(html, SRC_TAG_RE, SRC_ATTR_RE), lambda r: r != "")
+    refs = F.filter(_attr_refs(html, SRC_TAG_RUNS, SRC_ATTR_RE), lambda r: r != "")
     return (pages.select(*keys, F.posexplode(refs).alias("ord", "ref"))
             .where(svg_ref("ref")))
 
 
 def extract_data_refs(pages: DataFrame, html: str = "html", keys=("page_id", "url")) -> DataFrame:
-    refs = F.filter(_attr_refs(html, OBJECT_TAG_RE, DATA_ATTR_RE), lambda r: r != "")
+    refs = F.filter(_attr_refs(html, OBJECT_TAG_RUNS, DATA_ATTR_RE), lambda r: r != "")
     return (pages.select(*keys, F.posexplode(refs).alias("ord", "ref"))
             .where(svg_ref("ref")))
 
@@ -94,7 +101,7 @@ def page_candidates(pages: DataFrame, html: str = "html", keys=("page_id", "url"
                                                                F.lit(None).cast("string").alias("svg"), r.alias("ref"))),
                         lambda c: svg_ref(c["ref"]))
 
-    allc = F.concat(inline, fallback, refs(SRC_TAG_RE, SRC_ATTR_RE, ORIGIN_SRC), refs(OBJECT_TAG_RE, DATA_ATTR_RE, ORIGIN_DATA))
+    allc = F.concat(inline, fallback, refs(SRC_TAG_RUNS, SRC_ATTR_RE, ORIGIN_SRC), refs(OBJECT_TAG_RUNS, DATA_ATTR_RE, ORIGIN_DATA))
     out = pages.select(*keys, F.explode(allc).alias("c")).select(*keys, "c.origin", "c.ord", "c.svg", "c.ref")
     return out.withColumn("abs_url", F.when(F.col("ref").isNotNull(), resolve_url(F.col("url"), F.col("ref"))))
 
@@ -250,6 +257,11 @@ def batch_report(df: DataFrame, order_col: str, tie_col: str, kept, batch_size:
     ranked = S.global_rank(df, order_col, tie_col, "_rn")
     per = (ranked.withColumn("batch", F.floor((F.col("_rn") - 1) / batch_size).cast("bigint"))
            .groupBy("batch").agg(F.count(F.lit(1)).alias("processed"), F.count_if(as_col(kept)).alias("kept")))
-    w = Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, 0)
-    return (per.withColumn("total_processed", F.sum("processed").over(w))
-            .withColumn("total_kept", F.sum("kept").over(w)))
+    # running totals in two levels: inside blocks of batches, and over the blocks
+    per = per.withColumn("_block", F.floor(F.col("batch") / BLOCK))
+    blocks = per.groupBy("_block").agg(F.sum("processed").alias("_p"), F.sum("kept").alias("_k"))
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("_block", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in ("_p", "_k")])
+    w = Window.partitionBy("_block").orderBy("batch").rowsBetween(Window.unboundedPreceding, 0)
+    return (per.withColumn("_sp", F.sum("processed").over(w)).withColumn("_sk", F.sum("kept").over(w)).join(blocks, "_block")
+            .select("batch", "processed", "kept", (F.col("_p") + F.col("_sp")).alias("total_processed"), (F.col("_k") + F.col("_sk")).alias("total_kept")))

@@ -149,11 +149,13 @@ def blank_image(pixels: DataFrame, key: str = "vec_id", gray: str = "gray", thre
 def top_errors(df: DataFrame, error_col: str = "error", n: int = 10) -> DataFrame:
     """Most frequent errors (count desc, error asc), the top n, plus one '... and N more' row."""
     counts = df.where(F.col(error_col).isNotNull()).groupBy(error_col).agg(F.count(F.lit(1)).alias("n"))
-    ranked = counts.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), F.col(error_col))))
-    top = ranked.where(F.col("rank") <= n).select(F.col(error_col).alias("error"), "n", F.col("rank").cast("bigint"))
-    more = (ranked.where(F.col("rank") > n)
-            .agg(F.sum("n").alias("n"))
-            .where(F.col("n").isNotNull())
+    order = [F.desc("n"), F.col(error_col)]
+    first = counts.orderBy(*order).limit(n)  # a top-k; only its n rows are ranked
+    top = first.select(F.col(error_col).alias("error"), "n", F.row_number().over(Window.orderBy(*order)).cast("bigint").alias("rank"))
+    listed = first.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("listed"))
+    more = (counts.agg(F.sum("n").alias("total")).join(F.broadcast(listed))  # one row each
+            .select((F.col("total") - F.col("listed")).alias("n"))
+            .where(F.col("n") > 0)
             .select(F.format_string("... and %d more", F.col("n")).alias("error"), F.col("n").cast("bigint"),
                     F.lit(n + 1).cast("bigint").alias("rank")))
     return top.unionByName(more)
@@ -162,5 +164,10 @@ def top_errors(df: DataFrame, error_col: str = "error", n: int = 10) -> DataFram
 def dir_group_order(df: DataFrame, path_col: str = "filename") -> DataFrame:
     """Files per top-level directory group, in sorted group order (empty groups never appear)."""
     g = F.regexp_extract(F.col(path_col), r"^([^/]+)/", 1)
-    return (df.withColumn("grp", g).groupBy("grp").agg(F.count(F.lit(1)).alias("n_files"))
-            .withColumn("grp_order", F.row_number().over(Window.orderBy("grp")).cast("bigint")))
+    groups = df.withColumn("grp", g).groupBy("grp").agg(F.count(F.lit(1)).alias("n_files")).withColumn("_lead", F.substring("grp", 1, 2))
+    # the first two characters keep the order, so only the table of their counts is summed in one task
+    before = groups.groupBy("_lead").agg(F.count(F.lit(1)).alias("_n")).select("_lead", F.coalesce(
+        F.sum("_n").over(Window.orderBy("_lead").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_lead").orderBy("grp"))
+    return (groups.withColumn("_in", inside).join(before, "_lead")
+            .select("grp", "n_files", (F.col("_before") + F.col("_in")).cast("bigint").alias("grp_order")))

@@ -28,6 +28,9 @@ SVG_ATTRIBUTES = ["width", "height", "viewBox", "preserveAspectRatio", "x", "y",
                   "id", "class", "style", "role", "aria-label", "xmlns"]
 XMLNS_URLS = ["http://www.w3.org/2000/svg", "http://www.w3.org/1999/xlink"]
 SPECIAL_TOKENS = SVG_TAGS + SVG_ATTRIBUTES + XMLNS_URLS
+# Units of markup that can be a special token: see special_token_counts.
+SPECIAL_UNIT_RE = (r"</[A-Za-z][\w.:-]*>|<[A-Za-z][\w.:-]*>?|" + "|".join(u.replace(".", "[.]") + r"\b" for u in XMLNS_URLS)
+                   + r"|[A-Za-z][\w.-]*\s*[=(]")
 BASE_SPECIALS = ["[UNK]", "[CLS]", "[SEP]", "[PAD]", "[MASK]"]
 VOCAB_TARGET = 50280 * 4 - 21
 PRETOKEN_RE = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+"
@@ -63,15 +66,16 @@ def split_rows(df: DataFrame, key: str, val_fraction: float = 0.05, seed: int =
 
 
 def special_token_counts(docs: DataFrame, text: str = "svg") -> DataFrame:
-    """Occurrences of every special token over the corpus: tag forms and URLs as substrings,
-    attributes as `` name=``. Counted per document with one array expression, then summed."""
-    import re
+    """Occurrences of every special token over the corpus, tokens without any included.
 
-    pats = [re.escape(t) for t in SVG_TAGS] + [r"\s" + re.escape(a) + "=" for a in SVG_ATTRIBUTES] + [re.escape(u) for u in XMLNS_URLS]
-    toks = F.array(*[F.lit(t) for t in SPECIAL_TOKENS])
-    counts = F.array(*[F.regexp_count(F.col(text), F.lit(p)) for p in pats])
-    z = docs.select(F.explode(F.arrays_zip(toks.alias("token"), counts.alias("n"))).alias("z"))
-    return z.groupBy(F.col("z.token").alias("token")).agg(F.sum("z.n").cast("bigint").alias("n"))
+    One pass cuts the text into units: a tag's opening with its name (and ``>`` if it follows at once), a closing
+    tag, a namespace URL, or a name. A name counts as an attribute or transform where ``=`` or ``(`` follows, so
+    ``<line`` is not part of ``<linearGradient`` nor ``translate`` of other words."""
+    units = docs.select(F.explode(F.regexp_extract_all(F.col(text), F.lit(SPECIAL_UNIT_RE), 0)).alias("u"))
+    token = F.regexp_replace("u", r"\s*[=(]$", "")
+    listed = docs.sparkSession.createDataFrame([(t,) for t in dict.fromkeys(SPECIAL_TOKENS)], "token string")
+    counts = units.select(token.alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    return listed.join(counts, "token", "left").select("token", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
 def pretokens(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -107,9 +111,11 @@ def bpe_merges(spark: SparkSession, word_counts: DataFrame, n_merges: int, check
     and rewrites the table. The driver only receives the winning pair of each round; lineage is
     cut with ``checkpoint()`` (reliable, under spark.checkpoint.dir)."""
     words = word_counts.select(_symbols(F.col("word")).alias("sym"), F.col("n").cast("bigint").alias("n"))
+    words = words.checkpoint()  # the corpus is read once, not in every round
     merges = []
     for r in range(n_merges):
-        pairs = words.select("n", F.explode(F.transform(F.sequence(F.lit(0), F.size("sym") - 2),
+        # one-letter words have no pair
+        pairs = words.where(F.size("sym") > 1).select("n", F.explode(F.transform(F.sequence(F.lit(0), F.size("sym") - 2),
                                                        lambda i: F.struct(F.get("sym", i).alias("a"), F.get("sym", i + 1).alias("b")))).alias("p"))
         best = (pairs.where(F.col("p").isNotNull())
                 .groupBy("p.a", "p.b").agg(F.sum("n").alias("cnt"))
@@ -220,12 +226,13 @@ def augment_fill(el: DataFrame, seed: int, key: str = "rec_id", hash_col: str =
 
 
 def optimized_pairs(lineage: DataFrame, seed: int, key: str = "rec_id") -> DataFrame:
-    """Positive pairs (raw, stage2) labelled 1; negatives pair each raw with the stage2 of the next
-    record in md5 order (a rank shift), labelled 0."""
+    """Positive pairs (raw, stage2) labelled 1; negatives pair each raw with the stage2 of the next record in
+    md5 order (a rank shift; the last record takes the first one's), labelled 0 unless it is the same stage2."""
     ok = lineage.where(F.col("stage2").isNotNull()).select(key, "raw", "stage2")
     r = S.global_rank(S.seeded_shuffle(ok, seed, key), "shuffle_key", key, "rn")
-    nxt = r.select((F.col("rn") - 1).alias("rn_prev"), F.col("stage2").alias("other"))
+    last = r.agg(F.max("rn").alias("last"))  # one row
+    nxt = r.join(F.broadcast(last)).select(F.when(F.col("rn") == 1, F.col("last")).otherwise(F.col("rn") - 1).alias("rn_prev"), F.col("stage2").alias("other"))
     pos = r.select(key, F.col("raw").alias("a"), F.col("stage2").alias("b"), F.lit(1).alias("label"))
-    neg = (r.join(nxt, F.col("rn") == F.col("rn_prev"))
+    neg = (r.join(nxt, (F.col("rn") == F.col("rn_prev")) & (F.col("stage2") != F.col("other")))
            .select(key, F.col("raw").alias("a"), F.col("other").alias("b"), F.lit(0).alias("label")))
     return pos.unionByName(neg)

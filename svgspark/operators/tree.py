@@ -2,7 +2,7 @@
 
 The corpus is hash-partitioned by ``rec_id`` once (``by_record``); tokens are exploded from that
 partitioning and every window below is partitioned by ``rec_id`` (plus a finer key), so the plan
-keeps a single exchange. The 32,768-character cap bounds the rows of one record.
+keeps a single exchange. Records of any length are read whole.
 """
 
 from __future__ import annotations
@@ -16,6 +16,11 @@ from svgspark.functions.text import local_name, numeric_text
 QTAG = r"""(?:[^>"']|"[^"]*"|'[^']*')*>"""
 TOKEN_RE = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<!" + QTAG + "|<" + QTAG + "|[^<]+"
 ATTR_RE = r"""([^\s=/<>"']+)\s*=\s*("[^"]*"|'[^']*')"""
+# The same patterns for Java's engine: possessive runs neither recurse nor backtrack, and names start where a run
+# starts, so a tag of a million characters takes linear time and no stack.
+QTAG_RUNS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+TOKEN_RUNS = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<!" + QTAG_RUNS + "|<" + QTAG_RUNS + "|[^<]++"
+ATTR_RUNS = r"""(?<![^\s=/<>"'])([^\s=/<>"']++)\s*+=\s*+("[^"]*+"|'[^']*+')"""
 NAME_RE = r"^</?([^\s/>]+)"
 
 
@@ -41,7 +46,7 @@ def svg_tokens(docs: DataFrame, key: str = "rec_id", svg: str = "svg") -> DataFr
     ``depth`` is the nesting level of an element (root = 0) for open/close/empty tags and the level
     inside which a text/comment token sits for the others.
     """
-    t = (docs.select(key, F.posexplode(F.regexp_extract_all(F.col(svg), F.lit(TOKEN_RE), 0)).alias("pos", "tok"))
+    t = (docs.select(key, F.posexplode(F.regexp_extract_all(F.col(svg), F.lit(TOKEN_RUNS), 0)).alias("pos", "tok"))
          .withColumn("kind", token_kind(F.col("tok"))))
     t = t.withColumn("name", F.when(F.col("kind").isin("open", "close", "empty"),
                                     F.regexp_extract("tok", NAME_RE, 1)))
@@ -65,8 +70,8 @@ def escape_xml(c) -> F.Column:
 
 def tag_attrs(tok) -> F.Column:
     """Attributes of a tag token as MAP (values unquoted and unescaped; first occurrence wins)."""
-    names = F.regexp_extract_all(tok, F.lit(ATTR_RE), 1)
-    vals = F.transform(F.regexp_extract_all(tok, F.lit(ATTR_RE), 2), lambda v: unescape_xml(F.substring(v, 2, F.length(v) - 2)))
+    names = F.regexp_extract_all(tok, F.lit(ATTR_RUNS), 1)
+    vals = F.transform(F.regexp_extract_all(tok, F.lit(ATTR_RUNS), 2), lambda v: unescape_xml(F.substring(v, 2, F.length(v) - 2)))
     entries = F.arrays_zip(names.alias("key"), vals.alias("value"))
     entries = F.transform(entries, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
     uniq = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, 1, i), lambda x: x["key"] == e["key"]))
@@ -181,7 +186,7 @@ def canvas_scale(boxes: DataFrame, normalize_scale: float = 256.0, to_int: bool
 
 
 # Fixed value: CSS rule pattern (selector list, declaration block).
-CSS_RULE_RE = r"([^{}]+)\{([^}]*)\}"
+CSS_RULE_RE = r"(?<![^{}])([^{}]++)\{([^}]*+)\}"
 
 
 def style_rules(tokens: DataFrame, key: str = "rec_id") -> DataFrame:
@@ -203,7 +208,7 @@ def style_rules(tokens: DataFrame, key: str = "rec_id") -> DataFrame:
     sels = rules.select(key, "pos", "ri", F.posexplode(F.split("sel", ",")).alias("si", "selector"), "props")
     sels = sels.withColumn("selector", F.regexp_replace("selector", r"^\s+|\s+$", ""))
     cls = sels.where(F.col("selector").rlike(r"^\.[A-Za-z_-][A-Za-z0-9_-]*$"))
-    per = (cls.select(key, F.substring("selector", 2, 1000).alias("cls"), "pos", "ri",
+    per = (cls.select(key, F.expr("substr(selector, 2)").alias("cls"), "pos", "ri",
                       F.explode("props").alias("prop", "value"))
            .groupBy(key, "cls", "prop").agg(F.max_by("value", F.struct("pos", "ri")).alias("value")))
     return per.groupBy(key, "cls").agg(F.map_from_entries(F.collect_list(F.struct("prop", "value"))).alias("props"))
@@ -229,6 +234,6 @@ def unreferenced_ids(elements: DataFrame, key: str = "rec_id") -> DataFrame:
     refs_url = vals.select(key, F.explode(F.regexp_extract_all("v", F.lit(r"url\(\s*#([^)\s]+)\s*\)"), 1)).alias("id"))
     hrefs = (elements.select(key, F.explode("lattrs").alias("k", "v"))
              .where(F.col("k").isin("href", "xlink:href") & F.col("v").startswith("#"))
-             .select(key, F.substring("v", 2, 100000).alias("id")))
+             .select(key, F.expr("substr(v, 2)").alias("id")))
     refs = refs_url.unionByName(hrefs).distinct()
     return ids.join(refs, [key, "id"], "left_anti")

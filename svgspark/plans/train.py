@@ -90,9 +90,11 @@ def q_encode_corpus(spark, sf):
     docs = view(spark, sf, "documents")
     wc = TR.pretoken_counts(docs)
     merges = [(r["a"], r["b"]) for r in TR.bpe_merges(spark, wc, 3).orderBy("rank").collect()]
-    pt = TR.pretokens(docs)
+    # a word of a document is one row with its count, so a frequent word joins once for each document
+    pt = TR.pretokens(docs).groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
     enc = TR.encode_words(pt.select("word").distinct(), merges)
-    return pt.join(enc, "word").groupBy("doc_id").agg(F.sum(F.size("tokens")).cast("bigint").alias("n_tokens"))
+    per = pt.join(enc, "word").groupBy("doc_id").agg(F.sum(F.size("tokens") * F.col("n")).alias("n"))
+    return docs.select("doc_id").join(per, "doc_id", "left").select("doc_id", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_tokens"))
 
 
 @register("fertility", f"""SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, CAST(len(regexp_extract_all(text, {lit(TR.PRETOKEN_RE)}, 0)) AS BIGINT) AS n_tokens,

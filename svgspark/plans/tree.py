@@ -128,7 +128,8 @@ def q_canvas_scale(spark, sf):
 
 @register("ancestor_join", duck_with("svg_raw") + ",\n" + d_tokens() + """
 SELECT e.rec_id, e.open_pos, a.depth AS anc_depth, a.open_pos AS anc_pos, a.tag AS anc_tag
-FROM okel e JOIN okel a ON a.rec_id = e.rec_id AND a.open_pos < e.open_pos AND e.close_pos <= a.close_pos""")
+FROM (SELECT rec_id, open_pos, unnest(generate_series(0, depth - 1)) AS k FROM okel) e
+ASOF JOIN okel a ON a.rec_id = e.rec_id AND a.depth = e.k AND e.open_pos > a.open_pos""")
 def q_ancestor_join(spark, sf):
     return T.ancestor_join(ok_elements(spark, sf), carry="tag")
 

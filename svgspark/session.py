@@ -11,22 +11,28 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 
-def get_spark(master: str | None = None, partitions: int = 8, app: str = "svgspark") -> SparkSession:
-    master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
+def get_spark(master: str | None = None, partitions: int | None = None, app: str = "svgspark") -> SparkSession:
+    """A session with the engine's settings. What the launcher has set stands: the master, and on a cluster the
+    shuffle partitions and the driver's memory; only a local session without settings gets defaults for one box."""
+    master = master or SparkConf().get("spark.master", f"local[{os.environ.get('BENCH_CPUS', '8')}]")
+    builder = SparkSession.builder.master(master).appName(app)
+    if master.startswith("local"):
+        builder = builder.config("spark.driver.memory", os.environ.get("SVGSPARK_DRIVER_MEMORY", "16g"))
+        partitions = partitions or 8
+    if partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
     spark = (
-        SparkSession.builder.master(master)
-        .appName(app)
-        .config("spark.sql.shuffle.partitions", str(partitions))
+        builder
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("SVGSPARK_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
@@ -38,10 +44,12 @@ def get_spark(master: str | None = None, partitions: int = 8, app: str = "svgspa
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a local one only when none is configured."""
+    """Return the session's checkpoint folder; a local session without one gets a temporary folder, a cluster must name it."""
     conf = spark.sparkContext.getConf()
     cp = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not cp:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         cp = tempfile.mkdtemp(prefix="svgspark-cp-")
         spark.conf.set("spark.checkpoint.dir", cp)
     if spark.sparkContext.getCheckpointDir() is None:

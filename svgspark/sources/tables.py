@@ -29,6 +29,7 @@ SPARK_SLOTS = {
     "TS": "timestampadd(SECOND, CAST(p_partkey%997 AS INT), TIMESTAMP_NTZ '2024-01-01')",
     "U": "explode",
     "WC": "size(split(text,' '))",
+    "SEQ": "sequence(1, CAST(p.page_id%4+1 AS INT))",
 }
 DUCK_SLOTS = {
     "S": "VARCHAR",
@@ -36,6 +37,7 @@ DUCK_SLOTS = {
     "TS": "TIMESTAMP '2024-01-01' + to_seconds(p_partkey%997)",
     "U": "unnest",
     "WC": "len(string_split(text,' '))",
+    "SEQ": "generate_series(1, CAST(p.page_id%4+1 AS INT))",
 }
 
 # View templates: <<slot>> marks a dialect slot, {name} a table or view reference, {{ }} literal braces.
@@ -58,12 +60,13 @@ SELECT p.page_id, p.url, replace(p.html, '</article>', concat(s.svg, '<img src="
   '<object data="icons/', CAST(s.k%9 AS <<S>>), '.svg"></object></article>')) AS html
 FROM {pages} p JOIN (SELECT k, min(svg) AS svg FROM {svg_raw} GROUP BY k) s ON p.page_id%150 = s.k
 """),
-    "fetch_log": (("svg_pages",), """
-SELECT p.page_id, p.url, a.attempt,
-  CASE WHEN (p.page_id+a.attempt)%4=0 THEN 503 WHEN p.page_id%13=0 THEN 404 ELSE 200 END AS status,
-  CASE WHEN p.page_id%11=0 THEN 'application/pdf' ELSE 'Text/HTML; charset=utf-8' END AS content_type,
-  CASE WHEN p.page_id%17=0 THEN '' ELSE p.html END AS body
-FROM {svg_pages} p JOIN (SELECT 1 AS attempt UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4) a ON a.attempt <= p.page_id%4+1
+    "fetch_log": (("pages", "svg_pages"), """
+SELECT page_id, url, attempt,
+  CASE WHEN (page_id+attempt)%4=0 THEN 503 WHEN page_id%13=0 THEN 404 ELSE 200 END AS status,
+  CASE WHEN page_id%11=0 THEN 'application/pdf' ELSE 'Text/HTML; charset=utf-8' END AS content_type,
+  CASE WHEN page_id%17=0 THEN '' ELSE html END AS body
+FROM (SELECT p.page_id, p.url, p.html, CAST(a.attempt AS INT) AS attempt
+      FROM (SELECT page_id, <<U>>(<<SEQ>>) AS attempt FROM {pages} p) a JOIN {svg_pages} p ON p.page_id = a.page_id) t
 """),
     "assets": (("pages", "svg_raw"), """
 SELECT concat(regexp_extract(p.url, '^(https?://[^/]+)', 1), '/img/', CAST(s.k AS <<S>>), '.SVG') AS abs_url, min(s.svg) AS body,
@@ -78,8 +81,8 @@ FROM {svg_raw}
 """),
     "caption_raw": (("svg_raw", "documents"), """
 SELECT md5(s.svg) AS hash, s.rec_id, concat(CASE WHEN d.doc_id%4=0 THEN 'Caption: ' WHEN d.doc_id%4=1 THEN '  image SHOWS:' ELSE ' ' END,
-  CASE WHEN d.doc_id%9=0 THEN '' ELSE substr(d.text,1,40) END, ' ') AS text
-FROM {svg_raw} s JOIN {documents} d ON d.doc_id%100 = s.rec_id%100 WHERE d.doc_id < 400 AND s.rec_id <= 200
+  CASE WHEN d.doc_id%9=0 THEN '' ELSE d.text END, ' ') AS text
+FROM {svg_raw} s JOIN {documents} d ON d.doc_id = s.rec_id
 """),
     "pixels": (("embeddings",), """
 SELECT vec_id, label, CAST(e AS DOUBLE)*CASE WHEN vec_id%5=0 THEN 1 ELSE 255 END AS gray FROM (SELECT vec_id, label, <<U>>(embedding) AS e FROM {embeddings}) t
@@ -92,10 +95,11 @@ SELECT rec_id, k, replace(replace(replace(svg,
   '<title>', concat('<style>.a, .b{{fill:#123;stroke:red}} rect{{x:1}} .b{{fill:blue; stroke-width:2}}</style><defs><linearGradient id="lg', CAST(k AS <<S>>), '"/><clipPath id="cp', CAST(k%4 AS <<S>>), '"><rect width="1" height="1"/></clipPath></defs><title>')),
   '<rect ', concat('<rect class="a b" id="r', CAST(k AS <<S>>), '" ')),
   '<path ', concat('<path style="stroke: #0F0 ;opacity:0.5;bad" clip-path="url(#cp', CAST(k%3 AS <<S>>), ')" ')) AS svg
-FROM {svg_raw} WHERE k%25<>2 AND k%15<>1
+FROM {svg_raw}
 """),
     "predictions": (("labels",), """
-SELECT m.model, l.doc_id AS item, 'quality' AS task, l.quality AS label, CASE WHEN (l.doc_id+m.o)%m.m=0 THEN 1-l.quality ELSE l.quality END AS pred FROM {labels} l CROSS JOIN (SELECT 'a' AS model, 0 AS o, 3 AS m UNION ALL SELECT 'b',1,7) m
+SELECT 'a' AS model, doc_id AS item, 'quality' AS task, quality AS label, CASE WHEN doc_id%3=0 THEN 1-quality ELSE quality END AS pred FROM {labels}
+UNION ALL SELECT 'b', doc_id, 'quality', quality, CASE WHEN (doc_id+1)%7=0 THEN 1-quality ELSE quality END FROM {labels}
 """),
 }
 

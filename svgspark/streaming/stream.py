@@ -25,7 +25,8 @@ def stream_source(spark: SparkSession, path: str, schema, max_files_per_trigger:
 
 
 def run_available_now(df: DataFrame, out_path: str, checkpoint: str, mode: str = "append", fmt: str = "parquet",
-                      partition_by: list[str] | None = None, timeout_s: int = 600) -> None:
+                      partition_by: list[str] | None = None, timeout_s: int | None = None) -> None:
+    """Drains what is there and stops. ``timeout_s``: seconds after which the caller wants an error instead; none by default."""
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if mode == "append":
         w = w.format(fmt).option("path", out_path)
@@ -37,8 +38,9 @@ def run_available_now(df: DataFrame, out_path: str, checkpoint: str, mode: str =
             batch.write.mode("overwrite").format(fmt).save(out_path)
 
         q = w.foreachBatch(upsert).start()
-    q.awaitTermination(timeout_s)
-    if q.isActive:
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
         raise TimeoutError("streaming query did not drain in time")
     if q.exception() is not None:
