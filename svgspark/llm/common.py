@@ -29,6 +29,14 @@ def scratch(spark: SparkSession, tag: str) -> str:
     return f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex[:12]}"
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> SparkSession:
+    """Sets the rows of an Arrow batch, unless the session sets them: whole texts are wide rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(rows))
+    return spark
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts lineage and survives lost executors."""
     spark = df.sparkSession
@@ -43,6 +51,23 @@ def dropped(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def thinned(rows: DataFrame, key: str, wanted: DataFrame, bits: int = 23) -> DataFrame:
+    """``rows`` without most of those whose ``key`` is not an ``id`` of ``wanted``, before a semi join shuffles them.
+
+    The ids are hashed into one bitmap of 2**bits bits, 1 MB however many there are, and that is broadcast; rows
+    that only share a bit pass too, so the exact join must follow.
+    """
+    def bit(column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(1 << bits)) + 1
+
+    maps = wanted.select(bit("id").alias("_h")).groupBy(F.bitmap_bucket_number("_h").alias("_bucket")) \
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_h")).alias("_bits"))
+    place = F.bitmap_bit_position("_h")
+    byte = F.conv(F.hex(F.expr("substr(_bits, cast(bitmap_bit_position(_h) div 8 + 1 as int), 1)")), 16, 10).cast("int")
+    return rows.withColumn("_h", bit(key)).join(F.broadcast(maps), F.bitmap_bucket_number("_h") == F.col("_bucket")) \
+        .where(F.getbit(byte.cast("long"), F.pmod(place, F.lit(8)).cast("int")) == 1).drop("_h", "_bucket", "_bits")
+
+
 def row_id(*cols: str) -> Column:
     """64-bit identity of a row's content; with doc_id it is the key that joins decisions back to rows.
 

@@ -15,7 +15,7 @@ is rewritten a logarithmic number of times. Bucketed runs are merged and scanned
 Matches become long matches in two exact steps. Entries whose whole context (all windows of the suffix) has an
 equal one elsewhere are repeated as a whole. What remains in a fingerprint with several contexts, mostly the
 edges of repeated passages, is compared window by window, one representative for each context: in one task for
-a fingerprint with up to ``MANY`` contexts, as shuffled rows of window fingerprints beyond. Counting uses partial
+a fingerprint with up to ``MANY`` contexts (some 40 MB), as shuffled rows of window fingerprints beyond. Counting uses partial
 aggregation and joins that Spark may split, so a passage held by a third of all documents costs its entries, not
 their pairs. Texts are shuffled once, compressed, for both the comparison and the cut.
 
@@ -38,12 +38,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from svgspark.llm import textkit as K
-from svgspark.llm.common import dropped, row_id, scratch, written
+from svgspark.llm.common import dropped, row_id, scratch, small_batches, written
 
 LENGTH = 200
 ANCHOR = 32
 #: Prefixes with more contexts than this are compared as rows of windows instead of whole in one task.
-MANY = 256
+MANY = 1 << 17
+AT_ONCE = 1 << 19  # windows compared at once
 SPAN = LENGTH - ANCHOR + 1  # grams of a window
 _HASH = K.SpanHash(seed=3)
 _LOW = K.U64(0xFFFFFFFF)
@@ -74,8 +75,8 @@ def _chunks(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray,
 
 
 def entries(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(document, prefix fingerprint, context fingerprint, first window, last window) of each kept suffix."""
-    none = tuple(np.zeros(0, t) for t in (np.int64, np.uint64, np.uint64, np.int64, np.int64))
+    """(document, prefix fingerprint, context fingerprint, first window, last window, place) of each kept suffix."""
+    none = tuple(np.zeros(0, t) for t in (np.int64, np.uint64, np.uint64, np.int64, np.int64, np.int64))
     n = len(data)
     if n < LENGTH:
         return none
@@ -97,24 +98,28 @@ def entries(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     p = pick[np.concatenate([[0], edge + 1])]
     context = _HASH.spans(prefix, first, last + LENGTH)
     context = K.mix(context + (p - first).astype(np.uint64) * K.U64(0x9FB21C651E98DF25) + (last - first).astype(np.uint64))
-    return np.searchsorted(offsets, first, "right") - 1, gram[p], context, first, last
+    return np.searchsorted(offsets, first, "right") - 1, gram[p], context, first, last, p
 
 
 def _suffixes(full: bool):
-    """Rows (rid, a[, c, first, last]) of the suffixes of a batch of (rid, text)."""
+    """Rows (rid, a[, c, first, more, left]) of the suffixes of a batch of (rid, text).
+
+    first: the first window of the suffix; more: how many follow; left: how far the first one begins before the suffix.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = K.buffers(batch.column(1))
             rid = batch.column(0).to_numpy()
             for part, off, doc, place in _chunks(data, offsets):
-                d, a, c, first, last = entries(part, off)
+                d, a, c, first, last, p = entries(part, off)
                 start = off[d] - place
                 cols = [pa.array(rid[doc + d]), pa.array(a.view(np.int64))]
                 names = ["rid", "a"]
                 if full:
-                    cols += [pa.array(c.view(np.int64)), pa.array(first - start), pa.array((last - first).astype(np.int32))]
-                    names += ["c", "first", "more"]
+                    cols += [pa.array(c.view(np.int64)), pa.array(first - start), pa.array((last - first).astype(np.int32)),
+                             pa.array((p - first).astype(np.int32))]
+                    names += ["c", "first", "more", "left"]
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return run
@@ -141,7 +146,7 @@ def _lists(column: pa.Array) -> tuple[pa.StructArray, np.ndarray]:
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(rid, a, first, more, single, context): the bytes under all windows of the open entries of a document."""
+    """(rid, a, first, more, left, single, context): the bytes under all windows of the open entries of a document."""
     for batch in batches:
         flat, ends = _lists(batch.column("open"))
         first, more = flat.field("first").to_numpy(), flat.field("more").to_numpy()
@@ -151,16 +156,18 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             context += [raw[first[e]:first[e] + more[e] + LENGTH] for e in range(ends[k], ends[k + 1])]
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.repeat(batch.column("rid").to_numpy(), np.diff(ends))), flat.field("a"), flat.field("first"),
-             flat.field("more"), flat.field("single"), pa.array(context, pa.binary())],
-            names=["rid", "a", "first", "more", "single", "context"])
+             flat.field("more"), flat.field("left"), flat.field("single"), pa.array(context, pa.binary())],
+            names=["rid", "a", "first", "more", "left", "single", "context"])
 
 
-def _window_hashes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(entry, start in the document, fingerprint) of each window of the contexts of a batch."""
+def _window_hashes(batch: pa.RecordBatch, low: int = -LENGTH, high: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(entry, start in the document, fingerprint) of the windows that begin low..high bytes before their suffix."""
     data, offsets = K.buffers(batch.column("context").cast(pa.large_binary()))
-    first, n = batch.column("first").to_numpy(), batch.column("more").to_numpy().astype(np.int64) + 1
+    first, left = batch.column("first").to_numpy(), batch.column("left").to_numpy().astype(np.int64)
+    begin = np.maximum(0, left - high)
+    n = np.maximum(0, np.minimum(batch.column("more").to_numpy(), left - low) - begin + 1)
     entry = np.repeat(np.arange(len(n)), n)
-    inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - begin, n)
     w = np.zeros(len(entry), np.uint64)
     done = 0
     for i, j in K.segments(offsets):
@@ -196,13 +203,22 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _repeated(batch: pa.RecordBatch) -> pa.RecordBatch:
-    entry, s, w = _window_hashes(batch)
+    """Equal windows begin equally far before their suffix, so a large group is compared one distance after another."""
     a, single = batch.column("a").to_numpy().view(np.uint64), batch.column("single").to_numpy(zero_copy_only=False)
-    _, inverse, n = np.unique(w ^ K.mix(a)[entry], return_inverse=True, return_counts=True)
-    hit = np.flatnonzero((n[inverse] > 1) & single[entry])
-    cut = np.flatnonzero((np.diff(hit) != 1) | (np.diff(entry[hit]) != 0)) + 1 if len(hit) else np.zeros(0, np.int64)
-    begin = hit[np.concatenate([[0], cut]).astype(np.int64)] if len(hit) else hit
-    end = hit[np.concatenate([cut - 1, [len(hit) - 1]]).astype(np.int64)] if len(hit) else hit
+    tag, step = K.mix(a), max(1, AT_ONCE // batch.num_rows)
+    entries_, starts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for low in range(0, SPAN, step):
+        entry, s, w = _window_hashes(batch, low, low + step - 1)
+        _, inverse, n = np.unique(w ^ tag[entry], return_inverse=True, return_counts=True)
+        hit = (n[inverse] > 1) & single[entry]
+        entries_.append(entry[hit])
+        starts.append(s[hit])
+    entry, s = np.concatenate(entries_), np.concatenate(starts)
+    order = np.lexsort([s, entry])
+    entry, s = entry[order], s[order]
+    new = np.ones(len(s) + 1, bool)
+    new[1:-1] = (entry[1:] != entry[:-1]) | (s[1:] != s[:-1] + 1)
+    begin, end = np.flatnonzero(new[:-1]), np.flatnonzero(new[1:])
     return pa.RecordBatch.from_arrays(
         [batch.column("rid").take(pa.array(entry[begin])), pa.array(s[begin]), pa.array(s[end] + LENGTH)], names=["rid", "lo", "hi"])
 
@@ -292,7 +308,7 @@ def remove_repeats(docs: DataFrame, batches: int = 4, keep_text: bool = False) -
 
     removed: the spans [from, to) in bytes; kept: the remaining bytes, if ``keep_text``.
     """
-    spark = docs.sparkSession
+    spark = small_batches(docs.sparkSession)
     texts = docs.select("doc_id", row_id("doc_id", "text").alias("rid"), "text")
     pairs = texts.select("rid", "text")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -309,24 +325,26 @@ def remove_repeats(docs: DataFrame, batches: int = 4, keep_text: bool = False) -
     family.close()
     dropped(spark, path)
 
-    suffixes = pairs.mapInArrow(_suffixes(True), "rid long, a long, c long, first long, more int")
+    suffixes = pairs.mapInArrow(_suffixes(True), "rid long, a long, c long, first long, more int, left int")
     path = scratch(spark, "matched")
-    suffixes.join(hits.distinct().hint("merge"), "a", "left_semi").write.parquet(path)
-    matched = spark.read.schema("rid long, a long, c long, first long, more int").parquet(path)
+    # both sides of the two joins are plain shuffles, so that Spark may split a prefix that very many suffixes share
+    hits = written(hits.distinct(), "hits")
+    suffixes.join(hits.hint("merge"), "a", "left_semi").write.parquet(path)
+    matched = spark.read.schema("rid long, a long, c long, first long, more int, left int").parquet(path)
     contexts = matched.groupBy("a", "c").agg(F.count("*").alias("n"), F.min(F.struct("rid", "first")).alias("rep"))
     several = contexts.groupBy("a").agg(F.count("*").alias("contexts"))
-    contexts = contexts.join(several, "a").where("n > 1 OR contexts > 1")
+    contexts = written(contexts.join(several, "a").where("n > 1 OR contexts > 1"), "contexts")
     judged = written(matched.join(contexts, ["a", "c"]).select(
-        "rid", "a", "first", "more", (F.col("n") == 1).alias("single"),
+        "rid", "a", "first", "more", "left", (F.col("n") == 1).alias("single"),
         F.when(F.struct("rid", "first") == F.col("rep"), F.col("contexts")).otherwise(1).alias("contexts")), "judged")
     dropped(spark, path)
     full = judged.where("NOT single").select("rid", F.col("first").alias("lo"), (F.col("first") + F.col("more") + LENGTH).alias("hi"))
 
     # the filter stands for the one that inner joins add: with it all uses of the exchange are alike
     bodies = texts.mapInArrow(_squeezed, "rid long, doc_id long, body binary").where("rid IS NOT NULL")
-    entry = F.collect_list(F.struct("a", "first", "more", "single")).alias("open")
+    entry = F.collect_list(F.struct("a", "first", "more", "left", "single")).alias("open")
     opened = [_with_lists(bodies, judged.where(c).groupBy("rid").agg(entry), "inner", "open").mapInArrow(
-        _contexts, "rid long, a long, first long, more int, single boolean, context binary")
+        _contexts, "rid long, a long, first long, more int, left int, single boolean, context binary")
         for c in (f"contexts > 1 AND contexts <= {MANY}", f"contexts > {MANY}")]
     edges = opened[0].repartition("a").sortWithinPartitions("a").mapInArrow(_compared, "rid long, lo long, hi long")
     windows = opened[1].mapInArrow(_windows, "rid long, a long, w long, s long, single boolean")

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SEGMENT = 1 << 20
+SEGMENT = 1 << 19
 U64 = np.uint64
 
 _sep = np.zeros(256, dtype=bool)

@@ -133,9 +133,10 @@ def test_suffix_dedup(docs, rows, empty):
     assert suffix_dedup.op3(empty).collect() == []
 
 
-def test_suffix_dedup_many_contexts(spark, monkeypatch):
+@pytest.mark.parametrize("many", [2, 1000])
+def test_suffix_dedup_many_contexts(spark, monkeypatch, many):
     """A passage with many surroundings, compared as rows of windows; long texts in chunks."""
-    monkeypatch.setattr(suffix_dedup, "MANY", 2)
+    monkeypatch.setattr(suffix_dedup, "MANY", many)
     rng = random.Random(5)
     passage = "".join(rng.choices("abcdef ", k=260))
     rows = [(i, "".join(rng.choices("abcdef ", k=rng.randint(0, 300))) + passage[i % 9:] + "".join(rng.choices("abcdef ", k=150)), "a") for i in range(60)]
@@ -145,12 +146,30 @@ def test_suffix_dedup_many_contexts(spark, monkeypatch):
     assert got == want
 
 
+def test_large_groups_are_compared_by_distance(monkeypatch):
+    """The same spans, however many windows are compared at once."""
+    rng = np.random.default_rng(3)
+    data = rng.integers(97, 100, 3000).astype(np.uint8)
+    rows = []
+    for start in (500, 500, 520, 560, 700):
+        rows.append((start, bytes(data[start:start + 260]) + bytes(rng.integers(97, 100, 40).astype(np.uint8)), start == 700))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(5)), pa.array([1] * 5), pa.array([10] * 5), pa.array([100] * 5, pa.int32()),
+         pa.array([1000 - r[0] if r[0] < 700 else 50 for r in rows], pa.int32()), pa.array([True] * 5), pa.array([r[1] for r in rows], pa.binary())],
+        names=["rid", "a", "first", "more", "left", "single", "context"])
+    batch = batch.set_column(4, "left", pa.array([136, 136, 116, 76, 50], pa.int32()))
+    whole = suffix_dedup._repeated(batch).to_pylist()
+    monkeypatch.setattr(suffix_dedup, "AT_ONCE", 5)
+    assert suffix_dedup._repeated(batch).to_pylist() == whole
+    assert {r["rid"] for r in whole} == {0, 1, 2, 3}
+
+
 def test_suffix_entries_of_chunks_cover_all_windows():
     rng = np.random.default_rng(2)
     data = rng.integers(97, 101, 5_000_000).astype(np.uint8)
     n = 0
     for part, off, doc, place in suffix_dedup._chunks(data, np.array([0, len(data)])):
-        _, _, _, first, last = suffix_dedup.entries(part, off)
+        _, _, _, first, last, _ = suffix_dedup.entries(part, off)
         n += int((last - first + 1).sum())
     assert n == len(data) - suffix_dedup.LENGTH + 1
 
