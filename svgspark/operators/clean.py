@@ -144,26 +144,56 @@ def drop_nonrender(tokens: DataFrame, key: str = "rec_id", drop_title: bool = Tr
     dropped = el.where(local.isin(*tags) | F.exists(F.array(*[F.lit(p + ":") for p in EDITOR_PREFIXES]),
                                                      lambda p: F.lower("qname").startswith(p)))
     spans = dropped.select(key, F.col("open_pos").alias("pos"), F.coalesce("close_pos", "open_pos").alias("_span_end"))
-    t = tokens.join(spans, [key, "pos"], "left")
-    w = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    t = t.withColumn("_reach", F.max("_span_end").over(w))
+    t = _reached(tokens, spans, key, "pos")
     return (t.where(~F.col("kind").isin("doctype", "pi", "comment") & (F.col("_reach").isNull() | (F.col("_reach") < F.col("pos"))))
-            .drop("_span_end", "_reach"))
+            .drop("_reach"))
 
 
 def drop_empty(el: DataFrame, key: str = "rec_id") -> DataFrame:
-    """Elements to drop: empty containers (no child element), hidden elements, raster images.
-
-    A container is non-empty when some element has it as parent (one parent join, no pairs)."""
-    par = T.with_parent(el, key)
-    has_child = par.where(F.col("parent_pos").isNotNull()).select(key, F.col("parent_pos").alias("open_pos")).distinct()
+    """Elements to drop: raster images, hidden elements, all that is inside these, and containers in which nothing but
+    containers is left (so an emptied outer group goes with its inner ones).
+
+    What is inside a dropped element follows from the furthest end of those begun so far; what is left inside a
+    container is the growth of a running count between its tags. Neither makes pairs of elements."""
+    t = _reached(el, hidden_spans(el, key), key, "open_pos")
+    inside = F.coalesce(F.col("_reach") >= F.col("open_pos"), F.lit(False))
+    container = F.col("tag").isin(*CONTAINERS)
+    marks = t.select(key, F.col("open_pos").alias("_at"), (~inside & ~container).cast("int").alias("_n"), F.when(container, F.col("open_pos")).alias("open_pos"))
+    ends = t.where(container).select(key, F.coalesce("close_pos", "open_pos").alias("_at"), F.lit(0).alias("_n"), "open_pos")
+    count = F.sum("_n").over(Window.partitionBy(key).orderBy("_at").rangeBetween(Window.unboundedPreceding, 0))
+    held = marks.unionByName(ends).withColumn("_c", count).where(F.col("open_pos").isNotNull()) \
+        .groupBy(key, "open_pos").agg((F.max("_c") - F.min("_c")).alias("_held"))
+    reason = (F.when(F.col("tag") == "image", "raster image").when(_hidden(), "hidden").when(inside, "inside a dropped element")
+              .when(container & (F.col("depth") > 0) & (F.col("_held") == 0), "empty container"))
+    return t.join(held, [key, "open_pos"], "left").withColumn("drop_reason", reason) \
+        .where(F.col("drop_reason").isNotNull()).select(key, "open_pos", "tag", "drop_reason")
+
+
+def _hidden() -> F.Column:
     la = F.col("lattrs")
-    hidden = (F.lower(F.coalesce(la["display"], F.lit(""))) == "none") | (F.trim(F.coalesce(la["opacity"], F.lit("1"))) == "0") \
+    return (F.lower(F.coalesce(la["display"], F.lit(""))) == "none") | (F.trim(F.coalesce(la["opacity"], F.lit("1"))) == "0") \
         | (F.lower(F.coalesce(la["visibility"], F.lit(""))) == "hidden")
-    empty_container = F.col("tag").isin(*CONTAINERS) & (F.col("depth") > 0) & F.col("_child").isNull()
-    j = el.join(has_child.withColumn("_child", F.lit(True)), [key, "open_pos"], "left")
-    reason = (F.when(F.col("tag") == "image", "raster image").when(hidden, "hidden").when(empty_container, "empty container"))
-    return j.withColumn("drop_reason", reason).where(F.col("drop_reason").isNotNull()).select(key, "open_pos", "tag", "drop_reason")
+
+
+def hidden_spans(el: DataFrame, key: str = "rec_id") -> DataFrame:
+    """``(rec_id, pos, _span_end)`` of hidden elements and raster images."""
+    return el.where((F.col("tag") == "image") | _hidden()).select(key, F.col("open_pos").alias("pos"), F.coalesce("close_pos", "open_pos").alias("_span_end"))
+
+
+def _reached(rows: DataFrame, spans: DataFrame, key: str, pos: str) -> DataFrame:
+    """Adds ``_reach``: the furthest end of the spans that begin at or before the row."""
+    t = rows.join(spans.withColumnRenamed("pos", pos), [key, pos], "left")
+    w = Window.partitionBy(key).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
+    return t.withColumn("_reach", F.max("_span_end").over(w)).drop("_span_end")
+
+
+def apply_class_rules(el: DataFrame, tokens: DataFrame, key: str = "rec_id") -> DataFrame:
+    """Properties of ``.class`` rules become attributes, over those of the same name; inline styles come later."""
+    props = T.class_rules(el, T.style_rules(tokens, key), key).groupBy(key, "open_pos") \
+        .agg(F.map_from_entries(F.collect_list(F.struct("prop", "value"))).alias("_props"))
+    own = F.map_filter("attrs", lambda k, v: ~F.array_contains(F.map_keys("_props"), k))
+    return el.join(props, [key, "open_pos"], "left") \
+        .withColumn("attrs", F.when(F.col("_props").isNull(), F.col("attrs")).otherwise(F.map_concat(own, "_props"))).drop("_props")
 
 
 def reuse_paths(el: DataFrame, key: str = "rec_id") -> DataFrame:
@@ -184,11 +214,13 @@ def clean_corpus(stage1: DataFrame, key: str = "rec_id") -> DataFrame:
     ok = T.wellformed(toks, key).where("ok").select(key)
     kept = drop_nonrender(toks.join(ok, key, "left_semi"), key)
     el = T.lower_attrs(T.svg_elements(toks, key)).join(ok, key, "left_semi")
+    kept = _reached(kept, hidden_spans(el, key), key, "pos").where("_reach IS NULL OR _reach < pos").drop("_reach")
     gone = drop_empty(el, key).select(key, F.col("open_pos").alias("pos"))
     el = el.join(gone.withColumnRenamed("pos", "open_pos"), [key, "open_pos"], "left_anti")
+    el = apply_class_rules(el, toks, key)
     for rule in (clean_attrs, style_to_attrs, round_numbers, normal_colors, drop_attrs, sort_attrs):
         el = rule(el)
-    # tokens of dropped elements (open and close) disappear; their text children stay in place
+    # tokens of emptied containers (open and close) disappear; their text stays in place
     kept = kept.join(gone, [key, "pos"], "left_anti")
     closes = el.select(key, F.col("close_pos").alias("pos"))
     kept = kept.where(F.col("kind") != "close").unionByName(kept.where(F.col("kind") == "close").join(closes, [key, "pos"], "left_semi"))

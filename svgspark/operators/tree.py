@@ -63,7 +63,8 @@ def unescape_xml(c) -> F.Column:
 
 
 def escape_xml(c) -> F.Column:
-    for ch, ent in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+    c = F.regexp_replace(c, r"&(?!#[0-9]+;|#x[0-9A-Fa-f]+;)", "&amp;")  # numeric references stay as they are
+    for ch, ent in (("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
         c = F.replace(c, F.lit(ch), F.lit(ent))
     return c
 
