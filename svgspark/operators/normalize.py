@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from svgspark.functions.pathgeom import with_path_udf
-from svgspark.functions.text import local_name
+from svgspark.functions.text import local_name, style_map, style_text
 from svgspark.operators import geom as G
 from svgspark.operators import select as S
 from svgspark.operators import tree as T
@@ -48,6 +48,16 @@ def _num(m, k):
     return F.regexp_replace(F.col(m).getItem(k), "[A-Za-z]", "").try_cast("double")
 
 
+def _scaled_style(text, is_shape, shape_factor, factor, fmt) -> F.Column:
+    """An inline style with its lengths scaled; NULL when it holds none."""
+    m = style_map(text)
+    length = lambda k: F.when(is_shape, k == "stroke-width").otherwise(k.isin(*LENGTH_ATTRS, *NON_ROOT_LENGTHS))
+    number = lambda v: F.regexp_replace(v, "[A-Za-z]", "").try_cast("double")
+    by = F.when(is_shape, shape_factor).otherwise(factor)
+    some = F.exists(F.map_keys(m), length)
+    return F.when(some, style_text(F.transform_values(m, lambda k, v: F.when(length(k), F.coalesce(fmt(number(v) * by), v)).otherwise(v))))
+
+
 def normalize_corpus(docs: DataFrame, key: str = "rec_id", normalize_scale: float = 256.0, normalize_points: bool = True,
                      cubic_only: bool = True, to_int: bool = False, decimals: int = 3) -> DataFrame:
     """``(rec_id, svg)`` -> ``(rec_id, status, reason, svg_out, n_chars_in, n_chars_out)``."""
@@ -62,6 +72,7 @@ def normalize_corpus(docs: DataFrame, key: str = "rec_id", normalize_scale: floa
     # canvas of each root and the scale factor
     root = T.canvas_box(el.where((F.col("depth") == 0)), "lattrs")
     root = T.canvas_scale(root, normalize_scale, to_int)
+    flat = root.where(F.col("s").isNull()).select(key)  # a canvas without extent has no scale
     sc = root.select(key, F.col("s") if normalize_points else F.lit(1.0).alias("s"),
                      "vb_x_s", "vb_y_s", "vb_w_s", "vb_h_s", "vb_w", "vb_h")
     el = el.join(sc.select(key, "s"), key, "left")
@@ -81,34 +92,45 @@ def normalize_corpus(docs: DataFrame, key: str = "rec_id", normalize_scale: floa
     fmt = lambda v: G.fmt_num(v, decimals, to_int)
     line_like = tag.isin("line", "linearGradient", "lineargradient")
     rad = tag.isin("radialGradient", "radialgradient")
-    p1 = G.scale_pt(G.apply_mat(m, G.pt(F.coalesce(_num("lattrs", "x1"), F.lit(0.0)), F.coalesce(_num("lattrs", "y1"), F.lit(0.0)))), s)
-    p2 = G.scale_pt(G.apply_mat(m, G.pt(F.coalesce(_num("lattrs", "x2"), F.lit(0.0)), F.coalesce(_num("lattrs", "y2"), F.lit(0.0)))), s)
-    c = G.scale_pt(G.apply_mat(m, G.pt(F.coalesce(_num("lattrs", "cx"), F.lit(0.5)), F.coalesce(_num("lattrs", "cy"), F.lit(0.5)))), s)
+    # gradients keep their defaults and percentages: only coordinates that are all there as numbers are rewritten
+    number = {k: _num("lattrs", k) for k in ("x1", "y1", "x2", "y2", "cx", "cy", "r")}
+    line_like = line_like & ((tag == "line") | (number["x1"] + number["y1"] + number["x2"] + number["y2"]).isNotNull())
+    zero = lambda k: F.coalesce(number[k], F.lit(0.0))
+    p1 = G.scale_pt(G.apply_mat(m, G.pt(zero("x1"), zero("y1"))), s)
+    p2 = G.scale_pt(G.apply_mat(m, G.pt(zero("x2"), zero("y2"))), s)
+    # a percentage takes part in the point as a plain number but stays as written
+    part = {k: F.regexp_replace(la.getItem(k), "[A-Za-z%]", "").try_cast("double") for k in ("cx", "cy", "r")}
+    rad = rad & (part["cx"] + part["cy"] + part["r"]).isNotNull()
+    c = G.scale_pt(G.apply_mat(m, G.pt(F.coalesce(part["cx"], F.lit(0.0)), F.coalesce(part["cy"], F.lit(0.0)))), s)
+    # scale factor of plain length attributes: shapes scale stroke-width only (times |a| when uniform and not zero)
+    uniform = (F.abs(F.abs(m["a"]) - F.abs(m["d"])) < 1e-4) & (F.abs(m["a"]) > 1e-8)
+    stroke_scale = s * F.when(uniform, F.abs(m["a"])).otherwise(F.lit(1.0))
     el = el.join(sc.drop("s"), key, "left")
     is_root = F.col("depth") == 0
     vb = F.concat_ws(" ", *[fmt(F.col(x)) for x in ("vb_x_s", "vb_y_s", "vb_w_s", "vb_h_s")])
     ups = [
         ("d", F.when(F.col("_d").isNotNull(), F.col("_d_out"))),
-        ("stroke-width", F.when(la.getItem("stroke").isNotNull() & la.getItem("stroke-width").isNull(), F.lit("1"))),
+        ("stroke-width", F.when(is_shape & la.getItem("stroke").isNotNull() & la.getItem("stroke-width").isNull(), fmt(stroke_scale))),
         ("x1", F.when(line_like, fmt(p1["x"]))), ("y1", F.when(line_like, fmt(p1["y"]))),
         ("x2", F.when(line_like, fmt(p2["x"]))), ("y2", F.when(line_like, fmt(p2["y"]))),
         ("points", F.when(tag.isin("polyline", "polygon") & la.getItem("points").isNotNull(),
                           G.points_text(la.getItem("points"), m, s, decimals, to_int))),
-        ("cx", F.when(rad, fmt(c["x"]))), ("cy", F.when(rad, fmt(c["y"]))),
-        ("r", F.when(rad, fmt(F.coalesce(_num("lattrs", "r"), F.lit(0.5)) * s))),
+        ("cx", F.when(rad & number["cx"].isNotNull(), fmt(c["x"]))), ("cy", F.when(rad & number["cy"].isNotNull(), fmt(c["y"]))),
+        ("r", F.when(rad, fmt(number["r"] * s))),
         ("viewbox", F.when(is_root & F.lit(normalize_points), vb)),
         ("width", F.when(is_root & (la.getItem("width").isNull() | la.getItem("width").contains("%")), fmt(F.col("vb_w")))),
         ("height", F.when(is_root & (la.getItem("height").isNull() | la.getItem("height").contains("%")), fmt(F.col("vb_h")))),
     ]
     entries = F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")) for k, v in ups])
     el = el.withColumn("_up", F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull())))
-    # scale factor of plain length attributes: shapes scale stroke-width only (times |a| when uniform)
-    uniform = F.abs(F.abs(m["a"]) - F.abs(m["d"])) < 1e-4
-    el = el.withColumn("_sw", s * F.when(uniform, F.abs(m["a"])).otherwise(F.lit(1.0)))
+    el = el.withColumn("_sw", stroke_scale)
     dropped = lambda k: (F.lower(k).isin("transform", "gradienttransform") | F.lower(k).startswith("xmlns")
                          | (tag.isin(*SHAPE_TO_PATH) & F.lower(k).isin(*SHAPE_GEOMETRY)))
-    base = F.map_filter("attrs", lambda k, v: ~dropped(k))
+    base = F.map_filter("attrs", lambda k, v: ~dropped(k) & ~((F.lower(k) == "xlink:href") & F.array_contains(F.map_keys("lattrs"), "href")))
+    base = F.transform_keys(base, lambda k, v: F.when(F.lower(k) == "xlink:href", F.lit("href")).otherwise(k))
     el = el.withColumn("_base", base)
+    # lengths in an inline style scale by the same factor as the attributes would
+    style = _scaled_style(la.getItem("style"), is_shape, F.col("_sw"), s, fmt)
     num_re = r"^\s*[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?[A-Za-z]*\s*$"
 
     def rewrite(k, v):
@@ -118,6 +140,7 @@ def normalize_corpus(docs: DataFrame, key: str = "rec_id", normalize_scale: floa
         factor = F.when(is_shape, F.when(lk == "stroke-width", F.col("_sw"))).otherwise(s)
         scaled = fmt(F.regexp_replace(v, "[A-Za-z]", "").try_cast("double") * factor)
         return (F.when(up.isNotNull(), up)
+                .when(lk == "style", F.coalesce(style, v))
                 .when(is_len & factor.isNotNull() & v.rlike(num_re), scaled)
                 .otherwise(v))
 
@@ -134,6 +157,10 @@ def normalize_corpus(docs: DataFrame, key: str = "rec_id", normalize_scale: floa
                                                              F.lit(None).cast("string").alias("svg_out")))
     parse_fail = wf.where(~F.col("ok")).select(key, F.lit("parse_error").alias("status"), "reason",
                                                F.lit(None).cast("string").alias("svg_out"))
+    if normalize_points:
+        flat_fail = flat.select(key, F.lit("rejected").alias("status"), F.lit("empty canvas").alias("reason"), F.lit(None).cast("string").alias("svg_out"))
+        parse_fail = parse_fail.unionByName(flat_fail)
+        text = text.join(flat, key, "left_anti")
     ok = text.select(key, F.lit("ok").alias("status"), F.lit(None).cast("string").alias("reason"), "svg_out")
     res = fails.unionByName(parse_fail).unionByName(ok)
     sizes = docs.select(key, F.length("svg").cast("bigint").alias("n_chars_in"))

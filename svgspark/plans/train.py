@@ -61,7 +61,10 @@ def q_split_rows(spark, sf):
     return TR.split_rows(d, "h").select("doc_id", "split")
 
 
-@register("special_token_counts")
+@register("special_token_counts", duck_with("svg_raw") + f""", c AS (SELECT regexp_replace(u, '\\s*[=(]$', '') AS token, count(*) AS n
+  FROM (SELECT unnest(regexp_extract_all(svg, {lit(TR.SPECIAL_UNIT_RE)}, 0)) AS u FROM svg_raw) t GROUP BY 1)
+SELECT t.token, CAST(coalesce(n, 0) AS BIGINT) AS n FROM (SELECT DISTINCT unnest([{", ".join(lit(t) for t in TR.SPECIAL_TOKENS)}]) AS token) t
+LEFT JOIN c USING (token)""")
 def q_special_token_counts(spark, sf):
     return TR.special_token_counts(view(spark, sf, "svg_raw"))
 
@@ -144,7 +147,11 @@ def q_packing_efficiency(spark, sf):
     return TR.packing_efficiency(TR.pack_sequences(view(spark, sf, "tokens_len"), 1024, SEED), 1024)
 
 
-@register("optimized_pairs")
+@register("optimized_pairs", duck_with("stage_out") + f""", ok AS (SELECT rec_id, md5(raw) AS raw, md5(stage2) AS stage2 FROM stage_out WHERE stage2 IS NOT NULL),
+r AS (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', '{SEED}', CAST(rec_id AS VARCHAR))), rec_id) AS rn FROM ok)
+SELECT rec_id, raw AS a, stage2 AS b, 1 AS label FROM r
+UNION ALL SELECT r.rec_id, r.raw, n.stage2, 0 FROM r JOIN r n ON n.rn = CASE WHEN r.rn = (SELECT max(rn) FROM r) THEN 1 ELSE r.rn + 1 END
+WHERE n.stage2 <> r.stage2""")
 def q_optimized_pairs(spark, sf):
     s = view(spark, sf, "stage_out")
     lin = s.select("rec_id", content_hash("raw").alias("raw"),

@@ -6,6 +6,7 @@ from svgspark.functions.pathgeom import commands, fmt, rewrite
 from svgspark.functions.text import style_map
 from svgspark.operators import clean as C
 from svgspark.operators import mine as M
+from svgspark.operators import normalize as N
 from svgspark.operators import train as TR
 from svgspark.operators import tree as T
 
@@ -76,3 +77,15 @@ def test_clean_corpus_keeps_the_picture(spark):
     out = C.clean_corpus(spark.createDataFrame([(1, svg)], "rec_id long, svg string")).first().stage2
     assert "secret" not in out and "M0 0" not in out and "<g" not in out and "<defs" not in out
     assert 'fill="#FF0000"' in out and "class=" not in out and 'id="p&#233;"' in out
+
+
+def test_normalize_lengths_gradients_and_links(spark):
+    svg = ('<svg xmlns="http://www.w3.org/2000/svg" xmlns:xlink="http://www.w3.org/1999/xlink" viewBox="0 0 128 128"><linearGradient id="g"/>'
+           '<radialGradient cx="50%" cy="50%" r="50%"/><use xlink:href="#g"/><path d="M0 0L1 1" stroke="red" style="fill:red;stroke-width:3"/>'
+           '<path transform="rotate(90)" d="M0 0L1 1" stroke-width="2"/></svg>')
+    rows = spark.createDataFrame([(1, svg), (2, '<svg viewBox="0 0 0 0"><path d="M0 0L10 10L20 20L30 30Z" fill="red"/></svg>')], "rec_id long, svg string")
+    got = {r.rec_id: r for r in N.normalize_corpus(rows).collect()}
+    out = got[1].svg_out
+    assert '<linearGradient id="g"/>' in out and 'cx="50%"' in out and 'href="#g"' in out and "xlink" not in out
+    assert 'stroke-width="2"' in out and "stroke-width:6" in out and 'stroke-width="4"' in out
+    assert (got[2].status, got[2].reason) == ("rejected", "empty canvas")

@@ -10,6 +10,14 @@ from svgspark.sources.tables import BASE_TABLES
 from conftest import SF_SMALL
 
 KEYS = sorted(E.queries())
+#: Keys that SQL does not answer, each with the module that tests it otherwise.
+ELSEWHERE = {
+    "test_golden": {"apply_transform", "arc_to_cubic", "path_text", "shape_to_path", "subpath_close", "to_cubic"},
+    "test_hard_inputs": {"bpe_merges", "clean_corpus", "drop_attrs", "gradient_points", "normalize_corpus", "round_numbers",
+                         "scale_lengths", "style_to_attrs"},
+    # run here for errors only
+    "": {"drop_empty", "encode_corpus", "normal_colors", "pack_sequences", "packing_efficiency", "sort_attrs", "vocab_table"},
+}
 
 
 @pytest.fixture(scope="module")
@@ -27,6 +35,8 @@ def test_query_matches_oracle(spark, duck, key):
     srows = rows_of([r.asDict() for r in sdf.collect()], cols)
     sql = E.oracle_sql().get(key)
     if sql is None:
+        own = E.queries()[key].__module__
+        assert own.startswith("svgspark.llm") or own == "corpus_pipeline" or any(key in keys for keys in ELSEWHERE.values())
         return
     rel = duck.sql(sql)
     assert sorted(rel.columns) == cols
