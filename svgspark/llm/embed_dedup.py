@@ -56,10 +56,11 @@ def _moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def axes(vectors: DataFrame) -> dict[int, np.ndarray]:
     """Principal axes for each vector length: dim rows of dim numbers reach the driver, however many vectors there are."""
     rows = vectors.select("dim", "v").mapInPandas(_moments, "dim int, i int, row array<double>") \
-        .select("dim", "i", F.posexplode("row").alias("j", "x")).groupBy("dim", "i", "j").agg(F.sum("x").alias("x")).collect()
+        .select("dim", "i", F.posexplode("row").alias("j", "x")).groupBy("dim", "i", "j").agg(F.sum("x").alias("x")) \
+        .groupBy("dim", "i").agg(F.transform(F.array_sort(F.collect_list(F.struct("j", "x"))), lambda e: e["x"]).alias("row")).collect()
     out: dict[int, np.ndarray] = {}
     for r in rows:
-        out.setdefault(r["dim"], np.zeros((r["dim"], r["dim"])))[r["i"], r["j"]] = r["x"]
+        out.setdefault(r["dim"], np.zeros((r["dim"], r["dim"])))[r["i"]] = r["row"]
     return {dim: np.linalg.eigh((m + m.T) / 2)[1][:, ::-1].copy() for dim, m in out.items()}
 
 
