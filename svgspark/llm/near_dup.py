@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from svgspark.llm import textkit as K
-from svgspark.llm.common import written
+from svgspark.llm.common import small_batches, thinned, written
 from svgspark.llm.components import components
 
 CHUNKS, CHUNK_SLOTS, ERRORS = 12, 5, 1
@@ -152,6 +152,7 @@ def _tile_links(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), a row for each row of ``docs``."""
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = written(
         texts.mapInArrow(_sign, "doc_id long, n_shingles long, s1 long, s2 long, keys array<long>"), "signatures")
@@ -171,7 +172,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stars = written(entries.join(hubs, "key").where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "stars")
 
     wanted = stars.select(F.col("a").alias("id")).union(stars.select("b")).distinct()
-    sets = written(texts.join(wanted, texts["doc_id"] == wanted["id"], "left_semi").mapInArrow(_sets, "id long, shingles array<long>"), "sets")
+    wanted = written(wanted, "wanted")
+    some = thinned(texts, "doc_id", wanted)
+    sets = written(some.join(wanted, some["doc_id"] == wanted["id"], "left_semi").mapInArrow(_sets, "id long, shingles array<long>"), "sets")
     links = written(_confirmed(stars, sets), "links")
     same = nodes.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
 
