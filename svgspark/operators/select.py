@@ -68,6 +68,11 @@ def offset_rows(df: DataFrame, order_col: str, tie_col: str, n: int) -> DataFram
     return global_rank(df, order_col, tie_col, "_rank").where(F.col("_rank") > n).drop("_rank")
 
 
+def limit_urls(df: DataFrame, n: int, seed, col: str = "url") -> DataFrame:
+    """The first n distinct valid URLs in a reproducible shuffled order: a top-k, never a full sort."""
+    return limit_rows(seeded_shuffle(distinct_url(df, col), seed, col), ["shuffle_key", col], n)
+
+
 def limit_rows(df: DataFrame, order_cols: list[str], n: int) -> DataFrame:
     """First n rows in a total order: a top-k (per-partition heaps), never a full sort."""
     return df.orderBy(*order_cols).limit(n)

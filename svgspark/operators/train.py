@@ -54,10 +54,19 @@ def conversation_pack(conv: DataFrame) -> DataFrame:
 
 
 def response_spans(df: DataFrame, text: str = "text") -> DataFrame:
-    """Assistant spans: from after each response marker to the next instruction marker (or the end)."""
-    parts = F.slice(F.split(F.col(text), F.lit(RESPONSE_MARK.replace("|", "\\|"))), 2, 1 << 30)
-    lens = F.transform(parts, lambda p: F.length(F.substring_index(p, INSTRUCTION_MARK, 1)))
-    return df.withColumn("n_spans", F.size(lens)).withColumn("response_chars", F.aggregate(lens, F.lit(0), lambda a, x: a + x))
+    """Assistant spans ``[start, end)`` in characters: from after each response marker to the next instruction marker
+    (or the end); ``spans`` is an array of structs, with their number and total length beside it."""
+    parts = F.split(F.col(text), F.lit(RESPONSE_MARK.replace("|", "\\|")))
+    kept = lambda p: F.length(F.substring_index(p, INSTRUCTION_MARK, 1))
+    start = F.struct(F.lit(-len(RESPONSE_MARK)).alias("pos"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
+
+    def step(st, p):
+        at = st["pos"] + F.lit(len(RESPONSE_MARK))
+        return F.struct((at + F.length(p)).alias("pos"), F.array_append(st["out"], F.struct(at.alias("start"), (at + kept(p)).alias("end"))).alias("out"))
+
+    df = df.withColumn("spans", F.aggregate(parts, start, step, lambda st: F.slice(st["out"], 2, 1 << 30)))
+    total = F.aggregate("spans", F.lit(0), lambda a, s: a + s["end"] - s["start"])
+    return df.withColumn("n_spans", F.size("spans")).withColumn("response_chars", total)
 
 
 def split_rows(df: DataFrame, key: str, val_fraction: float = 0.05, seed: int = SPLIT_SEED) -> DataFrame:

@@ -140,10 +140,10 @@ def q_offset_rows(spark, sf):
     return S.offset_rows(d, "shuffle_key", "doc_id", 100).select("doc_id")
 
 
-@register("limit_rows", f"""SELECT doc_id, {D_SHUF} AS shuffle_key FROM documents ORDER BY {D_SHUF}, doc_id LIMIT 100""")
+@register("limit_rows", f"""SELECT url, md5(concat_ws('|', '{SEED}', url)) AS shuffle_key FROM (SELECT DISTINCT url FROM pages WHERE url <> '') t
+ORDER BY 2, 1 LIMIT 100""")
 def q_limit_rows(spark, sf):
-    d = S.seeded_shuffle(_v(spark, sf, "documents").select("doc_id"), SEED, "doc_id")
-    return S.limit_rows(d, ["shuffle_key", "doc_id"], 100)
+    return S.limit_urls(_v(spark, sf, "pages"), 100, SEED)
 
 
 @register("html_response", duck_with("fetch_log") + """SELECT page_id, url, attempt FROM fetch_log

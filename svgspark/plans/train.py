@@ -48,11 +48,14 @@ def q_conversation_pack(spark, sf):
 
 
 @register("response_spans", "WITH " + D_CONV + f"""
-SELECT conv_id, CAST(len(parts) AS INTEGER) AS n_spans,
-  CAST(coalesce(list_sum(list_transform(parts, lambda p: length(split_part(p, {lit(TR.INSTRUCTION_MARK)}, 1)))), 0) AS INTEGER) AS response_chars
-FROM (SELECT conv_id, string_split(text, {lit(TR.RESPONSE_MARK)})[2:] AS parts FROM packed) t""")
+SELECT conv_id, CAST(len(spans) AS INTEGER) AS n_spans, CAST(coalesce(list_sum(list_transform(spans, lambda s: s.e - s.b)), 0) AS INTEGER) AS response_chars,
+  array_to_string(list_transform(spans, lambda s: s.b || ':' || s.e), ';') AS spans
+FROM (SELECT conv_id, list_transform(generate_series(2, len(parts)), lambda i: {{'b': b(parts, i), 'e': b(parts, i) + length(split_part(parts[i], {lit(TR.INSTRUCTION_MARK)}, 1))}}) AS spans
+  FROM (SELECT conv_id, string_split(text, {lit(TR.RESPONSE_MARK)}) AS parts FROM packed) t) u""".replace("b(parts, i)",
+  f"list_sum(list_transform(parts[1:i - 1], lambda p: length(p))) + {len(TR.RESPONSE_MARK)} * (i - 1)"))
 def q_response_spans(spark, sf):
-    return TR.response_spans(TR.conversation_pack(view(spark, sf, "conversations"))).select("conv_id", "n_spans", "response_chars")
+    return TR.response_spans(TR.conversation_pack(view(spark, sf, "conversations"))).select(
+        "conv_id", "n_spans", "response_chars", F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ";").alias("spans"))
 
 
 @register("split_rows", f"""SELECT doc_id, CASE WHEN {D_U.format(f"'{SEED}', md5(text)")} < 0.05 THEN 'val' ELSE 'train' END AS split FROM documents""")
