@@ -30,13 +30,14 @@ def duck():
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, duck, key):
+    sql, own = E.oracle_sql().get(key), E.queries()[key].__module__
+    if sql is None and (own.startswith("svgspark.llm") or own == "corpus_pipeline"):
+        pytest.skip("tested in tests/llm against plain Python")
     sdf = E.queries()[key](spark, SF_SMALL)
     cols = sorted(sdf.columns)
     srows = rows_of([r.asDict() for r in sdf.collect()], cols)
-    sql = E.oracle_sql().get(key)
     if sql is None:
-        own = E.queries()[key].__module__
-        assert own.startswith("svgspark.llm") or own == "corpus_pipeline" or any(key in keys for keys in ELSEWHERE.values())
+        assert any(key in keys for keys in ELSEWHERE.values())
         return
     rel = duck.sql(sql)
     assert sorted(rel.columns) == cols
