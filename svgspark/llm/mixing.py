@@ -115,20 +115,22 @@ def op5(docs: DataFrame) -> DataFrame:
 
 def curriculum(docs: DataFrame) -> DataFrame:
     """The documents in training order, once for each round that takes them; a part taken is cut after its last word."""
-    taken = plan(docs).where("taken > 0").groupBy("doc_id", "rid").agg(F.collect_list("rounds").alias("copies")) \
-        .select(F.col("doc_id").alias("id"), F.col("rid").alias("key"), "copies")
-    rows = docs.select(F.struct("*").alias("row"), "doc_id", row_id("doc_id", "text", "source").alias("rid"))
-    # rows that repeat share a key: they are merged into one that carries the rounds of each
-    rows = rows.join(taken, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("rid") == F.col("key")))
-    many = rows.where(F.size("copies") > 1).dropDuplicates(["doc_id", "rid"])
-    rows = rows.where(F.size("copies") == 1).unionByName(many).withColumn("round", F.explode(F.flatten("copies")))
-    words = F.regexp_extract_all("row.text", F.lit(WORD), F.lit(0))
-    text = F.when(F.col("round.take") < F.regexp_count("row.text", F.lit(WORD)),
-                  F.array_join(F.slice(words, 1, F.col("round.take").cast("int")), " ")).otherwise(F.col("row.text"))
-    rows = rows.withColumn("text", text)
-    return rows.orderBy("round.position", "doc_id").select(*[
-        F.col("text") if c == "text" else F.char_length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"row.`{c}`").alias(c)
-        for c in docs.columns])
+    taken = plan(docs).where("taken > 0").select(F.struct("doc_id", "rid").alias("key"), "rounds") \
+        .groupBy("key").agg(F.collect_list("rounds").alias("copies"))
+    # the document's columns travel under names of their own, so none can clash
+    own = {c: f"_c{k}" for k, c in enumerate(docs.columns)}
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()],
+                       F.struct("doc_id", row_id("doc_id", "text", "source").alias("rid")).alias("key"))
+    # rows that repeat share a key: the k-th of them gets the k-th verdict; the numbering needs no further shuffle
+    rows = rows.join(taken, "key").withColumn("copy", F.row_number().over(Window.partitionBy("key").orderBy("key")))
+    rows = rows.withColumn("round", F.explode(F.get("copies", F.col("copy") - 1)))
+    whole = F.col(own["text"])
+    words = F.regexp_extract_all(whole, F.lit(WORD), F.lit(0))
+    text = F.when(F.col("round.take") < F.regexp_count(whole, F.lit(WORD)),
+                  F.array_join(F.slice(words, 1, F.col("round.take").cast("int")), " ")).otherwise(whole)
+    rows = rows.withColumn(own["text"], text)
+    return rows.orderBy("round.position", "key.doc_id").select(*[
+        F.char_length(own["text"]).cast("long").alias(c) if c == "n_chars" else F.col(n).alias(c) for c, n in own.items()])
 
 
 ORACLE = r"""
