@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from svgspark.llm import line_dedup, mixing, near_dup, packing, quality_rank
 from svgspark.llm.common import table, written
 
+#: Words of a shingle in the near-dedup stage; the 2 of op2_near_dup are that query's contract.
+SHINGLE_WORDS = 5
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the Bradley-Terry classifier rejects; trained on the whole corpus' labelled rows."""
@@ -30,8 +33,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group of near copies."""
-    kept = near_dup.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
+    """Keeps the document with the smallest doc_id of each group of near copies: 0.8 of their 5-word shingles."""
+    kept = near_dup.near_duplicates(docs, SHINGLE_WORDS).where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
     rows = docs.select(F.struct("*").alias("row"), "doc_id").join(kept, "doc_id")
     # rows that share the doc_id are one document: the smallest row stands for it
     single = rows.where("n = 1").select("row")

@@ -1,6 +1,7 @@
 """MinHash near-dedup by a multi-index Hamming join over b-bit signatures.
 
-A document's set is its distinct 2-word shingles (A-Z lower-cased, words ``[^\\x20\\x09-\\x0D]+``). Its
+A document's set is its distinct shingles of ``width`` words (A-Z lower-cased, words ``[^\\x20\\x09-\\x0D]+``): 2 in
+op2, 5 in the pipeline. Its
 signature has ``SLOTS`` minima reduced to 16 bits each. By the pigeonhole principle two signatures that
 differ in at most ``CHUNKS * (ERRORS + 1) - 1`` slots agree in all but ``ERRORS`` slots of some chunk, so
 every chunk is indexed once for each choice of ``ERRORS`` slots left out: all pairs under that distance meet
@@ -16,14 +17,14 @@ a task by one product of their incidence matrices, which hands on nothing but co
 that shares a bucket is confirmed, refuted, or already connected, and no link between components is lost.
 Documents with equal sets collapse into a class before any of this, by partial aggregation.
 
-Defined results: null, empty or blank texts have no shingles and link with nothing; fewer than two words are
+Defined results: null, empty or blank texts have no shingles and link with nothing; fewer than ``width`` words are
 one shingle; rows that share a doc_id are one node of the graph, linked through any of their texts; a row with a null doc_id links with nothing, its
 component_id is null and it is kept; an empty table gives an empty result; other columns pass through.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -43,6 +44,8 @@ SALTS = 16
 CHUNK = 4096
 SMALL = 12  # members of a family up to which its pairs are joined one by one
 TILE = 512
+#: Words of a shingle in the contract of op2.
+WIDTH = 2
 
 _rng = np.random.default_rng(2)
 _A = _rng.integers(1, 2**63, SLOTS, dtype=np.uint64)[:, None] * K.U64(2) + K.U64(1)
@@ -70,7 +73,7 @@ def bucket_keys(sig: np.ndarray) -> np.ndarray:
     return K.mix(key ^ _WHICH)
 
 
-def _documents(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+def _documents(batch: pa.RecordBatch, width: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text of a batch."""
     data, offsets = K.buffers(batch.column(1))
     hasher = _documents.hasher
@@ -79,39 +82,45 @@ def _documents(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         starts, ends, first = K.words(part, off)
         h = hasher.spans(hasher.prefix(part), starts, ends)
         for k in range(j - i):
-            yield K.shingles2(h[first[k]:first[k + 1]])
+            yield K.shingles(h[first[k]:first[k + 1]], width)
 
 
 _documents.hasher = K.SpanHash(fold=True)
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        n, s1, s2, keys, ends = [], [], [], [], [0]
-        for s in _documents(batch):
-            n.append(len(s))
-            if len(s):
-                s1.append(int(K.mix(s).sum().view(np.int64)))
-                s2.append(int(K.mix(s ^ K.U64(0x2545F4914F6CDD1D)).sum().view(np.int64)))
-                keys.append(bucket_keys(signature(s)).view(np.int64))
-            else:
-                s1.append(None)
-                s2.append(None)
-            ends.append(ends[-1] + (len(_STAY) if len(s) else 0))
-        flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
-             pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
-            names=["doc_id", "n_shingles", "s1", "s2", "keys"])
-
-
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sets = [s.view(np.int64) for s in _documents(batch)]
-        ends = np.cumsum([0] + [len(s) for s in sets])
-        flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["id", "shingles"])
+def _sign(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, s1, s2, keys, ends = [], [], [], [], [0]
+            for s in _documents(batch, width):
+                n.append(len(s))
+                if len(s):
+                    s1.append(int(K.mix(s).sum().view(np.int64)))
+                    s2.append(int(K.mix(s ^ K.U64(0x2545F4914F6CDD1D)).sum().view(np.int64)))
+                    keys.append(bucket_keys(signature(s)).view(np.int64))
+                else:
+                    s1.append(None)
+                    s2.append(None)
+                ends.append(ends[-1] + (len(_STAY) if len(s) else 0))
+            flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
+                names=["doc_id", "n_shingles", "s1", "s2", "keys"])
+
+    return sign
+
+
+def _sets(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [s.view(np.int64) for s in _documents(batch, width)]
+            ends = np.cumsum([0] + [len(s) for s in sets])
+            flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["id", "shingles"])
+
+    return sets_of
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -150,12 +159,12 @@ def _tile_links(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": a[ok], "b": b[ok]})
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), a row for each row of ``docs``."""
+def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept), a row for each row of ``docs``; shingles have ``width`` words."""
     small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = written(
-        texts.mapInArrow(_sign, "doc_id long, n_shingles long, s1 long, s2 long, keys array<long>"), "signatures")
+        texts.mapInArrow(_sign(width), "doc_id long, n_shingles long, s1 long, s2 long, keys array<long>"), "signatures")
     live = signed.where("doc_id IS NOT NULL AND n_shingles > 0")
 
     # classes of equal sets, and of rows that share a doc_id: the smallest doc_id stands for the class
@@ -174,7 +183,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     wanted = stars.select(F.col("a").alias("id")).union(stars.select("b")).distinct()
     wanted = written(wanted, "wanted")
     some = thinned(texts, "doc_id", wanted)
-    sets = written(some.join(wanted, some["doc_id"] == wanted["id"], "left_semi").mapInArrow(_sets, "id long, shingles array<long>"), "sets")
+    sets = written(some.join(wanted, some["doc_id"] == wanted["id"], "left_semi").mapInArrow(_sets(width), "id long, shingles array<long>"), "sets")
     links = written(_confirmed(stars, sets), "links")
     same = nodes.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
 

@@ -97,13 +97,20 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return runs(IN_WORD[data], offsets)
 
 
-def pairs_hash(h: np.ndarray) -> np.ndarray:
-    """Hash of each word with the next one."""
-    return mix(mix(h[:-1]) * U64(0x9FB21C651E98DF25) + h[1:])
-
-
-def shingles2(h: np.ndarray) -> np.ndarray:
-    """Sorted distinct 2-word shingles of one document's word hashes; one word is a shingle of its own."""
-    if len(h) >= 2:
-        return np.unique(pairs_hash(h))
-    return mix(h ^ U64(0x5851F42D4C957F2D))
+def followed(x: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Hash of each run of words with the next word."""
+    return mix(mix(x) * U64(0x9FB21C651E98DF25) + h)
+
+
+def shingles(h: np.ndarray, width: int) -> np.ndarray:
+    """Sorted distinct shingles of ``width`` words of one document's word hashes; fewer words are one shingle."""
+    if len(h) >= width:
+        n = len(h) - width + 1
+        x = h[:n]
+        for k in range(1, width):
+            x = followed(x, h[k:k + n])
+        return np.unique(x)
+    x = mix(h[:1] ^ U64(0x5851F42D4C957F2D))
+    for k in range(1, len(h)):
+        x = followed(x, h[k:k + 1])
+    return x

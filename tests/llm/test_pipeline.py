@@ -97,3 +97,21 @@ def test_extra_columns_and_awkward_rows_pass(spark):
         assert {r.doc_id for r in got} >= {1}, name
     assert sum(r.doc_id == 1 for r in P.near_duplicates(spark, docs, SF).collect()) == 1
     assert P.near_duplicates(spark, docs.where("false"), SF).collect() == []
+
+
+def test_near_duplicates_of_five_words(spark, stages, monkeypatch):
+    """Plain Python at 5 words: a copy with scattered changes stays, though it is near at 2 words; short texts are one shingle."""
+    def shingles(text):
+        w = brute.WORD.findall((text or "").translate(brute.FOLD))
+        return frozenset(zip(*[w[k:] for k in range(5)])) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+
+    base = [f"w{k}" for k in range(200)]
+    texts = [base, base[:199], [f"x{k}" if k % 26 == 13 else w for k, w in enumerate(base)], ["A", "b"], ["a", "B"], ["a", "b", "c"], ["a"], []]
+    rows = [(k, " ".join(w)) for k, w in enumerate(texts)]
+    assert {i for i, (_, _, keep) in brute.near(rows).items() if keep} == {0, 3, 5, 6, 7}
+    monkeypatch.setattr(brute, "shingles", shingles)
+    for docs in (spark.createDataFrame(rows, "doc_id long, text string"), stages[2].select("doc_id", "text")):
+        rows = [tuple(r) for r in docs.collect()]
+        kept = {i for i, (_, _, keep) in brute.near(rows).items() if keep}
+        assert sorted(tuple(r) for r in P.near_duplicates(spark, docs, SF).collect()) == sorted((i, t) for i, t in rows if i in kept)
+    assert {0, 2, 3, 5, 6, 7} == {i for i, (_, _, keep) in brute.near([(k, " ".join(w)) for k, w in enumerate(texts)]).items() if keep}
