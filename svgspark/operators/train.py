@@ -3,6 +3,10 @@ vocabulary, truncation, packing, masking, token budgets, pair tasks, and fill au
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +39,14 @@ BASE_SPECIALS = ["[UNK]", "[CLS]", "[SEP]", "[PAD]", "[MASK]"]
 VOCAB_TARGET = 50280 * 4 - 21
 PRETOKEN_RE = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+"
 MIN_FREQUENCY = 3
+_INSIDE = r"[\p{L}\p{N}]"
+_MARKS = rf"(?:</(?:{'|'.join(SVG_TAG_NAMES)})>|<(?:{'|'.join(SVG_TAG_NAMES)})(?:>|(?!{_INSIDE})))"
+_NAMES = "|".join(sorted((u.replace(".", "[.]") for u in SVG_ATTRIBUTES + XMLNS_URLS), key=len, reverse=True))
+#: Pre-tokens of the learned vocabulary: a special token that is not part of a longer word is one unit, the rest as PRETOKEN_RE.
+UNIT_RE = rf"{_MARKS}|(?<!{_INSIDE})(?:{_NAMES})(?!{_INSIDE})|\p{{L}}+|\p{{N}}+|(?:(?!{_MARKS})[^\s\p{{L}}\p{{N}}])+"
+#: Pairs that reach the driver in a round, and the share of the round's largest count that a pair needs.
+MERGES_PER_ROUND = 32768
+ROUND_SHARE = 0.5
 SPLIT_SEED = 2998
 
 
@@ -87,55 +99,95 @@ def special_token_counts(docs: DataFrame, text: str = "svg") -> DataFrame:
     return listed.join(counts, "token", "left").select("token", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
-def pretokens(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    return docs.select(key, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(PRETOKEN_RE), 0)).alias("pos", "word"))
+def pretokens(docs: DataFrame, text: str = "text", key: str = "doc_id", pattern: str = PRETOKEN_RE) -> DataFrame:
+    return docs.select(key, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(pattern), 0)).alias("pos", "word"))
 
 
-def pretoken_counts(docs: DataFrame, text: str = "text", min_frequency: int = MIN_FREQUENCY) -> DataFrame:
-    words = docs.select(F.explode(F.regexp_extract_all(F.col(text), F.lit(PRETOKEN_RE), 0)).alias("word"))
+def pretoken_counts(docs: DataFrame, text: str = "text", min_frequency: int = MIN_FREQUENCY, pattern: str = PRETOKEN_RE) -> DataFrame:
+    words = docs.select(F.explode(F.regexp_extract_all(F.col(text), F.lit(pattern), 0)).alias("word"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_frequency)
 
 
-def _symbols(word):
-    return F.filter(F.split(word, ""), lambda c: c != "")
-
-
-def merge_pair(symbols, a: str, b: str):
-    """Apply one merge (a, b) to a symbol array, leftmost first, non-overlapping."""
-    st0 = F.struct(F.array().cast("array<string>").alias("out"), F.lit(False).alias("merged"))
+def unit_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The words to learn merges from: special tokens stay whole, so they take no part."""
+    return pretoken_counts(docs, text, pattern=UNIT_RE).where(~F.col("word").isin(SPECIAL_TOKENS))
 
-    def step(st, cur):
-        last = F.try_element_at(st["out"], F.lit(-1))
-        hit = ~st["merged"] & (last == F.lit(a)) & (cur == F.lit(b))
-        out = F.when(hit, F.array_append(F.slice(st["out"], 1, F.size(st["out"]) - 1), F.lit(a + b))) \
-            .otherwise(F.array_append(st["out"], cur))
-        return F.struct(out.alias("out"), F.coalesce(hit, F.lit(False)).alias("merged"))
 
-    return F.aggregate(symbols, st0, step, lambda st: st["out"])
-
-
-def bpe_merges(spark: SparkSession, word_counts: DataFrame, n_merges: int, checkpoint_every: int = 10):
-    """Learn ``n_merges`` merges: each round counts adjacent symbol pairs weighted by word frequency
-    (one aggregation over the distinct-word table), takes the top pair (count desc, pair asc),
-    and rewrites the table. The driver only receives the winning pair of each round; lineage is
-    cut with ``checkpoint()`` (reliable, under spark.checkpoint.dir)."""
-    words = word_counts.select(_symbols(F.col("word")).alias("sym"), F.col("n").cast("bigint").alias("n"))
+def bpe_apply(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
+    """Merges the pair of the lowest rank, leftmost first, until no learned pair is left."""
+    never = len(ranks)
+    while len(symbols) > 1:
+        best = min(zip(symbols, symbols[1:]), key=lambda p: ranks.get(p, never))
+        if best not in ranks:
+            break
+        out, i = [], 0
+        while i < len(symbols):
+            hit = i + 1 < len(symbols) and (symbols[i], symbols[i + 1]) == best
+            out.append(best[0] + best[1] if hit else symbols[i])
+            i += 1 + hit
+        symbols = out
+    return symbols
+
+
+def _rewritten(ranks: dict[tuple[str, str], int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(sym, n) after the merges; words of one symbol are done."""
+    def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(bpe_apply(s.split(" "), ranks), n) for s, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            rows = [(" ".join(s), n) for s, n in rows if len(s) > 1]
+            yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in rows], pa.string()), pa.array([n for _, n in rows], pa.int64())], names=["sym", "n"])
+
+    return rewrite
+
+
+def _pair_counts(ranks: dict[tuple[str, str], int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(a, b, n): the adjacent pairs of a batch after the merges, added up."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs: Counter = Counter()
+            for s, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                s = bpe_apply(s.split(" "), ranks)
+                for p in zip(s, s[1:]):
+                    pairs[p] += n
+            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.string()), pa.array([p[1] for p in pairs], pa.string()),
+                                              pa.array(pairs.values(), pa.int64())], names=["a", "b", "n"])
+
+    return count
+
+
+def bpe_merges(spark: SparkSession, word_counts: DataFrame, n_merges: int, merges_per_round: int = 1, known=(), checkpoint_every: int = 10):
+    """Learn merges until they have made ``n_merges`` tokens that are not ``known``, or no pair is left.
+
+    Each round counts adjacent symbol pairs weighted by word frequency over the distinct words. Of the first
+    ``merges_per_round`` pairs (count desc, pair asc) it takes those that cannot overlap a pair taken before (no
+    symbol ends one and begins another) and have ``ROUND_SHARE`` of the largest count; 1 is the exact
+    mode. The driver holds the merges and a round's pairs only; the words are rewritten at a ``checkpoint()``
+    (reliable, under spark.checkpoint.dir)."""
+    # pre-tokens hold no spaces, so a space parts the symbols
+    words = word_counts.select(F.array_join(F.filter(F.split("word", ""), lambda c: c != ""), " ").alias("sym"), F.col("n").cast("bigint").alias("n"))
     words = words.checkpoint()  # the corpus is read once, not in every round
-    merges = []
-    for r in range(n_merges):
-        # one-letter words have no pair
-        pairs = words.where(F.size("sym") > 1).select("n", F.explode(F.transform(F.sequence(F.lit(0), F.size("sym") - 2),
-                                                       lambda i: F.struct(F.get("sym", i).alias("a"), F.get("sym", i + 1).alias("b")))).alias("p"))
-        best = (pairs.where(F.col("p").isNotNull())
-                .groupBy("p.a", "p.b").agg(F.sum("n").alias("cnt"))
-                .orderBy(F.desc("cnt"), F.col("a"), F.col("b")).limit(1).collect())
+    merges, ranks, known, room, r = [], {}, set(known), n_merges, 0
+    while room > 0:
+        pairs = words.mapInArrow(_pair_counts(dict(ranks)), "a string, b string, n bigint")
+        best = (pairs.groupBy("a", "b").agg(F.sum("n").alias("cnt"))
+                .orderBy(F.desc("cnt"), F.col("a"), F.col("b")).limit(merges_per_round).collect())
         if not best:
             break
-        a, b, cnt = best[0]["a"], best[0]["b"], best[0]["cnt"]
-        merges.append((r, a, b, int(cnt)))
-        words = words.withColumn("sym", merge_pair(F.col("sym"), a, b))
-        if (r + 1) % checkpoint_every == 0:
-            words = words.checkpoint()
+        begins, ends = set(), set()
+        for a, b, cnt in best:
+            if room <= 0 or cnt < ROUND_SHARE * best[0]["cnt"]:
+                break
+            if a in ends or b in begins:
+                continue
+            begins.add(a)
+            ends.add(b)
+            ranks[a, b] = len(merges)
+            merges.append((len(merges), a, b, int(cnt)))
+            room -= a + b not in known
+            known.add(a + b)
+        r += 1
+        if r % checkpoint_every == 0:
+            words = words.mapInArrow(_rewritten(dict(ranks)), "sym string, n bigint").checkpoint()
     return spark.createDataFrame(merges, "rank int, a string, b string, cnt bigint")
 
 
@@ -152,12 +204,18 @@ def vocab_table(spark: SparkSession, merges: DataFrame, alphabet: DataFrame) ->
 
 
 def encode_words(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
-    """Distinct words -> token arrays by applying the learned merges in rank order."""
-    sym = _symbols(F.col("word"))
-    out = words.withColumn("tokens", sym)
-    for a, b in merges:
-        out = out.withColumn("tokens", merge_pair(F.col("tokens"), a, b))
-    return out
+    """Distinct words -> token arrays by the learned merges, lowest rank first; a special token is one token."""
+    ranks: dict[tuple[str, str], int] = {}
+    for p in merges:
+        ranks.setdefault(tuple(p), len(ranks))
+    whole = frozenset(SPECIAL_TOKENS)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = [[w] if w in whole else bpe_apply(list(w), ranks) for w in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.list_(pa.string()))], names=["word", "tokens"])
+
+    return words.select("word").mapInArrow(encode, "word string, tokens array<string>")
 
 
 def truncate_seq(lengths: DataFrame, max_len: int) -> DataFrame:

@@ -78,28 +78,32 @@ def q_pretoken_counts(spark, sf):
     return TR.pretoken_counts(view(spark, sf, "documents"))
 
 
+def _learned(spark, sf):
+    """(merges, alphabet) up to the vocabulary target, or until every word is one token."""
+    wc = TR.unit_counts(view(spark, sf, "documents")).checkpoint()  # read for the alphabet and for the merges
+    alphabet = wc.select(F.explode(F.split("word", "")).alias("token")).where(F.col("token") != "").distinct()
+    known = {*TR.BASE_SPECIALS, *TR.SPECIAL_TOKENS, *(r["token"] for r in alphabet.collect())}  # at most Unicode's characters
+    return TR.bpe_merges(spark, wc, TR.VOCAB_TARGET - len(known), TR.MERGES_PER_ROUND, known), alphabet
+
+
 @register("bpe_merges")
 def q_bpe_merges(spark, sf):
-    return TR.bpe_merges(spark, TR.pretoken_counts(view(spark, sf, "documents")), 3)
+    return _learned(spark, sf)[0]
 
 
 @register("vocab_table")
 def q_vocab_table(spark, sf):
-    wc = TR.pretoken_counts(view(spark, sf, "documents"))
-    merges = TR.bpe_merges(spark, wc, 3)
-    alphabet = wc.select(F.explode(F.split("word", "")).alias("token")).where(F.col("token") != "").distinct()
-    return TR.vocab_table(spark, merges, alphabet)
+    return TR.vocab_table(spark, *_learned(spark, sf))
 
 
 @register("encode_corpus")
 def q_encode_corpus(spark, sf):
     docs = view(spark, sf, "documents")
-    wc = TR.pretoken_counts(docs)
-    merges = [(r["a"], r["b"]) for r in TR.bpe_merges(spark, wc, 3).orderBy("rank").collect()]
+    merges = [(r["a"], r["b"]) for r in _learned(spark, sf)[0].orderBy("rank").collect()]  # at most the vocabulary target
     # a word of a document is one row with its count, so a frequent word joins once for each document
-    pt = TR.pretokens(docs).groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
-    enc = TR.encode_words(pt.select("word").distinct(), merges)
-    per = pt.join(enc, "word").groupBy("doc_id").agg(F.sum(F.size("tokens") * F.col("n")).alias("n"))
+    pt = TR.pretokens(docs, pattern=TR.UNIT_RE).groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
+    enc = TR.encode_words(pt.select("word").distinct(), merges).select("word", F.size("tokens").alias("size"))
+    per = pt.join(enc, "word").groupBy("doc_id").agg(F.sum(F.col("size") * F.col("n")).alias("n"))
     return docs.select("doc_id").join(per, "doc_id", "left").select("doc_id", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_tokens"))
 
 
