@@ -31,6 +31,8 @@ SHARE = 1.5
 MOST = 2.0
 #: Weight over time of the sources in order, repeating: (at the start, at the end).
 SCHEDULE = ((1.0, 3.0), (1.0, 1.0), (3.0, 1.0))
+#: A word with the white space before it.
+PIECE = r"[\x20\x09-\x0D]*" + WORD
 RANGES = 4096  # hash ranges: the first three digits of the md5
 
 
@@ -114,7 +116,8 @@ def op5(docs: DataFrame) -> DataFrame:
 
 
 def curriculum(docs: DataFrame) -> DataFrame:
-    """The documents in training order, once for each round that takes them; a part taken is cut after its last word."""
+    """The documents in training order, once for each round that takes them; a part taken is the text up to the end of
+    its last word, white space as it is."""
     taken = plan(docs).where("taken > 0").select(F.struct("doc_id", "rid").alias("key"), "rounds") \
         .groupBy("key").agg(F.collect_list("rounds").alias("copies"))
     # the document's columns travel under names of their own, so none can clash
@@ -125,9 +128,9 @@ def curriculum(docs: DataFrame) -> DataFrame:
     rows = rows.join(taken, "key").withColumn("copy", F.row_number().over(Window.partitionBy("key").orderBy("key")))
     rows = rows.withColumn("round", F.explode(F.get("copies", F.col("copy") - 1)))
     whole = F.col(own["text"])
-    words = F.regexp_extract_all(whole, F.lit(WORD), F.lit(0))
+    pieces = F.regexp_extract_all(whole, F.lit(PIECE), F.lit(0))
     text = F.when(F.col("round.take") < F.regexp_count(whole, F.lit(WORD)),
-                  F.array_join(F.slice(words, 1, F.col("round.take").cast("int")), " ")).otherwise(whole)
+                  F.array_join(F.slice(pieces, 1, F.col("round.take").cast("int")), "")).otherwise(whole)
     rows = rows.withColumn(own["text"], text)
     return rows.orderBy("round.position", "key.doc_id").select(*[
         F.char_length(own["text"]).cast("long").alias(c) if c == "n_chars" else F.col(n).alias(c) for c, n in own.items()])

@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import brute  # noqa: E402
 
 import corpus_pipeline as P  # noqa: E402
-from svgspark.llm import quality_rank  # noqa: E402
+from svgspark.llm import mixing, quality_rank  # noqa: E402
 from svgspark.llm.common import table, written  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -115,3 +115,14 @@ def test_near_duplicates_of_five_words(spark, stages, monkeypatch):
         kept = {i for i, (_, _, keep) in brute.near(rows).items() if keep}
         assert sorted(tuple(r) for r in P.near_duplicates(spark, docs, SF).collect()) == sorted((i, t) for i, t in rows if i in kept)
     assert {0, 2, 3, 5, 6, 7} == {i for i, (_, _, keep) in brute.near([(k, " ".join(w)) for k, w in enumerate(texts)]).items() if keep}
+
+
+def test_part_taken_keeps_its_white_space(spark):
+    """One source of 21 words has a target of 32: its second round takes one document whole and one in part."""
+    rows = [(k, f"  a{k} b\n\nc\td  e\n f\x0bg \n", "s") for k in range(3)]
+    texts = {k: t for k, t, _ in rows}
+    out = [(r.doc_id, r.text) for r in mixing.curriculum(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()]
+    parts = [(k, t) for k, t in out if t != texts[k]]
+    assert len(out) == 5 and len(parts) == 1
+    k, t = parts[0]
+    assert t == f"  a{k} b\n\nc\td" and len(brute.WORD.findall(t)) == 4
