@@ -17,12 +17,10 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from svgspark.operators.geom import ARITY, CLOSE_EPS, PATH_TOKEN_RE
+from svgspark.operators.geom import ARC_RE, ARITY, CLOSE_EPS, PATH_TOKEN_RE
 
 _TOK = re.compile(PATH_TOKEN_RE)
-_NUM = r"[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?"
-#: The flags of an arc are one digit each and need no space behind them: ``a1 1 0 012 2``.
-_ARC = re.compile(rf"({_NUM})[\s,]*({_NUM})[\s,]*({_NUM})[\s,]*([01])[\s,]*([01])[\s,]*({_NUM})[\s,]*({_NUM})")
+_ARC = re.compile(ARC_RE)
 _COMMAND = re.compile(r"([MmZzLlHhVvCcSsQqTtAa])([^MmZzLlHhVvCcSsQqTtAa]*)")
 _WIDE = Context(prec=700)
 
@@ -37,12 +35,21 @@ def fmt(v: float, decimals: int = 3, to_int: bool = False) -> str:
     return "0" if s == "-0" else s
 
 
+def _arc_numbers(rest: str) -> list[float]:
+    nums, at = [], 0
+    while arc := _ARC.match(rest, at):
+        nums += map(float, arc.groups())
+        at = arc.end()
+    return nums + [float(x) for x in _TOK.findall(rest[at:])]
+
+
 def commands(d: str):
-    """Commands with their arguments; numbers before the first command letter belong to none and are skipped."""
+    """Commands with their arguments; numbers before the first command letter, and groups that are not whole, belong
+    to none and are skipped: ``geom.path_reason`` names them."""
     out = []
     for cmd, rest in _COMMAND.findall(d or ""):
         if cmd in "Aa":
-            nums = [float(x) for arc in _ARC.findall(rest) for x in arc]
+            nums = _arc_numbers(rest)
         else:
             nums = [float(x) for x in _TOK.findall(rest)]
         ar = ARITY[cmd.upper()]

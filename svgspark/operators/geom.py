@@ -22,6 +22,10 @@ CLOSE_EPS = 1e-5
 
 # Path and transform grammar.
 PATH_TOKEN_RE = r"[MmZzLlHhVvCcSsQqTtAa]|[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?"
+PATH_PIECE_RE = r"[MmZzLlHhVvCcSsQqTtAa][^MmZzLlHhVvCcSsQqTtAa]*|^[^MmZzLlHhVvCcSsQqTtAa]+"
+_NUM = r"[-+]?(?:\d++\.?+\d*+|\.\d++)(?:[eE][-+]?\d++)?+"
+#: The seven numbers of an arc; its flags are one digit each and need no space behind them: ``a1 1 0 012 2``.
+ARC_RE = r"[\s,]*+".join(["", *[f"({_NUM})"] * 3, "([01])", "([01])", f"({_NUM})", f"({_NUM})"])
 ARITY = {"M": 2, "L": 2, "H": 1, "V": 1, "C": 6, "S": 4, "Q": 4, "T": 2, "A": 7, "Z": 0}
 TRANSFORM_RE = r"(matrix|translate|scale|rotate|skewX|skewY)\s*\(([^)]*)\)"
 
@@ -88,7 +92,10 @@ def parse_transform(text) -> Column:
 
 # ---------------------------------------------------------------- path commands
 def path_tokens(d) -> Column:
-    return F.regexp_extract_all(F.coalesce(as_col(d), F.lit("")), F.lit(PATH_TOKEN_RE), 0)
+    """Command letters and numbers; the groups of an arc are parted first, since its flags may stand close."""
+    pieces = F.regexp_extract_all(F.coalesce(as_col(d), F.lit("")), F.lit(PATH_PIECE_RE), 0)
+    parted = lambda p: F.when(p.rlike("^[Aa]"), F.regexp_replace(p, rf"(^[Aa]|\G){ARC_RE}", "$1 $2 $3 $4 $5 $6 $7 $8 ")).otherwise(p)
+    return F.flatten(F.transform(pieces, lambda p: F.regexp_extract_all(parted(p), F.lit(PATH_TOKEN_RE), 0)))
 
 
 def command_index(toks) -> Column:
@@ -98,7 +105,7 @@ def command_index(toks) -> Column:
 
 def path_commands(toks, idx) -> Column:
     """Tokens + letter positions -> array<struct<cmd, args array<double>>>; implicit repeats expanded
-    (extra pairs after M are L). Argument groups shorter than the arity are dropped."""
+    (extra pairs after M are L). Argument groups shorter than the arity are no command: see ``path_reason``."""
     toks, idx = as_col(toks), as_col(idx)
     n_tok = F.size(toks)
     arity_map = F.create_map(*sum([[F.lit(k), F.lit(v)] for k, v in ARITY.items()], []))
@@ -118,6 +125,20 @@ def path_commands(toks, idx) -> Column:
     return F.flatten(F.transform(idx, lambda i, j: per_cmd(i, j)))
 
 
+def path_reason(toks, idx) -> Column:
+    """Why tokens do not make whole commands, NULL if they do: numbers that belong to none, or too few of them."""
+    toks, idx = as_col(toks), as_col(idx)
+    arity_map = F.create_map(*sum([[F.lit(k), F.lit(v)] for k, v in ARITY.items()], []))
+
+    def short(i, j):
+        n = F.coalesce(F.get(idx, j + 1), F.size(toks)) - i - 1
+        ar = F.element_at(arity_map, F.upper(F.get(toks, i)))
+        return F.when(ar == 0, n > 0).otherwise((n == 0) | (n % F.greatest(ar, F.lit(1)) != 0))
+
+    return (F.when(F.coalesce(F.get(idx, F.lit(0)), F.size(toks)) > 0, F.lit("path data: numbers before the first command"))
+            .when(F.exists(F.transform(idx, short), lambda x: x), F.lit("path data: numbers missing or left over")))
+
+
 def commands_of(d) -> Column:
     """Convenience for short inputs: ``d`` text straight to commands (tokenises twice)."""
     return path_commands(path_tokens(d), command_index(path_tokens(d)))

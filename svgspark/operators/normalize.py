@@ -69,6 +69,11 @@ def normalize_corpus(docs: DataFrame, key: str = "rec_id", normalize_scale: floa
     ok_keys = wf.where("ok").select(key)
     el = T.lower_attrs(T.svg_elements(toks, key)).join(ok_keys, key, "left_semi")
 
+    # path data that do not make whole commands fail the record
+    paths = el.where(F.col("tag") == "path").select(key, "open_pos", G.path_tokens(F.col("lattrs").getItem("d")).alias("_t"))
+    paths = paths.withColumn("_i", G.command_index("_t")).withColumn("reason", G.path_reason("_t", "_i")).where(F.col("reason").isNotNull())
+    torn = paths.groupBy(key).agg(F.min_by("reason", "open_pos").alias("reason"))
+
     # canvas of each root and the scale factor
     root = T.canvas_box(el.where((F.col("depth") == 0)), "lattrs")
     root = T.canvas_scale(root, normalize_scale, to_int)
@@ -161,6 +166,9 @@ def normalize_corpus(docs: DataFrame, key: str = "rec_id", normalize_scale: floa
         flat_fail = flat.select(key, F.lit("rejected").alias("status"), F.lit("empty canvas").alias("reason"), F.lit(None).cast("string").alias("svg_out"))
         parse_fail = parse_fail.unionByName(flat_fail)
         text = text.join(flat, key, "left_anti")
+        torn = torn.join(flat, key, "left_anti")
+    parse_fail = parse_fail.unionByName(torn.select(key, F.lit("parse_error").alias("status"), "reason", F.lit(None).cast("string").alias("svg_out")))
+    text = text.join(torn, key, "left_anti")
     ok = text.select(key, F.lit("ok").alias("status"), F.lit(None).cast("string").alias("reason"), "svg_out")
     res = fails.unionByName(parse_fail).unionByName(ok)
     sizes = docs.select(key, F.length("svg").cast("bigint").alias("n_chars_in"))

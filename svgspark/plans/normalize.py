@@ -84,14 +84,15 @@ def q_path_absolute(spark, sf):
 def q_subpath_close(spark, sf):
     s = _abs_segs(spark, sf).withColumn("subs", G.subpath_close("segs"))
     return s.select("rec_id", "open_pos", F.size("subs").alias("n_subpaths"),
-                    F.aggregate("subs", F.lit(0), lambda acc, x: acc + x["closed"].cast("int")).alias("n_closed"))
+                    F.aggregate("subs", F.lit(0), lambda acc, x: acc + x["closed"].cast("int")).alias("n_closed"),
+                    G.path_reason("_t", "_i").alias("reason"))
 
 
 @register("to_cubic")
 def q_to_cubic(spark, sf):
     s = _abs_segs(spark, sf).withColumn("cub", G.to_cubic("segs", True))
     return s.select("rec_id", "open_pos", F.array_join(F.transform("cub", lambda g: g["kind"]), "").alias("kinds"),
-                    F.size("cub").alias("n_segs"))
+                    F.size("cub").alias("n_segs"), G.path_reason("_t", "_i").alias("reason"))
 
 
 @register("arc_to_cubic")
