@@ -11,7 +11,7 @@ A key that a third of all documents hold is counted by partial aggregation, and
 ``SALTS`` tasks when the verdict is joined back.
 
 Defined results: null or empty text is one empty line; an empty key is never dropped; rows that repeat
-doc_id and text count as one document and each gets the same verdict; a null doc_id is a value like any
+are documents each and get the same verdict; a null doc_id is a value like any
 other; an empty table gives an empty result; other columns pass through unchanged, whatever their names.
 """
 
@@ -63,7 +63,7 @@ class LineRuns:
         return self.counts().where(F.col("n") >= self.min_docs).select("h1", "h2")
 
     def add(self, batch: DataFrame) -> None:
-        """batch: (h1, h2, doc), one row or more for each document that holds the line."""
+        """batch: (h1, h2, doc), one row or more for each document (row of the table) that holds the line."""
         counts = batch.groupBy("h1", "h2").agg(F.countDistinct("doc").alias("n"))
         if self.levels:
             counts = counts.hint("merge").join(self.common(), ["h1", "h2"], "left_anti")
@@ -92,14 +92,14 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches
         F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("parts"),
     )
     path = scratch(spark, "lines")
-    lines = base.select("id", "rid", F.posexplode("parts").alias("pos", "line")).withColumn("key", line_key(F.col("line")))
-    lines = lines.where(F.char_length("key") >= max(1, min_chars)).select("id", "rid", "pos", *key_hashes(F.col("key")))
+    lines = base.withColumn("doc", F.monotonically_increasing_id()).select("id", "rid", "doc", F.posexplode("parts").alias("pos", "line")).withColumn("key", line_key(F.col("line")))
+    lines = lines.where(F.char_length("key") >= max(1, min_chars)).select("id", "rid", "doc", "pos", *key_hashes(F.col("key")))
     lines.withColumn("batch", F.pmod("rid", F.lit(batches))).write.partitionBy("batch").parquet(path)
     lines = spark.read.schema(f"{_ddl(lines)}, batch int").parquet(path)
 
     runs = LineRuns(spark, min_docs, fanout)
     for k in range(batches):
-        runs.add(lines.where(F.col("batch") == k).select("h1", "h2", F.struct("id", "rid").alias("doc")))
+        runs.add(lines.where(F.col("batch") == k).select("h1", "h2", "doc"))
 
     salted = runs.common().withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
     hits = (

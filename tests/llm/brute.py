@@ -83,11 +83,11 @@ def line_key(line):
 
 
 def lines(rows, min_docs=10):
-    """(n_lines, n_dropped, kept text) of each (doc_id, text) row; rows equal in both are one document."""
+    """(n_lines, n_dropped, kept text) of each (doc_id, text) row; rows that repeat are documents each."""
     holders = collections.defaultdict(set)
-    for row in rows:
+    for k, row in enumerate(rows):
         for line in (row[1] or "").split("\n"):
-            holders[line_key(line)].add(row)
+            holders[line_key(line)].add(k)
     common = {k for k, d in holders.items() if len(d) >= min_docs and k}
     out = []
     for _, text in rows:
