@@ -51,6 +51,23 @@ def dropped(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+class Scratch:
+    """Scratch tables that are deleted together, once what is read from them has been written elsewhere."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+    def written(self, df: DataFrame, tag: str) -> DataFrame:
+        path = scratch(df.sparkSession, tag)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def drop(self, spark: SparkSession) -> None:
+        while self.paths:
+            dropped(spark, self.paths.pop())
+
+
 def thinned(rows: DataFrame, key: str, wanted: DataFrame, bits: int = 23) -> DataFrame:
     """``rows`` without most of those whose ``key`` is not an ``id`` of ``wanted``, before a semi join shuffles them.
 

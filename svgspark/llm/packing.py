@@ -42,6 +42,8 @@ _LETTER, _NUMBER, _OTHER, _SPACE = 1, 2, 3, 4
 SUFFIXES = ("s", "t", "re", "ve", "m", "ll", "d")
 TABLE_BITS = 20
 POOL = 1 << 24
+#: Pre-tokens of more characters are encoded one by one: a pattern that looks ahead fails on a million of white space.
+LONG = 4096
 
 
 def _classes() -> np.ndarray:
@@ -193,7 +195,7 @@ class Ids:
         """Encodes pre-tokens met for the first time; (place in the pool, ids) of each."""
         size = np.zeros(len(new), np.int64)
         at = np.zeros(len(new), np.int64)
-        spaced = (points[starts] == 0x20) & (ends - starts > 1) & (kinds[np.minimum(starts + 1, len(kinds) - 1)] == _LETTER)
+        spaced = (points[starts] == 0x20) & (ends - starts > 1) & (ends - starts <= LONG) & (kinds[np.minimum(starts + 1, len(kinds) - 1)] == _LETTER)
         some = np.flatnonzero(spaced)
         parts: list[np.ndarray] = []
         done = 0
@@ -209,7 +211,7 @@ class Ids:
             done = len(ids)
         for k in np.flatnonzero(~spaced):
             token = points[starts[k]:ends[k]].astype("<u4").tobytes().decode("utf-32-le")
-            ids = np.array(self.bpe.encode_ordinary(token), np.uint32)
+            ids = np.array(self.bpe._encode_single_piece(token.encode()), np.uint32)
             at[k], size[k] = done, len(ids)
             parts.append(ids)
             done += len(ids)

@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from svgspark.llm import (
-    embed_dedup, line_dedup, mixing, near_dup, packing, quality_rank, quality_rules, secrets, suffix_dedup, toxicity,
+    alignment, embed_dedup, line_dedup, mixing, near_dup, packing, periodic, quality_rank, quality_rules,
+    secrets, sharding, suffix_dedup, toxicity,
 )
-from svgspark.llm.common import table
+from svgspark.llm.common import small_batches, table
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +56,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.op11(table(spark, sf_dir, "documents"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(small_batches(spark), sf_dir, "documents"))
+
+
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.op13(table(small_batches(spark), sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_near_dup": op2_near_dup,
@@ -66,6 +79,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_quality_rank": op9_quality_rank,
     "op10_quality_rules": op10_quality_rules,
+    "op11_sharding": op11_sharding,
+    "op12_alignment": op12_alignment,
+    "op13_periodic": op13_periodic,
 }
 
 ORACLE: dict[str, str] = {

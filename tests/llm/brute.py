@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import bisect
 import collections
 import hashlib
 import re
+import zlib
+from fractions import Fraction
 
 import numpy as np
 
@@ -146,3 +149,92 @@ def vectors(rows, threshold=0.98):
                 links[b].add(a)
     c = components([r[0] for r in rows], [(a, b) for a in links for b in links[a]])
     return {i: (len(links[i]), c[i], c[i] == i) for i, _, _ in rows}
+
+
+def kept_words(words, found):
+    gone = {i for start, length, period in found for i in range(start + period, start + length)}
+    return [w for i, w in enumerate(words) if i not in gone]
+
+
+def runs(words, least=24, exponent=3):
+    """(start, length, period) of the maximal runs, by start, then period: every distance tried."""
+    ids = {w: k for k, w in enumerate(dict.fromkeys(words))}
+    x, n, out = np.array([ids[w] for w in words]), len(words), {}
+    for q in range(1, n // exponent + 1):
+        edge = np.diff(np.concatenate([[0], (x[:-q] == x[q:]).astype(int), [0]]))
+        for i, j in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()):
+            length = j - i + q
+            if length >= max(least, exponent * q) and (i, length) not in out:  # a smaller period has the same stretch
+                out[i, length] = q
+    return sorted(((i, length, q) for (i, length), q in out.items()), key=lambda r: (r[0], r[2]))
+
+
+def planted(doc_id, text):
+    w = WORD.findall(text or "")
+    if doc_id is None or not w:
+        return w
+    h = zlib.crc32(str(doc_id).encode())
+    g, n = h // 10, len(w)
+    if h % 10:
+        return w
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return w[:a] + [w[a + (i - a) % p] for i in range(a, n)]
+
+
+def periodic(doc_id, text):
+    """The row that op13's contract states, after doc_id."""
+    w = planted(doc_id, text)
+    found = runs(w)
+    best = min(found, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2])) if found else (None, None, None)
+    milli = best[1] * 1000 // best[2] if found else None
+    return (len(found), *best, milli, sha("".join(f"{a},{b},{c}\n" for a, b, c in found)), sha(" ".join(kept_words(w, found))))
+
+
+def aligned(texts):
+    """(n_a, n_b, n_groups, n_links, n_best, count_sum, digest) of each text: every overlap looked for."""
+    import public_tokenizers as P
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    first = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    first.encode_special_tokens = True
+    second = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    letters = {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in printable)}
+
+    def piece(i):
+        p = second.id_to_piece(i)
+        return bytes([int(p[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", p) else p.replace("▁", " ").encode()
+
+    def spans(tokens):
+        end, out = 0, []
+        for i, b in tokens:
+            out.append((i, end, end + len(b)))
+            end += len(b)
+        return out
+
+    pairs, rows = collections.Counter(), []
+    for text in texts:
+        a = [(i, bytes(letters[c] for c in first.id_to_token(i))) for i in first.encode(" " + text, add_special_tokens=False).ids] if text else []
+        b = [(i, piece(i)) for i in second.encode(text)] if text else []
+        if not text or any(b"".join(x for _, x in t) != (" " + text).encode() for t in (a, b)):
+            rows.append(None)
+            continue
+        a, b = spans(a), spans(b)
+        cuts = sorted({e for _, _, e in a} & {e for _, _, e in b})
+        groups, link = [], []
+        parts = [([], []) for _ in cuts]
+        for side, s in enumerate((a, b)):
+            for t in s:
+                parts[bisect.bisect_left(cuts, t[2])][side].append(t)
+        for x, y in parts:
+            groups.append(",".join(str(t[0]) for t in x) + "|" + ",".join(str(t[0]) for t in y))
+            link += [(p[0], q[0]) for p in x for q in y if p[1] < q[2] and q[1] < p[2]]
+        pairs.update(link)
+        rows.append((len(a), len(b), len(groups), link, sha(";".join(groups))))
+    best = collections.Counter()
+    for (_, y), n in pairs.items():
+        best[y] = max(best[y], n)
+    return [(0, 0, 0, 0, 0, 0, "") if r is None else
+            (*r[:3], len(r[3]), sum(pairs[p] == best[p[1]] for p in r[3]), sum(pairs[p] for p in r[3]), r[4]) for r in rows]
