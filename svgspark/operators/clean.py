@@ -50,6 +50,7 @@ SORT_FIRST = ["id", "width", "height", "x", "x1", "x2", "y", "y1", "y2", "cx", "
 EDITOR_PREFIXES = ["inkscape", "sodipodi", "sketch", "illustrator", "serif"]
 NONRENDER_TAGS = ["metadata"]
 CONTAINERS = ["g", "defs", "svg", "symbol", "a", "switch", "marker", "mask", "pattern", "clipPath", "clippath"]
+TEXTS = ["text", "tspan", "textPath", "textpath"]
 NUM_RE = r"^\s*([-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?)(px)?\s*$"
 
 
@@ -115,9 +116,12 @@ def style_to_attrs(el: DataFrame, m: str = "attrs") -> DataFrame:
     return el.withColumn(m, F.when(st.isNull(), F.col(m)).otherwise(F.map_concat(base, st)))
 
 
-def drop_attrs(el: DataFrame, m: str = "attrs") -> DataFrame:
-    """Drop version/xmlns/aria-hidden/class and the root width/height; ``xlink:href`` -> ``href``."""
-    kept = F.map_filter(m, lambda k, v: ~F.lower(k).isin(*DROP_ATTRS) & ~F.lower(k).startswith("xmlns")
+def drop_attrs(el: DataFrame, m: str = "attrs", keep_class: F.Column | None = None) -> DataFrame:
+    """Drop version/xmlns/aria-hidden/class and the root width/height; ``xlink:href`` -> ``href``.
+
+    ``keep_class``: where it is true the class stays, as for records with rules that ask for more than a class."""
+    stays = F.lit(False) if keep_class is None else F.coalesce(keep_class, F.lit(False))
+    kept = F.map_filter(m, lambda k, v: (~F.lower(k).isin(*DROP_ATTRS) | (stays & (F.lower(k) == "class"))) & ~F.lower(k).startswith("xmlns")
                         & ~((F.col("depth") == 0) & F.lower(k).isin("width", "height"))
                         & ~((F.lower(k) == "xlink:href") & F.array_contains(F.map_keys(m), "href"))
                         & ~F.exists(F.array(*[F.lit(p + ":") for p in EDITOR_PREFIXES]), lambda p: F.lower(k).startswith(p)))
@@ -149,13 +153,29 @@ def drop_nonrender(tokens: DataFrame, key: str = "rec_id", drop_title: bool = Tr
             .drop("_reach"))
 
 
-def drop_empty(el: DataFrame, key: str = "rec_id") -> DataFrame:
-    """Elements to drop: raster images, hidden elements, all that is inside these, and containers in which nothing but
-    containers is left (so an emptied outer group goes with its inner ones).
+def drop_empty(el: DataFrame, key: str = "rec_id", css: DataFrame | None = None, texts: DataFrame | None = None) -> DataFrame:
+    """Elements to drop: raster images, hidden elements, definitions that nothing drawn reaches, all that is inside these,
+    text elements without text (``texts`` has the positions of the text tokens that are not blank), and containers in
+    which nothing but containers is left (so an emptied outer group goes with its inner ones).
 
     What is inside a dropped element follows from the furthest end of those begun so far; what is left inside a
     container is the growth of a running count between its tags. Neither makes pairs of elements."""
-    t = _reached(el, hidden_spans(el, key), key, "open_pos")
+    units = T.definition_units(el, key)
+    roots = units.where("unit = open_pos").join(T.live_units(units, css, key), [key, "unit"], "left_anti")
+    dead = roots.select(key, F.col("open_pos").alias("pos"), F.coalesce("close_pos", "open_pos").alias("_span_end"))
+    # the next text that is not blank, seen from a text element's tag
+    blank = el.where(F.col("tag").isin(*TEXTS)).select(key, F.col("open_pos").alias("pos"), F.coalesce("close_pos", "open_pos").alias("_span_end"))
+    if texts is not None:
+        later = Window.partitionBy(key).orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, 0)
+        both = blank.withColumn("_t", F.lit(None).cast("int")).unionByName(texts.select(key, "pos", F.lit(None).cast("int").alias("_span_end"), F.col("pos").alias("_t")))
+        both = both.withColumn("_next", F.min("_t").over(later))
+        blank = both.where(F.col("_span_end").isNotNull() & (F.col("_next").isNull() | (F.col("_next") > F.col("_span_end")))).select(key, "pos", "_span_end")
+    else:
+        blank = blank.where("pos = _span_end")
+    spans = hidden_spans(el, key).unionByName(dead).unionByName(blank).groupBy(key, "pos").agg(F.max("_span_end").alias("_span_end"))
+    why = dead.select(key, F.col("pos").alias("open_pos"), F.lit("unused definition").alias("_why")).unionByName(
+        blank.select(key, F.col("pos").alias("open_pos"), F.lit("empty text").alias("_why"))).groupBy(key, "open_pos").agg(F.max("_why").alias("_why"))
+    t = _reached(el.join(why, [key, "open_pos"], "left"), spans, key, "open_pos")
     inside = F.coalesce(F.col("_reach") >= F.col("open_pos"), F.lit(False))
     container = F.col("tag").isin(*CONTAINERS)
     marks = t.select(key, F.col("open_pos").alias("_at"), (~inside & ~container).cast("int").alias("_n"), F.when(container, F.col("open_pos")).alias("open_pos"))
@@ -163,7 +183,7 @@ def drop_empty(el: DataFrame, key: str = "rec_id") -> DataFrame:
     count = F.sum("_n").over(Window.partitionBy(key).orderBy("_at").rangeBetween(Window.unboundedPreceding, 0))
     held = marks.unionByName(ends).withColumn("_c", count).where(F.col("open_pos").isNotNull()) \
         .groupBy(key, "open_pos").agg((F.max("_c") - F.min("_c")).alias("_held"))
-    reason = (F.when(F.col("tag") == "image", "raster image").when(_hidden(), "hidden").when(inside, "inside a dropped element")
+    reason = (F.when(F.col("tag") == "image", "raster image").when(_hidden(), "hidden").when(F.col("_why").isNotNull(), F.col("_why")).when(inside, "inside a dropped element")
               .when(container & (F.col("depth") > 0) & (F.col("_held") == 0), "empty container"))
     return t.join(held, [key, "open_pos"], "left").withColumn("drop_reason", reason) \
         .where(F.col("drop_reason").isNotNull()).select(key, "open_pos", "tag", "drop_reason")
@@ -204,9 +224,34 @@ def reuse_paths(el: DataFrame, key: str = "rec_id") -> DataFrame:
     return p.groupBy(key, "d", "fill", "stroke").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
-def clean_corpus(stage1: DataFrame, key: str = "rec_id") -> DataFrame:
-    """Stage 2 over stage-1 text: non-render drop, attribute rules, empty drop, then markup again.
-    ``svg`` falls back to the stage-1 text when stage 2 yields nothing."""
+def shared_paths(el: DataFrame, key: str = "rec_id") -> tuple[DataFrame, DataFrame]:
+    """(elements in which drawn paths of the same data are ``<use>``, the ``<defs>`` to put in after the root's tag).
+
+    The shared path holds the data alone; every use keeps the other attributes, which the path inherits. Paths with an id,
+    a length of their own, content, or inside a definition stay as they are, and so do those whose new id is taken.
+    """
+    units = T.definition_units(el, key)
+    la = F.col("lattrs")
+    free = units.where((F.col("tag") == "path") & F.col("unit").isNull() & la["d"].isNotNull() & ~F.map_contains_key("lattrs", F.lit("id"))
+                       & ~F.map_contains_key("lattrs", F.lit("pathlength")) & (F.col("close_pos") - F.col("open_pos") <= 1))
+    free = free.select(key, "open_pos", la["d"].alias("_d"), F.concat(F.lit("reuse-"), F.substring(F.md5(la["d"]), 1, 12)).alias("_id"))
+    groups = free.groupBy(key, "_id").agg(F.count("*").alias("_n"), F.min("_d").alias("_d"), F.countDistinct("_d").alias("_forms"), F.min("open_pos").alias("_first"))
+    taken = el.where(F.map_contains_key("lattrs", F.lit("id"))).select(key, la["id"].alias("_id"))
+    groups = groups.where("_n > 1 AND _forms = 1").join(taken, [key, "_id"], "left_anti")
+    uses = free.select(key, "open_pos", "_id").join(groups.select(key, "_id"), [key, "_id"])
+    out = el.join(uses, [key, "open_pos"], "left")
+    plain = F.map_filter("attrs", lambda k, v: ~F.lower(k).isin("d", "x", "y", "width", "height"))
+    out = out.withColumn("attrs", F.when(F.col("_id").isNull(), F.col("attrs")).otherwise(F.map_concat(F.create_map(F.lit("href"), F.concat(F.lit("#"), "_id")), plain)))
+    out = out.withColumn("tag", F.when(F.col("_id").isNull(), F.col("tag")).otherwise(F.lit("use"))).drop("_id")
+    shape = F.concat(F.lit('<path id="'), "_id", F.lit('" d="'), T.escape_xml(F.col("_d")), F.lit('"/>'))
+    defs = groups.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_first", shape.alias("shape")))), lambda x: x["shape"]), "").alias("shapes"))
+    root = el.where("depth = 0").select(key, F.col("open_pos").alias("pos"))
+    return out, defs.join(root, key).select(key, "pos", F.lit(1).alias("ord"), F.concat(F.lit("<defs>"), "shapes", F.lit("</defs>")).alias("piece"))
+
+
+def clean_corpus(stage1: DataFrame, key: str = "rec_id", cleanup_ids: bool = True, share_paths: bool = True) -> DataFrame:
+    """Stage 2 over stage-1 text: non-render drop, attribute rules, empty and unused drop, ids that nothing refers to,
+    repeated paths as uses, then markup again. ``svg`` falls back to the stage-1 text when stage 2 yields nothing."""
     from svgspark.operators.normalize import svg_text
 
     docs = T.by_record(stage1.select(key, "svg"))
@@ -214,18 +259,30 @@ def clean_corpus(stage1: DataFrame, key: str = "rec_id") -> DataFrame:
     ok = T.wellformed(toks, key).where("ok").select(key)
     kept = drop_nonrender(toks.join(ok, key, "left_semi"), key)
     el = T.lower_attrs(T.svg_elements(toks, key)).join(ok, key, "left_semi")
-    kept = _reached(kept, hidden_spans(el, key), key, "pos").where("_reach IS NULL OR _reach < pos").drop("_reach")
-    gone = drop_empty(el, key).select(key, F.col("open_pos").alias("pos"))
-    el = el.join(gone.withColumnRenamed("pos", "open_pos"), [key, "open_pos"], "left_anti")
-    el = apply_class_rules(el, toks, key)
-    for rule in (clean_attrs, style_to_attrs, round_numbers, normal_colors, drop_attrs, sort_attrs):
+    el = el.join(kept.select(key, F.col("pos").alias("open_pos")), [key, "open_pos"], "left_semi")
+    css = T.style_texts(toks, key).select(key, "css")
+    texts = kept.where(F.col("kind").isin("text", "cdata") & (F.trim(F.regexp_replace("tok", r"\s+", " ")) != "")).select(key, "pos")
+    gone = drop_empty(el, key, css, texts).select(key, "open_pos")
+    # whatever stands inside a dropped element goes with it; an emptied container has nothing left in it
+    spans = el.join(gone, [key, "open_pos"], "left_semi").select(key, F.col("open_pos").alias("pos"), F.coalesce("close_pos", "open_pos").alias("_span_end"))
+    kept = _reached(kept, spans, key, "pos").where("_reach IS NULL OR _reach < pos").drop("_reach")
+    el = el.join(gone, [key, "open_pos"], "left_anti")
+    if cleanup_ids:
+        unused = T.unreferenced_ids(el, key, css).select(key, "open_pos", F.lit(True).alias("_bare"))
+        for m in ("attrs", "lattrs"):
+            el = el.withColumn(f"_no_{m}", F.map_filter(m, lambda k, v: F.lower(k) != "id"))
+        el = el.join(unused, [key, "open_pos"], "left").withColumns({m: F.when(F.col("_bare"), F.col(f"_no_{m}")).otherwise(F.col(m)) for m in ("attrs", "lattrs")}) \
+            .drop("_bare", "_no_attrs", "_no_lattrs")
+    el = apply_class_rules(el, toks, key).join(T.complex_class_rules(toks, key).withColumn("_more", F.lit(True)), key, "left")
+    for rule in (clean_attrs, style_to_attrs, round_numbers, normal_colors):
         el = rule(el)
-    # tokens of emptied containers (open and close) disappear; their text stays in place
-    kept = kept.join(gone, [key, "pos"], "left_anti")
-    closes = el.select(key, F.col("close_pos").alias("pos"))
-    kept = kept.where(F.col("kind") != "close").unionByName(kept.where(F.col("kind") == "close").join(closes, [key, "pos"], "left_semi"))
+    el = drop_attrs(el, keep_class=F.col("_more"))
+    added = None
+    if share_paths:
+        el, added = shared_paths(el, key)
+    el = sort_attrs(el)
     new_el = el.select(key, "open_pos", "close_pos", F.col("tag").alias("new_tag"), F.col("attrs").alias("new_attrs"))
-    text = svg_text(kept, new_el, key)
+    text = svg_text(kept, new_el, key, added=added)
     base = stage1.select(key, F.col("svg").alias("stage1"))
     return (base.join(text, key, "left")
             .select(key, F.col("svg_out").alias("stage2"), F.coalesce("svg_out", "stage1").alias("svg")))

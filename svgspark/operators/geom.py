@@ -1,7 +1,7 @@
-"""Geometry as column expressions: transforms, path commands, absolute segments, arcs, shapes, text.
+"""Geometry as column expressions: transforms, path commands, absolute segments, shapes, and the segment table.
 
-Everything works on arrays inside one row (one element of one SVG), with higher-order functions
-(``transform``, ``filter``, ``aggregate``), so it stays in the JVM. A segment is
+Path data are folded once per path, with higher-order functions inside one row; from there on a path is rows of
+segments, on which arcs, cubics, matrices and text are plain columns and grouped sums. A segment is
 ``struct<sub:int, kind:string, p0:point, pts:array<point>, arc:array<double>, closing:boolean>``:
 ``p0`` is the start point, ``pts`` the control points and end point, ``kind`` one of M L Q C A.
 """
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from svgspark.functions.util import as_col
@@ -243,70 +243,107 @@ def to_cubic(segs, cubic_only: bool = True) -> Column:
     return F.transform(as_col(segs), conv)
 
 
-def arc_centres(segs) -> Column:
-    """Pass 1 of arc conversion: replace each arc's parameters by its centre form
-    ``[cx, cy, rx, ry, phi, theta1, dtheta, n]`` (SVG endpoint-to-centre conversion)."""
-    def centre(s):
-        p1, p2 = s["p0"], F.try_element_at(s["pts"], F.lit(-1))
-        a = s["arc"]
-        rx0, ry0 = F.abs(F.get(a, 0)), F.abs(F.get(a, 1))
-        phi = F.radians(F.get(a, 2))
-        fa, fs = F.get(a, 3) != 0, F.get(a, 4) != 0
-        cphi, sphi = F.cos(phi), F.sin(phi)
-        dx2, dy2 = (p1["x"] - p2["x"]) / 2, (p1["y"] - p2["y"]) / 2
-        x1p, y1p = cphi * dx2 + sphi * dy2, -sphi * dx2 + cphi * dy2
-        lam = F.coalesce(F.try_divide(x1p * x1p, rx0 * rx0) + F.try_divide(y1p * y1p, ry0 * ry0), F.lit(0.0))
-        grow = F.when(lam > 1, F.sqrt(lam)).otherwise(F.lit(1.0))
-        rx, ry = rx0 * grow, ry0 * grow
-        num = rx * rx * ry * ry - rx * rx * y1p * y1p - ry * ry * x1p * x1p
-        den = rx * rx * y1p * y1p + ry * ry * x1p * x1p
-        coef = F.when(fa != fs, F.lit(1.0)).otherwise(F.lit(-1.0)) * F.sqrt(F.greatest(F.lit(0.0), F.try_divide(num, den)))
-        cxp, cyp = F.try_divide(coef * rx * y1p, ry), F.try_divide(-coef * ry * x1p, rx)
-        cx = cphi * cxp - sphi * cyp + (p1["x"] + p2["x"]) / 2
-        cy = sphi * cxp + cphi * cyp + (p1["y"] + p2["y"]) / 2
-        th1 = F.atan2(F.try_divide(y1p - cyp, ry), F.try_divide(x1p - cxp, rx))
-        dth0 = F.atan2(F.try_divide(-y1p - cyp, ry), F.try_divide(-x1p - cxp, rx)) - th1
-        dth = F.when(~fs & (dth0 > 0), dth0 - 2 * math.pi).when(fs & (dth0 < 0), dth0 + 2 * math.pi).otherwise(dth0)
-        n = F.greatest(F.lit(1.0), F.ceil(F.abs(dth) / (math.pi / 2) - 1e-9).cast("double"))
-        degenerate = F.when((p1["x"] == p2["x"]) & (p1["y"] == p2["y"]), F.lit(-1.0)).when((rx0 == 0) | (ry0 == 0), F.lit(0.0))
-        return s.withField("arc", F.array(cx, cy, rx, ry, phi, th1, dth, F.coalesce(degenerate, n)))
-
-    return F.transform(as_col(segs), lambda s: F.when(s["kind"] == "A", centre(s)).otherwise(s))
-
-
-def arc_pieces(segs) -> Column:
-    """Pass 2: arcs (in centre form) -> cubic pieces of at most 90 degrees; equal endpoints dropped,
-    a zero radius becomes a line."""
-    def pieces(s):
-        a = s["arc"]
-        cx, cy, rx, ry, phi, th1, dth, n = (F.get(a, i) for i in range(8))
-        p1, p2 = s["p0"], F.try_element_at(s["pts"], F.lit(-1))
-        cphi, sphi = F.cos(phi), F.sin(phi)
-        delta = dth / n
-        k = F.lit(4.0 / 3.0) * F.tan(delta / 4)
-        on = lambda ux, uy: pt(cx + rx * cphi * ux - ry * sphi * uy, cy + rx * sphi * ux + ry * cphi * uy)
-
-        def piece(i):
-            t1 = th1 + delta * i
-            t2 = t1 + delta
-            start = F.when(i == 0, p1).otherwise(on(F.cos(t1), F.sin(t1)))
-            stop = F.when(i == n - 1, p2).otherwise(on(F.cos(t2), F.sin(t2)))
-            c1 = on(F.cos(t1) - k * F.sin(t1), F.sin(t1) + k * F.cos(t1))
-            c2 = on(F.cos(t2) + k * F.sin(t2), F.sin(t2) - k * F.cos(t2))
-            return s.withField("kind", F.lit("C")).withField("p0", start).withField("pts", F.array(c1, c2, stop))
-
-        line = s.withField("kind", F.lit("L")).withField("arc", F.array().cast("array<double>"))
-        return (F.when(n < 0, F.array().cast(f"array<{SEG}>"))
-                .when(n == 0, F.array(line))
-                .otherwise(F.transform(F.sequence(F.lit(0), n.cast("int") - 1), piece)))
-
-    return F.flatten(F.transform(as_col(segs), lambda s: F.when(s["kind"] == "A", pieces(s)).otherwise(F.array(s))))
-
-
-def transform_segs(segs, m, s=None) -> Column:
-    """Every point through matrix m, then times s."""
-    f = (lambda p: scale_pt(apply_mat(m, p), s)) if s is not None else (lambda p: apply_mat(m, p))
-    return F.transform(as_col(segs), lambda g: g.withField("p0", f(g["p0"])).withField("pts", F.transform(g["pts"], f)))
+# ---------------------------------------------------------------- segment table
+def path_segments(paths: DataFrame, d: str = "d") -> DataFrame:
+    """One fold per path, then a row per segment: the columns of ``paths`` and
+    ``(seg, sub, kind, p0, pts, arc, closing)``; a path without commands is one row of NULLs."""
+    folded = (paths.withColumn("_t", path_tokens(d)).withColumn("_i", command_index("_t"))
+              .withColumn("_c", path_commands("_t", "_i")).withColumn("_s", path_absolute("_c")))
+    return folded.select(*paths.columns, F.posexplode_outer("_s").alias("seg", "_g")).select(*paths.columns, "seg", "_g.*")
+
+
+def split_arcs(segs: DataFrame) -> DataFrame:
+    """Arc rows -> rows of cubic pieces of at most 90 degrees, numbered by ``piece``; other rows have piece 0.
+
+    An arc between equal points draws nothing, one without a radius is a line. The centre follows from the end points
+    (SVG implementation notes), step by step in columns of their own, so that no step is copied into the next.
+    """
+    p1, p2 = F.col("p0"), F.try_element_at("pts", F.lit(-1))
+    c, is_arc = F.col, F.col("kind") == "A"
+    same = (p1["x"] == p2["x"]) & (p1["y"] == p2["y"])
+    df = segs.withColumns({"_rx": F.abs(F.get("arc", F.lit(0))), "_ry": F.abs(F.get("arc", F.lit(1))), "_phi": F.radians(F.get("arc", F.lit(2))),
+                         "_hx": (p1["x"] - p2["x"]) / 2, "_hy": (p1["y"] - p2["y"]) / 2})
+    flat = is_arc & ((c("_rx") == 0) | (c("_ry") == 0))
+    df = df.withColumn("kind", F.when(is_arc & same, F.lit("M")).when(flat, F.lit("L")).otherwise(c("kind")))
+    df = df.withColumns({"_cos": F.cos("_phi"), "_sin": F.sin("_phi")})
+    df = df.withColumns({"_x": c("_cos") * c("_hx") + c("_sin") * c("_hy"), "_y": c("_cos") * c("_hy") - c("_sin") * c("_hx")})
+    df = df.withColumn("_grow", F.sqrt(F.greatest(F.lit(1.0), F.try_divide(c("_x") * c("_x"), c("_rx") * c("_rx"))
+                                                  + F.try_divide(c("_y") * c("_y"), c("_ry") * c("_ry")))))
+    df = df.withColumns({"_rx": c("_rx") * c("_grow"), "_ry": c("_ry") * c("_grow")})
+    # the centre in the ellipse's own axes, as multiples of the radii
+    df = df.withColumns({"_u": F.try_divide(c("_x"), c("_rx")), "_v": F.try_divide(c("_y"), c("_ry"))})
+    df = df.withColumn("_uu", c("_u") * c("_u") + c("_v") * c("_v"))
+    side = F.when(F.get("arc", F.lit(3)) == F.get("arc", F.lit(4)), F.lit(-1.0)).otherwise(F.lit(1.0))
+    df = df.withColumn("_k", side * F.sqrt(F.greatest(F.lit(0.0), F.try_divide(1 - c("_uu"), c("_uu")))))
+    df = df.withColumns({"_cu": c("_k") * c("_v"), "_cv": -c("_k") * c("_u")})
+    df = df.withColumns({
+        "_cx": c("_cos") * c("_rx") * c("_cu") - c("_sin") * c("_ry") * c("_cv") + (p1["x"] + p2["x"]) / 2,
+        "_cy": c("_sin") * c("_rx") * c("_cu") + c("_cos") * c("_ry") * c("_cv") + (p1["y"] + p2["y"]) / 2,
+        "_from": F.atan2(c("_v") - c("_cv"), c("_u") - c("_cu")),
+        "_to": F.atan2(-c("_v") - c("_cv"), -c("_u") - c("_cu"))})
+    turn = c("_to") - c("_from")
+    sweeps = F.get("arc", F.lit(4)) != 0
+    df = df.withColumn("_turn", F.when(sweeps & (turn < 0), turn + 2 * math.pi).when(~sweeps & (turn > 0), turn - 2 * math.pi).otherwise(turn))
+    df = df.withColumn("_n", F.when(is_arc, F.greatest(F.lit(1), F.ceil(F.abs("_turn") / (math.pi / 2) - 1e-9).cast("int"))).otherwise(F.lit(1)))
+    df = df.withColumn("piece", F.explode(F.sequence(F.lit(0), c("_n") - 1)))
+    df = df.withColumns({"_a": c("_from") + c("_turn") / c("_n") * c("piece"), "_b": c("_from") + c("_turn") / c("_n") * (c("piece") + 1),
+                         "_w": F.lit(4.0 / 3.0) * F.tan(c("_turn") / c("_n") / 4)})
+    df = df.withColumns({"_ca": F.cos("_a"), "_sa": F.sin("_a"), "_cb": F.cos("_b"), "_sb": F.sin("_b")})
+
+    def on(u, v):
+        return pt(c("_cx") + c("_rx") * c("_cos") * u - c("_ry") * c("_sin") * v, c("_cy") + c("_rx") * c("_sin") * u + c("_ry") * c("_cos") * v)
+
+    begin = F.when(c("piece") == 0, p1).otherwise(on(c("_ca"), c("_sa")))
+    end = F.when(c("piece") == c("_n") - 1, p2).otherwise(on(c("_cb"), c("_sb")))
+    handles = F.array(on(c("_ca") - c("_w") * c("_sa"), c("_sa") + c("_w") * c("_ca")), on(c("_cb") + c("_w") * c("_sb"), c("_sb") - c("_w") * c("_cb")), end)
+    df = df.withColumns({"p0": F.when(is_arc, begin).otherwise(p1), "pts": F.when(is_arc, handles).otherwise(c("pts")),
+                         "kind": F.when(is_arc, F.lit("C")).otherwise(c("kind"))})
+    return df.select(*[x for x in segs.columns if x != "arc"], "piece")
+
+
+def cubic_rows(segs: DataFrame) -> DataFrame:
+    """Lines and quadratics of a segment table as cubics."""
+    p0, q, e = F.col("p0"), F.get("pts", F.lit(0)), F.try_element_at("pts", F.lit(-1))
+    lerp = lambda a, b, t: pt(a["x"] + (b["x"] - a["x"]) * t, a["y"] + (b["y"] - a["y"]) * t)
+    pts = (F.when(F.col("kind") == "L", F.array(lerp(p0, e, 1.0 / 3), lerp(p0, e, 2.0 / 3), e))
+           .when(F.col("kind") == "Q", F.array(lerp(p0, q, 2.0 / 3), lerp(e, q, 2.0 / 3), e)).otherwise(F.col("pts")))
+    return segs.withColumns({"pts": pts, "kind": F.when(F.col("kind").isin("L", "Q"), F.lit("C")).otherwise(F.col("kind"))})
+
+
+def transform_rows(segs: DataFrame, m: str, s: str) -> DataFrame:
+    """Every point of a segment table through matrix ``m``, then times ``s``."""
+    f = lambda p: scale_pt(apply_mat(F.col(m), p), F.col(s))
+    return segs.withColumns({"p0": f(F.col("p0")), "pts": F.transform("pts", f)})
+
+
+def rows_text(segs: DataFrame, keys: list[str], decimals: int = 3, to_int: bool = False) -> DataFrame:
+    """Segment rows -> ``(keys, path_d)``: ordered regroup by subpath, then by path. Closing lines without length go; a
+    subpath is closed if it has a closing line or ends within 1e-5 of its start. NULL where a coordinate is not finite."""
+    f = lambda p: F.concat(fmt_num(p["x"], decimals, to_int), F.lit(" "), fmt_num(p["y"], decimals, to_int))
+    end = F.coalesce(F.try_element_at("pts", F.lit(-1)), F.col("p0"))
+    beyond = lambda p: ~((F.abs(p["x"]) < float("inf")) & (F.abs(p["y"]) < float("inf")))
+    bad = F.col("seg").isNotNull() & F.coalesce(F.exists(F.array_append("pts", F.col("p0")), beyond), F.lit(True))
+    kept = segs.where(~F.coalesce(F.col("closing") & (_dist(F.col("p0"), end) < CLOSE_EPS), F.lit(False)))
+    draws = F.col("kind") != "M"
+    kept = kept.select(*keys, "sub", "closing", "p0", F.struct("seg", "piece").alias("_at"), bad.alias("_bad"), F.when(draws, end).alias("_end"),
+                       F.when(draws, F.concat(F.lit(" "), "kind", F.lit(" "), F.array_join(F.transform("pts", f), " "))).alias("_text"))
+    in_order = lambda at, x: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(at, x))), lambda r: r[x]), " " if x == "_sub" else "")
+    subs = kept.groupBy(*keys, "sub").agg(
+        F.min_by("p0", "_at").alias("_start"), F.max_by("_end", F.when(F.col("_end").isNotNull(), F.col("_at"))).alias("_stop"),
+        F.bool_or("closing").alias("_closing"), F.bool_or("_bad").alias("_bad"), in_order("_at", "_text").alias("_body"))
+    closed = F.col("_closing") | F.coalesce(_dist(F.col("_stop"), F.col("_start")) < CLOSE_EPS, F.lit(False))
+    subs = subs.withColumn("_sub", F.concat(F.lit("M "), f(F.col("_start")), F.col("_body"), F.when(closed, F.lit("Z")).otherwise(F.lit(""))))
+    out = subs.groupBy(*keys).agg(F.bool_or("_bad").alias("_bad"), in_order("sub", "_sub").alias("path_d"))
+    return out.select(*keys, F.when(~F.col("_bad"), F.col("path_d")).alias("path_d"))
+
+
+def path_texts(paths: DataFrame, keys: list[str], d: str = "d", m: str = "m", s: str = "s", cubic_only: bool = True,
+               decimals: int = 3, to_int: bool = False) -> DataFrame:
+    """``(keys, path_d)`` of the ``paths`` that have data: segments, arcs, cubics, matrix and scale, text. A path without
+    commands has the empty text; a NULL scale, like a coordinate beyond double, gives NULL."""
+    paths = paths.where(F.col(d).isNotNull()).select(*keys, F.col(d).alias("_d"), F.col(m).alias("_m"), F.col(s).alias("_z"))
+    rows = split_arcs(path_segments(paths, "_d").drop("_d"))
+    return rows_text(transform_rows(cubic_rows(rows) if cubic_only else rows, "_m", "_z"), keys, decimals, to_int)
 
 
 # ---------------------------------------------------------------- text output
@@ -320,71 +357,39 @@ def fmt_num(v, decimals: int = 3, to_int: bool = False) -> Column:
     return F.when(s == "-0", F.lit("0")).otherwise(s)
 
 
-def path_text(subpaths, decimals: int = 3, to_int: bool = False) -> Column:
-    """Subpaths -> ``M x y C ...`` (``Z`` appended when closed), subpaths joined by a space."""
-    f = lambda p: F.concat(fmt_num(p["x"], decimals, to_int), F.lit(" "), fmt_num(p["y"], decimals, to_int))
-
-    def seg_text(g):
-        return F.concat(F.lit(" "), g["kind"], F.lit(" "), F.array_join(F.transform(g["pts"], f), " "))
-
-    def sub_text(sp):
-        return F.concat(F.lit("M "), f(sp["start"]), F.array_join(F.transform(sp["segs"], seg_text), ""),
-                        F.when(sp["closed"], F.lit("Z")).otherwise(F.lit("")))
-
-    return F.array_join(F.transform(as_col(subpaths), sub_text), " ")
-
-
-def with_path(df, d: str, m: str, s: str, out: str, cubic_only: bool = True, decimals: int = 3,
-              to_int: bool = False, keep_segments: bool = False):
-    """``d`` through tokens -> commands -> absolute -> arcs -> cubic -> transform*scale -> subpaths -> text.
-
-    Each stage is its own projected column so no stage's expression is copied into the next.
-    """
-    df = (df.withColumn("_ptok", path_tokens(d))
-          .withColumn("_pidx", command_index("_ptok"))
-          .withColumn("_pcmd", path_commands("_ptok", "_pidx"))
-          .withColumn("_pabs", path_absolute("_pcmd"))
-          .withColumn("_parc", arc_centres("_pabs"))
-          .withColumn("_pseg", arc_pieces("_parc"))
-          .withColumn("_pcub", to_cubic("_pseg", cubic_only))
-          .withColumn("_ptr", transform_segs("_pcub", F.col(m), F.col(s)))
-          .withColumn("_psub", subpath_close("_ptr"))
-          .withColumn(out, path_text("_psub", decimals, to_int)))
-    drop = ["_ptok", "_pidx", "_pcmd", "_pabs", "_parc", "_pseg", "_pcub", "_ptr"] + ([] if keep_segments else ["_psub"])
-    return df.drop(*drop)
-
-
 # ---------------------------------------------------------------- shapes
 def _num(m: Column, k: str, default=None) -> Column:
     v = F.regexp_replace(m[k], "[A-Za-z]", "").try_cast("double")
     return F.coalesce(v, F.lit(default)) if default is not None else v
 
 
-def shape_d(tag, attrs) -> Column:
-    """circle / ellipse / rect -> an equivalent path ``d`` (rx, ry default to each other)."""
-    m = as_col(attrs)
-    t = as_col(tag)
-    f = lambda v: F.format_string("%s", fmt_num(v, 6))
-    cx, cy = _num(m, "cx", 0.0), _num(m, "cy", 0.0)
-    r = _num(m, "r", 0.0)
-    erx, ery = _num(m, "rx", 0.0), _num(m, "ry", 0.0)
-    x, y, w, h = _num(m, "x", 0.0), _num(m, "y", 0.0), _num(m, "width", 0.0), _num(m, "height", 0.0)
-    rrx = F.least(F.coalesce(_num(m, "rx"), _num(m, "ry"), F.lit(0.0)), w / 2)
-    rry = F.least(F.coalesce(_num(m, "ry"), _num(m, "rx"), F.lit(0.0)), h / 2)
-
-    def ell(rx_, ry_):
-        return F.concat_ws(" ", F.lit("M"), f(cx - rx_), f(cy), F.lit("A"), f(rx_), f(ry_), F.lit("0 1 0"), f(cx + rx_), f(cy),
-                           F.lit("A"), f(rx_), f(ry_), F.lit("0 1 0"), f(cx - rx_), f(cy), F.lit("Z"))
-
-    plain_rect = F.concat_ws(" ", F.lit("M"), f(x), f(y), F.lit("H"), f(x + w), F.lit("V"), f(y + h), F.lit("H"), f(x), F.lit("Z"))
-    round_rect = F.concat_ws(" ", F.lit("M"), f(x + rrx), f(y), F.lit("H"), f(x + w - rrx),
-                             F.lit("A"), f(rrx), f(rry), F.lit("0 0 1"), f(x + w), f(y + rry),
-                             F.lit("V"), f(y + h - rry), F.lit("A"), f(rrx), f(rry), F.lit("0 0 1"), f(x + w - rrx), f(y + h),
-                             F.lit("H"), f(x + rrx), F.lit("A"), f(rrx), f(rry), F.lit("0 0 1"), f(x), f(y + h - rry),
-                             F.lit("V"), f(y + rry), F.lit("A"), f(rrx), f(rry), F.lit("0 0 1"), f(x + rrx), f(y), F.lit("Z"))
-    return (F.when(t == "circle", ell(r, r))
-            .when(t == "ellipse", ell(erx, ery))
-            .when(t == "rect", F.when((rrx > 0) & (rry > 0), round_rect).otherwise(plain_rect)))
+def with_shape_path(df: DataFrame, out: str, attrs: str = "lattrs") -> DataFrame:
+    """Adds ``out``: circle / ellipse / rect as an equivalent path ``d`` (rx, ry default to each other), NULL for others.
+
+    The numbers are texts in one array first, so that the path is put together from texts alone."""
+    m, t = F.col(attrs), F.col("tag")
+    n = {k: _num(m, k, 0.0) for k in ("cx", "cy", "r", "rx", "ry", "x", "y", "width", "height")}
+    round_x = F.least(F.coalesce(_num(m, "rx"), _num(m, "ry"), F.lit(0.0)), n["width"] / 2)
+    round_y = F.least(F.coalesce(_num(m, "ry"), _num(m, "rx"), F.lit(0.0)), n["height"] / 2)
+    rect = t == "rect"
+    df = df.withColumns({
+        "_w": F.when(t == "circle", n["r"]).when(rect, round_x).otherwise(n["rx"]), "_h": F.when(t == "circle", n["r"]).when(rect, round_y).otherwise(n["ry"]),
+        "_l": F.when(rect, n["x"]).otherwise(n["cx"]), "_o": F.when(rect, n["y"]).otherwise(n["cy"]),
+        "_r": F.when(rect, n["x"] + n["width"]), "_u": F.when(rect, n["y"] + n["height"])})
+    c = F.col
+    places = {"w": c("_w"), "h": c("_h"), "l": c("_l"), "o": c("_o"), "r": c("_r"), "u": c("_u"), "l+": c("_l") + c("_w"), "l-": c("_l") - c("_w"),
+              "r-": c("_r") - c("_w"), "o+": c("_o") + c("_h"), "u-": c("_u") - c("_h")}
+    df = df.withColumn("_f", F.when(t.isin("circle", "ellipse", "rect"), F.transform(F.array(*places.values()), lambda v: fmt_num(v, 6))))
+
+    def text(form: str) -> Column:
+        """The form's words, with the names of numbers replaced by their texts."""
+        names = list(places)
+        return F.concat_ws(" ", *[F.get("_f", F.lit(names.index(w))) if w in places else F.lit(w) for w in form.split()])
+
+    d = (F.when(t.isin("circle", "ellipse"), text("M l- o A w h 0 1 0 l+ o A w h 0 1 0 l- o Z"))
+         .when(rect & (c("_w") > 0) & (c("_h") > 0), text("M l+ o H r- A w h 0 0 1 r o+ V u- A w h 0 0 1 r- u H l+ A w h 0 0 1 l u- V o+ A w h 0 0 1 l+ o Z"))
+         .when(rect, text("M l o H r V u H l Z")))
+    return df.withColumn(out, d).drop("_w", "_h", "_l", "_o", "_r", "_u", "_f")
 
 
 def points_text(text, m, s, decimals: int = 3, to_int: bool = False) -> Column:

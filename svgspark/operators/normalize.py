@@ -7,10 +7,10 @@ and, when it fails, a reason; nothing is dropped silently.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from svgspark.functions.pathgeom import with_path_udf
 from svgspark.functions.text import local_name, style_map, style_text
 from svgspark.operators import geom as G
 from svgspark.operators import select as S
@@ -21,27 +21,43 @@ LENGTH_ATTRS = ["stroke-width", "x", "y", "x1", "x2", "y1", "y2", "font-size", "
 NON_ROOT_LENGTHS = ["width", "height"]
 SHAPE_TO_PATH = ["rect", "circle", "ellipse"]
 SHAPE_GEOMETRY = ["x", "y", "width", "height", "rx", "ry", "cx", "cy", "r"]
+UNIT = (1.0, 0.0, 0.0, 1.0, 0.0, 0.0)
 SHAPES = ["path", "polygon", "line", "polyline", "circle", "rect", "ellipse"]
 
 
-def effective_transform(el: DataFrame, key: str = "rec_id") -> DataFrame:
-    """Adds ``m_eff``: product of ancestors' local matrices (root first) times the element's own."""
-    anc = T.ancestor_join(el, key, carry="m_local")
-    chain = (anc.groupBy(key, "open_pos")
-             .agg(F.array_sort(F.collect_list(F.struct(F.col("anc_depth").alias("k"), F.col("anc_m_local").alias("m")))).alias("_chain")))
-    out = el.join(chain, [key, "open_pos"], "left")
-    fold = F.aggregate(F.coalesce(F.col("_chain"), F.array().cast(chain.schema["_chain"].dataType)), G.identity(),
-                       lambda acc, x: G.matmul(acc, x["m"]))
-    return out.withColumn("m_eff", G.matmul(fold, F.col("m_local"))).drop("_chain")
+def _products(key: str):
+    """Product of local matrices along the open elements: one pass over a record's elements with a stack."""
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("open_pos")
+        stack: list[tuple] = []
+        out: list[tuple] = []
+        for depth, own in zip(table.column("depth").to_pylist(), zip(*[table.column(x).to_pylist() for x in G.MAT_FIELDS])):
+            del stack[depth:]
+            if stack and own != UNIT:
+                a, b, c, d, e, f = stack[-1]
+                p, q, r, s, t, u = own
+                own = (a * p + c * q, b * p + d * q, a * r + c * s, b * r + d * s, a * t + c * u + e, b * t + d * u + f)
+            elif stack:
+                own = stack[-1]
+            stack.append(own)
+            out.append(own)
+        kept = table.select([key, "open_pos"])
+        for x, column in zip(G.MAT_FIELDS, zip(*out)):
+            kept = kept.append_column(x, pa.array(column, pa.float64()))
+        return kept
+
+    return run
+
 
+def effective_transform(el: DataFrame, key: str = "rec_id") -> DataFrame:
+    """Adds ``m_eff``: product of ancestors' local matrices (root first) times the element's own.
 
-def _set(m, k: str, v) -> F.Column:
-    """Map with key k set to v (added at the end when new); unchanged when v is NULL."""
-    m = F.col(m) if isinstance(m, str) else m
-    rest = F.map_filter(m, lambda kk, vv: kk != k)
-    return F.when(v.isNull(), m).otherwise(F.when(m.getItem(k).isNotNull(),
-                                                  F.transform_values(m, lambda kk, vv: F.when(kk == k, v).otherwise(vv)))
-                                           .otherwise(F.map_concat(rest, F.create_map(F.lit(k), v))))
+    A record's elements are folded in order with the stack of open elements, a row each however deep they are nested.
+    """
+    kind = el.schema[key].dataType.simpleString()
+    rows = el.select(key, F.col("open_pos").cast("int").alias("open_pos"), "depth", *[F.col("m_local")[x].alias(x) for x in G.MAT_FIELDS])
+    eff = rows.groupBy(key).applyInArrow(_products(key), f"{key} {kind}, open_pos int, " + ", ".join(f"{x} double" for x in G.MAT_FIELDS))
+    return el.join(eff.select(key, "open_pos", F.struct(*G.MAT_FIELDS).alias("m_eff")), [key, "open_pos"], "left")
 
 
 def _num(m, k):
@@ -50,7 +66,7 @@ def _num(m, k):
 
 def _scaled_style(text, is_shape, shape_factor, factor, fmt) -> F.Column:
     """An inline style with its lengths scaled; NULL when it holds none."""
-    m = style_map(text)
+    m = style_map(text, whole=True)
     length = lambda k: F.when(is_shape, k == "stroke-width").otherwise(k.isin(*LENGTH_ATTRS, *NON_ROOT_LENGTHS))
     number = lambda v: F.regexp_replace(v, "[A-Za-z]", "").try_cast("double")
     by = F.when(is_shape, shape_factor).otherwise(factor)
@@ -58,6 +74,22 @@ def _scaled_style(text, is_shape, shape_factor, factor, fmt) -> F.Column:
     return F.when(some, style_text(F.transform_values(m, lambda k, v: F.when(length(k), F.coalesce(fmt(number(v) * by), v)).otherwise(v))))
 
 
+def length_scale(tag, m, s) -> F.Column:
+    """What a length is multiplied by: a shape's own scale too where it is the same on both axes, a group's is the canvas'."""
+    uniform = (F.abs(F.abs(m["a"]) - F.abs(m["d"])) < 1e-4) & (F.abs(m["a"]) > 1e-8)
+    return s * F.when(tag.isin(*SHAPES) & uniform, F.abs(m["a"])).otherwise(F.lit(1.0))
+
+
+def gradient_points(la, m, s) -> tuple:
+    """((start, end) of a linear gradient, centre of a radial one, its radius), moved and scaled; coordinates that are
+    missing or no numbers count as 0, percentages of a centre as plain numbers."""
+    number = lambda k: F.regexp_replace(la[k], "[A-Za-z]", "").try_cast("double")
+    part = lambda k: F.regexp_replace(la[k], "[A-Za-z%]", "").try_cast("double")
+    place = lambda x, y: G.scale_pt(G.apply_mat(m, G.pt(F.coalesce(x, F.lit(0.0)), F.coalesce(y, F.lit(0.0)))), s)
+    ends = (place(number("x1"), number("y1")), place(number("x2"), number("y2")))
+    return ends, place(part("cx"), part("cy")), number("r") * s
+
+
 def normalize_corpus(docs: DataFrame, key: str = "rec_id", normalize_scale: float = 256.0, normalize_points: bool = True,
                      cubic_only: bool = True, to_int: bool = False, decimals: int = 3) -> DataFrame:
     """``(rec_id, svg)`` -> ``(rec_id, status, reason, svg_out, n_chars_in, n_chars_out)``."""
@@ -89,39 +121,38 @@ def normalize_corpus(docs: DataFrame, key: str = "rec_id", normalize_scale: floa
     tag = F.col("tag")
     is_shape = tag.isin(*SHAPES)
     # paths: rect/circle/ellipse become paths; path d re-emitted
-    el = el.withColumn("_d", F.when(tag == "path", la.getItem("d")).when(tag.isin(*SHAPE_TO_PATH), G.shape_d(tag, la)))
-    el = with_path_udf(el, "_d", "m_eff", "s", "_d_out", cubic_only, decimals, to_int)
+    el = G.with_shape_path(el, "_shape").withColumn("_d", F.when(tag == "path", la.getItem("d")).otherwise(F.col("_shape"))).drop("_shape")
+    drawn = G.path_texts(el.select(key, "open_pos", "_d", "m_eff", "s"), [key, "open_pos"], "_d", "m_eff", "s", cubic_only, decimals, to_int)
+    el = el.join(drawn.withColumnRenamed("path_d", "_d_out"), [key, "open_pos"], "left")
 
     # every rewritten attribute as one small "updates" map (lower-case keys), applied in one pass
     m, s = F.col("m_eff"), F.col("s")
     fmt = lambda v: G.fmt_num(v, decimals, to_int)
     line_like = tag.isin("line", "linearGradient", "lineargradient")
     rad = tag.isin("radialGradient", "radialgradient")
+    gradient = rad | tag.isin("linearGradient", "lineargradient")
     # gradients keep their defaults and percentages: only coordinates that are all there as numbers are rewritten
     number = {k: _num("lattrs", k) for k in ("x1", "y1", "x2", "y2", "cx", "cy", "r")}
     line_like = line_like & ((tag == "line") | (number["x1"] + number["y1"] + number["x2"] + number["y2"]).isNotNull())
-    zero = lambda k: F.coalesce(number[k], F.lit(0.0))
-    p1 = G.scale_pt(G.apply_mat(m, G.pt(zero("x1"), zero("y1"))), s)
-    p2 = G.scale_pt(G.apply_mat(m, G.pt(zero("x2"), zero("y2"))), s)
+    (p1, p2), c, radius = gradient_points(la, m, s)
     # a percentage takes part in the point as a plain number but stays as written
     part = {k: F.regexp_replace(la.getItem(k), "[A-Za-z%]", "").try_cast("double") for k in ("cx", "cy", "r")}
     rad = rad & (part["cx"] + part["cy"] + part["r"]).isNotNull()
-    c = G.scale_pt(G.apply_mat(m, G.pt(F.coalesce(part["cx"], F.lit(0.0)), F.coalesce(part["cy"], F.lit(0.0)))), s)
-    # scale factor of plain length attributes: shapes scale stroke-width only (times |a| when uniform and not zero)
-    uniform = (F.abs(F.abs(m["a"]) - F.abs(m["d"])) < 1e-4) & (F.abs(m["a"]) > 1e-8)
-    stroke_scale = s * F.when(uniform, F.abs(m["a"])).otherwise(F.lit(1.0))
+    stroke_scale = length_scale(tag, m, s)
     el = el.join(sc.drop("s"), key, "left")
     is_root = F.col("depth") == 0
     vb = F.concat_ws(" ", *[fmt(F.col(x)) for x in ("vb_x_s", "vb_y_s", "vb_w_s", "vb_h_s")])
     ups = [
         ("d", F.when(F.col("_d").isNotNull(), F.col("_d_out"))),
-        ("stroke-width", F.when(is_shape & la.getItem("stroke").isNotNull() & la.getItem("stroke-width").isNull(), fmt(stroke_scale))),
+        # a stroke without a width has width 1: a shape's scales with its own matrix, a group's by the canvas alone
+        ("stroke-width", F.when(~gradient & la.getItem("stroke").isNotNull() & la.getItem("stroke-width").isNull(),
+                                fmt(stroke_scale))),
         ("x1", F.when(line_like, fmt(p1["x"]))), ("y1", F.when(line_like, fmt(p1["y"]))),
         ("x2", F.when(line_like, fmt(p2["x"]))), ("y2", F.when(line_like, fmt(p2["y"]))),
         ("points", F.when(tag.isin("polyline", "polygon") & la.getItem("points").isNotNull(),
                           G.points_text(la.getItem("points"), m, s, decimals, to_int))),
         ("cx", F.when(rad & number["cx"].isNotNull(), fmt(c["x"]))), ("cy", F.when(rad & number["cy"].isNotNull(), fmt(c["y"]))),
-        ("r", F.when(rad, fmt(number["r"] * s))),
+        ("r", F.when(rad, fmt(radius))),
         ("viewbox", F.when(is_root & F.lit(normalize_points), vb)),
         ("width", F.when(is_root & (la.getItem("width").isNull() | la.getItem("width").contains("%")), fmt(F.col("vb_w")))),
         ("height", F.when(is_root & (la.getItem("height").isNull() | la.getItem("height").contains("%")), fmt(F.col("vb_h")))),
@@ -157,7 +188,8 @@ def normalize_corpus(docs: DataFrame, key: str = "rec_id", normalize_scale: floa
     new_tag = F.when(tag.isin(*SHAPE_TO_PATH), F.lit("path")).otherwise(tag)
     el = el.select(key, "open_pos", "close_pos", new_tag.alias("new_tag"), F.col("_a").alias("new_attrs"))
 
-    text = svg_text(toks.join(ok_keys, key, "left_semi"), el, key)
+    own = toks.join(ok_keys, key, "left_semi")
+    text = svg_text(own, el, key, T.style_blocks(own, sc.select(key, "s"), key, LENGTH_ATTRS + NON_ROOT_LENGTHS, fmt))
     fails = (gated.where(F.col("reason").isNotNull()).select(key, F.lit("rejected").alias("status"), "reason",
                                                              F.lit(None).cast("string").alias("svg_out")))
     parse_fail = wf.where(~F.col("ok")).select(key, F.lit("parse_error").alias("status"), "reason",
@@ -180,18 +212,28 @@ def attrs_text(m) -> F.Column:
                                                                          T.escape_xml(e["value"]), F.lit('"'))), "")
 
 
-def svg_text(tokens: DataFrame, new_el: DataFrame, key: str = "rec_id") -> DataFrame:
+def svg_text(tokens: DataFrame, new_el: DataFrame, key: str = "rec_id", new_texts: DataFrame | None = None,
+             added: DataFrame | None = None) -> DataFrame:
     """Tokens + rewritten elements -> markup per record. Comments, PIs and doctype are dropped (as an
-    XML tree round trip does); tag prefixes removed; attribute order kept."""
+    XML tree round trip does); tag prefixes removed; attribute order kept.
+
+    ``new_texts`` ``(key, pos, new_text)`` replaces text tokens; ``added`` ``(key, pos, ord, piece)`` is markup put in
+    after the token at ``pos``, in the order of ``ord``."""
     keep = tokens.where(F.col("kind").isin("open", "empty", "close", "text", "cdata"))
     opens = new_el.select(key, F.col("open_pos").alias("pos"), "new_tag", "new_attrs")
     closes = new_el.select(key, F.col("close_pos").alias("pos"), F.col("new_tag").alias("close_tag"))
     j = keep.join(opens, [key, "pos"], "left").join(closes, [key, "pos"], "left")
+    texts = F.col("tok")
+    if new_texts is not None:
+        j = j.join(new_texts.select(key, "pos", "new_text"), [key, "pos"], "left")
+        texts = F.coalesce("new_text", "tok")
     piece = (F.when(F.col("kind") == "open", F.concat(F.lit("<"), F.col("new_tag"), attrs_text(F.col("new_attrs")), F.lit(">")))
              .when(F.col("kind") == "empty", F.concat(F.lit("<"), F.col("new_tag"), attrs_text(F.col("new_attrs")), F.lit("/>")))
              .when(F.col("kind") == "close", F.concat(F.lit("</"), F.coalesce(F.col("close_tag"), local_name(F.col("name"))), F.lit(">")))
-             .otherwise(F.col("tok")))
-    parts = j.select(key, "pos", piece.alias("piece"))
+             .otherwise(texts))
+    parts = j.select(key, "pos", F.lit(0).alias("ord"), piece.alias("piece"))
+    if added is not None:
+        parts = parts.unionByName(added.select(key, "pos", "ord", "piece"))
     return (parts.groupBy(key)
-            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "piece"))), lambda x: x["piece"]), "")
+            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "ord", "piece"))), lambda x: x["piece"]), "")
                  .alias("svg_out")))

@@ -7,10 +7,11 @@ keeps a single exchange. Records of any length are read whole.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from svgspark.functions.text import local_name, numeric_text
+from svgspark.functions.text import local_name, numeric_text, strip_ws, style_map
 
 # Markup token pattern (comment, CDATA, PI, doctype, quote-safe tag, text run).
 QTAG = r"""(?:[^>"']|"[^"]*"|'[^']*')*>"""
@@ -69,14 +70,19 @@ def escape_xml(c) -> F.Column:
     return c
 
 
-def tag_attrs(tok) -> F.Column:
-    """Attributes of a tag token as MAP (values unquoted and unescaped; first occurrence wins)."""
-    names = F.regexp_extract_all(tok, F.lit(ATTR_RUNS), 1)
-    vals = F.transform(F.regexp_extract_all(tok, F.lit(ATTR_RUNS), 2), lambda v: unescape_xml(F.substring(v, 2, F.length(v) - 2)))
-    entries = F.arrays_zip(names.alias("key"), vals.alias("value"))
-    entries = F.transform(entries, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
-    uniq = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, 1, i), lambda x: x["key"] == e["key"]))
-    return F.map_from_entries(uniq)
+def first_wins(names: str, values: str) -> F.Column:
+    """Map of two array columns in which the first of repeated names counts. Only tags that repeat a name search it."""
+    once = F.array_distinct(names)
+    first = F.transform(once, lambda n: F.get(F.col(values), F.array_position(F.col(names), n).cast("int") - 1))
+    return F.when(F.size(once) == F.size(names), F.map_from_arrays(names, values)).otherwise(F.map_from_arrays(once, first))
+
+
+def with_attrs(tags: DataFrame, tok: str = "tok") -> DataFrame:
+    """Adds ``attrs``, the attributes of a tag token as MAP (values unquoted and unescaped; first occurrence wins)."""
+    quoted = F.regexp_extract_all(tok, F.lit(ATTR_RUNS), 2)
+    tags = tags.withColumns({"_names": F.regexp_extract_all(tok, F.lit(ATTR_RUNS), 1),
+                             "_values": F.transform(quoted, lambda v: unescape_xml(F.substring(v, 2, F.length(v) - 2)))})
+    return tags.withColumn("attrs", first_wins("_names", "_values")).drop("_names", "_values")
 
 
 def svg_elements(tokens: DataFrame, key: str = "rec_id") -> DataFrame:
@@ -85,11 +91,11 @@ def svg_elements(tokens: DataFrame, key: str = "rec_id") -> DataFrame:
     tags = tokens.where(F.col("kind").isin("open", "close", "empty"))
     w = Window.partitionBy(key, "depth").orderBy("pos")
     tags = tags.withColumn("_next_pos", F.lead("pos").over(w)).withColumn("_next_kind", F.lead("kind").over(w))
-    el = tags.where(F.col("kind").isin("open", "empty"))
+    el = with_attrs(tags.where(F.col("kind").isin("open", "empty")))
     close = F.when(F.col("kind") == "empty", F.col("pos")).when(F.col("_next_kind") == "close", F.col("_next_pos"))
     return el.select(key, F.col("pos").alias("open_pos"), close.alias("close_pos"), "depth",
                      F.col("name").alias("qname"), local_name(F.col("name")).alias("tag"),
-                     tag_attrs(F.col("tok")).alias("attrs"))
+                     "attrs")
 
 
 def ancestor_join(elements: DataFrame, key: str = "rec_id", carry: str | None = None, only_parent: bool = False) -> DataFrame:
@@ -145,9 +151,8 @@ def wellformed(tokens: DataFrame, key: str = "rec_id") -> DataFrame:
 
 def lower_attrs(elements: DataFrame) -> DataFrame:
     """Adds ``lattrs``: attribute names lower-cased (values unchanged; first spelling wins on clashes)."""
-    entries = F.transform(F.map_entries("attrs"), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
-    uniq = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, 1, i), lambda x: x["key"] == e["key"]))
-    return elements.withColumn("lattrs", F.map_from_entries(uniq))
+    named = elements.withColumns({"_names": F.transform(F.map_keys("attrs"), F.lower), "_values": F.map_values("attrs")})
+    return named.withColumn("lattrs", first_wins("_names", "_values")).drop("_names", "_values")
 
 
 def attr(name: str, m: str = "lattrs") -> F.Column:
@@ -190,31 +195,71 @@ def canvas_scale(boxes: DataFrame, normalize_scale: float = 256.0, to_int: bool
 CSS_RULE_RE = r"(?<![^{}])([^{}]++)\{([^}]*+)\}"
 
 
+def style_texts(tokens: DataFrame, key: str) -> DataFrame:
+    """``(rec_id, pos, kind, css)``: the text and CDATA tokens inside ``<style>``, comments and CDATA marks removed."""
+    w = Window.partitionBy(key).orderBy("pos")
+    t = tokens.withColumn("_prev_name", F.lag("name").over(w)).withColumn("_prev_kind", F.lag("kind").over(w))
+    css = t.where((F.col("kind").isin("text", "cdata")) & (F.lower("_prev_name") == "style") & (F.col("_prev_kind") == "open"))
+    return css.select(key, "pos", "kind", F.regexp_replace(F.regexp_replace("tok", r"^<!\[CDATA\[|\]\]>$", ""), r"(?s)/\*.*?\*/", "").alias("css"))
+
+
+def _class_bodies(css: DataFrame, key: str) -> DataFrame:
+    """``(rec_id, pos, ri, si, cls, body)``: a row per plain class selector of each rule, in order."""
+    rules = css.select(key, "pos", F.posexplode(F.regexp_extract_all("css", F.lit(CSS_RULE_RE), 0)).alias("ri", "rule"))
+    rules = rules.select(key, "pos", "ri", F.regexp_extract("rule", CSS_RULE_RE, 1).alias("sel"), F.regexp_extract("rule", CSS_RULE_RE, 2).alias("body"))
+    sels = rules.select(key, "pos", "ri", F.posexplode(F.split("sel", ",")).alias("si", "selector"), "body")
+    sels = sels.withColumn("selector", F.regexp_replace("selector", r"^\s+|\s+$", ""))
+    plain = sels.where(F.col("selector").rlike(r"^\.[A-Za-z_-][A-Za-z0-9_-]*$"))
+    return plain.select(key, "pos", "ri", "si", F.expr("substr(selector, 2)").alias("cls"), "body")
+
+
+def complex_class_rules(tokens: DataFrame, key: str = "rec_id") -> DataFrame:
+    """Records with a selector that names a class and is more than one plain class (``rect.a``, ``.a .b``)."""
+    css = style_texts(tokens, key)
+    sels = css.select(key, F.explode(F.split(F.array_join(F.regexp_extract_all("css", F.lit(CSS_RULE_RE), 1), ","), ",")).alias("selector"))
+    sels = sels.withColumn("selector", F.regexp_replace("selector", r"^\s+|\s+$", ""))
+    return sels.where(F.col("selector").contains(".") & ~F.col("selector").rlike(r"^\.[A-Za-z_-][A-Za-z0-9_-]*$")).select(key).distinct()
+
+
 def style_rules(tokens: DataFrame, key: str = "rec_id") -> DataFrame:
     """``<style>`` text -> one row per ``.class`` selector: ``(rec_id, selector, props MAP)``.
 
     Selector lists are split; non-class selectors are dropped; rules for the same class merge,
     later declarations winning.
     """
-    from svgspark.functions.text import style_map
-
-    w = Window.partitionBy(key).orderBy("pos")
-    t = tokens.withColumn("_prev_name", F.lag("name").over(w)).withColumn("_prev_kind", F.lag("kind").over(w))
-    css = t.where((F.col("kind").isin("text", "cdata")) & (F.lower("_prev_name") == "style") & (F.col("_prev_kind") == "open"))
-    css = css.withColumn("css", F.regexp_replace(F.regexp_replace("tok", r"^<!\[CDATA\[|\]\]>$", ""), r"(?s)/\*.*?\*/", ""))
-    rules = css.select(key, "pos", F.posexplode(F.regexp_extract_all("css", F.lit(CSS_RULE_RE), 0)).alias("ri", "rule"))
-    rules = rules.select(key, "pos", "ri",
-                         F.regexp_extract("rule", CSS_RULE_RE, 1).alias("sel"),
-                         style_map(F.regexp_extract("rule", CSS_RULE_RE, 2)).alias("props"))
-    sels = rules.select(key, "pos", "ri", F.posexplode(F.split("sel", ",")).alias("si", "selector"), "props")
-    sels = sels.withColumn("selector", F.regexp_replace("selector", r"^\s+|\s+$", ""))
-    cls = sels.where(F.col("selector").rlike(r"^\.[A-Za-z_-][A-Za-z0-9_-]*$"))
-    per = (cls.select(key, F.expr("substr(selector, 2)").alias("cls"), "pos", "ri",
-                      F.explode("props").alias("prop", "value"))
+    cls = _class_bodies(style_texts(tokens, key), key)
+    per = (cls.select(key, "cls", "pos", "ri", F.explode(style_map("body")).alias("prop", "value"))
            .groupBy(key, "cls", "prop").agg(F.max_by("value", F.struct("pos", "ri")).alias("value")))
     return per.groupBy(key, "cls").agg(F.map_from_entries(F.collect_list(F.struct("prop", "value"))).alias("props"))
 
 
+def style_blocks(tokens: DataFrame, scales: DataFrame, key: str, lengths: list[str], fmt) -> DataFrame:
+    """``(rec_id, pos, new_text)``: each ``<style>`` text written back from its class rules.
+
+    Rules of one class merge, in the order in which classes and properties first come, the last value of a property
+    counting; a stroke without a width gets width 1; ``lengths`` are multiplied by the record's ``s``. Selectors that are
+    no plain class are dropped. Values may hold colons, and semicolons inside parentheses.
+    """
+    css = style_texts(tokens, key).where(F.trim("css") != "")
+    decl = _class_bodies(css, key).select(key, "pos", "cls", "ri", "si", F.posexplode(F.split("body", r";(?![^(]*\))")).alias("di", "decl"))
+    decl = decl.where(F.locate(":", "decl") > 1).select(
+        key, "pos", "cls", F.struct("ri", "si", "di").alias("at"), strip_ws(F.split("decl", ":", 2)[0]).alias("prop"),
+        strip_ws(F.split("decl", ":", 2)[1]).alias("value"))
+    props = decl.groupBy(key, "pos", "cls", "prop").agg(F.min("at").alias("at"), F.max_by("value", "at").alias("value"))
+    scaled = fmt(numeric_text("value") * F.col("s"))
+    written = F.concat("prop", F.lit(":"), F.when(F.col("prop").isin(*lengths), F.coalesce(scaled, F.col("value"))).otherwise(F.col("value")))
+    classes = props.join(scales, key).groupBy(key, "pos", "cls").agg(
+        F.min("at").alias("at"), F.array_sort(F.collect_list(F.struct("at", written.alias("text")))).alias("texts"),
+        F.max("s").alias("s"), F.bool_or(F.col("prop") == "stroke").alias("stroke"), F.bool_or(F.col("prop") == "stroke-width").alias("width"))
+    bare = F.when(F.col("stroke") & ~F.col("width"), F.array(F.concat(F.lit("stroke-width:"), fmt(F.col("s"))))).otherwise(F.array().cast("array<string>"))
+    rule = F.concat(F.lit("."), "cls", F.lit("{"), F.array_join(F.concat(F.transform("texts", lambda x: x["text"]), bare), ";"), F.lit("}"))
+    blocks = classes.groupBy(key, "pos").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("at", rule.alias("rule")))), lambda x: x["rule"]), "\n").alias("text"))
+    # CDATA marks are gone from the text, so what they protected is escaped
+    text = F.when(F.col("kind") == "cdata", F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))).otherwise(F.col("text"))
+    return css.join(blocks, [key, "pos"], "left").select(key, "pos", F.coalesce(text, F.lit("")).alias("new_text"))
+
+
 def class_rules(elements: DataFrame, rules: DataFrame, key: str = "rec_id") -> DataFrame:
     """Style properties each element receives from its classes: ``(rec_id, open_pos, prop, value)``."""
     cls = (elements.select(key, "open_pos", F.posexplode(F.split(F.trim(F.col("lattrs")["class"]), r"\s+")).alias("ci", "cls"))
@@ -224,17 +269,82 @@ def class_rules(elements: DataFrame, rules: DataFrame, key: str = "rec_id") -> D
     return j.groupBy(key, "open_pos", "prop").agg(F.max_by("value", "ci").alias("value"))
 
 
-# Fixed value: references to ids (url(#id) or href="#id").
-ID_REF_RE = r"url\(\s*#([^)\s]+)\s*\)|^#(.+)$"
+# Fixed value: elements that are never drawn where they stand, only where they are referred to.
+DEFINITIONS = ["lineargradient", "radialgradient", "clippath", "mask", "marker", "pattern", "symbol", "filter"]
+#: Children of <defs> that work without being referred to.
+STANDING = ["style", "script", "title", "desc", "metadata"]
+URL_REF = r"""url\(\s*["']?#([^)\s"']+)["']?\s*\)"""
+
 
+def definition_units(elements: DataFrame, key: str = "rec_id") -> DataFrame:
+    """Adds ``unit``: the opening position of the outermost definition an element is or lies in, NULL where it is drawn.
 
-def unreferenced_ids(elements: DataFrame, key: str = "rec_id") -> DataFrame:
-    """Element ids nobody references (``url(#id)`` in any value, or ``#id`` as an href)."""
-    ids = elements.where(F.col("lattrs")["id"].isNotNull()).select(key, "open_pos", F.col("lattrs")["id"].alias("id"))
-    vals = elements.select(key, F.explode(F.map_values("lattrs")).alias("v"))
-    refs_url = vals.select(key, F.explode(F.regexp_extract_all("v", F.lit(r"url\(\s*#([^)\s]+)\s*\)"), 1)).alias("id"))
-    hrefs = (elements.select(key, F.explode("lattrs").alias("k", "v"))
-             .where(F.col("k").isin("href", "xlink:href") & F.col("v").startswith("#"))
-             .select(key, F.expr("substr(v, 2)").alias("id")))
-    refs = refs_url.unionByName(hrefs).distinct()
-    return ids.join(refs, [key, "id"], "left_anti")
+    A definition is a child of ``<defs>`` or an element of DEFINITIONS. Two windows: the depth of the ``<defs>`` that
+    encloses a row, and the furthest end of the definitions begun so far.
+    """
+    low = F.lower("tag")
+    before = Window.partitionBy(key).orderBy("open_pos").rowsBetween(Window.unboundedPreceding, -1)
+    last_parent = Window.partitionBy(key, "_level").orderBy("open_pos").rowsBetween(Window.unboundedPreceding, -1)
+    # a row for the element as a parent (its depth) and one as a child (the depth above)
+    both = elements.select("*", F.explode(F.array(F.struct(F.col("depth").alias("_level"), F.lit(True).alias("_own")),
+                                                  F.struct((F.col("depth") - 1).alias("_level"), F.lit(False).alias("_own")))).alias("_r"))
+    both = both.select(*elements.columns, "_r.*")
+    parent = F.last(F.when(F.col("_own"), low), ignorenulls=True).over(last_parent)
+    el = both.withColumn("_parent", parent).where(~F.col("_own")).drop("_own", "_level")
+    begins = (low.isin(*DEFINITIONS) | (F.col("_parent") == "defs")) & ~low.isin(*STANDING, "defs")
+    end = F.coalesce("close_pos", "open_pos")
+    el = el.withColumn("_end", F.when(begins, end))
+    el = el.withColumn("_reach", F.max("_end").over(before))
+    outer = F.col("_end").isNotNull() & ~F.coalesce(F.col("_reach") >= F.col("open_pos"), F.lit(False))
+    upto = Window.partitionBy(key).orderBy("open_pos").rowsBetween(Window.unboundedPreceding, 0)
+    last = F.last(F.when(outer, F.struct(F.col("open_pos").alias("p"), end.alias("e"))), ignorenulls=True).over(upto)
+    el = el.withColumn("_unit", last)
+    return el.withColumn("unit", F.when(F.col("_unit.e") >= F.col("open_pos"), F.col("_unit.p"))).drop("_parent", "_end", "_reach", "_unit")
+
+
+def references(units: DataFrame, css: DataFrame | None = None, key: str = "rec_id") -> DataFrame:
+    """``(rec_id, unit, id)``: what the elements of each unit refer to, by ``url(#id)`` in any value or ``#id`` as a link;
+    references in ``css`` (rec_id, css) come from no unit."""
+    in_values = F.flatten(F.transform(F.map_values("lattrs"), lambda v: F.regexp_extract_all(v, F.lit(URL_REF), 1)))
+    links = F.transform(F.filter(F.array(F.col("lattrs")["href"], F.col("lattrs")["xlink:href"]), lambda v: v.startswith("#")), lambda v: F.substr(v, F.lit(2)))
+    refs = units.select(key, "unit", F.explode(F.concat(in_values, links)).alias("id"))
+    if css is not None:
+        refs = refs.unionByName(css.select(key, F.lit(None).cast("int").alias("unit"), F.explode(F.regexp_extract_all("css", F.lit(URL_REF), 1)).alias("id")))
+    return refs.distinct()
+
+
+def _reach_of(key: str):
+    """The units that can be reached from what is drawn (-1), along the references of one record."""
+    def run(table: pa.Table) -> pa.Table:
+        after: dict[int, list[int]] = {}
+        for a, b in zip(table.column("unit").to_pylist(), table.column("target").to_pylist()):
+            after.setdefault(a, []).append(b)
+        seen, todo = set(), [-1]
+        while todo:
+            for b in after.get(todo.pop(), ()):
+                if b not in seen:
+                    seen.add(b)
+                    todo.append(b)
+        units = pa.array(sorted(seen), pa.int32())
+        return pa.table({key: table.column(key).take(pa.array([0] * len(units), pa.int64())), "unit": units})
+
+    return run
+
+
+def live_units(units: DataFrame, css: DataFrame | None = None, key: str = "rec_id") -> DataFrame:
+    """``(rec_id, unit)`` of the definitions that something drawn refers to, directly or through other definitions. A
+    definition used only by an unused one is unused, and so are definitions that use each other."""
+    ids = units.where(F.col("unit").isNotNull() & F.col("lattrs")["id"].isNotNull()).select(key, F.col("lattrs")["id"].alias("id"), F.col("unit").cast("int").alias("target"))
+    edges = references(units, css, key).join(ids, [key, "id"]).select(key, F.coalesce(F.col("unit"), F.lit(-1)).cast("int").alias("unit"), "target").distinct()
+    kind = units.schema[key].dataType.simpleString()
+    return edges.groupBy(key).applyInArrow(_reach_of(key), f"{key} {kind}, unit int")
+
+
+def unreferenced_ids(elements: DataFrame, key: str = "rec_id", css: DataFrame | None = None) -> DataFrame:
+    """Elements whose id nothing that is kept refers to: what is drawn, and the definitions that are reached from there."""
+    units = definition_units(elements, key)
+    live = live_units(units, css, key)
+    refs = references(units, css, key)
+    kept = refs.where("unit IS NULL").select(key, "id").union(refs.join(live, [key, "unit"], "left_semi").select(key, "id")).distinct()
+    ids = units.where(F.col("lattrs")["id"].isNotNull()).select(key, "open_pos", F.col("lattrs")["id"].alias("id"))
+    return ids.join(kept, [key, "id"], "left_anti")

@@ -126,10 +126,12 @@ def q_canvas_scale(spark, sf):
     return c.select("rec_id", *[F.round(x, 6).alias(x) for x in ("s", "vb_x_s", "vb_y_s", "vb_w_s", "vb_h_s")])
 
 
-@register("ancestor_join", duck_with("svg_raw") + ",\n" + d_tokens() + """
-SELECT e.rec_id, e.open_pos, a.depth AS anc_depth, a.open_pos AS anc_pos, a.tag AS anc_tag
-FROM (SELECT rec_id, open_pos, unnest(generate_series(0, depth - 1)) AS k FROM okel) e
-ASOF JOIN okel a ON a.rec_id = e.rec_id AND a.depth = e.k AND e.open_pos > a.open_pos""")
+@register("ancestor_join", duck_with("svg_raw") + ",\n" + d_tokens() + """,
+lev AS (SELECT rec_id, open_pos, depth AS k, open_pos AS anc, tag FROM okel
+  UNION ALL SELECT rec_id, open_pos, unnest(generate_series(0, depth - 1)), NULL, NULL FROM okel WHERE depth > 0),
+held AS (SELECT rec_id, open_pos, k, anc, last_value(anc IGNORE NULLS) OVER w AS anc_pos, last_value(tag IGNORE NULLS) OVER w AS anc_tag FROM lev
+  WINDOW w AS (PARTITION BY rec_id, k ORDER BY open_pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT rec_id, open_pos, CAST(k AS INTEGER) AS anc_depth, anc_pos, anc_tag FROM held WHERE anc IS NULL""")
 def q_ancestor_join(spark, sf):
     return T.ancestor_join(ok_elements(spark, sf), carry="tag")
 
@@ -161,11 +163,21 @@ def q_class_rules(spark, sf):
     return T.class_rules(T.lower_attrs(T.svg_elements(tk)), T.style_rules(tk))
 
 
-@register("unreferenced_ids", duck_with("svg_styled") + ",\n" + d_tokens("svg_styled") + """,
-ids AS (SELECT rec_id, open_pos, """ + d_attr("id") + """ AS id FROM del),
-refs AS (SELECT DISTINCT rec_id, unnest(regexp_extract_all(tok, 'url\\(\\s*#([^)\\s]+)\\s*\\)', 1)) AS id FROM del
-  UNION SELECT rec_id, substr(regexp_extract(tok, '(?i)\\s(?:xlink:)?href\\s*=\\s*"(#[^"]*)"', 1), 2) FROM del
-  WHERE regexp_matches(tok, '(?i)\\s(?:xlink:)?href\\s*=\\s*"#'))
-SELECT rec_id, open_pos, id FROM ids WHERE id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM refs r WHERE r.rec_id = ids.rec_id AND r.id = ids.id)""")
+def d_live(src: str = "svg_defs") -> str:
+    """DuckDB CTEs over ``svg_defs``: ``m`` (elements with their definition), ``refs`` and ``live`` (definitions reached)."""
+    return duck_with(src).replace("WITH ", "WITH RECURSIVE ", 1) + ",\n" + d_tokens(src) + f""",
+dfs AS (SELECT rec_id, open_pos, close_pos FROM okel WHERE tag = 'defs'),
+u AS (SELECT e.rec_id, e.open_pos AS unit, e.close_pos FROM okel e JOIN dfs d ON d.rec_id = e.rec_id AND e.open_pos > d.open_pos AND e.close_pos < d.close_pos
+  WHERE e.depth = 2 AND e.tag <> 'style'),
+m AS (SELECT e.*, u.unit, nullif(regexp_extract(e.tok, ' id="([^"]*)"', 1), '') AS id FROM okel e LEFT JOIN u ON u.rec_id = e.rec_id AND e.open_pos BETWEEN u.unit AND u.close_pos),
+refs AS (SELECT rec_id, unit, unnest(regexp_extract_all(tok, '(?:url\\(#|href="#)([^)"]+)', 1)) AS id FROM m UNION ALL SELECT rec_id, NULL, 's' FROM {src}),
+edges AS (SELECT DISTINCT r.rec_id, coalesce(r.unit, -1) AS a, t.unit AS b FROM refs r JOIN m t ON t.rec_id = r.rec_id AND t.id = r.id WHERE t.unit IS NOT NULL),
+live AS (SELECT rec_id, b AS unit FROM edges WHERE a = -1 UNION SELECT e.rec_id, e.b FROM live l JOIN edges e ON e.rec_id = l.rec_id AND e.a = l.unit)"""
+
+
+@register("unreferenced_ids", d_live() + """
+SELECT rec_id, open_pos, id FROM m WHERE id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM refs r WHERE r.rec_id = m.rec_id AND r.id = m.id
+  AND (r.unit IS NULL OR EXISTS (SELECT 1 FROM live l WHERE l.rec_id = r.rec_id AND l.unit = r.unit)))""")
 def q_unreferenced_ids(spark, sf):
-    return T.unreferenced_ids(elements(spark, sf, "svg_styled")).select("rec_id", "open_pos", "id")
+    tk = tokens(spark, sf, "svg_defs")
+    return T.unreferenced_ids(T.lower_attrs(T.svg_elements(tk)), css=T.style_texts(tk, "rec_id")).select("rec_id", "open_pos", "id")

@@ -8,6 +8,8 @@ DuckDB (inlined as ``WITH`` clauses in the oracle SQL). Both engines see the sam
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 BASE_TABLES = (
@@ -40,6 +42,42 @@ DUCK_SLOTS = {
     "SEQ": "generate_series(1, CAST(p.page_id%4+1 AS INT))",
 }
 
+def _geom() -> str:
+    """Template of ``svg_geom``: markup in which ``[expression of k]`` is a number."""
+    paths = (
+        "M[k%13] [k%7]H[k%9+14]V[k%5+8]h[k%4+1]v-[k%6+1]z",
+        "M[k%13] [k%7]C1 [k%5] [k%6] 7 [k%8+9] 4S[k%10] 3 [k%12+2] [k%4]s2 [k%3+1] 5 -[k%5+1]",
+        "M[k%13],[k%7]Q[k%5+3] 9 [k%8+9] [k%4]T[k%12+20] [k%6]t-3 [k%9+1]",
+        "M[k%13] [k%7]A[k%5+6] [k%4+5] [k%6*15] 0 1 [k%13+5] [k%7+4]a[k%3+2] 2 [k%5*10] 1 0 [k%2+1] 3",
+    )
+    path = "CASE k%4 " + " ".join(f"WHEN {i} THEN {_text(d)}" for i, d in enumerate(paths)) + " END"
+    head = ('<svg xmlns="http://www.w3.org/2000/svg" viewBox="0 0 [k%20*16+64] [k%10*8+32]"><style>.a{{stroke:red}} .b, .c{{font-size:[k%5+1]px;fill:blue}} '
+            '.b{{stroke-width:[k%3+1]}}</style><linearGradient id="l" x1="[k%5]" y1="1" x2="[k%6+2]" y2="[k%7]" gradientTransform="translate(2 [k%4])"/>'
+            '<radialGradient id="r" cx="[k%9]" cy="[k%8]" r="[k%3+1]"/><g transform="rotate([k%8*15])"><g transform="translate([k%3] 1) skewX([k%4*10]) scale([k%3+1],[k%2+1])" '
+            'stroke="red"><path stroke="blue" d="')
+    tail = ('"/><circle cx="[k%11]" cy="3" r="[k%4+1]"/><ellipse cx="2" cy="[k%6]" rx="[k%5+1]" ry="2"/><rect x="1" y="[k%4]" width="[k%7+4]" height="4" rx="[k%3]"/></g></g>'
+            '<polyline points="0,0 [k%5],1 2,[k%6]" stroke-width="2" transform="rotate(90)"/></svg>')
+    return f"""
+SELECT rec_id, k, concat({_text(head)}, {path}, {_text(tail)}) AS svg FROM (SELECT p_partkey AS rec_id, p_partkey%120 AS k FROM {{part}}) t
+"""
+
+
+def _defs() -> str:
+    markup = ('<svg xmlns="http://www.w3.org/2000/svg"><defs><linearGradient id="a[k%3]" xlink:href="#b"/><linearGradient id="b" href="#c"/><linearGradient id="c"/>'
+              '<linearGradient id="d" href="#e"/><linearGradient id="e" href="#d"/><g id="f"><path id="p0" d="M0 0L1 [k%5]" fill="url(#g)"/></g>'
+              '<style>.x{{fill:url(#s)}}</style><radialGradient id="s"/><radialGradient id="g"/></defs><path id="q" d="M0 0L5 5" fill="url(#a[k%4])"/>'
+              '<use href="#p[k%5]"/><text></text><text>t[k%2]</text><g><g/></g><path d="M1 2L3 4" fill="red"/><path d="M1 2L3 4" fill="blue"/></svg>')
+    return f"""
+SELECT rec_id, k, {_text(markup)} AS svg FROM (SELECT p_partkey AS rec_id, p_partkey%120 AS k FROM {{part}}) t
+"""
+
+
+def _text(markup: str) -> str:
+    """SQL text of markup in which ``[expression]`` stands for a number."""
+    parts = re.split(r"\[([^]]*)\]", markup)
+    return "concat(" + ", ".join(f"CAST({x} AS <<S>>)" if i % 2 else f"'{x}'" for i, x in enumerate(parts)) + ")"
+
+
 # View templates: <<slot>> marks a dialect slot, {name} a table or view reference, {{ }} literal braces.
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "svg_raw": (("part",), """
@@ -97,6 +135,10 @@ SELECT rec_id, k, replace(replace(replace(svg,
   '<path ', concat('<path style="stroke: #0F0 ;opacity:0.5;bad" clip-path="url(#cp', CAST(k%3 AS <<S>>), ')" ')) AS svg
 FROM {svg_raw}
 """),
+    # paths of every command, nested rotations and skews, shapes, gradients with points, a style block with lengths
+    "svg_geom": (("part",), _geom()),
+    # definitions used in a chain, in a cycle, by a style block and from inside other definitions; empty texts and groups
+    "svg_defs": (("part",), _defs()),
     "predictions": (("labels",), """
 SELECT 'a' AS model, doc_id AS item, 'quality' AS task, quality AS label, CASE WHEN doc_id%3=0 THEN 1-quality ELSE quality END AS pred FROM {labels}
 UNION ALL SELECT 'b', doc_id, 'quality', quality, CASE WHEN (doc_id+1)%7=0 THEN 1-quality ELSE quality END FROM {labels}

@@ -4,14 +4,11 @@ import os
 
 from pyspark.sql import functions as F
 
-from svgspark.functions.pathgeom import rewrite
 from svgspark.functions.url import resolve_url
 from svgspark.operators import geom as G
 from svgspark.operators.corpus import size_reduction
 from svgspark.sources import scans
 
-IDENT = (1.0, 0.0, 0.0, 1.0, 0.0, 0.0)
-
 PATHS = {
     "M1 2l3-4.5.5z": "M 1 2 L 4 -2.5 L 1 2Z",
     "M0 0 H10 V10 H0 Z": "M 0 0 L 10 0 L 10 10 L 0 10 L 0 0Z",
@@ -25,17 +22,21 @@ PATHS = {
 }
 
 
-def test_path_rewrite_golden():
-    for d, want in PATHS.items():
-        assert rewrite(d, IDENT, 1.0, cubic_only=False) == want, d
+def texts_of(spark, paths, scale=1.0, **options):
+    df = spark.createDataFrame(list(enumerate(paths)), "open_pos int, d string").withColumn("m", G.identity()).withColumn("s", F.lit(scale).cast("double"))
+    got = {r.open_pos: r.path_d for r in G.path_texts(df, ["open_pos"], **options).collect()}
+    return [got.get(k) for k in range(len(paths))]
 
 
-def test_path_udf_matches_column_expressions(spark):
-    df = spark.createDataFrame([(d,) for d in PATHS], "d string")
-    df = df.withColumn("m", G.identity()).withColumn("s", F.lit(2.0))
-    got = G.with_path(df, "d", "m", "s", "hof", cubic_only=True)
-    for r in got.collect():
-        assert r["hof"] == rewrite(r["d"], IDENT, 2.0, cubic_only=True)
+def test_path_text_golden(spark):
+    assert texts_of(spark, PATHS, cubic_only=False) == list(PATHS.values())
+    assert texts_of(spark, ["M0 0 L3 0 Q 0 3 3 3z"], 2.0) == ["M 0 0 C 2 0 4 0 6 0 C 2 4 2 6 6 6 C 4 4 2 2 0 0Z"]
+    # each subpath keeps its own end, an arc without a radius is a line, and one between equal points draws nothing
+    assert texts_of(spark, ["M0 0L1 1zM5 5L6 6", "M0 0A0 1 0 0 1 3 4", "M1 1A2 2 0 0 1 1 1L2 2"], cubic_only=False) == [
+        "M 0 0 L 1 1 L 0 0Z M 5 5 L 6 6", "M 0 0 L 3 4", "M 1 1 L 2 2"]
+    assert texts_of(spark, ["M0 0L1e400 0", "M0 0L1 1"]) == [None, "M 0 0 C 0.333 0.333 0.667 0.667 1 1"]
+    assert texts_of(spark, ["M0 0L1 1"], None) == [None]
+    assert texts_of(spark, ["M0.4 0.6L1.9 -1.9"], cubic_only=False, to_int=True) == ["M 0 0 L 1 -1"]
 
 
 def test_transform_golden(spark):

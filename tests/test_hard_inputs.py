@@ -2,16 +2,14 @@
 
 from pyspark.sql import functions as F
 
-from svgspark.functions.pathgeom import commands, fmt, rewrite
 from svgspark.functions.text import style_map
 from svgspark.operators import clean as C
+from svgspark.operators import geom as G
 from svgspark.operators import mine as M
 from svgspark.operators import normalize as N
 from svgspark.operators import train as TR
 from svgspark.operators import tree as T
 
-UNIT = (1.0, 0.0, 0.0, 1.0, 0.0, 0.0)
-
 
 def test_long_tags_and_open_quotes(spark):
     long = "<svg " + "a" * 1_000_000 + "><g/></svg>"
@@ -40,15 +38,28 @@ def test_clashing_links_and_colons_in_styles(spark):
 def test_numbers_beyond_decimals(spark):
     got = spark.createDataFrame([("1e60",), ("2.55px",)], "v string").select(C.round_value(F.lit("x"), F.col("v")).alias("v")).collect()
     assert [r.v for r in got] == ["1.0E60", "2.6"]
-    assert fmt(1e30) == "1" + "0" * 30
+    assert spark.range(1).select(G.fmt_num(F.lit(1e30)).alias("v")).first().v == "1" + "0" * 30
+
+
+def test_many_attributes(spark):
+    """Ten thousand attributes, and as many that repeat: the first counts."""
+    names = "".join(f'a{i}="{i}" ' for i in range(10_000))
+    rows = [(1, f"<svg {names}/>"), (2, f"<svg {names} {names.replace('=', '=' + chr(32))} A1='x'/>")]
+    el = T.lower_attrs(T.svg_elements(T.svg_tokens(spark.createDataFrame(rows, "rec_id long, svg string"))))
+    got = {r.rec_id: (r.n, r.m, r.a) for r in el.select("rec_id", F.size("attrs").alias("n"), F.size("lattrs").alias("m"), F.col("lattrs")["a1"].alias("a")).collect()}
+    assert got == {1: (10_000, 10_000, "1"), 2: (10_001, 10_000, "1")}
 
 
-def test_paths():
-    assert commands("10 10 M1 2") == [("M", [1.0, 2.0])]
-    assert commands("M0 0a1 1 0 01 2 2") == [("M", [0.0, 0.0]), ("a", [1.0, 1.0, 0.0, 0.0, 1.0, 2.0, 2.0])]
-    assert commands("a1 1 0 012 2")[0][1] == [1.0, 1.0, 0.0, 0.0, 1.0, 2.0, 2.0]
-    assert rewrite("M0 0L1e400 0", UNIT, 1.0) is None
-    assert rewrite("10 10", UNIT, 1.0) == ""
+def test_matrices_of_deep_trees(spark):
+    """A chain of 10,000 groups: a row each, and the product of all."""
+    n = 10_000
+    svg = "<svg>" + '<g transform="translate(1 2)">' * n + "<path/>" + "</g>" * n + "</svg>"
+    el = T.lower_attrs(T.svg_elements(T.svg_tokens(spark.createDataFrame([(1, svg)], "rec_id long, svg string"))))
+    el = N.effective_transform(el.withColumn("m_local", G.parse_transform(F.col("lattrs")["transform"])))
+    rows = el.select("tag", "depth", "m_eff").collect()
+    assert len(rows) == n + 2
+    deepest = next(r for r in rows if r.tag == "path")
+    assert (deepest.depth, deepest.m_eff.e, deepest.m_eff.f) == (n + 1, float(n), 2.0 * n)
 
 
 def test_special_tokens_are_whole_units(spark):
@@ -89,3 +100,31 @@ def test_normalize_lengths_gradients_and_links(spark):
     assert '<linearGradient id="g"/>' in out and 'cx="50%"' in out and 'href="#g"' in out and "xlink" not in out
     assert 'stroke-width="2"' in out and "stroke-width:6" in out and 'stroke-width="4"' in out
     assert (got[2].status, got[2].reason) == ("rejected", "empty canvas")
+
+
+def test_style_block_is_written_back(spark):
+    svg = ('<svg viewBox="0 0 128 64"><style>/* c */ .a, .b{stroke:red;fill:url(http://x/y;z#q)} rect{x:1} .b{stroke-width:2px;font-size:bad}\n'
+           '.c{width:3;x:1;x:2}</style><style><![CDATA[.d{content:"a&b";line-height:1.5}]]></style><style> </style><g stroke="red" transform="scale(3)">'
+           '<path d="M0 0L1 1" stroke="blue"/></g><path d="M0 0" style="fill:url(http://u/v;w#x);stroke-width:1"/></svg>')
+    out = N.normalize_corpus(spark.createDataFrame([(1, svg)], "rec_id long, svg string")).first().svg_out
+    assert ("<style>.a{stroke:red;fill:url(http://x/y;z#q);stroke-width:2}\n.b{stroke:red;fill:url(http://x/y;z#q);stroke-width:4;font-size:bad}\n"
+            ".c{width:6;x:4}</style>") in out
+    assert '<style>.d{content:"a&amp;b";line-height:3}</style><style> </style>' in out
+    # a group's default stroke scales by the canvas alone, a shape's by its matrix too
+    assert '<g stroke="red" stroke-width="2">' in out and 'stroke="blue" stroke-width="6"' in out
+    assert "fill:url(http://u/v;w#x);stroke-width:2" in out
+
+
+def test_unused_definitions_and_shared_paths(spark):
+    svg = ('<svg xmlns="http://www.w3.org/2000/svg"><defs><linearGradient id="a" href="#b"/><linearGradient id="b"/><linearGradient id="c" href="#d"/>'
+           '<linearGradient id="d" href="#c"/></defs><path id="z" d="M0 0L1 1" fill="url(#a)"/><path d="M0 0L1 1" x="4" fill="red"></path>'
+           '<path d="M2 2L1 1"/><text> </text><text>t</text></svg>')
+    keep = '<svg><style>rect.k{fill:red}</style><rect class="k" width="1" height="1"/><path id="u" d="M0 0L9 9"/><use href="#u"/></svg>'
+    got = {r.rec_id: r.stage2 for r in C.clean_corpus(spark.createDataFrame([(1, svg), (2, keep)], "rec_id long, svg string")).collect()}
+    one = got[1]
+    assert 'id="a"' in one and 'id="b"' in one and 'id="c"' not in one and 'id="d"' not in one and 'id="z"' not in one
+    name = one.split('<path id="')[1].split('"')[0]
+    assert name.startswith("reuse-") and one.count(f'<use href="#{name}"') == 2 and one.count('d="M0 0L1 1"') == 1
+    assert one.startswith("<svg><defs><path id=") and "x=" not in one and 'd="M2 2L1 1"' in one
+    assert "<text>t</text>" in one and one.count("<text>") == 1
+    assert 'class="k"' in got[2] and 'id="u"' in got[2] and 'href="#u"' in got[2]

@@ -1,9 +1,8 @@
-"""Path data in the column form and in the helper: compact arc flags, numbers that make no whole command."""
+"""Path data as columns: compact arc flags, numbers that make no whole command."""
 
 import pytest
 from pyspark.sql import functions as F
 
-from svgspark.functions.pathgeom import commands
 from svgspark.operators import geom as G
 from svgspark.operators import normalize as N
 
@@ -28,14 +27,12 @@ ROWS = {
 }
 
 
-def test_column_form_and_helper_agree(spark):
+def test_commands_and_reasons(spark):
     df = spark.createDataFrame([(d,) for d in ROWS], "d string").withColumn("t", G.path_tokens("d")).withColumn("i", G.command_index("t"))
     got = {r.d: r for r in df.select("d", G.path_commands("t", "i").alias("c"), G.path_reason("t", "i").alias("reason")).collect()}
     for d, (want, reason) in ROWS.items():
         assert [(c.cmd, c.args) for c in got[d].c] == want, d
         assert got[d].reason == reason, d
-        # an arc flag beyond 0 and 1 stops the reading of compact groups in both
-        assert commands(d) == want, d
 
 
 @pytest.mark.parametrize("d, status, reason", [("M0 0L1 1 2", "parse_error", SHORT), ("1 M0 0L1 1", "parse_error", BEFORE), ("M0 0a1 1 0 01 2 2", "ok", None)])
