@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from svgspark.functions.text import style_map
 from svgspark.operators import tree as T
+from svgspark.session import materialized
 
 # CSS named colours (CSS Color Module Level 4), in alphabetical order.
 NAMED_COLORS = {
@@ -160,7 +161,7 @@ def drop_empty(el: DataFrame, key: str = "rec_id", css: DataFrame | None = None,
 
     What is inside a dropped element follows from the furthest end of those begun so far; what is left inside a
     container is the growth of a running count between its tags. Neither makes pairs of elements."""
-    units = T.definition_units(el, key)
+    units = T.with_units(el, key)
     roots = units.where("unit = open_pos").join(T.live_units(units, css, key), [key, "unit"], "left_anti")
     dead = roots.select(key, F.col("open_pos").alias("pos"), F.coalesce("close_pos", "open_pos").alias("_span_end"))
     # the next text that is not blank, seen from a text element's tag
@@ -230,7 +231,7 @@ def shared_paths(el: DataFrame, key: str = "rec_id") -> tuple[DataFrame, DataFra
     The shared path holds the data alone; every use keeps the other attributes, which the path inherits. Paths with an id,
     a length of their own, content, or inside a definition stay as they are, and so do those whose new id is taken.
     """
-    units = T.definition_units(el, key)
+    units = T.with_units(el, key)
     la = F.col("lattrs")
     free = units.where((F.col("tag") == "path") & F.col("unit").isNull() & la["d"].isNotNull() & ~F.map_contains_key("lattrs", F.lit("id"))
                        & ~F.map_contains_key("lattrs", F.lit("pathlength")) & (F.col("close_pos") - F.col("open_pos") <= 1))
@@ -257,15 +258,15 @@ def clean_corpus(stage1: DataFrame, key: str = "rec_id", cleanup_ids: bool = Tru
     docs = T.by_record(stage1.select(key, "svg"))
     toks = T.svg_tokens(docs, key)
     ok = T.wellformed(toks, key).where("ok").select(key)
-    kept = drop_nonrender(toks.join(ok, key, "left_semi"), key)
-    el = T.lower_attrs(T.svg_elements(toks, key)).join(ok, key, "left_semi")
-    el = el.join(kept.select(key, F.col("pos").alias("open_pos")), [key, "open_pos"], "left_semi")
-    css = T.style_texts(toks, key).select(key, "css")
+    # tokens and elements are read by many of the rules below: written once, so that no rule plans or computes them anew
+    kept = materialized(drop_nonrender(toks.join(ok, key, "left_semi"), key), "stage2_tokens")
+    el = materialized(T.definition_units(T.lower_attrs(T.svg_elements(kept, key)), key), "stage2_elements")
+    css = T.style_texts(kept, key).select(key, "css")
     texts = kept.where(F.col("kind").isin("text", "cdata") & (F.trim(F.regexp_replace("tok", r"\s+", " ")) != "")).select(key, "pos")
-    gone = drop_empty(el, key, css, texts).select(key, "open_pos")
+    gone = materialized(drop_empty(el, key, css, texts).select(key, "open_pos"), "stage2_gone")
     # whatever stands inside a dropped element goes with it; an emptied container has nothing left in it
     spans = el.join(gone, [key, "open_pos"], "left_semi").select(key, F.col("open_pos").alias("pos"), F.coalesce("close_pos", "open_pos").alias("_span_end"))
-    kept = _reached(kept, spans, key, "pos").where("_reach IS NULL OR _reach < pos").drop("_reach")
+    rest = _reached(kept, spans, key, "pos").where("_reach IS NULL OR _reach < pos").drop("_reach")
     el = el.join(gone, [key, "open_pos"], "left_anti")
     if cleanup_ids:
         unused = T.unreferenced_ids(el, key, css).select(key, "open_pos", F.lit(True).alias("_bare"))
@@ -273,16 +274,16 @@ def clean_corpus(stage1: DataFrame, key: str = "rec_id", cleanup_ids: bool = Tru
             el = el.withColumn(f"_no_{m}", F.map_filter(m, lambda k, v: F.lower(k) != "id"))
         el = el.join(unused, [key, "open_pos"], "left").withColumns({m: F.when(F.col("_bare"), F.col(f"_no_{m}")).otherwise(F.col(m)) for m in ("attrs", "lattrs")}) \
             .drop("_bare", "_no_attrs", "_no_lattrs")
-    el = apply_class_rules(el, toks, key).join(T.complex_class_rules(toks, key).withColumn("_more", F.lit(True)), key, "left")
+    el = apply_class_rules(el, kept, key).join(T.complex_class_rules(kept, key).withColumn("_more", F.lit(True)), key, "left")
     for rule in (clean_attrs, style_to_attrs, round_numbers, normal_colors):
         el = rule(el)
-    el = drop_attrs(el, keep_class=F.col("_more"))
+    el = materialized(drop_attrs(el, keep_class=F.col("_more")), "stage2_cleaned")
     added = None
     if share_paths:
         el, added = shared_paths(el, key)
     el = sort_attrs(el)
     new_el = el.select(key, "open_pos", "close_pos", F.col("tag").alias("new_tag"), F.col("attrs").alias("new_attrs"))
-    text = svg_text(kept, new_el, key, added=added)
+    text = svg_text(rest, new_el, key, added=added)
     base = stage1.select(key, F.col("svg").alias("stage1"))
     return (base.join(text, key, "left")
             .select(key, F.col("svg_out").alias("stage2"), F.coalesce("svg_out", "stage1").alias("svg")))

@@ -82,12 +82,14 @@ def _fn_matrix(fn: Column, a: Column) -> Column:
 
 
 def parse_transform(text) -> Column:
-    """``transform`` list -> one matrix; functions compose left to right (NULL text -> identity)."""
+    """``transform`` list -> one matrix; functions compose left to right (NULL text -> identity). Lists written one after
+    the other are one list."""
     t = F.coalesce(as_col(text), F.lit(""))
     fns = F.regexp_extract_all(t, F.lit(TRANSFORM_RE), 1)
     args = F.regexp_extract_all(t, F.lit(TRANSFORM_RE), 2)
-    mats = F.transform(F.arrays_zip(fns.alias("fn"), args.alias("args")), lambda z: _fn_matrix(z["fn"], numbers(z["args"])))
-    return F.aggregate(mats, identity(), lambda acc, m: matmul(acc, F.coalesce(m, identity())))
+    calls = F.transform(F.arrays_zip(fns.alias("fn"), args.alias("args")), lambda z: F.struct(z["fn"].alias("fn"), numbers(z["args"]).alias("a")))
+    mats = F.transform(calls, lambda z: F.coalesce(_fn_matrix(z["fn"], z["a"]), identity()))
+    return F.aggregate(mats, identity(), matmul)
 
 
 # ---------------------------------------------------------------- path commands

@@ -15,6 +15,7 @@ from svgspark.functions.text import local_name, style_map, style_text
 from svgspark.operators import geom as G
 from svgspark.operators import select as S
 from svgspark.operators import tree as T
+from svgspark.session import materialized
 
 # Attribute lists of the stage-1 rules.
 LENGTH_ATTRS = ["stroke-width", "x", "y", "x1", "x2", "y1", "y2", "font-size", "line-height"]
@@ -49,6 +50,10 @@ def _products(key: str):
     return run
 
 
+def local_matrix(m: str = "lattrs") -> F.Column:
+    return G.parse_transform(F.concat_ws(" ", F.col(m)["transform"], F.col(m)["gradienttransform"]))
+
+
 def effective_transform(el: DataFrame, key: str = "rec_id") -> DataFrame:
     """Adds ``m_eff``: product of ancestors' local matrices (root first) times the element's own.
 
@@ -60,13 +65,8 @@ def effective_transform(el: DataFrame, key: str = "rec_id") -> DataFrame:
     return el.join(eff.select(key, "open_pos", F.struct(*G.MAT_FIELDS).alias("m_eff")), [key, "open_pos"], "left")
 
 
-def _num(m, k):
-    return F.regexp_replace(F.col(m).getItem(k), "[A-Za-z]", "").try_cast("double")
-
-
-def _scaled_style(text, is_shape, shape_factor, factor, fmt) -> F.Column:
-    """An inline style with its lengths scaled; NULL when it holds none."""
-    m = style_map(text, whole=True)
+def _scaled_style(m, is_shape, shape_factor, factor, fmt) -> F.Column:
+    """The declarations of an inline style with its lengths scaled; NULL when it holds none."""
     length = lambda k: F.when(is_shape, k == "stroke-width").otherwise(k.isin(*LENGTH_ATTRS, *NON_ROOT_LENGTHS))
     number = lambda v: F.regexp_replace(v, "[A-Za-z]", "").try_cast("double")
     by = F.when(is_shape, shape_factor).otherwise(factor)
@@ -80,14 +80,19 @@ def length_scale(tag, m, s) -> F.Column:
     return s * F.when(tag.isin(*SHAPES) & uniform, F.abs(m["a"])).otherwise(F.lit(1.0))
 
 
-def gradient_points(la, m, s) -> tuple:
-    """((start, end) of a linear gradient, centre of a radial one, its radius), moved and scaled; coordinates that are
-    missing or no numbers count as 0, percentages of a centre as plain numbers."""
-    number = lambda k: F.regexp_replace(la[k], "[A-Za-z]", "").try_cast("double")
-    part = lambda k: F.regexp_replace(la[k], "[A-Za-z%]", "").try_cast("double")
-    place = lambda x, y: G.scale_pt(G.apply_mat(m, G.pt(F.coalesce(x, F.lit(0.0)), F.coalesce(y, F.lit(0.0)))), s)
-    ends = (place(number("x1"), number("y1")), place(number("x2"), number("y2")))
-    return ends, place(part("cx"), part("cy")), number("r") * s
+def gradient_points(el: DataFrame, attrs: str = "lattrs") -> DataFrame:
+    """Adds ``g_x1 g_y1 g_x2 g_y2`` (start and end of a linear gradient, ends of a line), ``g_cx g_cy g_r`` (centre and
+    radius of a radial one), moved by ``m_eff`` and scaled by ``s``; coordinates that are missing or no numbers count as 0,
+    percentages of a centre as plain numbers. ``n_*`` are the numbers as written, NULL where they are none."""
+    la, m, s = F.col(attrs), F.col("m_eff"), F.col("s")
+    names = ("x1", "y1", "x2", "y2", "cx", "cy", "r")
+    el = el.withColumns({f"n_{k}": F.regexp_replace(la[k], "[A-Za-z]", "").try_cast("double") for k in names})
+    at = {k: F.coalesce(f"n_{k}", F.regexp_replace(la[k], "[A-Za-z%]", "").try_cast("double") if k[0] == "c" else F.lit(0.0), F.lit(0.0)) for k in names}
+    el = el.withColumns({f"p_{k}": at[k] for k in names})
+    moved = {}
+    for x, y in (("x1", "y1"), ("x2", "y2"), ("cx", "cy")):
+        moved |= {f"g_{x}": (m["a"] * F.col(f"p_{x}") + m["c"] * F.col(f"p_{y}") + m["e"]) * s, f"g_{y}": (m["b"] * F.col(f"p_{x}") + m["d"] * F.col(f"p_{y}") + m["f"]) * s}
+    return el.withColumns(moved | {"g_r": F.col("n_r") * s}).drop(*[f"p_{k}" for k in names])
 
 
 def normalize_corpus(docs: DataFrame, key: str = "rec_id", normalize_scale: float = 256.0, normalize_points: bool = True,
@@ -96,7 +101,8 @@ def normalize_corpus(docs: DataFrame, key: str = "rec_id", normalize_scale: floa
     docs = T.by_record(docs.select(key, "svg"))
     gate = S.reject_reason("svg")
     gated = docs.withColumn("reason", gate)
-    toks = T.svg_tokens(gated.where(F.col("reason").isNull()).select(key, "svg"), key)
+    # tokens and elements are read several times below: each is written once
+    toks = materialized(T.svg_tokens(gated.where(F.col("reason").isNull()).select(key, "svg"), key), "stage1_tokens")
     wf = T.wellformed(toks, key)
     ok_keys = wf.where("ok").select(key)
     el = T.lower_attrs(T.svg_elements(toks, key)).join(ok_keys, key, "left_semi")
@@ -115,8 +121,8 @@ def normalize_corpus(docs: DataFrame, key: str = "rec_id", normalize_scale: floa
     el = el.join(sc.select(key, "s"), key, "left")
 
     la = F.col("lattrs")
-    el = el.withColumn("m_local", G.matmul(G.parse_transform(la.getItem("transform")), G.parse_transform(la.getItem("gradienttransform"))))
-    el = effective_transform(el, key)
+    el = el.withColumn("m_local", local_matrix())
+    el = materialized(effective_transform(el, key), "stage1_elements")
 
     tag = F.col("tag")
     is_shape = tag.isin(*SHAPES)
@@ -132,9 +138,9 @@ def normalize_corpus(docs: DataFrame, key: str = "rec_id", normalize_scale: floa
     rad = tag.isin("radialGradient", "radialgradient")
     gradient = rad | tag.isin("linearGradient", "lineargradient")
     # gradients keep their defaults and percentages: only coordinates that are all there as numbers are rewritten
-    number = {k: _num("lattrs", k) for k in ("x1", "y1", "x2", "y2", "cx", "cy", "r")}
+    el = gradient_points(el)
+    number = {k: F.col(f"n_{k}") for k in ("x1", "y1", "x2", "y2", "cx", "cy", "r")}
     line_like = line_like & ((tag == "line") | (number["x1"] + number["y1"] + number["x2"] + number["y2"]).isNotNull())
-    (p1, p2), c, radius = gradient_points(la, m, s)
     # a percentage takes part in the point as a plain number but stays as written
     part = {k: F.regexp_replace(la.getItem(k), "[A-Za-z%]", "").try_cast("double") for k in ("cx", "cy", "r")}
     rad = rad & (part["cx"] + part["cy"] + part["r"]).isNotNull()
@@ -147,17 +153,19 @@ def normalize_corpus(docs: DataFrame, key: str = "rec_id", normalize_scale: floa
         # a stroke without a width has width 1: a shape's scales with its own matrix, a group's by the canvas alone
         ("stroke-width", F.when(~gradient & la.getItem("stroke").isNotNull() & la.getItem("stroke-width").isNull(),
                                 fmt(stroke_scale))),
-        ("x1", F.when(line_like, fmt(p1["x"]))), ("y1", F.when(line_like, fmt(p1["y"]))),
-        ("x2", F.when(line_like, fmt(p2["x"]))), ("y2", F.when(line_like, fmt(p2["y"]))),
+        ("x1", F.when(line_like, fmt(F.col("g_x1")))), ("y1", F.when(line_like, fmt(F.col("g_y1")))),
+        ("x2", F.when(line_like, fmt(F.col("g_x2")))), ("y2", F.when(line_like, fmt(F.col("g_y2")))),
         ("points", F.when(tag.isin("polyline", "polygon") & la.getItem("points").isNotNull(),
                           G.points_text(la.getItem("points"), m, s, decimals, to_int))),
-        ("cx", F.when(rad & number["cx"].isNotNull(), fmt(c["x"]))), ("cy", F.when(rad & number["cy"].isNotNull(), fmt(c["y"]))),
-        ("r", F.when(rad, fmt(radius))),
+        ("cx", F.when(rad & number["cx"].isNotNull(), fmt(F.col("g_cx")))), ("cy", F.when(rad & number["cy"].isNotNull(), fmt(F.col("g_cy")))),
+        ("r", F.when(rad, fmt(F.col("g_r")))),
         ("viewbox", F.when(is_root & F.lit(normalize_points), vb)),
         ("width", F.when(is_root & (la.getItem("width").isNull() | la.getItem("width").contains("%")), fmt(F.col("vb_w")))),
         ("height", F.when(is_root & (la.getItem("height").isNull() | la.getItem("height").contains("%")), fmt(F.col("vb_h")))),
     ]
     entries = F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")) for k, v in ups])
+    el = el.withColumn("_ups", entries)
+    entries = F.col("_ups")
     el = el.withColumn("_up", F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull())))
     el = el.withColumn("_sw", stroke_scale)
     dropped = lambda k: (F.lower(k).isin("transform", "gradienttransform") | F.lower(k).startswith("xmlns")
@@ -166,7 +174,8 @@ def normalize_corpus(docs: DataFrame, key: str = "rec_id", normalize_scale: floa
     base = F.transform_keys(base, lambda k, v: F.when(F.lower(k) == "xlink:href", F.lit("href")).otherwise(k))
     el = el.withColumn("_base", base)
     # lengths in an inline style scale by the same factor as the attributes would
-    style = _scaled_style(la.getItem("style"), is_shape, F.col("_sw"), s, fmt)
+    el = el.withColumn("_declared", style_map(la.getItem("style"), whole=True))
+    el = el.withColumn("_style", _scaled_style(F.col("_declared"), is_shape, F.col("_sw"), s, fmt))
     num_re = r"^\s*[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?[A-Za-z]*\s*$"
 
     def rewrite(k, v):
@@ -176,7 +185,7 @@ def normalize_corpus(docs: DataFrame, key: str = "rec_id", normalize_scale: floa
         factor = F.when(is_shape, F.when(lk == "stroke-width", F.col("_sw"))).otherwise(s)
         scaled = fmt(F.regexp_replace(v, "[A-Za-z]", "").try_cast("double") * factor)
         return (F.when(up.isNotNull(), up)
-                .when(lk == "style", F.coalesce(style, v))
+                .when(lk == "style", F.coalesce("_style", v))
                 .when(is_len & factor.isNotNull() & v.rlike(num_re), scaled)
                 .otherwise(v))
 
@@ -186,7 +195,7 @@ def normalize_corpus(docs: DataFrame, key: str = "rec_id", normalize_scale: floa
     extra = F.transform_keys(extra, lambda k, v: F.when(k == "viewbox", F.lit("viewBox")).otherwise(k))
     el = el.withColumn("_a", F.map_concat("_a", extra))
     new_tag = F.when(tag.isin(*SHAPE_TO_PATH), F.lit("path")).otherwise(tag)
-    el = el.select(key, "open_pos", "close_pos", new_tag.alias("new_tag"), F.col("_a").alias("new_attrs"))
+    el = materialized(el.select(key, "open_pos", "close_pos", new_tag.alias("new_tag"), F.col("_a").alias("new_attrs")), "stage1_rewritten")
 
     own = toks.join(ok_keys, key, "left_semi")
     text = svg_text(own, el, key, T.style_blocks(own, sc.select(key, "s"), key, LENGTH_ATTRS + NON_ROOT_LENGTHS, fmt))

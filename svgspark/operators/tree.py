@@ -302,6 +302,10 @@ def definition_units(elements: DataFrame, key: str = "rec_id") -> DataFrame:
     return el.withColumn("unit", F.when(F.col("_unit.e") >= F.col("open_pos"), F.col("_unit.p"))).drop("_parent", "_end", "_reach", "_unit")
 
 
+def with_units(elements: DataFrame, key: str = "rec_id") -> DataFrame:
+    return elements if "unit" in elements.columns else definition_units(elements, key)
+
+
 def references(units: DataFrame, css: DataFrame | None = None, key: str = "rec_id") -> DataFrame:
     """``(rec_id, unit, id)``: what the elements of each unit refer to, by ``url(#id)`` in any value or ``#id`` as a link;
     references in ``css`` (rec_id, css) come from no unit."""
@@ -342,7 +346,7 @@ def live_units(units: DataFrame, css: DataFrame | None = None, key: str = "rec_i
 
 def unreferenced_ids(elements: DataFrame, key: str = "rec_id", css: DataFrame | None = None) -> DataFrame:
     """Elements whose id nothing that is kept refers to: what is drawn, and the definitions that are reached from there."""
-    units = definition_units(elements, key)
+    units = with_units(elements, key)
     live = live_units(units, css, key)
     refs = references(units, css, key)
     kept = refs.where("unit IS NULL").select(key, "id").union(refs.join(live, [key, "unit"], "left_semi").select(key, "id")).distinct()

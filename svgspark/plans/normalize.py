@@ -38,8 +38,7 @@ GEOM_REC = GEOM.replace("WITH ", "WITH RECURSIVE ", 1)
 
 
 def _with_local(el):
-    return el.withColumn("m_local", G.matmul(G.parse_transform(F.col("lattrs")["transform"]),
-                                             G.parse_transform(F.col("lattrs")["gradienttransform"])))
+    return el.withColumn("m_local", N.local_matrix())
 
 
 def _rounded(cols):
@@ -251,10 +250,10 @@ SELECT rec_id, open_pos, tag, round((a * v[1] + c * v[2] + e) * s, 6) + 0.0 AS p
   CASE WHEN tag LIKE 'rad%' THEN round(v[3] * s, 6) END AS r FROM g""")
 def q_gradient_points(spark, sf):
     el = _scaled_elements(spark, sf, "svg_geom").where(F.col("tag").isin("linearGradient", "radialGradient"))
-    p, q, r = N.gradient_points(F.col("lattrs"), F.col("m_eff"), F.col("s"))
     linear = F.col("tag") == "linearGradient"
-    return el.select("rec_id", "open_pos", "tag", *[(F.round(F.when(linear, p[0][x]).otherwise(q[x]), 6) + 0.0).alias("p" + x) for x in "xy"],
-                     *[(F.round(F.when(linear, p[1][x]), 6) + 0.0).alias("q" + x) for x in "xy"], F.round(F.when(~linear, r), 6).alias("r"))
+    cols = {f"{p}{x}": F.when(linear, F.col(f"g_{x}{k}")) for k, p in ((1, "p"), (2, "q")) for x in "xy"}
+    cols |= {f"p{x}": F.when(linear, F.col(f"g_{x}1")).otherwise(F.col(f"g_c{x}")) for x in "xy"} | {"r": F.when(~linear, F.col("g_r"))}
+    return N.gradient_points(el).select("rec_id", "open_pos", "tag", *[(F.round(c, 6) + 0.0).alias(k) for k, c in cols.items()])
 
 
 @register("stroke_default", GEOM_REC + D_EFF + D_CANVAS + """

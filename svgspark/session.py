@@ -12,7 +12,7 @@ import tempfile
 import uuid
 
 from pyspark import SparkConf
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, partitions: int | None = None, app: str = "svgspark") -> SparkSession:
@@ -61,3 +61,10 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint location."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: planned and computed once, however often it is read after."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

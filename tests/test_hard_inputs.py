@@ -85,7 +85,9 @@ def test_pairs_cover_every_record(spark):
 def test_clean_corpus_keeps_the_picture(spark):
     svg = ('<svg xmlns="http://www.w3.org/2000/svg"><style>.a{fill:red}</style><g display="none"><path d="M0 0"/>secret</g>'
            '<g><g><defs/></g></g><path class="a" id="p&#233;" d="M1 1"/></svg>')
-    out = C.clean_corpus(spark.createDataFrame([(1, svg)], "rec_id long, svg string")).first().stage2
+    rows = spark.createDataFrame([(1, svg)], "rec_id long, svg string")
+    assert "id=" not in C.clean_corpus(rows).first().stage2  # nothing refers to it
+    out = C.clean_corpus(rows, cleanup_ids=False).first().stage2
     assert "secret" not in out and "M0 0" not in out and "<g" not in out and "<defs" not in out
     assert 'fill="#FF0000"' in out and "class=" not in out and 'id="p&#233;"' in out
 
