@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from svgspark.llm import labelled as L
 from svgspark.llm import stats
@@ -109,5 +110,5 @@ def score(docs: DataFrame, model: Ranking) -> DataFrame:
 def good_documents(docs: DataFrame, model: Ranking) -> DataFrame:
     """The documents that the model does not reject, columns as they are."""
     rows = docs.select(F.struct("*").alias("row"), "text")
-    schema = f"row {rows.schema['row'].dataType.simpleString()}, score double"
+    schema = StructType([rows.schema["row"], StructField("score", DoubleType())])
     return rows.mapInArrow(_score(model), schema).where(F.col("score") >= CUT).select("row.*")

@@ -55,7 +55,8 @@ MORE = (
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[0-9A-Za-z_-]{35}"),
     Rule("stripe", r"(?:sk|rk)_live_[0-9A-Za-z]{16,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
+    # from the left end of a run of its letters only: a run of "eyJ" without a dot is read once
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
     Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
 )
 

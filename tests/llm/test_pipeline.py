@@ -40,7 +40,13 @@ def test_lines(stages):
     assert got == {i: (t, len(t)) for (i, _), (_, _, t) in zip(rows, brute.lines(rows))}
 
 
-def test_near_duplicates(stages):
+def five_words(text):
+    w = brute.WORD.findall((text or "").translate(brute.FOLD))
+    return frozenset(zip(*[w[k:] for k in range(5)])) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+
+
+def test_near_duplicates(stages, monkeypatch):
+    monkeypatch.setattr(brute, "shingles", five_words)
     rows = [(r.doc_id, r.text) for r in stages[2].collect()]
     kept = {i for i, (_, _, keep) in brute.near(rows).items() if keep}
     got = [(r.doc_id, r.text) for r in stages[3].collect()]
@@ -101,15 +107,11 @@ def test_extra_columns_and_awkward_rows_pass(spark):
 
 def test_near_duplicates_of_five_words(spark, stages, monkeypatch):
     """Plain Python at 5 words: a copy with scattered changes stays, though it is near at 2 words; short texts are one shingle."""
-    def shingles(text):
-        w = brute.WORD.findall((text or "").translate(brute.FOLD))
-        return frozenset(zip(*[w[k:] for k in range(5)])) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
-
     base = [f"w{k}" for k in range(200)]
     texts = [base, base[:199], [f"x{k}" if k % 26 == 13 else w for k, w in enumerate(base)], ["A", "b"], ["a", "B"], ["a", "b", "c"], ["a"], []]
     rows = [(k, " ".join(w)) for k, w in enumerate(texts)]
     assert {i for i, (_, _, keep) in brute.near(rows).items() if keep} == {0, 3, 5, 6, 7}
-    monkeypatch.setattr(brute, "shingles", shingles)
+    monkeypatch.setattr(brute, "shingles", five_words)
     for docs in (spark.createDataFrame(rows, "doc_id long, text string"), stages[2].select("doc_id", "text")):
         rows = [tuple(r) for r in docs.collect()]
         kept = {i for i, (_, _, keep) in brute.near(rows).items() if keep}
@@ -126,3 +128,28 @@ def test_part_taken_keeps_its_white_space(spark):
     assert len(out) == 5 and len(parts) == 1
     k, t = parts[0]
     assert t == f"  a{k} b\n\nc\td" and len(brute.WORD.findall(t)) == 4
+
+
+def test_odd_columns_pass_every_stage(spark):
+    """Names with spaces and dots, a map column and a struct column, repeated rows, and empty tables."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, `a b` string, `c.d` map<string,int>, s struct<x:int>"
+    rows = [(k // 2, f"plain words of the text {k // 2} " * 20, "en", "s", 10, "v", {"k": k % 3}, (k,)) for k in range(12)]
+    docs = spark.createDataFrame(rows, schema)
+    for name, f in P.STAGES[:4]:
+        out = f(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        assert {r.doc_id for r in out.collect()} <= set(range(6)), name
+        assert f(spark, docs.where("false"), SF).collect() == [], name
+    assert P.pack(spark, docs, SF).count() >= 12 and P.pack(spark, docs.where("false"), SF).collect() == []
+    kept = P.near_duplicates(spark, docs, SF).collect()
+    assert len({r.doc_id for r in kept}) == len(kept) and all(r["c.d"] is not None for r in kept)
+
+
+def test_tokens_in_one_long_run(spark):
+    """A run of token letters without a dot is read once, from its left end."""
+    from svgspark.llm import secrets
+
+    text = "eyJ" * 100_000
+    one = "eyJhbGciOiJIUzI1.eyJzdWIiOiIxMjM0.c2lnbmF0dXJl"
+    got = {r.doc_id: r.spans for r in secrets.scan(spark.createDataFrame([(1, text), (2, f"x {one} y")], "doc_id long, text string")).collect()}
+    assert "jwt" not in got[1] and f"jwt:2:{2 + len(one)}" in got[2]
