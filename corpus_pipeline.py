@@ -20,7 +20,10 @@ SHINGLE_WORDS = 5
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the Bradley-Terry classifier rejects; trained on the whole corpus' labelled rows."""
+    """Drops the documents that the Bradley-Terry classifier rejects; trained on the whole corpus' labelled rows.
+
+    A null or empty text is scored like any other, and rows that repeat or have no doc_id are each kept or dropped by
+    their text; ties at the threshold stay."""
     model = quality_rank.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return quality_rank.good_documents(docs, model)
 
@@ -36,9 +39,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keeps the document with the smallest doc_id of each group of near copies: 0.8 of their 5-word shingles."""
     kept = near_dup.near_duplicates(docs, SHINGLE_WORDS).where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
     rows = docs.select(F.struct("*").alias("row"), "doc_id").join(kept, "doc_id")
-    # rows that share the doc_id are one document: the smallest row stands for it
+    # rows that share the doc_id are one document: the row whose JSON has the smallest hash stands for it, since maps have no order
     single = rows.where("n = 1").select("row")
-    first = rows.where("n > 1").groupBy("doc_id").agg(F.min("row").alias("row")).select("row")
+    first = rows.where("n > 1").groupBy("doc_id").agg(F.min_by("row", F.sha2(F.to_json("row"), 256)).alias("row")).select("row")
     none = docs.where("doc_id IS NULL")
     return single.union(first).select("row.*").unionByName(none)
 
