@@ -128,25 +128,83 @@ def with_parent(elements: DataFrame, key: str = "rec_id") -> DataFrame:
     return elements.join(par, [key, "open_pos"], "left")
 
 
+# A whole tag: a name, then attributes with quoted values that hold no "<". Possessive, so that it takes linear time.
+TAG_RUNS = r"""(?s)^<(?:/[^\s/>"'=<]++\s*+|[^\s/>"'=<!?]++(?:\s++[^\s=/<>"']++\s*+=\s*+(?:"[^"<]*+"|'[^'<]*+'))*+\s*+/?+)>$"""
+# An ampersand that begins no predefined or numeric reference.
+LOOSE_AMP = r"&(?!(?:amp|lt|gt|quot|apos|#[0-9]++|#x[0-9A-Fa-f]++);)"
+CONTROL = r"[\x00-\x08\x0B\x0C\x0E-\x1F]"
+
+
+def unbound_prefixes(tokens: DataFrame, key: str = "rec_id") -> DataFrame:
+    """Records with a name whose prefix no open element declares.
+
+    A declaration holds from its tag to the closing tag of its element. Of the declarations of a prefix that begin at or
+    before a use, the one that ends last must end behind it: one running maximum by record and prefix.
+    """
+    tags = tokens.where(F.col("kind").isin("open", "empty") & F.col("tok").contains(":"))
+    names = tags.select(key, "pos", "depth", F.explode(F.array_append(F.regexp_extract_all("tok", F.lit(ATTR_RUNS), 1), F.col("name"))).alias("n"))
+    names = names.where(F.col("n").contains(":"))
+    declares = F.col("n").startswith("xmlns:")
+    prefix = F.when(declares, F.substring_index("n", ":", -1)).otherwise(F.substring_index("n", ":", 1))
+    names = names.select(key, "pos", "depth", declares.alias("declares"), prefix.alias("prefix")).where(~F.col("prefix").isin("xml", "xmlns"))
+    # the closing tag of a declaring element: the first close of its depth behind it; an empty element ends where it begins
+    closes = tokens.where("kind IN ('close', 'empty')").select(key, "pos", "depth", F.col("pos").alias("end"))
+    closes = closes.join(names.where("declares").select(key, "depth").distinct(), [key, "depth"], "left_semi")
+    begins = names.where("declares").select(key, "pos", "depth", "prefix", F.lit(None).cast("int").alias("end"))
+    after = Window.partitionBy(key, "depth").orderBy(F.desc("pos"), F.col("end").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    ends = begins.unionByName(closes.withColumn("prefix", F.lit(None).cast("string"))).withColumn(
+        "end", F.coalesce(F.when(F.col("prefix").isNull(), F.col("end")), F.last(F.when(F.col("prefix").isNull(), F.col("end")), ignorenulls=True).over(after)))
+    empties = tokens.where("kind = 'empty'").select(key, "pos", F.lit(True).alias("_e"))
+    spans = ends.where("prefix IS NOT NULL").join(empties, [key, "pos"], "left").select(
+        key, "prefix", "pos", F.when(F.col("_e"), F.col("pos")).otherwise(F.col("end")).alias("end"), F.lit(False).alias("use"))
+    uses = names.where("NOT declares").select(key, "prefix", "pos", F.lit(None).cast("int").alias("end"), F.lit(True).alias("use"))
+    sofar = Window.partitionBy(key, "prefix").orderBy("pos").rangeBetween(Window.unboundedPreceding, 0)
+    held = spans.unionByName(uses).withColumn("reach", F.max("end").over(sofar))
+    return held.where(F.col("use") & (F.col("reach").isNull() | (F.col("reach") < F.col("pos")))).select(key).distinct()
+
+
 def wellformed(tokens: DataFrame, key: str = "rec_id") -> DataFrame:
-    """Per record: ``ok`` and the first structural ``reason`` (NULL when well formed)."""
-    tags = tokens.where(F.col("kind").isin("open", "close", "empty"))
-    w = Window.partitionBy(key, "depth").orderBy("pos")
-    tags = tags.withColumn("_next_kind", F.lead("kind").over(w)).withColumn("_next_name", F.lead("name").over(w))
+    """Per record: ``ok`` and the first ``reason`` (NULL when well formed): structure first, then what stands in a tag or a
+    text, then prefixes without a declaration, as an XML parser would refuse them."""
+    is_tag = F.col("kind").isin("open", "close", "empty")
+    # tags see the next tag of their depth; other tokens take part in the counts only
+    marked = tokens.withColumn("_tag", is_tag)
+    wt = Window.partitionBy(key, "depth", "_tag").orderBy("pos")
+    marked = marked.withColumn("_next_kind", F.when(is_tag, F.lead("kind").over(wt))).withColumn("_next_name", F.when(is_tag, F.lead("name").over(wt)))
     level = F.when(F.col("kind") == "open", F.col("depth") + 1).otherwise(F.col("depth"))
-    per = tags.groupBy(key).agg(
-        F.min(F.col("depth")).alias("min_depth"),
-        F.max_by(level, F.col("pos")).alias("end_level"),
-        F.count_if((F.col("kind") == "open") & ((F.col("_next_kind").isNull()) | (F.col("_next_kind") != "close"))).alias("unclosed"),
+    opens = F.col("kind").isin("open", "empty")
+    names = F.regexp_extract_all("tok", F.lit(ATTR_RUNS), 1)
+    texts = F.col("kind") == "text"
+    per = marked.groupBy(key).agg(
+        F.min(F.when(is_tag, F.col("depth"))).alias("min_depth"),
+        F.max_by(level, F.when(is_tag, F.col("pos"))).alias("end_level"),
+        F.count_if(is_tag & (F.col("kind") == "open") & ((F.col("_next_kind").isNull()) | (F.col("_next_kind") != "close"))).alias("unclosed"),
         F.count_if((F.col("kind") == "open") & (F.col("_next_kind") == "close") & (F.col("_next_name") != F.col("name"))).alias("mismatch"),
-        F.count_if(F.col("kind").isin("open", "empty") & (F.col("depth") == 0)).alias("roots"),
+        F.count_if(opens & (F.col("depth") == 0)).alias("roots"),
+        F.count_if(texts & (F.col("depth") == 0) & F.col("tok").rlike(r"\S")).alias("outside"),
+        F.count_if(is_tag & ~F.col("tok").rlike(TAG_RUNS)).alias("torn"),
+        F.count_if(opens & (F.size(names) != F.size(F.array_distinct(names)))).alias("repeated"),
+        F.count_if((opens | texts) & F.col("tok").rlike(LOOSE_AMP)).alias("entities"),
+        F.count_if((F.col("kind") == "doctype") & F.col("tok").contains("<!ENTITY")).alias("declared"),
+        F.count_if(((F.col("kind") == "comment") & F.col("tok").rlike("(?s)^<!--.*--.*-->$")) | (texts & F.col("tok").contains("]]>"))).alias("marks"),
+        F.count_if(F.col("tok").rlike(CONTROL)).alias("control"),
+        F.count_if((F.col("kind") == "pi") & (F.col("pos") > 0) & F.col("tok").rlike(r"^<\?xml\s")).alias("late"),
     )
     reason = (F.when(F.col("min_depth") < 0, "unexpected close tag")
               .when(F.col("mismatch") > 0, "mismatched tag")
               .when((F.col("unclosed") > 0) | (F.col("end_level") != 0), "unclosed tag")
               .when(F.col("roots") == 0, "no element")
-              .when(F.col("roots") > 1, "junk after document element"))
-    return per.select(key, reason.isNull().alias("ok"), reason.alias("reason"))
+              .when(F.col("roots") > 1, "junk after document element")
+              .when(F.col("outside") > 0, "text outside the document element")
+              .when(F.col("torn") > 0, "malformed tag")
+              .when(F.col("repeated") > 0, "duplicate attribute")
+              .when((F.col("entities") > 0) & (F.col("declared") == 0), "undefined entity")
+              .when(F.col("marks") > 0, "malformed comment or text")
+              .when(F.col("control") > 0, "invalid character")
+              .when(F.col("late") > 0, "XML declaration not at the start"))
+    unbound = unbound_prefixes(tokens, key).withColumn("_unbound", F.lit("unbound prefix"))
+    per = per.withColumn("reason", reason).join(unbound, key, "left").withColumn("reason", F.coalesce("reason", "_unbound"))
+    return per.select(key, F.col("reason").isNull().alias("ok"), "reason")
 
 
 def lower_attrs(elements: DataFrame) -> DataFrame:

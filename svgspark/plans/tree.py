@@ -45,14 +45,19 @@ del AS (SELECT rec_id, pos AS open_pos, CASE WHEN kind = 'empty' THEN pos WHEN n
     depth, regexp_replace(name, '^.*[:}}]', '') AS tag, tok,
     array_to_string(regexp_extract_all(tok, {lit(T.ATTR_RE)}, 1), ' ') AS attr_names
   FROM dtags WHERE kind IN ('open', 'empty')),
-dwf AS (SELECT rec_id, reason IS NULL AS ok, reason FROM (SELECT rec_id,
+dns0 AS (SELECT rec_id, pos, n FROM (SELECT rec_id, pos, unnest(list_append(regexp_extract_all(tok, {lit(T.ATTR_RE)}, 1), name)) AS n FROM dtok
+    WHERE kind IN ('open', 'empty') AND contains(tok, ':')) t WHERE contains(n, ':') AND NOT starts_with(n, 'xml')),
+dns AS (SELECT DISTINCT rec_id FROM dns0 u WHERE NOT EXISTS (SELECT 1 FROM del d WHERE d.rec_id = u.rec_id AND contains(d.tok, 'xmlns:')
+    AND d.open_pos <= u.pos AND u.pos <= d.close_pos AND contains(d.tok, ' xmlns:' || split_part(u.n, ':', 1) || '='))),
+dwf AS (SELECT r.rec_id, coalesce(reason, CASE WHEN dns.rec_id IS NOT NULL THEN 'unbound prefix' END) IS NULL AS ok,
+    coalesce(reason, CASE WHEN dns.rec_id IS NOT NULL THEN 'unbound prefix' END) AS reason FROM (SELECT rec_id,
     CASE WHEN min(depth) < 0 THEN 'unexpected close tag'
       WHEN count(*) FILTER (WHERE kind = 'open' AND next_kind = 'close' AND next_name <> name) > 0 THEN 'mismatched tag'
       WHEN count(*) FILTER (WHERE kind = 'open' AND (next_kind IS NULL OR next_kind <> 'close')) > 0
         OR arg_max(CASE WHEN kind = 'open' THEN depth + 1 ELSE depth END, pos) <> 0 THEN 'unclosed tag'
       WHEN count(*) FILTER (WHERE kind IN ('open', 'empty') AND depth = 0) = 0 THEN 'no element'
       WHEN count(*) FILTER (WHERE kind IN ('open', 'empty') AND depth = 0) > 1 THEN 'junk after document element' END AS reason
-  FROM dtags GROUP BY rec_id) r),
+  FROM dtags GROUP BY rec_id) r LEFT JOIN dns ON dns.rec_id = r.rec_id),
 okel AS (SELECT e.* FROM del e JOIN dwf w ON w.rec_id = e.rec_id AND w.ok)"""
 
 

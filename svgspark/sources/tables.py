@@ -63,7 +63,7 @@ SELECT rec_id, k, concat({_text(head)}, {path}, {_text(tail)}) AS svg FROM (SELE
 
 
 def _defs() -> str:
-    markup = ('<svg xmlns="http://www.w3.org/2000/svg"><defs><linearGradient id="a[k%3]" xlink:href="#b"/><linearGradient id="b" href="#c"/><linearGradient id="c"/>'
+    markup = ('<svg xmlns="http://www.w3.org/2000/svg" xmlns:xlink="http://www.w3.org/1999/xlink"><defs><linearGradient id="a[k%3]" xlink:href="#b"/><linearGradient id="b" href="#c"/><linearGradient id="c"/>'
               '<linearGradient id="d" href="#e"/><linearGradient id="e" href="#d"/><g id="f"><path id="p0" d="M0 0L1 [k%5]" fill="url(#g)"/></g>'
               '<style>.x{{fill:url(#s)}}</style><radialGradient id="s"/><radialGradient id="g"/></defs><path id="q" d="M0 0L5 5" fill="url(#a[k%4])"/>'
               '<use href="#p[k%5]"/><text></text><text>t[k%2]</text><g><g/></g><path d="M1 2L3 4" fill="red"/><path d="M1 2L3 4" fill="blue"/></svg>')
