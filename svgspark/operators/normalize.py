@@ -103,18 +103,20 @@ def normalize_corpus(docs: DataFrame, key: str = "rec_id", normalize_scale: floa
     gated = docs.withColumn("reason", gate)
     # tokens and elements are read several times below: each is written once
     toks = materialized(T.svg_tokens(gated.where(F.col("reason").isNull()).select(key, "svg"), key), "stage1_tokens")
-    wf = T.wellformed(toks, key)
+    wf = materialized(T.wellformed(toks, key), "stage1_checks")
     ok_keys = wf.where("ok").select(key)
-    el = T.lower_attrs(T.svg_elements(toks, key)).join(ok_keys, key, "left_semi")
+    toks = toks.join(ok_keys, key, "left_semi")
+    el = materialized(T.lower_attrs(T.svg_elements(toks, key)), "stage1_tree")
 
     # path data that do not make whole commands fail the record
     paths = el.where(F.col("tag") == "path").select(key, "open_pos", G.path_tokens(F.col("lattrs").getItem("d")).alias("_t"))
     paths = paths.withColumn("_i", G.command_index("_t")).withColumn("reason", G.path_reason("_t", "_i")).where(F.col("reason").isNotNull())
-    torn = paths.groupBy(key).agg(F.min_by("reason", "open_pos").alias("reason"))
+    torn = materialized(paths.groupBy(key).agg(F.min_by("reason", "open_pos").alias("reason")), "stage1_torn")
 
     # canvas of each root and the scale factor
     root = T.canvas_box(el.where((F.col("depth") == 0)), "lattrs")
     root = T.canvas_scale(root, normalize_scale, to_int)
+    root = materialized(root.select(key, "s", *[f"{x}{y}" for x in ("vb_x", "vb_y", "vb_w", "vb_h") for y in ("", "_s")]), "stage1_roots")
     flat = root.where(F.col("s").isNull()).select(key)  # a canvas without extent has no scale
     sc = root.select(key, F.col("s") if normalize_points else F.lit(1.0).alias("s"),
                      "vb_x_s", "vb_y_s", "vb_w_s", "vb_h_s", "vb_w", "vb_h")
@@ -122,14 +124,14 @@ def normalize_corpus(docs: DataFrame, key: str = "rec_id", normalize_scale: floa
 
     la = F.col("lattrs")
     el = el.withColumn("m_local", local_matrix())
-    el = materialized(effective_transform(el, key), "stage1_elements")
+    # rect, circle and ellipse become paths
+    el = materialized(effective_transform(G.with_shape_path(el, "_shape"), key), "stage1_elements")
 
     tag = F.col("tag")
     is_shape = tag.isin(*SHAPES)
-    # paths: rect/circle/ellipse become paths; path d re-emitted
-    el = G.with_shape_path(el, "_shape").withColumn("_d", F.when(tag == "path", la.getItem("d")).otherwise(F.col("_shape"))).drop("_shape")
+    el = el.withColumn("_d", F.when(tag == "path", la.getItem("d")).otherwise(F.col("_shape"))).drop("_shape")
     drawn = G.path_texts(el.select(key, "open_pos", "_d", "m_eff", "s"), [key, "open_pos"], "_d", "m_eff", "s", cubic_only, decimals, to_int)
-    el = el.join(drawn.withColumnRenamed("path_d", "_d_out"), [key, "open_pos"], "left")
+    el = el.join(materialized(drawn, "stage1_paths").withColumnRenamed("path_d", "_d_out"), [key, "open_pos"], "left")
 
     # every rewritten attribute as one small "updates" map (lower-case keys), applied in one pass
     m, s = F.col("m_eff"), F.col("s")
@@ -197,8 +199,7 @@ def normalize_corpus(docs: DataFrame, key: str = "rec_id", normalize_scale: floa
     new_tag = F.when(tag.isin(*SHAPE_TO_PATH), F.lit("path")).otherwise(tag)
     el = materialized(el.select(key, "open_pos", "close_pos", new_tag.alias("new_tag"), F.col("_a").alias("new_attrs")), "stage1_rewritten")
 
-    own = toks.join(ok_keys, key, "left_semi")
-    text = svg_text(own, el, key, T.style_blocks(own, sc.select(key, "s"), key, LENGTH_ATTRS + NON_ROOT_LENGTHS, fmt))
+    text = svg_text(toks, el, key, T.style_blocks(toks, sc.select(key, "s"), key, LENGTH_ATTRS + NON_ROOT_LENGTHS, fmt))
     fails = (gated.where(F.col("reason").isNotNull()).select(key, F.lit("rejected").alias("status"), "reason",
                                                              F.lit(None).cast("string").alias("svg_out")))
     parse_fail = wf.where(~F.col("ok")).select(key, F.lit("parse_error").alias("status"), "reason",
