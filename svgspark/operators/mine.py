@@ -120,11 +120,12 @@ def join_assets(cands: DataFrame, assets: DataFrame) -> DataFrame:
     return (cands.withColumn("_k", salted).join(ok, "_k", "left").drop("_k"))
 
 
-def candidate_svgs(pages_ok: DataFrame, assets: DataFrame) -> DataFrame:
+def candidate_svgs(pages_ok: DataFrame, assets: DataFrame, max_chars: int = S.MAX_SVG_CHARS) -> DataFrame:
     """Candidates after the per-candidate gates, with ``svg`` filled and ``hash`` computed.
 
     Inline/fallback: drop use-only, strip backslashes. References: fetched body with backslashes
-    stripped. ``external`` marks references; ``fetched`` marks a non-empty fetched body.
+    stripped. ``external`` marks references; ``fetched`` marks a non-empty fetched body. A candidate of more than
+    ``max_chars`` characters has no hash: ``rejected_svgs`` lists those.
     """
     c = join_assets(page_candidates(pages_ok), assets)
     inline_ok = F.col("ref").isNull() & ~S.is_use_only(F.col("svg"))
@@ -134,7 +135,7 @@ def candidate_svgs(pages_ok: DataFrame, assets: DataFrame) -> DataFrame:
             .withColumn("svg", strip_backslash(F.coalesce(F.col("svg"), F.col("_asset"))))
             .drop("_asset")
             .withColumn("n_chars", F.length("svg").cast("bigint"))
-            .withColumn("hash", F.when(F.col("n_chars") <= S.MAX_SVG_CHARS, content_hash("svg"))))
+            .withColumn("hash", F.when(F.col("n_chars") <= max_chars, content_hash("svg"))))
 
 
 def first_seen(df: DataFrame, key: str = "hash", order=("page_id", "origin", "ord")) -> DataFrame:
@@ -151,9 +152,15 @@ def fetched_pages(fetch_log: DataFrame) -> DataFrame:
     return S.html_response(best.where("success")).select("page_id", "url", F.col("body").alias("html"))
 
 
-def mine_svgs(fetch_log: DataFrame, assets: DataFrame) -> DataFrame:
+def rejected_svgs(fetch_log: DataFrame, assets: DataFrame, max_chars: int = S.MAX_SVG_CHARS) -> DataFrame:
+    """Candidates that ``mine_svgs`` leaves out for their length: ``(page_id, url, origin, ord, n_chars, reason)``."""
+    cands = candidate_svgs(fetched_pages(fetch_log), assets, max_chars).where(F.col("hash").isNull() & F.col("svg").isNotNull())
+    return cands.select("page_id", "url", "origin", "ord", "n_chars", F.lit(f"longer than {max_chars} characters").alias("reason"))
+
+
+def mine_svgs(fetch_log: DataFrame, assets: DataFrame, max_chars: int = S.MAX_SVG_CHARS) -> DataFrame:
     """Flagship: fetched pages -> candidates -> gates -> md5 -> first-seen dedup -> sharded rows."""
-    cands = candidate_svgs(fetched_pages(fetch_log), assets).where(F.col("hash").isNotNull())
+    cands = candidate_svgs(fetched_pages(fetch_log), assets, max_chars).where(F.col("hash").isNotNull())
     won = first_seen(cands.select("hash", "page_id", "origin", "ord", "url", "svg", "n_chars"))
     return won.withColumn("shard", shard_of("hash"))
 

@@ -52,6 +52,25 @@ def glob_scan(spark: SparkSession, root: str, fmt: str, patterns: list[str], **o
     return reader.load(paths)
 
 
+def shard_scan(spark: SparkSession, root: str, patterns: list[str], fmt: str = "parquet", shard: str = "shard", path: str = "path") -> DataFrame:
+    """Rows of a table partitioned by ``shard`` whose ``path`` (shard/name) matches a pattern. The part of a pattern before
+    the slash is asked of the partition value, so other shards are not read."""
+    found = spark.read.format(fmt).load(root).schema
+    # shards such as 00 and 01 are names, which the reader takes for numbers if there are no others
+    schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name == shard else f for f in found])
+    df = spark.read.schema(schema).format(fmt).load(root)
+    heads = "|".join(f"(?:{glob_to_regex(p.split('/')[0])})" for p in patterns)
+    return glob_filter(df.where(F.col(shard).rlike(heads)), patterns, path)
+
+
+def split_scan(spark: SparkSession, root: str, split: str = "split", preferred: str = "train") -> DataFrame:
+    """Split ``preferred`` of a table partitioned by ``split``, else the first in sorted order. The choice reads partition
+    values only, and as a constant in the filter it prunes the other partitions."""
+    df = spark.read.parquet(root)
+    chosen = df.agg(F.coalesce(F.max(F.when(F.col(split) == preferred, F.col(split))), F.min(split)).alias("c")).first()["c"]
+    return df.where(F.col(split) == F.lit(chosen))
+
+
 def svg_dir_scan(spark: SparkSession, path: str) -> DataFrame:
     """Every ``*.svg`` under ``path`` (recursively) as ``(path, grp, svg, n_bytes)``; ``grp`` is the
     top-level directory below ``path`` ('' for files directly in it)."""
