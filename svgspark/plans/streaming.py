@@ -15,11 +15,25 @@ from svgspark.session import scratch_dir
 from svgspark.sources import scans, sinks
 from svgspark.sources.tables import duck_with, view
 from svgspark.streaming import stream as ST
+from svgspark.streaming.keyed import KeyedTable
 
 
-def _events_stream(spark, sf):
-    schema = view(spark, sf, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").option("maxFilesPerTrigger", 1).parquet(sf)
+FEED_ROWS = 1_000_000
+
+
+def _feed(spark, df, *order):
+    """``df`` as files of at most about FEED_ROWS rows, four at least, that a stream reads in the order of the columns."""
+    files = max(4, -(-df.count() // FEED_ROWS))
+    path = scratch_dir(spark, "feed")
+    df.repartitionByRange(files, *order).sortWithinPartitions(*order).write.parquet(path)
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = sorted((f.getPath() for f in fs.listStatus(root) if f.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+    # a file stream reads by time of change; tasks end in any order
+    for k, part in enumerate(parts):
+        fs.setTimes(part, 1_000_000_000_000 + 1000 * k, -1)
+    return path
 
 
 def _stage_parquet(spark, df, name):
@@ -31,10 +45,9 @@ def _stage_parquet(spark, df, name):
 
 @register("stream_pages", "SELECT page_id, url FROM pages")
 def q_stream_pages(spark, sf):
-    schema = view(spark, sf, "pages").schema
-    s = spark.readStream.schema(schema).option("pathGlobFilter", "pages.parquet").option("maxFilesPerTrigger", 1).parquet(sf)
+    pages = view(spark, sf, "pages").select("page_id", "url")
     out, cp = scratch_dir(spark, "stream_pages"), scratch_dir(spark, "cp")
-    ST.run_available_now(s.select("page_id", "url"), out, cp)
+    ST.run_available_now(ST.stream_source(spark, _feed(spark, pages, "page_id"), pages.schema), out, cp)
     return spark.read.parquet(out)
 
 
@@ -58,50 +71,66 @@ def q_stream_mine(spark, sf):
 @register("stream_shard_sink", D_SVG_CANDS + "SELECT DISTINCT hash, shard FROM (SELECT hash, substr(hash, 1, 2) AS shard FROM cands WHERE hash IS NOT NULL) t")
 def q_stream_shard_sink(spark, sf):
     out, cp = scratch_dir(spark, "stream_shard_sink"), scratch_dir(spark, "cp")
-    d = ST.stream_dedup_exact(_mine_stream(spark, sf).select("hash", "shard", "url", "svg"))
+    d = ST.stream_dedup_exact(_mine_stream(spark, sf).select("hash", "shard", "url", "svg")).withColumn("timestamp", sinks.mined_at())
     ST.run_available_now(d, out, cp, fmt="json", partition_by=["shard"])
-    return spark.read.schema("hash string, url string, svg string, shard string").json(out).select("hash", "shard")
+    return spark.read.schema("hash string, url string, svg string, timestamp string, shard string").json(out).select("hash", "shard")
 
 
 D_FIRST = "SELECT md5(CAST(user_id AS VARCHAR)) AS hash, min(CAST(ts AS TIMESTAMP)) AS ts FROM events GROUP BY 1"
 
 
-def _first_sink(spark, sf):
-    out, cp = scratch_dir(spark, "stream_first"), scratch_dir(spark, "cp")
-    ST.run_available_now(ST.stream_first_seen(ST.events_with_hash(_events_stream(spark, sf))), out, cp)
-    return spark.read.parquet(out)
+def _events_feed(spark, sf):
+    ev = view(spark, sf, "events")
+    return ST.events_with_hash(ST.stream_source(spark, _feed(spark, ev, "ts", "event_id"), ev.schema))
 
 
 @register("stream_dedup", f"SELECT hash, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM ({D_FIRST}) t")
 def q_stream_dedup(spark, sf):
-    return _first_sink(spark, sf).select("hash", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
+    first = ST.stream_first_seen(_events_feed(spark, sf))
+    table = KeyedTable(spark, scratch_dir(spark, "stream_first"), ["hash"], first.schema)
+    ST.upsert_available_now(first, table, scratch_dir(spark, "cp"))
+    return table.read().select("hash", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
 
 
 @register("stream_new_per_minute", f"""SELECT strftime(minute, '%Y-%m-%d %H:%M:%S') AS minute, n_new,
   CAST(sum(n_new) OVER (ORDER BY minute ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS n_total FROM (
   SELECT time_bucket(INTERVAL 1 minute, ts) AS minute, count(*) AS n_new FROM ({D_FIRST}) f GROUP BY 1) t""")
 def q_stream_new_per_minute(spark, sf):
-    first = _first_sink(spark, sf)
-    per = (first.groupBy(F.window("ts", "1 minute").alias("w")).agg(F.count(F.lit(1)).alias("n_new"))
-           .select(F.col("w.start").alias("minute"), "n_new"))
-    per = per.withColumn("n_total", F.sum("n_new").over(Window.orderBy("minute").rowsBetween(Window.unboundedPreceding, 0)))
-    return per.select(F.date_format("minute", "yyyy-MM-dd HH:mm:ss").alias("minute"), "n_new", "n_total")
+    ev = view(spark, sf, "events")
+    src = _feed(spark, ev, "ts", "event_id")
+    # the last file: the first rows again under users never seen, too late to count, and a known user a day
+    # after the last event, whose row only moves the watermark past every minute
+    late = ev.orderBy("ts").limit(5).withColumn("user_id", -1 - F.col("user_id"))
+    flush = ev.orderBy(F.desc("ts")).limit(1).withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY"))
+    late.unionByName(flush).coalesce(1).write.mode("append").parquet(src)
+    per = ST.stream_new_per_minute(ST.events_with_hash(ST.stream_source(spark, src, ev.schema)), "10 minutes")
+    out, cp = scratch_dir(spark, "stream_minutes"), scratch_dir(spark, "cp")
+    ST.run_available_now(per, out, cp)
+    # minutes are few: half a million a year
+    total = F.sum("n_new").over(Window.orderBy("minute").rowsBetween(Window.unboundedPreceding, 0)).alias("n_total")
+    return spark.read.schema("minute timestamp, n_new long").parquet(out).select(F.date_format("minute", "yyyy-MM-dd HH:mm:ss").alias("minute"), "n_new", total)
 
 
 @register("stream_total", """SELECT count(*) AS n_events, count(DISTINCT user_id) AS n_users FROM events""")
 def q_stream_total(spark, sf):
-    out, cp = scratch_dir(spark, "stream_total"), scratch_dir(spark, "cp")
-    agg = _events_stream(spark, sf).groupBy().agg(F.count(F.lit(1)).alias("n_events"),
-                                                  F.approx_count_distinct("user_id").alias("_approx"))
-    # running total in complete mode, upserted per micro-batch; exact distinct users from the state of a
-    # keyed count (one row per user), also complete mode
-    ST.run_available_now(agg.select("n_events"), out, cp, mode="complete")
-    users_out, users_cp = scratch_dir(spark, "stream_users"), scratch_dir(spark, "cp")
-    per_user = _events_stream(spark, sf).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    ST.run_available_now(per_user, users_out, users_cp, mode="complete")
-    n_users = spark.read.parquet(users_out).agg(F.count(F.lit(1)).alias("n_users"))
-    return spark.read.parquet(out).unionByName(n_users, allowMissingColumns=True) \
-        .agg(F.max("n_events").alias("n_events"), F.max("n_users").alias("n_users"))
+    counts, table, cp = _user_counts(spark, sf)
+    ST.upsert_available_now(counts, table, cp)
+    return table.read().agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_events"), F.count("user_id").alias("n_users"))
+
+
+def _user_counts(spark, sf):
+    ev = view(spark, sf, "events")
+    counts = ST.stream_counts(ST.stream_source(spark, _feed(spark, ev, "event_id"), ev.schema), "user_id")
+    return counts, KeyedTable(spark, scratch_dir(spark, "stream_users"), ["user_id"], counts.schema), scratch_dir(spark, "cp")
+
+
+@register("stream_url_counts", D_SVG_CANDS + "SELECT url, count(*) AS n FROM cands WHERE hash IS NOT NULL GROUP BY url")
+def q_stream_url_counts(spark, sf):
+    """SVG found for each URL, kept up to date while pages arrive."""
+    counts = ST.stream_counts(_mine_stream(spark, sf), "url")
+    table = KeyedTable(spark, scratch_dir(spark, "stream_urls"), ["url"], counts.schema)
+    ST.upsert_available_now(counts, table, scratch_dir(spark, "cp"))
+    return table.read()
 
 
 @register("stream_resume", """SELECT count(*) AS n_events, CAST(round(sum(value) * 1000) AS BIGINT) AS value_milli FROM events""")
@@ -142,9 +171,11 @@ def q_content_store_sink(spark, sf):
     s = view(spark, sf, "stage_out")
     store = scratch_dir(spark, "svg_store")
     # three appends (one per stage) into one store; a repeated append must change nothing
+    table = store.rsplit("/", 1)[1].replace("-", "_")
     for col in ("raw", "stage1", "stage1", "stage2"):
         rows = C.store_rows(s.where(F.col(col).isNotNull()).select(F.col(col).alias("text")))
-        sinks.content_store_sink(rows, store, spark)
+        sinks.content_store_sink(rows, table, store)
+    spark.sql(f"DROP TABLE {table}")  # the files stay
     return spark.read.parquet(store).select("hash", "shard", "n_chars")
 
 
