@@ -2,13 +2,15 @@
 
 A line's key is the line with white space ``[\\x20\\x09-\\x0D]`` stripped at both ends and A-Z lower-cased.
 Documents arrive in batches. A batch is reduced to (key hash, documents that hold it), merge-anti-joined
-against the keys that the runs already know to be common (they need no more counting), and the rest is
+against the keys that a run already knows to be common (they need no more counting), and the rest is
 written as a sorted run of level 0. Whenever ``fanout`` runs stand on a level they are merged into one run
 of the next level, sums per hash. Keys found in ``min_docs`` documents lose all their lines.
 
-Only 128-bit hashes and line numbers are shuffled to find the keys; texts move once, for the rewrite.
-A key that a third of all documents hold is counted by partial aggregation, and its lines are dealt over
-``SALTS`` tasks when the verdict is joined back.
+Runs are tables bucketed and sorted by hash, so neither the anti join nor the merge of two runs shuffles them: a
+batch is shuffled once, to the buckets. Only 128-bit hashes and line numbers are shuffled to find the keys; texts
+move once, for the rewrite. A key that a third of all documents hold is counted by partial aggregation. Keys that
+make up at least 1/``HOT_KEYS`` of all lines, of which there can be no more than ``HOT_KEYS``, are broadcast to find
+their lines, which therefore stay where they are; only the lines of rarer keys are shuffled to the buckets.
 
 Defined results: null or empty text is one empty line; an empty key is never dropped; rows that repeat
 are documents each and get the same verdict; a null doc_id is a value like any
@@ -20,13 +22,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from svgspark.llm.common import dropped, row_id, scratch
+from svgspark.llm.common import dropped, row_id, scratch, written
 
 WHITE = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Letters outside A-Z that ``lower`` would change; lines with one take the slower exact ``translate``.
 OTHER_UPPER = r"[\p{IsUppercase}\p{Lt}&&[^A-Z]]"
-SALTS = 16
+#: Most keys that are broadcast, 16 bytes each.
+HOT_KEYS = 65_536
 
 
 def line_key(line: Column) -> Column:
@@ -40,48 +43,86 @@ def key_hashes(key: Column) -> list[Column]:
 
 
 class LineRuns:
-    """The runs: Parquet tables (h1, h2, n) sorted by hash, a list of paths per level."""
+    """The runs: tables (h1, h2, n) bucketed and sorted by hash, a list of (table, path) per level."""
 
     def __init__(self, spark: SparkSession, min_docs: int, fanout: int = 2) -> None:
         self.spark, self.min_docs, self.fanout = spark, min_docs, fanout
-        self.levels: list[list[str]] = []
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.levels: list[list[tuple[str, str]]] = []
 
-    def _read(self, paths: list[str]) -> DataFrame:
-        return self.spark.read.schema("h1 long, h2 long, n long").parquet(*paths)
+    def _read(self, run: tuple[str, str]) -> DataFrame:
+        return self.spark.table(run[0])
 
-    def _write(self, counts: DataFrame, level: int) -> str:
+    def _write(self, counts: DataFrame, level: int) -> tuple[str, str]:
         path = scratch(self.spark, f"line-run-{level}")
-        counts.select("h1", "h2", "n").sortWithinPartitions("h1", "h2").write.parquet(path)
-        return path
-
-    def counts(self) -> DataFrame:
-        """(h1, h2, n) over all runs."""
-        paths = [p for level in self.levels for p in level]
-        return self._read(paths).groupBy("h1", "h2").agg(F.sum("n").alias("n"))
-
-    def common(self) -> DataFrame:
-        return self.counts().where(F.col("n") >= self.min_docs).select("h1", "h2")
+        name = path.rsplit("/", 1)[1].replace("-", "_")
+        counts.select("h1", "h2", "n").write.bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2").option("path", path).saveAsTable(name)
+        return name, path
+
+    def _drop(self, run: tuple[str, str]) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {run[0]}")
+        dropped(self.spark, run[1])
+
+    def _known(self, run: tuple[str, str]) -> DataFrame:
+        """The keys that a run holds as common."""
+        return self._read(run).where(F.col("n") >= self.min_docs).select(F.col("h1").alias("k1"), F.col("h2").alias("k2"))
+
+    def unknown(self, counts: DataFrame) -> DataFrame:
+        """``counts`` without the keys that a run already knows to be common; the runs are not shuffled."""
+        # an outer join and a filter: an anti join would move below the aggregation that makes the counts
+        for run in (run for level in self.levels for run in level):
+            counts = counts.join(self._known(run).hint("merge"), (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")), "left") \
+                .where("k1 IS NULL").drop("k1", "k2")
+        return counts
+
+    def merged(self, left: tuple[str, str], right: tuple[str, str]) -> DataFrame:
+        """(h1, h2, n) of two runs, bucket by bucket."""
+        a, b = self._read(left), self._read(right).withColumnRenamed("n", "m")
+        return a.join(b.hint("merge"), ["h1", "h2"], "full").select("h1", "h2", (F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))).alias("n"))
+
+    def _one(self, runs: list[tuple[str, str]], level: int) -> tuple[str, str]:
+        """The runs merged into one, two at a time."""
+        while len(runs) > 1:
+            left, right = runs[:2]
+            runs = [self._write(self.merged(left, right), level), *runs[2:]]
+            self._drop(left)
+            self._drop(right)
+        return runs[0]
 
     def add(self, batch: DataFrame) -> None:
         """batch: (h1, h2, doc), one row or more for each document (row of the table) that holds the line."""
         counts = batch.groupBy("h1", "h2").agg(F.countDistinct("doc").alias("n"))
-        if self.levels:
-            counts = counts.hint("merge").join(self.common(), ["h1", "h2"], "left_anti")
-            # a key that was common before this batch needs no further count: its run already says so
-        self._push(self._write(counts, 0), 0)
+        self._push(self._write(self.unknown(counts), 0), 0)
 
-    def _push(self, path: str, level: int) -> None:
+    def _push(self, run: tuple[str, str], level: int) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
-        self.levels[level].append(path)
-        if len(self.levels[level]) < self.fanout:
-            return
-        old, self.levels[level] = self.levels[level], []
-        merged = self._read(old).groupBy("h1", "h2").agg(F.sum("n").alias("n"))
-        up = self._write(merged, level + 1)
-        for p in old:
-            dropped(self.spark, p)
-        self._push(up, level + 1)
+        self.levels[level].append(run)
+        if len(self.levels[level]) >= self.fanout:
+            old, self.levels[level] = self.levels[level], []
+            self._push(self._one(old, level + 1), level + 1)
+
+    def common(self) -> DataFrame:
+        """(h1, h2, n) of the keys found in ``min_docs`` documents, from all runs merged into one."""
+        runs = [run for level in self.levels for run in level]
+        self.levels = [[self._one(runs, len(self.levels))]]
+        return self._read(self.levels[0][0]).where(F.col("n") >= self.min_docs)
+
+    def close(self) -> None:
+        for level in self.levels:
+            while level:
+                self._drop(level.pop())
+
+
+def _common_lines(lines: DataFrame, common: DataFrame) -> DataFrame:
+    """The rows of ``lines`` whose key is common: id, rid, pos."""
+    rare = -(-lines.count() // HOT_KEYS)  # the documents of all keys are at most the lines, so at most HOT_KEYS reach it
+    keys = common.select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), "n")
+    same = (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2"))
+    seen = lines.join(F.broadcast(keys.where(F.col("n") >= rare).drop("n")), same, "left")
+    hot = seen.where("k1 IS NOT NULL").select("id", "rid", "pos")
+    cold = seen.where("k1 IS NULL").drop("k1", "k2").join(keys.where(F.col("n") < rare).hint("merge"), same).select("id", "rid", "pos")
+    return hot.unionAll(cold)
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches: int = 4, fanout: int = 2) -> DataFrame:
@@ -94,19 +135,16 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches
     path = scratch(spark, "lines")
     lines = base.withColumn("doc", F.monotonically_increasing_id()).select("id", "rid", "doc", F.posexplode("parts").alias("pos", "line")).withColumn("key", line_key(F.col("line")))
     lines = lines.where(F.char_length("key") >= max(1, min_chars)).select("id", "rid", "doc", "pos", *key_hashes(F.col("key")))
-    lines.withColumn("batch", F.pmod("rid", F.lit(batches))).write.partitionBy("batch").parquet(path)
-    lines = spark.read.schema(f"{_ddl(lines)}, batch int").parquet(path)
-
     runs = LineRuns(spark, min_docs, fanout)
-    for k in range(batches):
-        runs.add(lines.where(F.col("batch") == k).select("h1", "h2", "doc"))
-
-    salted = runs.common().withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
-    hits = (
-        lines.withColumn("salt", F.pmod(F.col("rid") + F.col("pos"), F.lit(SALTS)).cast("int"))
-        .join(salted, ["h1", "h2", "salt"], "left_semi")
-        .groupBy("id", "rid").agg(F.collect_set("pos").alias("gone"))
-    )
+    try:
+        lines.withColumn("batch", F.pmod("rid", F.lit(batches))).write.partitionBy("batch").parquet(path)
+        lines = spark.read.schema(f"{_ddl(lines)}, batch int").parquet(path)
+        for k in range(batches):
+            runs.add(lines.where(F.col("batch") == k).select("h1", "h2", "doc"))
+        hits = written(_common_lines(lines, runs.common()).groupBy("id", "rid").agg(F.collect_set("pos").alias("gone")), "line-hits")
+    finally:
+        runs.close()
+        dropped(spark, path)
     n = F.size("parts")
     joined = base.join(hits.select(F.col("id").alias("hid"), F.col("rid").alias("hrid"), "gone"),
                        F.col("id").eqNullSafe(F.col("hid")) & (F.col("rid") == F.col("hrid")), "left")
