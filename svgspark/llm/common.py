@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
+_noted: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("noted", default=())
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,7 +30,21 @@ def scratch(spark: SparkSession, tag: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="llm-scratch-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex[:12]}"
+    path = f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex[:12]}"
+    for paths in _noted.get():
+        paths.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def noted() -> Iterator[list[str]]:
+    """The scratch folders named inside, in order, for a caller that deletes them once nothing reads them."""
+    paths: list[str] = []
+    token = _noted.set((*_noted.get(), paths))
+    try:
+        yield paths
+    finally:
+        _noted.reset(token)
 
 
 def small_batches(spark: SparkSession, rows: int = 2000) -> SparkSession:
