@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from svgspark.llm import line_dedup, mixing, near_dup, packing, quality_rank
-from svgspark.llm.common import table, written
+from svgspark.llm.common import dropped, noted, table, written
 
 #: Words of a shingle in the near-dedup stage; the 2 of op2_near_dup are that query's contract.
 SHINGLE_WORDS = 5
@@ -76,9 +76,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = written(docs, f"stage{k}")
-    return docs
+    """The packed pieces. A stage's scratch tables, and the table it read, go once its own is written; those of the last
+    stage stay, since the result reads them."""
+    docs, before = table(spark, sf_dir, "documents"), []
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        with noted() as paths:
+            docs = written(stage(spark, docs, sf_dir), f"stage{k}")
+        for path in before + paths[:-1]:
+            dropped(spark, path)
+        before = paths[-1:]
+    return STAGES[-1][1](spark, docs, sf_dir)
