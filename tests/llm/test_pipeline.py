@@ -13,7 +13,7 @@ import brute  # noqa: E402
 
 import corpus_pipeline as P  # noqa: E402
 from svgspark.llm import mixing, quality_rank  # noqa: E402
-from svgspark.llm.common import table, written  # noqa: E402
+from svgspark.llm.common import noted, table, written  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -153,3 +153,12 @@ def test_tokens_in_one_long_run(spark):
     one = "eyJhbGciOiJIUzI1.eyJzdWIiOiIxMjM0.c2lnbmF0dXJl"
     got = {r.doc_id: r.spans for r in secrets.scan(spark.createDataFrame([(1, text), (2, f"x {one} y")], "doc_id long, text string")).collect()}
     assert "jwt" not in got[1] and f"jwt:2:{2 + len(one)}" in got[2]
+
+
+def test_run_leaves_only_what_its_result_reads(spark):
+    """The tables of the first stages are gone once the next one is written; the result is still whole."""
+    with noted() as paths:
+        out = P.run(spark, SF)
+    left = {os.path.basename(p).rsplit("-", 1)[0] for p in paths if os.path.exists(p)}
+    assert "stage3" in left and not left & {"stage0", "stage1", "stage2", "lines", "line-hits", "line-run-0"}
+    assert out.count() > 0
