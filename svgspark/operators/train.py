@@ -191,13 +191,16 @@ def bpe_merges(spark: SparkSession, word_counts: DataFrame, n_merges: int, merge
     return spark.createDataFrame(merges, "rank int, a string, b string, cnt bigint")
 
 
-def vocab_table(spark: SparkSession, merges: DataFrame, alphabet: DataFrame) -> DataFrame:
-    """Ids: base specials, new specials, alphabet, then learned merges by rank (bounded by the vocabulary size)."""
+def vocab_table(spark: SparkSession, merges: DataFrame, alphabet: DataFrame, extra: DataFrame | None = None) -> DataFrame:
+    """Ids: base specials, new specials, alphabet, then learned merges by rank (bounded by the vocabulary size), then the
+    tokens of ``extra`` (rank, token), such as those of an older vocabulary, that are not among them."""
     fixed = spark.createDataFrame([(0, i, t) for i, t in enumerate(BASE_SPECIALS)] +
                                   [(1, i, t) for i, t in enumerate(SPECIAL_TOKENS)], "cls int, rank int, token string")
     alpha = alphabet.select(F.lit(2).alias("cls"), F.lit(0).alias("rank"), F.col("token"))
     learned = merges.select(F.lit(3).alias("cls"), F.col("rank"), F.concat("a", "b").alias("token"))
     allv = fixed.unionByName(alpha).unionByName(learned)
+    if extra is not None:
+        allv = allv.unionByName(extra.select(F.lit(4).alias("cls"), F.col("rank").cast("int").alias("rank"), "token"))
     first = allv.groupBy("token").agg(F.min(F.struct("cls", "rank")).alias("k"))
     return first.select("token", F.col("k.cls").alias("cls"), F.col("k.rank").alias("rank")) \
         .withColumn("id", (F.row_number().over(Window.orderBy("cls", "rank", "token")) - 1).cast("bigint"))

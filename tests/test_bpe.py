@@ -76,3 +76,12 @@ def test_special_tokens_are_kept_whole(spark):
     assert "".join(got) == re.sub(r"\s", "", text)
     enc = {r.word: r.tokens for r in TR.encode_words(spark.createDataFrame([(w,) for w in got], "word string"), []).collect()}
     assert enc["<svg>"] == ["<svg>"] and enc["stroke-width"] == ["stroke-width"] and enc["xx"] == ["x", "x"]
+
+
+def test_older_tokens_follow_the_learned_ones(spark):
+    merges = spark.createDataFrame([(0, "a", "b", 9), (1, "ab", "c", 5)], "rank int, a string, b string, cnt long")
+    alphabet = spark.createDataFrame([("a",), ("b",), ("c",)], "token string")
+    extra = spark.createDataFrame([(7, "zz"), (3, "older"), (1, "ab"), (2, "<svg>")], "rank int, token string")
+    plain = {r.token: r.id for r in TR.vocab_table(spark, merges, alphabet).collect()}
+    more = {r.token: r.id for r in TR.vocab_table(spark, merges, alphabet, extra).collect()}
+    assert more == plain | {"older": len(plain), "zz": len(plain) + 1}
