@@ -9,6 +9,7 @@ from svgspark.functions.text import content_hash, shard_of, strip_backslash
 from svgspark.functions.url import resolve_url
 from svgspark.functions.util import as_col
 from svgspark.operators import select as S
+from svgspark.session import materialized
 
 # Extraction patterns.
 SVG_INLINE_RE = r"(?is)<svg[^>]*>.*?</svg>"   # non-greedy: a nested svg ends at the first close tag
@@ -106,36 +107,49 @@ def page_candidates(pages: DataFrame, html: str = "html", keys=("page_id", "url"
     return out.withColumn("abs_url", F.when(F.col("ref").isNotNull(), resolve_url(F.col("url"), F.col("ref"))))
 
 
-def join_assets(cands: DataFrame, assets: DataFrame) -> DataFrame:
-    """Attach fetched asset bodies to reference candidates (``left`` join, one row per candidate).
+def fetched_assets(assets: DataFrame, max_chars: int = S.MAX_SVG_CHARS) -> DataFrame:
+    """Fetched SVG bodies as ``(_k, _asset, _asset_chars, _asset_hash)``: each is stripped and hashed once, however many
+    pages refer to it. A body of more than ``max_chars`` characters has no hash."""
+    ok = S.svg_response(assets).where(F.col("body").isNotNull() & (F.col("body") != ""))
+    return (ok.select(F.col("abs_url").alias("_k"), strip_backslash("body").alias("_asset"))
+            .withColumn("_asset_chars", F.length("_asset").cast("bigint"))
+            .withColumn("_asset_hash", F.when(F.col("_asset_chars") <= max_chars, content_hash("_asset"))))
+
+
+def join_assets(cands: DataFrame, fetched: DataFrame) -> DataFrame:
+    """Attach ``fetched_assets`` rows to reference candidates (``left`` join, one row per candidate).
 
     Inline candidates carry no URL; they get a unique non-matching join key so they spread over
     all partitions instead of piling onto the NULL-key partition.
     """
-    ok = (S.svg_response(assets)
-          .where(F.col("body").isNotNull() & (F.col("body") != ""))
-          .select(F.col("abs_url").alias("_k"), F.col("body").alias("_asset")))
     salted = F.coalesce(F.col("abs_url"), F.concat(F.lit("\u0000"), F.col("page_id").cast("string"), F.lit(":"),
                                                    F.col("origin").cast("string"), F.lit(":"), F.col("ord").cast("string")))
-    return (cands.withColumn("_k", salted).join(ok, "_k", "left").drop("_k"))
+    return cands.withColumn("_k", salted).join(fetched, "_k", "left").drop("_k")
 
 
-def candidate_svgs(pages_ok: DataFrame, assets: DataFrame, max_chars: int = S.MAX_SVG_CHARS) -> DataFrame:
-    """Candidates after the per-candidate gates, with ``svg`` filled and ``hash`` computed.
+def judged_candidates(pages_ok: DataFrame, assets: DataFrame, max_chars: int = S.MAX_SVG_CHARS, bodies: bool = True) -> DataFrame:
+    """Every candidate with ``external`` (a reference), ``found`` (it passes its gates), ``svg``, ``n_chars`` and ``hash``.
 
-    Inline/fallback: drop use-only, strip backslashes. References: fetched body with backslashes
-    stripped. ``external`` marks references; ``fetched`` marks a non-empty fetched body. A candidate of more than
-    ``max_chars`` characters has no hash: ``rejected_svgs`` lists those.
+    Inline/fallback: found unless use-only, backslashes stripped. References: found when a body that is not empty was
+    fetched. A candidate that is not found, or of more than ``max_chars`` characters, has no hash. Without ``bodies``
+    the ``svg`` of references is NULL, so a popular asset is not copied to every page that refers to it.
     """
-    c = join_assets(page_candidates(pages_ok), assets)
-    inline_ok = F.col("ref").isNull() & ~S.is_use_only(F.col("svg"))
-    ext_ok = F.col("ref").isNotNull() & F.col("_asset").isNotNull()
-    return (c.where(inline_ok | ext_ok)
-            .withColumn("external", F.col("ref").isNotNull())
-            .withColumn("svg", strip_backslash(F.coalesce(F.col("svg"), F.col("_asset"))))
-            .drop("_asset")
-            .withColumn("n_chars", F.length("svg").cast("bigint"))
-            .withColumn("hash", F.when(F.col("n_chars") <= max_chars, content_hash("svg"))))
+    fetched = fetched_assets(assets, max_chars)
+    c = join_assets(page_candidates(pages_ok), fetched if bodies else fetched.drop("_asset"))
+    external = F.col("ref").isNotNull()
+    own = strip_backslash("svg")
+    return (c.withColumn("external", external)
+            .withColumn("found", F.when(external, F.col("_asset_chars").isNotNull()).otherwise(~S.is_use_only(F.col("svg"))))
+            .withColumn("svg", F.coalesce(own, "_asset") if bodies else own)
+            .withColumn("n_chars", F.coalesce("_asset_chars", F.length("svg").cast("bigint")))
+            .withColumn("hash", F.when(F.col("external"), F.col("_asset_hash"))
+                        .when(F.col("found") & (F.col("n_chars") <= max_chars), content_hash("svg")))
+            .drop("_asset", "_asset_chars", "_asset_hash"))
+
+
+def candidate_svgs(pages_ok: DataFrame, assets: DataFrame, max_chars: int = S.MAX_SVG_CHARS, bodies: bool = True) -> DataFrame:
+    """The candidates that pass their gates; ``rejected_svgs`` lists those among them without a hash."""
+    return judged_candidates(pages_ok, assets, max_chars, bodies).where("found").drop("found")
 
 
 def first_seen(df: DataFrame, key: str = "hash", order=("page_id", "origin", "ord")) -> DataFrame:
@@ -147,68 +161,100 @@ def first_seen(df: DataFrame, key: str = "hash", order=("page_id", "origin", "or
 
 
 def fetched_pages(fetch_log: DataFrame) -> DataFrame:
-    """Best attempt per URL that is an HTML page with a body: ``(page_id, url, html)``."""
-    best = S.best_attempt(fetch_log)
-    return S.html_response(best.where("success")).select("page_id", "url", F.col("body").alias("html"))
+    """Best attempt per URL that is an HTML page with a body: ``(page_id, url, html)``.
+
+    The best attempt is a page only if it succeeded, so bodies of failed attempts and of other types are not shuffled."""
+    got = fetch_log.where(F.col("status") < 400).select(
+        "page_id", "url", "attempt", "status", "content_type", F.when(F.lower("content_type").contains("html"), F.col("body")).alias("body"))
+    return S.html_response(S.best_attempt(got)).select("page_id", "url", F.col("body").alias("html"))
 
 
 def rejected_svgs(fetch_log: DataFrame, assets: DataFrame, max_chars: int = S.MAX_SVG_CHARS) -> DataFrame:
     """Candidates that ``mine_svgs`` leaves out for their length: ``(page_id, url, origin, ord, n_chars, reason)``."""
-    cands = candidate_svgs(fetched_pages(fetch_log), assets, max_chars).where(F.col("hash").isNull() & F.col("svg").isNotNull())
+    cands = candidate_svgs(fetched_pages(fetch_log), assets, max_chars, bodies=False).where("hash IS NULL AND n_chars IS NOT NULL")
     return cands.select("page_id", "url", "origin", "ord", "n_chars", F.lit(f"longer than {max_chars} characters").alias("reason"))
 
 
 def mine_svgs(fetch_log: DataFrame, assets: DataFrame, max_chars: int = S.MAX_SVG_CHARS) -> DataFrame:
-    """Flagship: fetched pages -> candidates -> gates -> md5 -> first-seen dedup -> sharded rows."""
-    cands = candidate_svgs(fetched_pages(fetch_log), assets, max_chars).where(F.col("hash").isNotNull())
+    """Flagship: fetched pages -> candidates -> gates -> md5 -> first-seen dedup -> sharded rows.
+
+    Bodies of assets join the winners only, on the hash by which these already lie."""
+    cands = candidate_svgs(fetched_pages(fetch_log), assets, max_chars, bodies=False).where(F.col("hash").isNotNull())
     won = first_seen(cands.select("hash", "page_id", "origin", "ord", "url", "svg", "n_chars"))
-    return won.withColumn("shard", shard_of("hash"))
+    bodies = (fetched_assets(assets, max_chars).where(F.col("_asset_hash").isNotNull())
+              .groupBy(F.col("_asset_hash").alias("hash")).agg(F.any_value("_asset").alias("_asset")))
+    return (won.join(bodies, "hash", "left").withColumn("svg", F.coalesce("svg", "_asset")).drop("_asset")
+            .withColumn("shard", shard_of("hash")))
+
+
+def mined_hashes(fetch_log: DataFrame, assets: DataFrame, max_chars: int = S.MAX_SVG_CHARS) -> DataFrame:
+    """The hashes and shards of ``mine_svgs``, for counts: no body is shuffled."""
+    cands = candidate_svgs(fetched_pages(fetch_log), assets, max_chars, bodies=False)
+    return cands.where(F.col("hash").isNotNull()).select("hash").distinct().withColumn("shard", shard_of("hash"))
+
+
+def _candidate_table(fetch_log: DataFrame, assets: DataFrame, max_chars: int) -> DataFrame:
+    """The candidates of all pages without their texts, written once: reports read them several times."""
+    judged = judged_candidates(fetched_pages(fetch_log), assets, max_chars, bodies=False)
+    return materialized(judged.select("page_id", "origin", "ord", "external", "found", "abs_url", "hash"), "candidates")
+
+
+def time_taken(fetch_log: DataFrame, max_attempts: int = S.MAX_ATTEMPTS) -> DataFrame:
+    """``(url, page_ms)``: what the attempts up to the best one took (all of them where none succeeded)."""
+    tries = fetch_log.where(F.col("attempt").between(1, max_attempts))
+    last = F.coalesce(F.min(F.when(F.col("status") < 400, F.col("attempt"))), F.lit(max_attempts))
+    spent = [F.coalesce(F.sum(F.when(F.col("attempt") == k, F.col("ms"))), F.lit(0)) for k in range(1, max_attempts + 1)]
+    per = tries.groupBy("url").agg(last.alias("_last"), *[x.alias(f"_ms{k}") for k, x in enumerate(spent, 1)])
+    total = sum((F.when(F.col("_last") >= k, F.col(f"_ms{k}")).otherwise(0) for k in range(1, max_attempts + 1)), F.lit(0))
+    return per.select("url", total.cast("bigint").alias("page_ms"))
 
 
-def url_result(fetch_log: DataFrame, assets: DataFrame) -> DataFrame:
-    """Per URL: success, svg_matched (inline regex matches), svg_found, svg_saved.
+def url_result(fetch_log: DataFrame, assets: DataFrame, max_chars: int = S.MAX_SVG_CHARS) -> DataFrame:
+    """Per URL: success, svg_matched (inline regex matches), svg_found, svg_saved, time_taken (seconds).
 
     Inline candidates count as found only when newly saved; references count as found when the
-    fetch returned a body, and as saved when new.
+    fetch returned a body, and as saved when new. The time is that of the page's attempts and of the assets that it
+    refers to (``ms`` of the fetch log and of the assets; an asset's retries are part of its time).
     """
-    best = S.best_attempt(fetch_log)
-    pages = S.html_response(best.where("success")).select("page_id", "url", F.col("body").alias("html"))
-    cands = candidate_svgs(pages, assets)
+    flagged = fetch_log.withColumn("body", F.when(F.col("body") != "", F.lit("b")))  # whether there is one, not what it says
+    best = S.best_attempt(flagged).join(time_taken(fetch_log), "url", "left")
+    cands = _candidate_table(fetch_log, assets, max_chars)
     won = first_seen(cands.where(F.col("hash").isNotNull()).select("hash", "page_id", "origin", "ord"))
     saved = won.groupBy("page_id").agg(F.count(F.lit(1)).alias("svg_saved"),
                                       F.count_if(F.col("origin") <= ORIGIN_FALLBACK).alias("_inline_saved"))
-    ext = cands.where("external").groupBy("page_id").agg(F.count(F.lit(1)).alias("_ext_found"))
-    matched = pages.select("page_id", F.size(inline_matches("html")).alias("svg_matched"))
-    ok = best.select("page_id", "url",
-                     (F.col("success") & F.lower("content_type").contains("html")
-                      & F.col("body").isNotNull() & (F.col("body") != "")).alias("success"))
-    return (ok.join(matched, "page_id", "left")
+    seen = cands.groupBy("page_id").agg(F.count_if(F.col("origin") == ORIGIN_INLINE).alias("svg_matched"),
+                                        F.count_if(F.col("external") & F.col("found")).alias("_ext_found"))
+    fetches = (cands.where("external").select("page_id", "abs_url").join(assets.select("abs_url", "ms"), "abs_url")
+               .groupBy("page_id").agg(F.sum("ms").alias("_ref_ms")))
+    ok = best.select("page_id", "url", "page_ms", (F.col("success") & F.lower("content_type").contains("html")
+                                                   & F.col("body").isNotNull()).alias("success"))
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    return (ok.join(seen, "page_id", "left")
             .join(saved, "page_id", "left")
-            .join(ext, "page_id", "left")
+            .join(fetches, "page_id", "left")
             .select("url", "success",
-                    F.coalesce("svg_matched", F.lit(0)).cast("bigint").alias("svg_matched"),
-                    (F.coalesce("_inline_saved", F.lit(0)) + F.coalesce("_ext_found", F.lit(0))).cast("bigint").alias("svg_found"),
-                    F.coalesce("svg_saved", F.lit(0)).cast("bigint").alias("svg_saved")))
+                    zero("svg_matched").cast("bigint").alias("svg_matched"),
+                    (zero("_inline_saved") + zero("_ext_found")).cast("bigint").alias("svg_found"),
+                    zero("svg_saved").cast("bigint").alias("svg_saved"),
+                    ((zero("page_ms") + zero("_ref_ms")) / 1000).alias("time_taken")))
 
 
-def crawl_counters(fetch_log: DataFrame, assets: DataFrame) -> DataFrame:
+def crawl_counters(fetch_log: DataFrame, assets: DataFrame, max_chars: int = S.MAX_SVG_CHARS) -> DataFrame:
     """One row: pages_fetched, failed_fetches, retried_requests, svg_saved.
 
     Page fetches come from the fetch log (attempts capped at 3); every reference fetch of a page
     counts too: a failing asset status is retried twice and then counted as failed.
     """
-    best = S.best_attempt(fetch_log)
+    best = S.best_attempt(fetch_log.select("url", "attempt", "status", "content_type"))
     page_stats = best.agg(
         F.count_if(F.col("success") & F.lower("content_type").contains("html")).alias("pages_fetched"),
         F.count_if(~F.col("success")).alias("page_failed"),
         F.sum(F.col("n_attempts") - 1).alias("page_retried"),
     )
-    pages = S.html_response(best.where("success")).select("page_id", "url", F.col("body").alias("html"))
-    refs = page_candidates(pages).where(F.col("ref").isNotNull()).select("abs_url")
-    st = assets.select(F.col("abs_url"), F.col("status"))
-    ref_stats = (refs.join(st, "abs_url", "left")
+    cands = _candidate_table(fetch_log, assets, max_chars)
+    ref_stats = (cands.where("external").select("abs_url").join(assets.select("abs_url", "status"), "abs_url", "left")
                  .agg(F.count_if(F.coalesce(F.col("status"), F.lit(404)) >= 400).alias("ref_failed")))
-    saved = mine_svgs(fetch_log, assets).agg(F.count(F.lit(1)).alias("svg_saved"))
+    saved = cands.agg(F.count_distinct("hash").alias("svg_saved"))
     # three one-row partial results, stacked and summed (no join needed)
     parts = page_stats.unionByName(ref_stats, allowMissingColumns=True).unionByName(saved, allowMissingColumns=True)
     z = lambda c: F.coalesce(F.sum(c), F.lit(0))

@@ -78,6 +78,10 @@ def mined_df(spark, sf):
     return M.mine_svgs(_v(spark, sf, "fetch_log"), _v(spark, sf, "assets"))
 
 
+def mined_hashes_df(spark, sf):
+    return M.mined_hashes(_v(spark, sf, "fetch_log"), _v(spark, sf, "assets"))
+
+
 # ---------------------------------------------------------------- 2.1 sources
 @register("url_scan", "SELECT url FROM pages WHERE url IS NOT NULL")
 def q_url_scan(spark, sf):
@@ -283,6 +287,12 @@ def q_mine_svgs(spark, sf):
     return mined_df(spark, sf).select("hash", "shard", "page_id", "origin", "ord", "url", "svg", "n_chars")
 
 
+@register("rejected_svgs", d_mined() + f"""SELECT page_id, url, origin, ord, n_chars, 'longer than {S.MAX_SVG_CHARS} characters' AS reason
+FROM cands WHERE hash IS NULL""")
+def q_rejected_svgs(spark, sf):
+    return M.rejected_svgs(_v(spark, sf, "fetch_log"), _v(spark, sf, "assets"))
+
+
 @register("best_attempt", d_with("fetch_log", extra=D_BEST) + """SELECT url, page_id, attempt, status, success,
   CAST(n_attempts AS INTEGER) AS n_attempts FROM best""")
 def q_best_attempt(spark, sf):
@@ -295,14 +305,14 @@ SELECT c.page_id, c.origin, c.ord, c.abs_url, a.k IS NOT NULL AS fetched FROM ca
 WHERE c.ref IS NOT NULL""")
 def q_join_assets(spark, sf):
     c = M.page_candidates(_v(spark, sf, "svg_pages")).where(F.col("ref").isNotNull())
-    j = M.join_assets(c, _v(spark, sf, "assets"))
-    return j.select("page_id", "origin", "ord", "abs_url", F.col("_asset").isNotNull().alias("fetched"))
+    j = M.join_assets(c, M.fetched_assets(_v(spark, sf, "assets")).drop("_asset"))
+    return j.select("page_id", "origin", "ord", "abs_url", F.col("_asset_chars").isNotNull().alias("fetched"))
 
 
 @register("anti_known", d_mined() + """SELECT hash FROM mined WHERE hash NOT IN (SELECT md5(svg) FROM svg_raw)""")
 def q_anti_known(spark, sf):
     known = _v(spark, sf, "svg_raw").select(content_hash("svg").alias("hash"))
-    return mined_df(spark, sf).select("hash").join(known, "hash", "left_anti")
+    return mined_hashes_df(spark, sf).select("hash").join(known, "hash", "left_anti")
 
 
 @register("anti_rendered", duck_with("caption_raw") + """SELECT DISTINCT md5(svg) AS hash FROM svg_raw
@@ -316,12 +326,15 @@ def q_anti_rendered(spark, sf):
 # ---------------------------------------------------------------- 2.5 aggregates
 @register("url_result", d_mined() + """, matched AS (SELECT page_id, CAST(len(ms) AS BIGINT) AS svg_matched FROM m),
 saved AS (SELECT page_id, count(*) AS svg_saved, count(*) FILTER (WHERE origin <= 1) AS inline_saved FROM mined GROUP BY 1),
-ext AS (SELECT page_id, count(*) AS ext_found FROM cands WHERE external GROUP BY 1)
+ext AS (SELECT page_id, count(*) AS ext_found FROM cands WHERE external GROUP BY 1),
+spent AS (SELECT f.url, sum(f.ms) AS page_ms FROM fetch_log f JOIN best b ON b.url = f.url AND f.attempt <= b.n_attempts GROUP BY 1),
+refs AS (SELECT c.page_id, sum(a.ms) AS ref_ms FROM cand_all c JOIN assets a ON a.abs_url = c.abs_url WHERE c.ref IS NOT NULL GROUP BY 1)
 SELECT b.url, (b.success AND contains(lower(b.content_type), 'html') AND b.body IS NOT NULL AND b.body <> '') AS success,
   CAST(coalesce(svg_matched, 0) AS BIGINT) AS svg_matched,
   CAST(coalesce(inline_saved, 0) + coalesce(ext_found, 0) AS BIGINT) AS svg_found,
-  CAST(coalesce(svg_saved, 0) AS BIGINT) AS svg_saved
-FROM best b LEFT JOIN matched USING (page_id) LEFT JOIN saved USING (page_id) LEFT JOIN ext USING (page_id)""")
+  CAST(coalesce(svg_saved, 0) AS BIGINT) AS svg_saved, CAST(coalesce(page_ms, 0) + coalesce(ref_ms, 0) AS DOUBLE) / 1000 AS time_taken
+FROM best b LEFT JOIN matched USING (page_id) LEFT JOIN saved USING (page_id) LEFT JOIN ext USING (page_id)
+LEFT JOIN spent ON spent.url = b.url LEFT JOIN refs USING (page_id)""")
 def q_url_result(spark, sf):
     return M.url_result(_v(spark, sf, "fetch_log"), _v(spark, sf, "assets"))
 
@@ -339,7 +352,7 @@ def q_crawl_counters(spark, sf):
 
 @register("shard_counts", d_mined() + "SELECT shard, count(*) AS n_svg FROM mined GROUP BY shard")
 def q_shard_counts(spark, sf):
-    return M.shard_counts(mined_df(spark, sf))
+    return M.shard_counts(mined_hashes_df(spark, sf))
 
 
 @register("exact_distinct", duck_with("svg_raw") + "SELECT count(DISTINCT md5(svg)) AS n_distinct, count(*) AS n_rows FROM svg_raw")

@@ -102,13 +102,14 @@ FROM {pages} p JOIN (SELECT k, min(svg) AS svg FROM {svg_raw} GROUP BY k) s ON p
 SELECT page_id, url, attempt,
   CASE WHEN (page_id+attempt)%4=0 THEN 503 WHEN page_id%13=0 THEN 404 ELSE 200 END AS status,
   CASE WHEN page_id%11=0 THEN 'application/pdf' ELSE 'Text/HTML; charset=utf-8' END AS content_type,
-  CASE WHEN page_id%17=0 THEN '' ELSE html END AS body
+  CASE WHEN page_id%17=0 THEN '' ELSE html END AS body, CAST(page_id*37%900+attempt*25 AS INT) AS ms
 FROM (SELECT p.page_id, p.url, p.html, CAST(a.attempt AS INT) AS attempt
       FROM (SELECT page_id, <<U>>(<<SEQ>>) AS attempt FROM {pages} p) a JOIN {svg_pages} p ON p.page_id = a.page_id) t
 """),
     "assets": (("pages", "svg_raw"), """
 SELECT concat(regexp_extract(p.url, '^(https?://[^/]+)', 1), '/img/', CAST(s.k AS <<S>>), '.SVG') AS abs_url, min(s.svg) AS body,
-  min(CASE WHEN s.k%6=0 THEN 'text/plain' ELSE 'image/SVG+xml' END) AS content_type, min(CASE WHEN s.k%5=0 THEN 404 ELSE 200 END) AS status
+  min(CASE WHEN s.k%6=0 THEN 'text/plain' ELSE 'image/SVG+xml' END) AS content_type, min(CASE WHEN s.k%5=0 THEN 404 ELSE 200 END) AS status,
+  CAST(min(s.k%40+5) AS INT) AS ms
 FROM {pages} p JOIN (SELECT k, min(svg) AS svg FROM {svg_raw} GROUP BY k) s ON p.page_id%150 = s.k GROUP BY 1
 """),
     "stage_out": (("svg_raw",), """
