@@ -91,7 +91,7 @@ def color_value(v) -> F.Column:
     rgb = F.regexp_extract_all(lv, F.lit(r"(\d+(?:\.\d+)?%?)"), 1)
     chan = F.transform(rgb, lambda c: F.lpad(F.upper(F.hex(F.least(F.lit(255), F.greatest(F.lit(0), F.round(
         F.when(c.endswith("%"), F.regexp_replace(c, "%", "").try_cast("double") * 2.55).otherwise(c.try_cast("double")))).cast("int")))), 2, "0"))
-    return (F.when(color_map().getItem(lv).isNotNull(), color_map().getItem(lv))
+    return (F.when(color_map()[lv].isNotNull(), color_map()[lv])
             .when(lv.rlike(r"^rgb\(\s*[\d.]+%?\s*,\s*[\d.]+%?\s*,\s*[\d.]+%?\s*\)$"), F.concat(F.lit("#"), F.array_join(chan, "")))
             .when(lv.rlike(r"^#([0-9a-f]{3}|[0-9a-f]{6})$"), F.upper(lv))
             .otherwise(v))
@@ -131,9 +131,13 @@ def drop_attrs(el: DataFrame, m: str = "attrs", keep_class: F.Column | None = No
 
 
 def sort_attrs(el: DataFrame, m: str = "attrs") -> DataFrame:
+    """Namespace declarations, names with a prefix, the attributes of ``SORT_FIRST`` by their place there (``fill-rule`` goes
+    with ``fill``), then the rest; by name among equals."""
     order = F.array(*[F.lit(x) for x in SORT_FIRST])
-    keyed = F.transform(F.map_entries(m), lambda e: F.struct(
-        F.coalesce(F.array_position(order, F.lower(e["key"])), F.lit(1000)).alias("rank"), e["key"].alias("key"), e["value"].alias("value")))
+    place = lambda k: F.array_position(order, F.split(F.lower(k), "-")[0])
+    front = lambda k: F.when(F.lower(k) == "xmlns", -3).when(F.lower(k).startswith("xmlns:"), -2).when(k.contains(":"), -1)
+    keyed = F.transform(F.map_entries(m), lambda e: F.struct(  # array_position is 0 where there is none
+        F.coalesce(front(e["key"]), F.when(place(e["key"]) > 0, place(e["key"])), F.lit(1000)).alias("rank"), e["key"].alias("key"), e["value"].alias("value")))
     return el.withColumn(m, F.map_from_entries(F.transform(F.array_sort(keyed), lambda x: F.struct(x["key"], x["value"]))))
 
 
@@ -228,7 +232,7 @@ def reuse_paths(el: DataFrame, key: str = "rec_id") -> DataFrame:
 def shared_paths(el: DataFrame, key: str = "rec_id") -> tuple[DataFrame, DataFrame]:
     """(elements in which drawn paths of the same data are ``<use>``, the ``<defs>`` to put in after the root's tag).
 
-    The shared path holds the data alone; every use keeps the other attributes, which the path inherits. Paths with an id,
+    The shared path holds the data alone; every use has its link as ``xlink:href`` and keeps the other attributes, which the path inherits. Paths with an id,
     a length of their own, content, or inside a definition stay as they are, and so do those whose new id is taken.
     """
     units = T.with_units(el, key)
@@ -242,7 +246,7 @@ def shared_paths(el: DataFrame, key: str = "rec_id") -> tuple[DataFrame, DataFra
     uses = free.select(key, "open_pos", "_id").join(groups.select(key, "_id"), [key, "_id"])
     out = el.join(uses, [key, "open_pos"], "left")
     plain = F.map_filter("attrs", lambda k, v: ~F.lower(k).isin("d", "x", "y", "width", "height"))
-    out = out.withColumn("attrs", F.when(F.col("_id").isNull(), F.col("attrs")).otherwise(F.map_concat(F.create_map(F.lit("href"), F.concat(F.lit("#"), "_id")), plain)))
+    out = out.withColumn("attrs", F.when(F.col("_id").isNull(), F.col("attrs")).otherwise(F.map_concat(F.create_map(F.lit("xlink:href"), F.concat(F.lit("#"), "_id")), plain)))
     out = out.withColumn("tag", F.when(F.col("_id").isNull(), F.col("tag")).otherwise(F.lit("use"))).drop("_id")
     shape = F.concat(F.lit('<path id="'), "_id", F.lit('" d="'), T.escape_xml(F.col("_d")), F.lit('"/>'))
     defs = groups.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_first", shape.alias("shape")))), lambda x: x["shape"]), "").alias("shapes"))
@@ -252,12 +256,14 @@ def shared_paths(el: DataFrame, key: str = "rec_id") -> tuple[DataFrame, DataFra
 
 def clean_corpus(stage1: DataFrame, key: str = "rec_id", cleanup_ids: bool = True, share_paths: bool = True) -> DataFrame:
     """Stage 2 over stage-1 text: non-render drop, attribute rules, empty and unused drop, ids that nothing refers to,
-    repeated paths as uses, then markup again. ``svg`` falls back to the stage-1 text when stage 2 yields nothing."""
+    repeated paths as uses, then markup again. ``svg`` falls back to the stage-1 text when stage 2 yields nothing;
+    ``reason`` says why a text was refused."""
     from svgspark.operators.normalize import svg_text
 
     docs = T.by_record(stage1.select(key, "svg"))
     toks = T.svg_tokens(docs, key)
-    ok = T.wellformed(toks, key).where("ok").select(key)
+    checks = materialized(T.wellformed(toks, key), "stage2_checks")
+    ok = checks.where("ok").select(key)
     # tokens and elements are read by many of the rules below: written once, so that no rule plans or computes them anew
     kept = materialized(drop_nonrender(toks.join(ok, key, "left_semi"), key), "stage2_tokens")
     el = materialized(T.definition_units(T.lower_attrs(T.svg_elements(kept, key)), key), "stage2_elements")
@@ -281,9 +287,11 @@ def clean_corpus(stage1: DataFrame, key: str = "rec_id", cleanup_ids: bool = Tru
     added = None
     if share_paths:
         el, added = shared_paths(el, key)
-    el = sort_attrs(el)
+    el = sort_attrs(el)  # the link of a use is sorted under its prefix, which goes after
+    el = el.withColumn("attrs", F.transform_keys("attrs", lambda k, v: F.when(F.lower(k) == "xlink:href", F.lit("href")).otherwise(k)))
     new_el = el.select(key, "open_pos", "close_pos", F.col("tag").alias("new_tag"), F.col("attrs").alias("new_attrs"))
     text = svg_text(rest, new_el, key, added=added)
     base = stage1.select(key, F.col("svg").alias("stage1"))
-    return (base.join(text, key, "left")
-            .select(key, F.col("svg_out").alias("stage2"), F.coalesce("svg_out", "stage1").alias("svg")))
+    refused = checks.where(~F.col("ok")).select(key, "reason")
+    return (base.join(text, key, "left").join(refused, key, "left")
+            .select(key, F.col("svg_out").alias("stage2"), F.coalesce("svg_out", "stage1").alias("svg"), "reason"))

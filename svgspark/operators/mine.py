@@ -304,6 +304,22 @@ def growth_fit(growth: DataFrame) -> DataFrame:
     )
 
 
+def month_estimate(growth: DataFrame, unit_hours: float = 1.0, hours: float = 720.0) -> DataFrame:
+    """One row: items processed and unique after ``hours`` at the mean rate of the curve, by its power-law fit. ``growth``
+    has a row for each of its units, of ``unit_hours`` each; units without items count as time that passed."""
+    span = (F.unix_timestamp(F.max("t").cast("timestamp")) - F.unix_timestamp(F.min("t").cast("timestamp"))) / 3600 + unit_hours
+    one = growth.agg(F.regr_slope(F.ln("cum_unique"), F.ln("cum_processed")).alias("exponent"),
+                     F.regr_intercept(F.ln("cum_unique"), F.ln("cum_processed")).alias("log_coef"),
+                     (F.max("cum_processed") / span * hours).alias("month_processed"))
+    return one.withColumn("month_unique", F.exp(F.col("log_coef") + F.col("exponent") * F.ln("month_processed")))
+
+
+def accuracy_pivot(predictions: DataFrame, tasks: list[str]) -> DataFrame:
+    """Accuracy for each model, a column for each task; NULL where a model has no prediction for it."""
+    return (predictions.groupBy("model").pivot("task", tasks)
+            .agg(F.round(F.avg((F.col("pred") == F.col("label")).cast("double")), 6)))
+
+
 def batch_report(df: DataFrame, order_col: str, tie_col: str, kept, batch_size: int) -> DataFrame:
     """Rows cut into batches of ``batch_size`` in (order_col, tie_col) order; per batch processed and
     kept, with running totals. Uses the bucketed global rank (no single-partition window on rows)."""

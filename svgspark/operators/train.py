@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from svgspark.functions.text import uniform01
 from svgspark.operators import select as S
+from svgspark.operators import tree as T
+from svgspark.operators.normalize import svg_text
 
 # Chat template markers.
 SYSTEM_TEXT = "You are Qwen, created by Alibaba Cloud. You are a helpful assistant."
@@ -295,6 +297,17 @@ def augment_fill(el: DataFrame, seed: int, key: str = "rec_id", hash_col: str =
     return el.withColumn("root_mode", root_mode).withColumn("new_fill", fill)
 
 
+def augmented_svg(tokens: DataFrame, hashes: DataFrame, seed: int, key: str = "rec_id", root_prob: float = 0.10) -> DataFrame:
+    """Markup with the fills of ``augment_fill``: ``(key, svg_out)`` for well-formed records; ``hashes`` has ``(key, hash)``."""
+    el = augment_fill(T.lower_attrs(T.svg_elements(tokens, key)).join(hashes, key), seed, key, root_prob=root_prob)
+    other = F.map_filter("attrs", lambda k, v: F.lower(k) != "fill")
+    there = F.map_contains_key("lattrs", F.lit("fill"))
+    filled = F.transform_values("attrs", lambda k, v: F.when(F.lower(k) == "fill", F.col("new_fill")).otherwise(v))
+    attrs = (F.when(F.col("new_fill").isNull(), other).when(there, filled)
+             .otherwise(F.map_concat("attrs", F.create_map(F.lit("fill"), F.col("new_fill")))))
+    return svg_text(tokens, el.select(key, "open_pos", "close_pos", F.col("qname").alias("new_tag"), attrs.alias("new_attrs")), key)
+
+
 def optimized_pairs(lineage: DataFrame, seed: int, key: str = "rec_id") -> DataFrame:
     """Positive pairs (raw, stage2) labelled 1; negatives pair each raw with the stage2 of the next record in
     md5 order (a rank shift; the last record takes the first one's), labelled 0 unless it is the same stage2."""

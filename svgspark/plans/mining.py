@@ -15,6 +15,7 @@ from svgspark.sources import scans
 from svgspark.sources.tables import duck_with, view
 
 SEED = 2998  # shuffle seed of the encoder stage configs
+TASKS = ["clean", "quality", "toxic"]
 
 # ---------------------------------------------------------------- DuckDB building blocks
 D_BEST = """best AS (SELECT * EXCLUDE (rn, n_try), CASE WHEN success THEN attempt ELSE least(n_try, 3) END AS n_attempts
@@ -379,7 +380,7 @@ def q_new_per_minute(spark, sf):
     return out.select(F.date_format("minute", "yyyy-MM-dd HH:mm:ss").alias("minute"), "n_new", "n_total")
 
 
-@register("dedup_growth", """WITH per AS (SELECT date_trunc('hour', ts) AS t, count(*) AS n_processed FROM events GROUP BY 1),
+D_GROWTH = """WITH per AS (SELECT date_trunc('hour', ts) AS t, count(*) AS n_processed FROM events GROUP BY 1),
 firsts AS (SELECT date_trunc('hour', min(ts)) AS t FROM events GROUP BY md5(CAST(user_id AS VARCHAR))),
 uniq AS (SELECT t, count(*) AS n_new FROM firsts GROUP BY 1),
 g AS (SELECT coalesce(per.t, uniq.t) AS t, coalesce(n_processed, 0) AS n_processed, coalesce(n_new, 0) AS n_new
@@ -387,7 +388,10 @@ g AS (SELECT coalesce(per.t, uniq.t) AS t, coalesce(n_processed, 0) AS n_process
 c AS (SELECT t, n_processed, n_new,
    sum(n_processed) OVER (ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_processed,
    sum(n_new) OVER (ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_unique FROM g)
-SELECT strftime(t, '%Y-%m-%d %H:%M:%S') AS t, CAST(n_processed AS BIGINT) AS n_processed, CAST(n_new AS BIGINT) AS n_new,
+"""
+
+
+@register("dedup_growth", D_GROWTH + """SELECT strftime(t, '%Y-%m-%d %H:%M:%S') AS t, CAST(n_processed AS BIGINT) AS n_processed, CAST(n_new AS BIGINT) AS n_new,
   CAST(cum_processed AS BIGINT) AS cum_processed, CAST(cum_unique AS BIGINT) AS cum_unique,
   round((SELECT regr_slope(ln(cum_unique), ln(cum_processed)) FROM c), 6) AS exponent FROM c""")
 def q_dedup_growth(spark, sf):
@@ -401,6 +405,15 @@ def q_dedup_growth(spark, sf):
                     "exponent"))
 
 
+@register("dedup_month", D_GROWTH + """, f AS (SELECT regr_slope(ln(cum_unique), ln(cum_processed)) AS exponent, regr_intercept(ln(cum_unique), ln(cum_processed)) AS coef,
+  max(cum_processed) / ((epoch(max(t)) - epoch(min(t))) / 3600 + 1) * 720 AS x FROM c)
+SELECT round(exponent, 6) AS exponent, round(x, 3) AS month_processed, round(exp(coef + exponent * ln(x)), 3) AS month_unique FROM f""")
+def q_dedup_month(spark, sf):
+    ev = _v(spark, sf, "events").select(content_hash(F.col("user_id").cast("string")).alias("hash"), "ts")
+    m = M.month_estimate(M.dedup_growth(ev, "hash", "ts", "hour"))
+    return m.select(F.round("exponent", 6).alias("exponent"), *[F.round(c, 3).alias(c) for c in ("month_processed", "month_unique")])
+
+
 @register("batch_report", duck_with("svg_raw") + f"""SELECT batch, count(*) AS processed, count(*) FILTER (WHERE kept) AS kept,
   CAST(sum(count(*)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS total_processed,
   CAST(sum(count(*) FILTER (WHERE kept)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS total_kept
@@ -418,3 +431,9 @@ def q_accuracy_by_task(spark, sf):
     p = _v(spark, sf, "predictions")
     return (p.groupBy("model", "task")
             .agg(F.count(F.lit(1)).alias("n"), F.round(F.avg((F.col("pred") == F.col("label")).cast("double")), 6).alias("accuracy")))
+
+
+@register("accuracy_pivot", duck_with("predictions") + "SELECT model, " + ", ".join(
+    f"round(avg(CASE WHEN pred = label THEN 1.0 ELSE 0.0 END) FILTER (WHERE task = '{t}'), 6) AS {t}" for t in TASKS) + " FROM predictions GROUP BY model")
+def q_accuracy_pivot(spark, sf):
+    return M.accuracy_pivot(_v(spark, sf, "predictions"), TASKS)

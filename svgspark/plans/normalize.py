@@ -11,6 +11,8 @@ from svgspark.operators import corpus as C
 from svgspark.operators import tree as T
 from svgspark.plans.registry import register
 from svgspark.plans.tree import d_tokens, ok_elements
+from svgspark.session import once
+from svgspark.sources import sinks
 from svgspark.sources.tables import duck_with, view
 
 MAT = ["a", "b", "c", "d", "e", "f"]
@@ -330,6 +332,48 @@ def q_size_reduction(spark, sf):
     return C.size_reduction(s, "raw", ["stage1", "stage2"])
 
 
+def _corpus(spark, sf):
+    """The corpus job over ``svg_raw``: store, log, lineage and texts, written once for the queries that read them."""
+    def write(folder):
+        s = view(spark, sf, "svg_raw")
+        run = C.optimize_corpus(s.select("rec_id", F.concat(F.lit("f"), (F.col("rec_id") % 7).cast("string"), F.lit("/"), F.col("rec_id").cast("string"), F.lit(".svg"))
+                                         .alias("filename"), "svg"))
+        run.lineage.write.parquet(f"{folder}/lineage")
+        run.texts.write.parquet(f"{folder}/texts")
+        run = C.CorpusRun(spark.read.parquet(f"{folder}/texts"), spark.read.parquet(f"{folder}/lineage"))
+        table = "corpus_" + folder.rstrip("/").rsplit("-", 1)[-1]
+        try:
+            sinks.corpus_sink(run, table, f"{folder}/store", f"{folder}/log", buckets=8)
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")  # the table is external: its files stay
+
+    return once(spark, "corpus", [f"{sf.rstrip('/')}/part.parquet"], write)
+
+
+@register("corpus_job")
+def q_corpus_job(spark, sf):
+    """Lineage as the log has it (records without an error) with what the store holds of it."""
+    folder = _corpus(spark, sf)
+    lineage = spark.read.parquet(f"{folder}/lineage")
+    log = spark.read.schema("rec_id bigint").json(f"{folder}/log").select("rec_id", F.lit(True).alias("logged"))
+    store = spark.read.parquet(f"{folder}/store").select("hash")
+    held = (lineage.select("rec_id", F.explode(F.array("raw", "stage1", "stage2")).alias("hash")).join(store, "hash")
+            .groupBy("rec_id").agg(F.count("*").alias("n_stored")))
+    return (lineage.join(log, "rec_id", "left").join(held, "rec_id", "left")
+            .select("rec_id", "filename", "raw", "stage1", "stage2", "error", F.coalesce("logged", F.lit(False)).alias("logged"),
+                    F.coalesce("n_stored", F.lit(0)).alias("n_stored")))
+
+
+@register("corpus_outcomes")
+def q_corpus_outcomes(spark, sf):
+    return C.outcome_counts(spark.read.parquet(f"{_corpus(spark, sf)}/lineage"))
+
+
+@register("corpus_sizes")
+def q_corpus_sizes(spark, sf):
+    return C.stage_sizes(spark.read.parquet(f"{_corpus(spark, sf)}/texts"))
+
+
 @register("content_hash", duck_with("svg_raw") + """SELECT rec_id, md5(svg) AS md5, sha256(svg) AS sha256 FROM svg_raw""")
 def q_content_hash(spark, sf):
     s = view(spark, sf, "svg_raw")

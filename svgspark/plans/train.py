@@ -8,8 +8,10 @@ from svgspark.functions.text import caption_clean, content_hash
 from svgspark.operators import caption as P
 from svgspark.operators import corpus as C
 from svgspark.operators import train as TR
+from svgspark.operators import tree as T
 from svgspark.plans.registry import lit, register
-from svgspark.plans.tree import d_tokens, ok_elements
+from svgspark.plans.tree import d_tokens, ok_elements, tokens
+from svgspark.session import once
 from svgspark.sources.tables import duck_with, view
 
 SEED = 2998
@@ -79,11 +81,16 @@ def q_pretoken_counts(spark, sf):
 
 
 def _learned(spark, sf):
-    """(merges, alphabet) up to the vocabulary target, or until every word is one token."""
-    wc = TR.unit_counts(view(spark, sf, "documents")).checkpoint()  # read for the alphabet and for the merges
-    alphabet = wc.select(F.explode(F.split("word", "")).alias("token")).where(F.col("token") != "").distinct()
-    known = {*TR.BASE_SPECIALS, *TR.SPECIAL_TOKENS, *(r["token"] for r in alphabet.collect())}  # at most Unicode's characters
-    return TR.bpe_merges(spark, wc, TR.VOCAB_TARGET - len(known), TR.MERGES_PER_ROUND, known), alphabet
+    """(merges, alphabet) up to the vocabulary target, or until every word is one token; learned once for all queries."""
+    def write(folder):
+        wc = TR.unit_counts(view(spark, sf, "documents")).checkpoint()  # read for the alphabet and for the merges
+        alphabet = wc.select(F.explode(F.split("word", "")).alias("token")).where(F.col("token") != "").distinct()
+        known = {*TR.BASE_SPECIALS, *TR.SPECIAL_TOKENS, *(r["token"] for r in alphabet.collect())}  # at most Unicode's characters
+        alphabet.write.parquet(f"{folder}/alphabet")
+        TR.bpe_merges(spark, wc, TR.VOCAB_TARGET - len(known), TR.MERGES_PER_ROUND, known).write.parquet(f"{folder}/merges")
+
+    folder = once(spark, "vocabulary", [f"{sf.rstrip('/')}/documents.parquet"], write)
+    return spark.read.parquet(f"{folder}/merges"), spark.read.parquet(f"{folder}/alphabet")
 
 
 @register("bpe_merges")
@@ -144,12 +151,22 @@ def q_token_budget(spark, sf):
     return TR.token_budget(view(spark, sf, "tokens_len"), 100000, SEED).select("doc_id", F.col("n_tok").cast("bigint"), "cum_tok")
 
 
-@register("pack_sequences")
+D_NEXT_FIT = (D_TL.replace("WITH ", "WITH RECURSIVE ", 1) + f""", r AS (SELECT doc_id, least(n_tok, 1024) AS len,
+  row_number() OVER (ORDER BY md5(concat_ws('|', '{SEED}', CAST(doc_id AS VARCHAR))), doc_id) - 1 AS rn FROM tokens_len),
+g AS (SELECT rn // 256 AS group_id, rn % 256 AS i, doc_id, len FROM r),
+p AS (SELECT group_id, i, doc_id, len, 0 AS bin, len AS used FROM g WHERE i = 0
+  UNION ALL SELECT g.group_id, g.i, g.doc_id, g.len, CASE WHEN p.used + g.len > 1024 AND p.used > 0 THEN p.bin + 1 ELSE p.bin END,
+    CASE WHEN p.used + g.len > 1024 AND p.used > 0 THEN g.len ELSE p.used + g.len END FROM p JOIN g ON g.group_id = p.group_id AND g.i = p.i + 1)
+""")
+
+
+@register("pack_sequences", D_NEXT_FIT + "SELECT CAST(group_id AS BIGINT) AS group_id, bin, doc_id, CAST(len AS BIGINT) AS n_tok FROM p")
 def q_pack_sequences(spark, sf):
     return TR.pack_sequences(view(spark, sf, "tokens_len"), 1024, SEED)
 
 
-@register("packing_efficiency")
+@register("packing_efficiency", D_NEXT_FIT + """SELECT count(*) AS n_bins, CAST(sum(used) AS BIGINT) AS used_tokens,
+  round(sum(used) / (count(*) * 1024), 6) AS efficiency FROM (SELECT group_id, bin, sum(len) AS used FROM p GROUP BY ALL) b""")
 def q_packing_efficiency(spark, sf):
     return TR.packing_efficiency(TR.pack_sequences(view(spark, sf, "tokens_len"), 1024, SEED), 1024)
 
@@ -166,15 +183,31 @@ def q_optimized_pairs(spark, sf):
     return TR.optimized_pairs(lin, SEED)
 
 
-@register("augment_fill", duck_with("svg_raw") + ",\n" + d_tokens() + f""",
-e AS (SELECT okel.*, md5(s.svg) AS hash FROM okel JOIN svg_raw s USING (rec_id))
-SELECT rec_id, open_pos, {D_U.format("'5', hash, 'root'")} < 0.1 AS root_mode,
+D_FILLS = duck_with("svg_raw") + ",\n" + d_tokens() + f""",
+e AS (SELECT okel.*, md5(s.svg) AS hash FROM okel JOIN svg_raw s USING (rec_id)),
+fills AS (SELECT rec_id, open_pos, {D_U.format("'5', hash, 'root'")} < 0.1 AS root_mode,
   CASE WHEN {D_U.format("'5', hash, 'root'")} < 0.1 AND depth = 0 THEN '#' || upper(substr(md5(concat_ws('|', '5', hash, 'rootfill')), 1, 6))
        WHEN {D_U.format("'5', hash, 'root'")} < 0.1 THEN NULL
        WHEN tag = 'path' THEN '#' || upper(substr(md5(concat_ws('|', '5', hash, CAST(open_pos AS VARCHAR))), 1, 6))
        ELSE CASE WHEN regexp_matches(tok, '\\sfill="') THEN regexp_extract(tok, '\\sfill="([^"]*)"', 1) END END AS new_fill
-FROM e""")
+FROM e)
+"""
+
+
+@register("augment_fill", D_FILLS + "SELECT rec_id, open_pos, root_mode, new_fill FROM fills")
 def q_augment_fill(spark, sf):
     el = ok_elements(spark, sf)
     h = view(spark, sf, "svg_raw").select("rec_id", content_hash("svg").alias("hash"))
     return TR.augment_fill(el.join(h, "rec_id"), 5).select("rec_id", "open_pos", "root_mode", "new_fill")
+
+
+@register("augment_svg", D_FILLS + """, pieces AS (SELECT t.rec_id, t.pos, CASE WHEN f.rec_id IS NULL THEN t.tok
+    WHEN f.new_fill IS NULL THEN regexp_replace(t.tok, '\\sfill="[^"]*"', '')
+    WHEN regexp_matches(t.tok, '\\sfill="') THEN regexp_replace(t.tok, '\\sfill="[^"]*"', ' fill="' || f.new_fill || '"')
+    ELSE regexp_replace(t.tok, '(/?>)$', ' fill="' || f.new_fill || '"\\1') END AS piece
+  FROM dtok t JOIN dwf w ON w.rec_id = t.rec_id AND w.ok LEFT JOIN fills f ON f.rec_id = t.rec_id AND f.open_pos = t.pos WHERE t.kind <> 'comment')
+SELECT rec_id, string_agg(piece, '' ORDER BY pos) AS svg_out FROM pieces GROUP BY rec_id""")
+def q_augment_svg(spark, sf):
+    tk = tokens(spark, sf).join(T.wellformed(tokens(spark, sf)).where("ok").select("rec_id"), "rec_id", "left_semi")
+    h = view(spark, sf, "svg_raw").select("rec_id", content_hash("svg").alias("hash"))
+    return TR.augmented_svg(tk, h, 5)

@@ -10,9 +10,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: What ``once`` has written: folders by application, name and state of the input files.
+_WRITTEN: dict[tuple, str] = {}
 
 
 def get_spark(master: str | None = None, partitions: int | None = None, app: str = "svgspark") -> SparkSession:
@@ -68,3 +73,18 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def once(spark: SparkSession, name: str, inputs: list[str], write: Callable[[str], None]) -> str:
+    """The folder that ``write(folder)`` fills, filled once in an application for the same state (path, size and time) of
+    the input files: for tables that several queries read and that are dear to make, such as a learned vocabulary."""
+    state = []
+    for path in inputs:
+        files = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+        state.append((path, *files.agg(F.count("*"), F.bit_xor(F.xxhash64("file_path", "file_size", "file_modification_time"))).first()))
+    key = (spark.sparkContext.applicationId, name, *state)
+    if key not in _WRITTEN:
+        folder = scratch_dir(spark, name)
+        write(folder)
+        _WRITTEN[key] = folder
+    return _WRITTEN[key]

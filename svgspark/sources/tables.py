@@ -143,6 +143,8 @@ FROM {svg_raw}
     "predictions": (("labels",), """
 SELECT 'a' AS model, doc_id AS item, 'quality' AS task, quality AS label, CASE WHEN doc_id%3=0 THEN 1-quality ELSE quality END AS pred FROM {labels}
 UNION ALL SELECT 'b', doc_id, 'quality', quality, CASE WHEN (doc_id+1)%7=0 THEN 1-quality ELSE quality END FROM {labels}
+UNION ALL SELECT 'a', doc_id, 'toxic', toxic, CASE WHEN doc_id%4=1 THEN 1-toxic ELSE toxic END FROM {labels}
+UNION ALL SELECT 'b', doc_id, 'clean', CASE WHEN quality = 1 AND toxic = 0 THEN 1 ELSE 0 END, quality FROM {labels}
 """),
 }
 

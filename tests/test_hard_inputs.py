@@ -130,3 +130,8 @@ def test_unused_definitions_and_shared_paths(spark):
     assert one.startswith("<svg><defs><path id=") and "x=" not in one and 'd="M2 2L1 1"' in one
     assert "<text>t</text>" in one and one.count("<text>") == 1
     assert 'class="k"' in got[2] and 'id="u"' in got[2] and 'href="#u"' in got[2]
+
+
+def test_order_of_attributes(spark):
+    el = spark.createDataFrame([(1, {"zoom": "1", "fill-rule": "e", "a": "2", "points": "p", "fill": "f", "id": "i", "X": "3", "x:y": "4", "xmlns:x": "u", "xmlns": "v"})], "rec_id long, attrs map<string,string>")
+    assert C.sort_attrs(el).select(F.map_keys("attrs").alias("k")).first().k == ["xmlns", "xmlns:x", "x:y", "id", "X", "fill", "fill-rule", "points", "a", "zoom"]

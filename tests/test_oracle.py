@@ -12,9 +12,9 @@ from conftest import SF_SMALL
 KEYS = sorted(E.queries())
 #: Keys that SQL does not answer, each with the module that tests it otherwise.
 ELSEWHERE = {
-    "test_hard_inputs": {"bpe_merges", "clean_corpus", "drop_attrs", "normalize_corpus", "round_numbers", "style_to_attrs"},
-    # run here for errors only
-    "": {"encode_corpus", "normal_colors", "pack_sequences", "packing_efficiency", "sort_attrs", "vocab_table"},
+    "test_hard_inputs": {"clean_corpus", "normalize_corpus"},
+    "test_bpe": {"bpe_merges", "encode_corpus", "vocab_table"},
+    "test_corpus": {"corpus_job", "corpus_outcomes", "corpus_sizes"},
 }
 
 
