@@ -18,6 +18,7 @@ from svgspark.functions.util import as_col
 POINT = "struct<x:double,y:double>"
 SEG = f"struct<sub:int,kind:string,p0:{POINT},pts:array<{POINT}>,arc:array<double>,closing:boolean>"
 MAT_FIELDS = ("a", "b", "c", "d", "e", "f")
+BLOCK = 256  # commands of a path that one fold reads
 CLOSE_EPS = 1e-5
 
 # Path and transform grammar.
@@ -156,12 +157,16 @@ def _seg(sub, kind, p0, pts, arc=None, closing=False) -> Column:
 def path_absolute(cmds) -> Column:
     """Commands -> absolute segments (relative offsets applied, H/V/S/T expanded, Z as a closing line).
 
-    One ``aggregate`` fold carrying (current point, subpath start, last control point, last command).
+    An ``aggregate`` fold carrying (current point, subpath start, last control point, last command). Every step of a fold
+    copies all that it carries, so blocks of ``BLOCK`` commands are folded each, and their segments put one after another.
     """
+    cmds = as_col(cmds)
+    nothing = F.array().cast(f"array<{SEG}>")
+    carried = ("cur", "start", "ctrl", "last", "sub")
     state0 = F.struct(
         pt(F.lit(0.0), F.lit(0.0)).alias("cur"), pt(F.lit(0.0), F.lit(0.0)).alias("start"),
         pt(F.lit(0.0), F.lit(0.0)).alias("ctrl"), F.lit("").alias("last"), F.lit(-1).alias("sub"),
-        F.array().cast(f"array<{SEG}>").alias("out"))
+        F.array().cast(f"array<array<{SEG}>>").alias("out"))
 
     def step(st, c):
         cmd, a = c["cmd"], c["args"]
@@ -196,7 +201,15 @@ def path_absolute(cmds) -> Column:
                         new_ctrl.alias("ctrl"), cmd.alias("last"), sub.alias("sub"),
                         F.array_append(st["out"], seg).alias("out"))
 
-    return F.aggregate(as_col(cmds), state0, step, lambda st: st["out"])
+    def block(st, b):
+        own = F.struct(*[st[x].alias(x) for x in carried], nothing.alias("out"))
+        done = F.aggregate(F.slice(cmds, b * BLOCK + 1, F.lit(BLOCK)), own, step)
+        # through a lambda variable, so that the block is folded once and not for each field
+        return F.transform(F.array(done), lambda d: F.struct(*[d[x].alias(x) for x in carried], F.array_append(st["out"], d["out"]).alias("out")))[0]
+
+    blocks = F.when(F.size(cmds) > 0, F.sequence(F.lit(0), F.floor((F.size(cmds) - 1) / BLOCK).cast("int"))).otherwise(F.array().cast("array<int>"))
+    segs = F.aggregate(blocks, state0, block, lambda st: F.flatten(st["out"]))
+    return F.when(cmds.isNotNull(), segs)
 
 
 def _dist(p, q) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from svgspark.functions.util import as_col
+from svgspark.session import materialized
 
 # Fixed values of the mining gates.
 SVG_USE_RE = r"(?i)<use\s+[^\n]*?href="   # '.' of the original pattern stops at a newline
@@ -169,10 +170,12 @@ def top_errors(df: DataFrame, error_col: str = "error", n: int = 10) -> DataFram
 def dir_group_order(df: DataFrame, path_col: str = "filename") -> DataFrame:
     """Files per top-level directory group, in sorted group order (empty groups never appear)."""
     g = F.regexp_extract(F.col(path_col), r"^([^/]+)/", 1)
-    groups = df.withColumn("grp", g).groupBy("grp").agg(F.count(F.lit(1)).alias("n_files")).withColumn("_lead", F.substring("grp", 1, 2))
-    # the first two characters keep the order, so only the table of their counts is summed in one task
-    before = groups.groupBy("_lead").agg(F.count(F.lit(1)).alias("_n")).select("_lead", F.coalesce(
-        F.sum("_n").over(Window.orderBy("_lead").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy("_lead").orderBy("grp"))
-    return (groups.withColumn("_in", inside).join(before, "_lead")
+    groups = df.withColumn("grp", g).groupBy("grp").agg(F.count(F.lit(1)).alias("n_files"))
+    # cut by ranges of their names, whatever these share; written once, so that every task sees the same cut
+    cut = materialized(groups.repartitionByRange("grp").withColumn("_part", F.spark_partition_id()), "groups")
+    # a row for each partition, so these few are summed in one task
+    before = cut.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(
+        F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy("grp"))
+    return (cut.withColumn("_in", inside).join(before, "_part")
             .select("grp", "n_files", (F.col("_before") + F.col("_in")).cast("bigint").alias("grp_order")))

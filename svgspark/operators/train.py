@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterator
+from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -116,19 +117,30 @@ def unit_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def bpe_apply(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
-    """Merges the pair of the lowest rank, leftmost first, until no learned pair is left."""
-    never = len(ranks)
-    while len(symbols) > 1:
-        best = min(zip(symbols, symbols[1:]), key=lambda p: ranks.get(p, never))
-        if best not in ranks:
-            break
-        out, i = [], 0
-        while i < len(symbols):
-            hit = i + 1 < len(symbols) and (symbols[i], symbols[i + 1]) == best
-            out.append(best[0] + best[1] if hit else symbols[i])
-            i += 1 + hit
-        symbols = out
-    return symbols
+    """Merges the pair of the lowest rank, all of it from the left, until no learned pair is left.
+
+    A heap holds the learned pairs by rank and place, so a word of n symbols takes n log n steps, however long it is."""
+    n = len(symbols)
+    symbols, after, before = list(symbols), list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(ranks[p], i) for i, p in enumerate(zip(symbols, symbols[1:])) if p in ranks]
+    heapify(heap)
+    while heap:
+        rank, made = heap[0][0], []
+        while heap and heap[0][0] == rank:
+            i = heappop(heap)[1]
+            j = after[i]
+            # a place whose pair is another by now has been merged from the left
+            if j == n or symbols[i] is None or ranks.get((symbols[i], symbols[j])) != rank:
+                continue
+            symbols[i], symbols[j], after[i] = symbols[i] + symbols[j], None, after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            made.append(i)
+        for k in {m for i in made for m in (before[i], i) if m >= 0}:
+            j = after[k]
+            if j < n and symbols[k] is not None and (symbols[k], symbols[j]) in ranks:
+                heappush(heap, (ranks[symbols[k], symbols[j]], k))
+    return [s for s in symbols if s is not None]
 
 
 def _rewritten(ranks: dict[tuple[str, str], int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

@@ -9,7 +9,7 @@ from svgspark.functions.text import content_hash, shard_of, strip_backslash
 from svgspark.functions.url import duck_resolve_url, resolve_url
 from svgspark.operators import mine as M
 from svgspark.operators import select as S
-from svgspark.session import scratch_dir
+from svgspark.session import once, scratch_dir
 from svgspark.plans.registry import lit, register
 from svgspark.sources import scans
 from svgspark.sources.tables import duck_with, view
@@ -100,6 +100,28 @@ def q_split_select(spark, sf):
 SHARD_GLOBS = ["00/*", "01/*", "02/*", "04/*"]
 
 
+def _svg_files(spark, sf):
+    """``svg_raw`` as files, one for each record, in folders of 16: written once for the queries that scan them."""
+    def write(folder):
+        s = _v(spark, sf, "svg_raw").select(F.concat(F.lit("g"), (F.col("rec_id") % 16).cast("string")).alias("grp"), "svg")
+        s.write.option("maxRecordsPerFile", 1).partitionBy("grp").text(folder)
+
+    return once(spark, "svg_files", [f"{sf.rstrip('/')}/part.parquet"], write)
+
+
+@register("svg_dir_scan", duck_with("svg_raw") + """SELECT 'grp=g' || CAST(rec_id % 16 AS VARCHAR) AS grp, md5(svg || chr(10)) AS hash,
+  CAST(strlen(svg) + 1 AS BIGINT) AS n_bytes FROM svg_raw""")
+def q_svg_dir_scan(spark, sf):
+    files = scans.svg_dir_scan(spark, _svg_files(spark, sf), "*.txt")
+    return files.select("grp", content_hash("svg").alias("hash"), "n_bytes")
+
+
+@register("hash_files", duck_with("svg_raw") + """SELECT 'grp=g' || CAST(rec_id % 16 AS VARCHAR) AS grp, sha256(svg || chr(10)) AS hash FROM svg_raw""")
+def q_hash_files(spark, sf):
+    files = scans.hash_files(spark, _svg_files(spark, sf), "*.txt", "sha256")
+    return files.select(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("grp"), "hash")
+
+
 @register("glob_scan", duck_with("svg_raw") + """SELECT rec_id, md5(svg) AS hash,
   concat(substr(md5(svg), 1, 2), '/', md5(svg), '.svg') AS path FROM svg_raw
 WHERE substr(md5(svg), 1, 2) IN ('00', '01', '02', '04')""")

@@ -123,6 +123,14 @@ def q_fertility(spark, sf):
                     F.round(F.length("text") / F.greatest(n, F.lit(1)), 6).alias("chars_per_token"))
 
 
+@register("fertility_learned")
+def q_fertility_learned(spark, sf):
+    """Characters per token of the learned vocabulary."""
+    chars = view(spark, sf, "documents").select("doc_id", F.length("text").cast("bigint").alias("n_chars"))
+    return chars.join(q_encode_corpus(spark, sf), "doc_id").select(
+        "doc_id", "n_chars", "n_tokens", F.round(F.col("n_chars") / F.greatest("n_tokens", F.lit(1)), 6).alias("chars_per_token"))
+
+
 D_TL = duck_with("tokens_len")
 
 

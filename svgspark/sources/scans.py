@@ -71,11 +71,11 @@ def split_scan(spark: SparkSession, root: str, split: str = "split", preferred:
     return df.where(F.col(split) == F.lit(chosen))
 
 
-def svg_dir_scan(spark: SparkSession, path: str) -> DataFrame:
-    """Every ``*.svg`` under ``path`` (recursively) as ``(path, grp, svg, n_bytes)``; ``grp`` is the
+def svg_dir_scan(spark: SparkSession, path: str, glob: str = "*.svg") -> DataFrame:
+    """Every file named like ``glob`` under ``path`` (recursively) as ``(path, grp, svg, n_bytes)``; ``grp`` is the
     top-level directory below ``path`` ('' for files directly in it)."""
     root = path.rstrip("/")
-    df = (spark.read.format("binaryFile").option("pathGlobFilter", "*.svg")
+    df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
           .option("recursiveFileLookup", "true").load(root))
     rel = F.regexp_replace(F.col("path"), r"^.*?" + re.escape(root.split("://")[-1]) + "/", "")
     return df.select(

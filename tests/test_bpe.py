@@ -1,6 +1,7 @@
 """The learned vocabulary against plain Python: exact merges, rounds of several, special tokens kept whole."""
 
 import collections
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -85,3 +86,43 @@ def test_older_tokens_follow_the_learned_ones(spark):
     plain = {r.token: r.id for r in TR.vocab_table(spark, merges, alphabet).collect()}
     more = {r.token: r.id for r in TR.vocab_table(spark, merges, alphabet, extra).collect()}
     assert more == plain | {"older": len(plain), "zz": len(plain) + 1}
+
+
+def swept(symbols, ranks):
+    """The plain form: the learned pair of the lowest rank merged everywhere from the left, again and again."""
+    while found := [ranks[p] for p in zip(symbols, symbols[1:]) if p in ranks]:
+        out, i = [], 0
+        while i < len(symbols):
+            hit = i + 1 < len(symbols) and ranks.get((symbols[i], symbols[i + 1])) == min(found)
+            out.append(symbols[i] + symbols[i + 1] if hit else symbols[i])
+            i += 1 + hit
+        symbols = out
+    return symbols
+
+
+def test_merges_of_a_word_equal_the_sweeps():
+    rng = random.Random(5)
+    for _ in range(300):
+        parts, ranks = ["a", "b", "c"], {}
+        while len(ranks) < 12:
+            p = (rng.choice(parts), rng.choice(parts))
+            if p not in ranks:
+                ranks[p] = len(ranks)
+                parts.append("".join(p))
+        word = [rng.choice("abc") for _ in range(rng.randrange(40))]
+        assert TR.bpe_apply(word, ranks) == swept(word, ranks)
+
+
+def test_a_very_long_word():
+    ranks = {("a", "a"): 0, ("aa", "aa"): 1}
+    word = ["a"] * 300_001 + ["b"]
+    assert TR.bpe_apply(word, ranks) == ["aaaa"] * 75_000 + ["a", "b"]
+
+
+def test_characters_per_learned_token(spark):
+    q = E.queries()
+    n = {r.doc_id: r.n_tokens for r in q["encode_corpus"](spark, SF_SMALL).collect()}
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()}
+    for r in q["fertility_learned"](spark, SF_SMALL).collect():
+        assert (r.n_chars, r.n_tokens) == (len(texts[r.doc_id]), n[r.doc_id])
+        assert abs(r.chars_per_token - r.n_chars / max(1, r.n_tokens)) < 1e-6

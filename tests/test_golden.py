@@ -104,3 +104,28 @@ def test_hash_files(spark, tmp_path):
     (tmp_path / "x.svg").write_bytes(b"<svg>\xc3\xa9</svg>")
     r = scans.hash_files(spark, str(tmp_path), "*.svg").first()
     assert r["hash"] == hashlib.md5(b"<svg>\xc3\xa9</svg>").hexdigest()
+
+
+def test_captions_by_a_model_function(spark):
+    """The function sees the prompts in batches; its answers go through the caption job, empty ones are not kept."""
+    from svgspark.operators import caption as P
+
+    items = spark.createDataFrame([(f"h{i}", f"<svg>{i}</svg>") for i in range(50)], "hash string, svg string")
+    prompts = {r.hash: r.prompt for r in P.prompt_assign(items).collect()}
+
+    def model(pdf):
+        return "Caption: " + pdf["prompt"].str.len().astype(str).where(pdf["svg"] != "<svg>7</svg>", "  ")
+
+    answers = P.model_hook(P.prompt_assign(items), model)
+    got = {r.hash: (r.caption, r.source, r.prompt, r.kept) for r in P.caption_job(items, answers, "m").collect()}
+    assert got == {h: ("" if h == "h7" else str(len(p)), "m", p, h != "h7") for h, p in prompts.items()}
+    assert P.model_hook(P.prompt_assign(items.limit(0)), model).isEmpty()
+
+
+def test_groups_that_share_a_prefix(spark):
+    from svgspark.operators import select as S
+
+    df = spark.range(3000).selectExpr("concat('long-common-prefix-', lpad(id % 700, 4, '0'), '/', id, '.svg') AS filename")
+    got = S.dir_group_order(df).collect()
+    want = sorted({f"long-common-prefix-{i:04d}" for i in range(700)})
+    assert sorted((r.grp_order, r.grp) for r in got) == list(enumerate(want, 1)) and sum(r.n_files for r in got) == 3000

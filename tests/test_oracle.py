@@ -13,7 +13,7 @@ KEYS = sorted(E.queries())
 #: Keys that SQL does not answer, each with the module that tests it otherwise.
 ELSEWHERE = {
     "test_hard_inputs": {"clean_corpus", "normalize_corpus"},
-    "test_bpe": {"bpe_merges", "encode_corpus", "vocab_table"},
+    "test_bpe": {"bpe_merges", "encode_corpus", "fertility_learned", "vocab_table"},
     "test_corpus": {"corpus_job", "corpus_outcomes", "corpus_sizes"},
 }
 

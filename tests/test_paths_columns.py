@@ -41,3 +41,12 @@ def test_normalize_names_torn_paths(spark, d, status, reason):
     r = N.normalize_corpus(spark.createDataFrame([(1, svg)], "rec_id long, svg string")).collect()
     assert [(x.status, x.reason) for x in r] == [(status, reason)]
     assert (r[0].svg_out is None) == (status != "ok")
+
+
+def test_paths_of_many_commands(spark):
+    n = 60_000
+    d = "M0 0" + "h1v1" * (n // 2) + "z"
+    toks = spark.range(1).select(G.path_tokens(F.concat(F.lit(d), F.col("id").cast("string").substr(2, 1))).alias("t"))
+    cmds = toks.withColumn("i", G.command_index("t")).select(G.path_commands("t", "i").alias("c"))
+    r = cmds.select(G.path_absolute("c").alias("s")).select(F.size("s").alias("n"), F.element_at("s", -1)["p0"].alias("end"), F.element_at("s", 1025)["pts"][0].alias("p")).first()
+    assert (r.n, r.end.x, r.end.y, r.p.x, r.p.y) == (n + 2, n / 2, n / 2, 512, 512)
