@@ -90,7 +90,7 @@ def plan(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most:
     def one(n: Column) -> Column:
         begin = at + n * F.col("source_size")
         take = F.greatest(F.least(whole - begin, F.col("size")), F.lit(0))
-        return F.struct(take.cast("long").alias("take"), F.round(position(begin / whole, a, b), 9).alias("position"))
+        return F.struct(take.cast("long").alias("take"), F.round(position(F.try_divide(begin, whole), a, b), 9).alias("position"))
 
     rounds = F.filter(F.transform(F.sequence(F.lit(0), F.lit(int(-(-most // 1)) - 1)), one), lambda x: x["take"] > 0)
     rows = rows.withColumn("rounds", F.when(whole > 0, rounds).otherwise(F.filter(rounds, lambda x: F.lit(False))))

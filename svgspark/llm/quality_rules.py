@@ -1,7 +1,8 @@
 """Quality rules: base counts, and a hashed n-gram logistic regression with fixed thresholds.
 
-The regression sees three hashed groups of a document: its words (A-Z lower-cased), the shapes of neighbouring
-words (length class, first and last byte class, equality with the word before), and its 3-byte grams. The value
+The regression sees four hashed groups of a document: its words (A-Z lower-cased), the shapes of neighbouring
+words (length class, first and last byte class, equality with the word before), its 3-grams of characters, and its
+2-grams of words (both with A-Z lower-cased). The value
 of a group is the mean weight of its items. Weights are learned by full-batch Adam on labelled quality rows
 outside the held-out fold; a fifth of them is set aside to calibrate the probability (Platt). Documents are
 scored in Arrow batches, and those with a probability below ``KEEP`` go, as do those that fail a base rule.
@@ -35,9 +36,10 @@ KEEP = 0.5
 LEAST_WORDS = 50
 MOST_REPEATED = 50  # per cent
 FOLDS, HELD_OUT = 4, 2
-BITS = (18, 12, 16)  # words, shapes, byte grams
-BASES = (0, 1 << 18, (1 << 18) + (1 << 12))
-SIZE = BASES[2] + (1 << 16)
+BITS = (18, 12, 16, 18)  # words, shapes, characters' 3-grams, words' 2-grams
+BASES = (0, 1 << 18, (1 << 18) + (1 << 12), (1 << 18) + (1 << 12) + (1 << 16))
+SIZE = BASES[3] + (1 << 18)
+GRAM = 3
 _FOLDED = K.SpanHash(seed=23, fold=True)
 
 
@@ -48,7 +50,8 @@ def _bucket(h: np.ndarray, group: int) -> np.ndarray:
 def items(t: stats.Texts) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each group: (bucket of each item, first item of each document)."""
     data = t.data
-    h = K.mix(_FOLDED.spans(_FOLDED.prefix(data), t.starts, t.ends))
+    prefix = _FOLDED.prefix(data)
+    h = K.mix(_FOLDED.spans(prefix, t.starts, t.ends))
     size = np.minimum(t.ends - t.starts, 24) // 3
     head = stats._class[data[t.starts]].astype(np.int64) if len(t.starts) else np.zeros(0, np.int64)
     tail = stats._class[data[t.ends - 1]].astype(np.int64) if len(t.starts) else np.zeros(0, np.int64)
@@ -58,17 +61,28 @@ def items(t: stats.Texts) -> list[tuple[np.ndarray, np.ndarray]]:
     before = np.zeros(len(h), np.int64)
     before[1:] = np.where(t.owner[1:] == t.owner[:-1], shape[:-1] + 1, 0)
     shape = K.mix((before * 8192 + shape).astype(np.uint64))
-    code = data.astype(np.uint64)
-    n = len(data)
-    if n >= 3:
-        gram = K.mix((code[:-2] << K.U64(16)) | (code[1:-1] << K.U64(8)) | code[2:])
-        owner = stats.owners(t.offsets)
-        inside = owner[:-2] == owner[2:]
-        gram, owner = gram[inside], owner[:-2][inside]
-    else:
-        gram, owner = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    # a character begins at every byte that does not continue one
+    begin = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+    begin, end = begin[:-GRAM], begin[GRAM:]
+    owner = stats.owners(t.offsets)
+    inside = owner[begin] == owner[end - 1]
+    gram = K.mix(_FOLDED.spans(prefix, begin[inside], end[inside]))
+    both = t.owner[1:] == t.owner[:-1]
+    pair = K.mix(K.mix(h[:-1] + K.U64(1)) ^ h[1:])[both]
+    docs = np.arange(t.n + 1)
     return [(_bucket(h, 0), t.first), (_bucket(shape, 1), t.first),
-            (_bucket(gram, 2), np.searchsorted(owner, np.arange(t.n + 1)))]
+            (_bucket(gram, 2), np.searchsorted(owner[begin][inside], docs)),
+            (_bucket(pair, 3), np.searchsorted(t.owner[1:][both], docs))]
+
+
+def _means(x: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Mean of x over the items of each document, 0 without any; each is summed by itself, so equal texts get equal means."""
+    n = np.diff(first)
+    out = np.zeros(len(n))
+    some = n > 0
+    if some.any():
+        out[some] = np.add.reduceat(x.astype(np.float64), first[:-1][some]) / n[some]
+    return out
 
 
 @dataclass(frozen=True)
@@ -81,7 +95,7 @@ class Model:
     def probability(self, t: stats.Texts) -> np.ndarray:
         raw = np.full(t.n, self.bias)
         for bucket, first in items(t):
-            raw += stats.per_document(self.weights[bucket], first) / np.maximum(np.diff(first), 1)
+            raw += _means(self.weights[bucket], first)
         return L.sigmoid(self.a * raw + self.b)
 
 
