@@ -31,7 +31,7 @@ def prompt_assign(items: DataFrame, key: str = "hash", seed: int = PROMPT_SEED)
 def caption_job(items: DataFrame, responses: DataFrame, source: str, key: str = "hash") -> DataFrame:
     """Rendered items joined to the model's responses (hash, prompt, text); cleaned; kept if non-empty.
     Emits caption records ``(hash, caption, source, prompt)`` with a ``kept`` flag."""
-    j = prompt_assign(items, key).join(responses.select(key, F.col("text")), key)
+    j = prompt_assign(items, key).join(responses.select(key, F.col("text")).hint("merge"), key)
     return (j.withColumn("caption", caption_clean("text"))
             .select(key, "caption", F.lit(source).alias("source"), "prompt", (F.col("caption") != "").alias("kept")))
 
@@ -55,9 +55,9 @@ def caption_merge(new: DataFrame, store: DataFrame, key: str = "hash") -> DataFr
     the batch (anti-join on (hash, caption) + dropDuplicates)."""
     clean = new.withColumn("caption", strip_ws("caption")).where(F.col("caption") != "")
     fresh = clean.dropDuplicates([key, "caption"])
-    return fresh.join(store.select(key, "caption"), [key, "caption"], "left_anti")
+    return fresh.join(store.select(key, "caption").hint("merge"), [key, "caption"], "left_anti")
 
 
 def pair_captions(svgs: DataFrame, captions: DataFrame, key: str = "hash") -> DataFrame:
     """SVG text with each of its captions (inner equi-join on the content hash)."""
-    return svgs.select(key, "svg").join(captions.select(key, "caption"), key)
+    return svgs.select(key, "svg").join(captions.select(key, "caption").hint("merge"), key)

@@ -19,3 +19,13 @@ def test_markup_is_made_by_tasks_that_grow_with_the_keys(spark, sf):
     assert tasks(spark, sf, "part") == 3
     for name in ("svg_raw", "svg_geom", "svg_defs", "stage_out"):
         assert view(spark, sf, name).rdd.getNumPartitions() == 3
+
+
+@pytest.mark.parametrize("name", [
+    "caption_clean", "caption_merge", "caption_report", "caption_job", "chat_format_infer", "pair_captions"])
+def test_captions_are_not_broadcast(spark, sf, name, capsys):
+    E.queries()[name](spark, sf).explain()
+    plan = capsys.readouterr().out
+    # batches are numbered by 16**3 buckets at most: these offsets are the only thing sent to all
+    assert plan.count("BroadcastExchange") == (2 if name == "caption_report" else 0)
+    assert "SortMergeJoin" in plan
