@@ -311,7 +311,7 @@ def augment_fill(el: DataFrame, seed: int, key: str = "rec_id", hash_col: str =
 
 def augmented_svg(tokens: DataFrame, hashes: DataFrame, seed: int, key: str = "rec_id", root_prob: float = 0.10) -> DataFrame:
     """Markup with the fills of ``augment_fill``: ``(key, svg_out)`` for well-formed records; ``hashes`` has ``(key, hash)``."""
-    el = augment_fill(T.lower_attrs(T.svg_elements(tokens, key)).join(hashes, key), seed, key, root_prob=root_prob)
+    el = augment_fill(T.lower_attrs(T.svg_elements(tokens, key)).join(hashes.hint("merge"), key), seed, key, root_prob=root_prob)
     other = F.map_filter("attrs", lambda k, v: F.lower(k) != "fill")
     there = F.map_contains_key("lattrs", F.lit("fill"))
     filled = F.transform_values("attrs", lambda k, v: F.when(F.lower(k) == "fill", F.col("new_fill")).otherwise(v))

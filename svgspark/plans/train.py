@@ -206,7 +206,7 @@ FROM e)
 def q_augment_fill(spark, sf):
     el = ok_elements(spark, sf)
     h = view(spark, sf, "svg_raw").select("rec_id", content_hash("svg").alias("hash"))
-    return TR.augment_fill(el.join(h, "rec_id"), 5).select("rec_id", "open_pos", "root_mode", "new_fill")
+    return TR.augment_fill(el.join(h.hint("merge"), "rec_id"), 5).select("rec_id", "open_pos", "root_mode", "new_fill")
 
 
 @register("augment_svg", D_FILLS + """, pieces AS (SELECT t.rec_id, t.pos, CASE WHEN f.rec_id IS NULL THEN t.tok
@@ -216,6 +216,6 @@ def q_augment_fill(spark, sf):
   FROM dtok t JOIN dwf w ON w.rec_id = t.rec_id AND w.ok LEFT JOIN fills f ON f.rec_id = t.rec_id AND f.open_pos = t.pos WHERE t.kind <> 'comment')
 SELECT rec_id, string_agg(piece, '' ORDER BY pos) AS svg_out FROM pieces GROUP BY rec_id""")
 def q_augment_svg(spark, sf):
-    tk = tokens(spark, sf).join(T.wellformed(tokens(spark, sf)).where("ok").select("rec_id"), "rec_id", "left_semi")
+    tk = tokens(spark, sf).join(T.wellformed(tokens(spark, sf)).where("ok").select("rec_id").hint("merge"), "rec_id", "left_semi")
     h = view(spark, sf, "svg_raw").select("rec_id", content_hash("svg").alias("hash"))
     return TR.augmented_svg(tk, h, 5)

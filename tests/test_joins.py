@@ -29,3 +29,23 @@ def test_captions_are_not_broadcast(spark, sf, name, capsys):
     # batches are numbered by 16**3 buckets at most: these offsets are the only thing sent to all
     assert plan.count("BroadcastExchange") == (2 if name == "caption_report" else 0)
     assert "SortMergeJoin" in plan
+
+
+@pytest.mark.parametrize("name", [
+    "wellformed", "ancestor_join", "canvas_box", "canvas_scale", "round_numbers", "sort_attrs", "normal_colors", "style_to_attrs",
+    "reuse_paths", "path_commands", "augment_fill", "augment_svg", "arc_to_cubic", "to_cubic", "shape_to_path", "subpath_close",
+    "apply_transform", "stroke_default", "svg_text", "unreferenced_ids", "drop_empty", "class_rules"])
+def test_exploded_markup_is_not_broadcast(spark, sf, name, capsys):
+    E.queries()[name](spark, sf).explain()
+    assert "Broadcast" not in capsys.readouterr().out
+
+
+def test_prefixes_of_empty_and_nested_elements(spark):
+    from svgspark.operators import tree as T
+
+    rows = [(1, '<a xmlns:p="u"><p:b/><p:c><d/></p:c></a>', False), (2, '<a><b xmlns:p="u"/><p:b/></a>', True),
+            (3, '<a><b xmlns:p="u"><c/></b><p:b/></a>', True), (4, '<a><p:b xmlns:p="u"/></a>', False),
+            (5, '<a xmlns:p="u"><b xmlns:p="v"/><p:c/></a>', False), (6, '<a><p:b/></a>', True), (7, '<xml:a/>', False)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "rec_id long, svg string")
+    got = {r.rec_id for r in T.unbound_prefixes(T.svg_tokens(docs)).collect()}
+    assert got == {k for k, _, unbound in rows if unbound}
