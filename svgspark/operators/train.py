@@ -184,12 +184,15 @@ def bpe_merges(spark: SparkSession, word_counts: DataFrame, n_merges: int, merge
     while room > 0:
         pairs = words.mapInArrow(_pair_counts(dict(ranks)), "a string, b string, n bigint")
         best = (pairs.groupBy("a", "b").agg(F.sum("n").alias("cnt"))
-                .orderBy(F.desc("cnt"), F.col("a"), F.col("b")).limit(merges_per_round).collect())
+                .orderBy(F.desc("cnt"), F.col("a"), F.col("b")).limit(merges_per_round))
+        # of these rows, one task's, the driver gets those that the round may take
+        best = best.withColumn("most", F.max("cnt").over(Window.partitionBy(F.lit(0)))).where(F.col("cnt") >= ROUND_SHARE * F.col("most"))
+        best = sorted(((r["a"], r["b"], r["cnt"]) for r in best.select("a", "b", "cnt").collect()), key=lambda r: (-r[2], r[0], r[1]))
         if not best:
             break
         begins, ends = set(), set()
         for a, b, cnt in best:
-            if room <= 0 or cnt < ROUND_SHARE * best[0]["cnt"]:
+            if room <= 0:
                 break
             if a in ends or b in begins:
                 continue

@@ -126,3 +126,13 @@ def test_characters_per_learned_token(spark):
     for r in q["fertility_learned"](spark, SF_SMALL).collect():
         assert (r.n_chars, r.n_tokens) == (len(texts[r.doc_id]), n[r.doc_id])
         assert abs(r.chars_per_token - r.n_chars / max(1, r.n_tokens)) < 1e-6
+
+
+def test_driver_gets_only_the_pairs_a_round_may_take(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame as Frame
+
+    sizes, collect = [], Frame.collect
+    monkeypatch.setattr(Frame, "collect", lambda self: sizes.append(got := collect(self)) or got)
+    wc = spark.createDataFrame([("ab" * 3, 1000)] + [(chr(200 + i) + "z", 3) for i in range(300)], "word string, n long")
+    TR.bpe_merges(spark, wc, 1, 1000)
+    assert [len(x) for x in sizes] == [2]
