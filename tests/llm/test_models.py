@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from svgspark.llm import embed_dedup, mixing, packing, quality_rank, quality_rules, secrets, stats, suffix_dedup, toxicity
+from svgspark.llm import embed_dedup, labelled, mixing, packing, quality_rank, quality_rules, secrets, stats, suffix_dedup, toxicity
 from svgspark.llm import textkit as K
 from svgspark.llm.common import table
 from test_operators import frame, texts
@@ -143,3 +143,23 @@ def test_null_and_repeated_vectors(spark):
     rows = [(None, v, 1), (4, v, 1), (4, v, 1), (2, [2.0, 0.01, 0.0], 1), (6, w, 1), (5, v, 2), (3, v, None)]
     got = embed_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long")).collect()
     assert Counter(tuple(r) for r in got) == Counter({(None, 0, None, True): 1, (4, 1, 2, False): 2, (2, 1, 2, True): 1, (6, 0, 6, True): 1, (5, 0, 5, True): 1, (3, 0, 3, True): 1})
+
+
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """In groups of 40 rows, of which none is left out; the changes are added up in any order with the same result."""
+    rows = [(i, f"plain text number {i % 7} " + ("vile " if i % 3 == 0 else "kind ") + f"w{i % 11}", "en") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(600)], "doc_id long, toxic int")
+    seen = []
+    whole = toxicity.fit
+    try:
+        toxicity.fit = lambda words, parts, rate: seen.append((words.count(), parts)) or whole(words, parts, rate)
+        net, cuts = toxicity.train(docs, labels, 40)
+        again, _ = toxicity.train(docs, labels, 40)
+    finally:
+        toxicity.fit = whole
+    outside = docs.where(~labelled.held_out(toxicity.FOLDS, toxicity.HELD_OUT)).count()
+    assert 0.7 * outside < seen[0][0] < outside and seen[0][1] == -(-seen[0][0] // 40)
+    assert (net.tables == again.tables).all() and (net.a, net.b) == (again.a, again.b)
+    got = toxicity.score(docs, net, cuts).collect()
+    assert all(r.predicted == int(r.doc_id % 3 == 0) for r in got)
