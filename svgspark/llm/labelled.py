@@ -7,6 +7,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Bits of the bitmap of labelled ids: 8 MB.
+FILTER = 1 << 26
+
+
 def fold(n: int) -> Column:
     """crc32 of the doc_id as text, modulo n."""
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
@@ -23,6 +27,17 @@ def known(labels: DataFrame, label: str, n: int, remainder: int) -> DataFrame:
         .groupBy("doc_id").agg(F.min(label).cast("int").alias("label"))
 
 
+def labelled(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` with the label of their id. Only texts whose id has its bit in a bitmap of ``FILTER`` bits, which is
+    broadcast, come to the join, so that the shuffle holds the labelled texts and few others, however many ids there are."""
+    at = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(FILTER))
+    place = {"_block": F.floor(at / 32768).cast("int"), "_bit": (at % 32768).cast("int")}
+    bits = ids.withColumns(place).groupBy("_block").agg(F.bitmap_construct_agg(F.col("_bit").cast("long")).alias("_bits"))
+    byte = F.conv(F.hex(F.expr("substring(_bits, _bit div 8 + 1, 1)")), 16, 10).cast("int")
+    near = docs.withColumns(place).join(F.broadcast(bits), "_block").where(F.expr("1").bitwiseAND(F.call_function("shiftright", byte, F.col("_bit") % 8)) == 1)
+    return near.drop("_block", "_bit", "_bits").join(ids.hint("merge"), "doc_id")
+
+
 def sample(docs: DataFrame, labels: DataFrame, label: str, n: int, remainder: int, rows: int, *more: str) -> DataFrame:
     """(doc_id, label, text, *more) of at most ``rows`` labelled documents outside the held-out fold, by hash order.
 

@@ -9,9 +9,9 @@ probability so that ``CUT`` is where precision and recall balance best, and it g
 of its own (``flagged``), drawn towards ``CUT`` for languages with few rows. The language is never an input of
 the score.
 
-Training sees every labelled row outside the held-out fold, as arrays of word hashes in the shared folder. The rows are
-dealt by hash to groups of about ``ROWS``; in each epoch every group trains a copy of the net in a task, and the copies'
-changes are averaged, those of a table row over the groups that touched it. The driver holds the net, the averages and
+Training sees every labelled row outside the held-out fold, written once to the shared folder. The rows are dealt by
+hash to groups of about ``ROWS``; in each of ``ROUNDS`` rounds every group trains a copy of the net in a task, its share
+of the epochs, and the copies' changes are averaged, those of a table row over the groups that touched it. The driver holds the net, the averages and
 counts of calibration scores in steps of 1 / ``BINS``. All documents are scored in Arrow batches.
 
 Defined results: null or empty text has no words and gets the score of all-zero maxima; texts of any length are
@@ -40,6 +40,7 @@ BINS = 256
 UNIT = 2.0**32  # changes are added up as whole numbers, so that their order does not count
 SPAN = 40  # of calibration scores
 EPOCHS = 6
+ROUNDS = 2
 BATCH = 32
 BITS = 16
 STEMS = (4, 5)  # bytes
@@ -114,11 +115,20 @@ class Net:
         return L.sigmoid(self.a * self.raw(h, first) + self.b)
 
 
+def _words(text: pa.Array) -> list[np.ndarray]:
+    """The word hashes of each text."""
+    data, offsets = K.buffers(text)
+    words = []
+    for i, j in K.segments(offsets):
+        h, first = tokens(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+        words += [h[first[d]:first[d + 1]] for d in range(j - i)]
+    return words
+
+
 def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(side, row, seen, hit): in how many rows of a batch a table row is used, and in how many of label 1."""
     for batch in batches:
-        y = batch.column("label").to_numpy()
-        words = [w.values.to_numpy().view(np.uint64) for w in batch.column("words")]
+        y, words = batch.column("label").to_numpy(), _words(batch.column("text"))
         for side in range(TABLES):
             seen, hit = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
             for h, label in zip(words, y):
@@ -130,9 +140,9 @@ def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["side", "row", "seen", "hit"])
 
 
-def _start(words: DataFrame, rate: float, rng: np.random.Generator) -> Net:
+def _start(rows: DataFrame, rate: float, rng: np.random.Generator) -> Net:
     """Tables start at small random values, the first dimension at each row's smoothed log-odds of label 1."""
-    counts = words.mapInArrow(_seen, "side int, row int, seen long, hit long").groupBy("side", "row").agg(F.sum("seen").alias("seen"), F.sum("hit").alias("hit"))
+    counts = rows.select("label", "text").mapInArrow(_seen, "side int, row int, seen long, hit long").groupBy("side", "row").agg(F.sum("seen").alias("seen"), F.sum("hit").alias("hit"))
     got = counts.toArrow()
     seen, hit = np.zeros((TABLES, 1 << BITS)), np.zeros((TABLES, 1 << BITS))
     at = got.column("side").to_numpy(), got.column("row").to_numpy()
@@ -180,16 +190,18 @@ def _undense(net: Net, speed: dict, rows: np.ndarray) -> None:
 CHANGES = "side int, row int, " + ", ".join(f"d{k} long" for k in range(DIM + 1))
 
 
-def _epoch(net: Net, speed: dict, epoch: int):
-    """One pass of a group's rows over a copy of the net -> the changes (side, row, those of its numbers and its speed)."""
+def _round(net: Net, speed: dict, number: int, epochs: int):
+    """A copy of the net trained by a group's rows -> the changes (side, row, those of its numbers and its speed)."""
     def run(group: pa.Table) -> pa.Table:
         own, fast = _copy(net, speed)
-        group = group.sort_by([("doc_id", "ascending"), ("words_crc", "ascending")]).combine_chunks()
-        docs = [w.values.to_numpy().view(np.uint64) for w in group.column("words")]
+        group = group.sort_by([("doc_id", "ascending"), ("crc", "ascending")]).combine_chunks()
+        docs = [w for chunk in group.column("text").chunks for w in _words(chunk)]
         y = group.column("label").to_numpy().astype(int)
-        rows = np.random.default_rng([4, epoch, group.column("part")[0].as_py()]).permutation(len(y))
-        for i in range(0, len(rows), BATCH):
-            _step(own, fast, [docs[r] for r in rows[i:i + BATCH]], y[rows[i:i + BATCH]])
+        rng = np.random.default_rng([4, number, group.column("part")[0].as_py()])
+        for _ in range(epochs):
+            rows = rng.permutation(len(y))
+            for i in range(0, len(rows), BATCH):
+                _step(own, fast, [docs[r] for r in rows[i:i + BATCH]], y[rows[i:i + BATCH]])
         side, row = np.nonzero(fast["t"] != speed["t"])
         moved = np.concatenate([own.tables[side, row].astype(float) - net.tables[side, row], (fast["t"] - speed["t"])[side, row][:, None]], axis=1)
         rest = _dense(own, fast) - _dense(net, speed)
@@ -201,12 +213,12 @@ def _epoch(net: Net, speed: dict, epoch: int):
     return run
 
 
-def fit(words: DataFrame, parts: int, rate: float, epochs: int = EPOCHS) -> Net:
-    """The net of the rows ``(doc_id, label, words, words_crc, part)`` of both labels, before calibration."""
-    net = _start(words, rate, np.random.default_rng(4))
+def fit(rows: DataFrame, parts: int, rate: float, epochs: int = EPOCHS) -> Net:
+    """The net of the rows ``(doc_id, label, text, crc, part)`` of both labels, before calibration."""
+    net = _start(rows, rate, np.random.default_rng(4))
     speed = _speeds(net)
-    for epoch in range(epochs):
-        changes = words.repartition(parts, "part").groupBy("part").applyInArrow(_epoch(net, speed, epoch), CHANGES)
+    for number in range(ROUNDS):
+        changes = rows.groupBy("part").applyInArrow(_round(net, speed, number, epochs // ROUNDS), CHANGES)
         got = changes.groupBy("side", "row").agg(F.count("*").alias("n"), *[F.sum(f"d{k}").alias(f"d{k}") for k in range(DIM + 1)]).toArrow()
         side, row = got.column("side").to_numpy(), got.column("row").to_numpy()
         mean = np.stack([got.column(f"d{k}").to_numpy() for k in range(DIM + 1)], axis=1) / UNIT / got.column("n").to_numpy()[:, None]
@@ -232,7 +244,7 @@ def _flat(rate: float) -> Net:
 def _binned(net: Net):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = _raws(net, [w.values.to_numpy().view(np.uint64) for w in batch.column("words")])
+            raw = _raws(net, _words(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("label"), pa.array(np.rint(np.clip(raw, -SPAN, SPAN) * BINS).astype(np.int32))],
                                              names=["lang", "label", "bin"])
 
@@ -304,34 +316,22 @@ def thresholds(score: np.ndarray, y: np.ndarray, lang: list[str | None], n: np.n
     return out
 
 
-def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        data, offsets = K.buffers(batch.column("text"))
-        words = []
-        for i, j in K.segments(offsets):
-            h, first = tokens(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-            words += [h[first[d]:first[d + 1]].view(np.int64) for d in range(j - i)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), batch.column("lang"), pa.array(words, pa.list_(pa.int64()))],
-                                         names=["doc_id", "label", "lang", "words"])
-
-
-def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> tuple[Net, dict[str, float]]:
-    """(net, threshold of each language); ``rows``: of a group."""
-    got = docs.select("doc_id", "text", "lang").join(L.known(labels, "toxic", FOLDS, HELD_OUT), "doc_id").select("doc_id", "label", "text", "lang") \
-        .mapInArrow(_hashes, "doc_id long, label int, lang string, words array<long>")
-    words = materialized(got.withColumn("aside", F.pmod(F.xxhash64("doc_id", F.lit(4)), F.lit(5)) == 0), "toxic_words")
-    n = {(r["aside"], r["label"]): r["count"] for r in words.groupBy("aside", "label").count().collect()}
+def train(docs: DataFrame, labels: DataFrame, group: int = ROWS) -> tuple[Net, dict[str, float]]:
+    """(net, threshold of each language); ``group``: rows of a group."""
+    found = L.labelled(docs.select("doc_id", "text", "lang"), L.known(labels, "toxic", FOLDS, HELD_OUT))
+    rows = materialized(found.withColumn("aside", F.pmod(F.xxhash64("doc_id", F.lit(4)), F.lit(5)) == 0), "toxic_rows")
+    n = {(r["aside"], r["label"]): r["count"] for r in rows.groupBy("aside", "label").count().collect()}
     total = sum(n.values())
     if len({label for _, label in n}) < 2:
         return _flat(sum(k for (_, label), k in n.items() if label == 1) / max(1, total)), {}
     apart = all(len({label for aside, label in n if aside == side}) == 2 for side in (False, True))
-    learned = words.where("NOT aside") if apart else words
+    learned = rows.where("NOT aside") if apart else rows
     count = sum(k for (aside, _), k in n.items() if not (apart and aside))
     rate = sum(k for (aside, label), k in n.items() if label == 1 and not (apart and aside)) / count
-    parts = max(1, -(-count // rows))
-    learned = learned.select("doc_id", "label", "words", F.xxhash64("words").alias("words_crc"), F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(parts)).cast("int").alias("part"))
+    parts = max(1, -(-count // group))
+    learned = learned.select("doc_id", "label", "text", F.xxhash64("text").alias("crc"), F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(parts)).cast("int").alias("part"))
     net = fit(learned, parts, rate)
-    bins = (words.where("aside") if apart else words).select("lang", "label", "words").mapInArrow(_binned(net), "lang string, label int, bin int") \
+    bins = (rows.where("aside") if apart else rows).select("lang", "label", "text").mapInArrow(_binned(net), "lang string, label int, bin int") \
         .groupBy("lang", "label", "bin").agg(F.count("*").alias("n")).orderBy("bin", "label", "lang").toArrow()
     raw, y, k = bins.column("bin").to_numpy() / BINS, bins.column("label").to_numpy().astype(int), bins.column("n").to_numpy()
     net.a, net.b = L.platt(raw, y, n=k)

@@ -163,3 +163,10 @@ def test_toxicity_learns_from_every_labelled_row(spark):
     assert (net.tables == again.tables).all() and (net.a, net.b) == (again.a, again.b)
     got = toxicity.score(docs, net, cuts).collect()
     assert all(r.predicted == int(r.doc_id % 3 == 0) for r in got)
+
+
+def test_every_labelled_text_finds_its_label(spark):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "concat('t', id) AS text").unionAll(spark.sql("SELECT CAST(NULL AS LONG), 'x'"))
+    ids = spark.range(0, 6000, 7).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS label")
+    got = sorted((r.doc_id, r.text, r.label) for r in labelled.labelled(docs, ids).collect())
+    assert got == [(i, f"t{i}", i % 2) for i in range(0, 3000, 7)]
