@@ -49,3 +49,14 @@ def test_prefixes_of_empty_and_nested_elements(spark):
     docs = spark.createDataFrame([r[:2] for r in rows], "rec_id long, svg string")
     got = {r.rec_id for r in T.unbound_prefixes(T.svg_tokens(docs)).collect()}
     assert got == {k for k, _, unbound in rows if unbound}
+
+
+def test_texts_are_not_made_again_for_their_tokens(spark, capsys):
+    from svgspark.operators import clean as K
+
+    # the filter can be told from the key, so the planner would ask it of every row that joins by the key
+    docs = spark.range(1, 4).selectExpr("id AS rec_id", "concat('<svg><path d=\"M0 ', id, '\"/>', repeat('<g/>', CAST(id AS INT)), '</svg>') AS svg").where("length(svg) > 1")
+    out = K.clean_corpus(docs)
+    out.explain()
+    assert "repeat(" not in capsys.readouterr().out
+    assert {r.rec_id: r.stage2 for r in out.collect()} == {i: f'<svg><path d="M0 {i}"/></svg>' for i in (1, 2, 3)}
