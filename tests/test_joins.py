@@ -31,6 +31,15 @@ def test_captions_are_not_broadcast(spark, sf, name, capsys):
     assert "SortMergeJoin" in plan
 
 
+@pytest.mark.parametrize("name", ["svg_pages", "assets"])
+def test_pages_are_not_sent_to_their_icons(spark, sf, name, capsys):
+    # html that compresses well: the planner sizes the table like its file
+    view(spark, sf, name).explain()
+    plan = capsys.readouterr().out
+    sent = plan[plan.index("BroadcastExchange"):].split("- FileScan")[1].splitlines()[0]
+    assert plan.count("BroadcastExchange") == 1 and "p_partkey" in sent and "page" not in sent
+
+
 @pytest.mark.parametrize("name", [
     "wellformed", "ancestor_join", "canvas_box", "canvas_scale", "round_numbers", "sort_attrs", "normal_colors", "style_to_attrs",
     "reuse_paths", "path_commands", "augment_fill", "augment_svg", "arc_to_cubic", "to_cubic", "shape_to_path", "subpath_close",
