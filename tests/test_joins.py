@@ -40,6 +40,12 @@ def test_pages_are_not_sent_to_their_icons(spark, sf, name, capsys):
     assert plan.count("BroadcastExchange") == 1 and "p_partkey" in sent and "page" not in sent
 
 
+def test_known_hashes_are_not_broadcast(spark, sf, capsys):
+    E.queries()["anti_known"](spark, sf).explain()
+    joins = [line for line in capsys.readouterr().out.splitlines() if "LeftAnti" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
+
+
 @pytest.mark.parametrize("name", [
     "wellformed", "ancestor_join", "canvas_box", "canvas_scale", "round_numbers", "sort_attrs", "normal_colors", "style_to_attrs",
     "reuse_paths", "path_commands", "augment_fill", "augment_svg", "arc_to_cubic", "to_cubic", "shape_to_path", "subpath_close",
