@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
+from svgspark.sources import tables
 from svgspark.sources.tables import ROWS_PER_TASK, tasks, view
 
 
@@ -40,6 +41,29 @@ def test_pages_are_not_sent_to_their_icons(spark, sf, name, capsys):
     assert plan.count("BroadcastExchange") == 1 and "p_partkey" in sent and "page" not in sent
 
 
+@pytest.mark.parametrize("name", ["svg_pages", "fetch_log"])
+def test_pages_are_dealt_to_tasks_that_grow_with_them(spark, sf, name, monkeypatch):
+    monkeypatch.setattr(tables, "PAGES_PER_TASK", 15)
+    out = view(spark, sf, name)
+    assert out.rdd.getNumPartitions() == 3
+    assert {r.page_id for r in out.select("page_id").collect()} == set(range(40))
+
+
+@pytest.mark.parametrize("name,icons", [("html_response", 1), ("join_assets", 2), ("shard_counts", 2)])
+def test_only_icons_are_sent_to_pages(spark, sf, name, icons, capsys):
+    E.queries()[name](spark, sf).explain()
+    assert capsys.readouterr().out.count("BroadcastExchange") == icons
+
+
+def test_stream_joins_assets_without_sending_them(spark, sf, capsys):
+    from svgspark.plans.streaming import _mine_stream
+
+    _mine_stream(spark, sf).explain()
+    plan = capsys.readouterr().out
+    # the assets are read from a table written once: none of their markup is made in a micro-batch
+    assert "Broadcast" not in plan and "p_partkey" not in plan
+
+
 def test_known_hashes_are_not_broadcast(spark, sf, capsys):
     E.queries()["anti_known"](spark, sf).explain()
     joins = [line for line in capsys.readouterr().out.splitlines() if "LeftAnti" in line]
