@@ -3,10 +3,10 @@ vocabulary, truncation, packing, masking, token budgets, pair tasks, and fill au
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -50,6 +50,12 @@ UNIT_RE = rf"{_MARKS}|(?<!{_INSIDE})(?:{_NAMES})(?!{_INSIDE})|\p{{L}}+|\p{{N}}+|
 #: Pairs that reach the driver in a round, and the share of the round's largest count that a pair needs.
 MERGES_PER_ROUND = 32768
 ROUND_SHARE = 0.5
+#: Single characters are numbered by their code point, learned tokens from here on.
+FIRST_TOKEN = 0x110000
+#: Words of more symbols are merged one by one, with a heap; the others together, by arrays.
+LONG_WORD = 256
+#: Pairs of symbols that a task adds up before it hands them on.
+PAIRS_AT_ONCE = 1 << 21
 SPLIT_SEED = 2998
 
 
@@ -106,9 +112,16 @@ def pretokens(docs: DataFrame, text: str = "text", key: str = "doc_id", pattern:
     return docs.select(key, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(pattern), 0)).alias("pos", "word"))
 
 
+def runs(docs: DataFrame, text: str = "text", *keys: str) -> DataFrame:
+    """One row per stretch without white space: ``(*keys, run)``. Pre-tokens neither hold white space nor look past it, so
+    those of a text are those of its runs, and the pattern needs to take apart each distinct run only."""
+    return docs.select(*keys, F.explode(F.split(F.col(text), r"\s+")).alias("run")).where(F.col("run") != "")
+
+
 def pretoken_counts(docs: DataFrame, text: str = "text", min_frequency: int = MIN_FREQUENCY, pattern: str = PRETOKEN_RE) -> DataFrame:
-    words = docs.select(F.explode(F.regexp_extract_all(F.col(text), F.lit(pattern), 0)).alias("word"))
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_frequency)
+    counted = runs(docs, text).groupBy("run").agg(F.count(F.lit(1)).alias("n"))
+    words = counted.select(F.explode(F.regexp_extract_all("run", F.lit(pattern), 0)).alias("word"), "n")
+    return words.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_frequency)
 
 
 def unit_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -143,32 +156,168 @@ def bpe_apply(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[str
     return [s for s in symbols if s is not None]
 
 
-def _rewritten(ranks: dict[tuple[str, str], int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(sym, n) after the merges; words of one symbol are done."""
+class Merges:
+    """The merges learned so far, of numbered tokens."""
+
+    def __init__(self, merges: list[tuple[str, str]] = ()):
+        """``merges`` by rank; of a pair that repeats, the first counts."""
+        self.tokens: list[str] = []
+        self.numbers: dict[str, int] = {}
+        self.pairs: dict[int, int] = {}  # the token that a pair makes, by rank
+        for a, b in merges:
+            self.add(a, b)
+
+    def add(self, a: str, b: str) -> None:
+        x, y, made = (self._number(t) for t in (a, b, a + b))
+        self.pairs.setdefault(x << 32 | y, made)
+
+    def _number(self, token: str) -> int:
+        if len(token) == 1:
+            return ord(token)
+        if token not in self.numbers:
+            self.numbers[token] = FIRST_TOKEN + len(self.tokens)
+            self.tokens.append(token)
+        return self.numbers[token]
+
+    def table(self) -> MergeTable:
+        return MergeTable(np.fromiter(self.pairs, np.int64, len(self.pairs)), np.fromiter(self.pairs.values(), np.int32, len(self.pairs)), list(self.tokens))
+
+
+class MergeTable:
+    """What tasks get of the merges: words as arrays of numbers are merged together."""
+
+    def __init__(self, pairs: np.ndarray, made: np.ndarray, tokens: list[str]):
+        order = np.argsort(pairs)
+        self.keys, self.ranks, self.made, self.tokens = pairs[order], order.astype(np.int32), made[order], tokens
+
+    def names(self, numbers: np.ndarray) -> list[str]:
+        return [chr(i) if i < FIRST_TOKEN else self.tokens[i - FIRST_TOKEN] for i in numbers.tolist()]
+
+    def apply(self, sym: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``bpe_apply`` for each word: ``sym`` are the symbols of all words, ``word`` the word of each, whose symbols lie
+        together. Words come back in another order."""
+        if not len(self.keys) or not len(sym):
+            return sym, word
+        done = []
+        length = np.bincount(word)
+        if length.max() > LONG_WORD:
+            ranks = dict(zip(zip(self.names(self.keys >> 32), self.names(self.keys & 0xFFFFFFFF)), self.ranks.tolist()))
+            numbers = {t: FIRST_TOKEN + i for i, t in enumerate(self.tokens)}
+            for w in np.flatnonzero(length > LONG_WORD):
+                merged = np.array([numbers[t] if len(t) > 1 else ord(t) for t in bpe_apply(self.names(sym[word == w]), ranks)], np.int32)
+                done.append((merged, np.full(len(merged), w)))
+            short = length[word] <= LONG_WORD
+            sym, word = sym[short], word[short]
+        while len(sym) > 1:
+            pair = sym[:-1].astype(np.int64) << 32 | sym[1:]
+            at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
+            hits = np.flatnonzero((self.keys[at] == pair) & (word[:-1] == word[1:]))
+            if not len(hits):
+                break
+            # the lowest rank of each word, everywhere in it from the left
+            owner, rank = word[hits], self.ranks[at[hits]]
+            first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+            lowest = np.repeat(np.minimum.reduceat(rank, first), np.diff(np.r_[first, len(hits)]))
+            took = hits[rank == lowest]
+            # places side by side overlap (a symbol doubled): every second one counts
+            start = np.r_[True, np.diff(took) != 1]
+            place = np.arange(len(took))
+            took = took[(place - place[start][np.cumsum(start) - 1]) % 2 == 0]
+            sym = sym.copy()
+            sym[took] = self.made[at[took]]
+            keep = np.ones(len(sym), bool)
+            keep[took + 1] = False
+            active = np.zeros(int(word.max()) + 1, bool)
+            active[owner] = True
+            more = active[word]
+            done.append((sym[keep & ~more], word[keep & ~more]))
+            sym, word = sym[keep & more], word[keep & more]
+        done.append((sym, word))
+        return np.concatenate([x for x, _ in done]), np.concatenate([w for _, w in done])
+
+
+def _characters(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of words, and the word of each."""
+    return (np.frombuffer("".join(words).encode("utf-32-le"), np.int32),
+            np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words))))
+
+
+def _listed(sym: np.ndarray, word: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """(sym, n) of the words with more than one symbol; those of one are done."""
+    first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]]) if len(word) else np.zeros(0, np.int64)
+    length = np.diff(np.r_[first, len(word)])
+    kept = length > 1
+    offsets = np.r_[0, np.cumsum(length[kept])].astype(np.int32)
+    sym = sym[np.repeat(kept, length)]
+    return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(offsets), pa.array(sym, pa.int32())), pa.array(n[word[first[kept]]], pa.int64())], names=["sym", "n"])
+
+
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(sym, n) of (word, n): the characters as numbers."""
+    for batch in batches:
+        yield _listed(*_characters(batch.column(0).to_pylist()), batch.column(1).to_numpy())
+
+
+def _merged(batch: pa.RecordBatch, table: MergeTable) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sym, word, n) of a batch of (sym, n) after the merges."""
+    sym = batch.column(0)
+    word = np.repeat(np.arange(len(sym)), np.diff(sym.offsets.to_numpy()))
+    return *table.apply(sym.flatten().to_numpy(), word), batch.column(1).to_numpy()
+
+
+def _rewritten(table: MergeTable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(sym, n) after the merges."""
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(bpe_apply(s.split(" "), ranks), n) for s, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            rows = [(" ".join(s), n) for s, n in rows if len(s) > 1]
-            yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in rows], pa.string()), pa.array([n for _, n in rows], pa.int64())], names=["sym", "n"])
+            yield _listed(*_merged(batch, table))
 
     return rewrite
 
 
-def _pair_counts(ranks: dict[tuple[str, str], int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(a, b, n): the adjacent pairs of a batch after the merges, added up."""
+def _added_up(pairs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(pairs, kind="stable")
+    pairs, n = pairs[order], n[order]
+    first = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]]) if len(pairs) else np.zeros(0, np.int64)
+    return pairs[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _pair_counts(table: MergeTable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(pair, n): the adjacent pairs after the merges, as two numbers in one, added up."""
+    def rows(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        pairs, n = _added_up(*(np.concatenate(x) for x in zip(*held)))
+        return pa.RecordBatch.from_arrays([pa.array(pairs, pa.int64()), pa.array(n, pa.int64())], names=["pair", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            pairs: Counter = Counter()
-            for s, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                s = bpe_apply(s.split(" "), ranks)
-                for p in zip(s, s[1:]):
-                    pairs[p] += n
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.string()), pa.array([p[1] for p in pairs], pa.string()),
-                                              pa.array(pairs.values(), pa.int64())], names=["a", "b", "n"])
+            sym, word, n = _merged(batch, table)
+            at = np.flatnonzero(word[:-1] == word[1:])
+            held.append(_added_up(sym[at].astype(np.int64) << 32 | sym[at + 1], n[word[at]]))
+            size += len(held[-1][0])
+            if size >= PAIRS_AT_ONCE:
+                yield rows(held)
+                held, size = [], 0
+        if held:
+            yield rows(held)
 
     return count
 
 
+def _named(table: MergeTable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(a, b, cnt) of (pair, cnt), without pairs that have less than ``ROUND_SHARE`` of a count seen before: no round takes them."""
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        most = 0
+        for batch in batches:
+            pair, cnt = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            most = max(most, cnt.max(initial=0))
+            kept = cnt >= ROUND_SHARE * most
+            pair, cnt = pair[kept], cnt[kept]
+            yield pa.RecordBatch.from_arrays([pa.array(table.names(pair >> 32), pa.string()), pa.array(table.names(pair & 0xFFFFFFFF), pa.string()), pa.array(cnt, pa.int64())],
+                                             names=["a", "b", "cnt"])
+
+    return name
+
+
 def bpe_merges(spark: SparkSession, word_counts: DataFrame, n_merges: int, merges_per_round: int = 1, known=(), checkpoint_every: int = 10):
     """Learn merges until they have made ``n_merges`` tokens that are not ``known``, or no pair is left.
 
@@ -177,13 +326,13 @@ def bpe_merges(spark: SparkSession, word_counts: DataFrame, n_merges: int, merge
     symbol ends one and begins another) and have ``ROUND_SHARE`` of the largest count; 1 is the exact
     mode. The driver holds the merges and a round's pairs only; the words are rewritten at a ``checkpoint()``
     (reliable, under spark.checkpoint.dir)."""
-    # pre-tokens hold no spaces, so a space parts the symbols
-    words = word_counts.select(F.array_join(F.filter(F.split("word", ""), lambda c: c != ""), " ").alias("sym"), F.col("n").cast("bigint").alias("n"))
+    words = word_counts.select("word", F.col("n").cast("bigint").alias("n")).mapInArrow(_numbered, "sym array<int>, n bigint")
     words = words.checkpoint()  # the corpus is read once, not in every round
-    merges, ranks, known, room, r = [], {}, set(known), n_merges, 0
+    merges, learned, known, room, r = [], Merges(), set(known), n_merges, 0
     while room > 0:
-        pairs = words.mapInArrow(_pair_counts(dict(ranks)), "a string, b string, n bigint")
-        best = (pairs.groupBy("a", "b").agg(F.sum("n").alias("cnt"))
+        table = learned.table()
+        pairs = words.mapInArrow(_pair_counts(table), "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("cnt"))
+        best = (pairs.mapInArrow(_named(table), "a string, b string, cnt bigint")
                 .orderBy(F.desc("cnt"), F.col("a"), F.col("b")).limit(merges_per_round))
         # of these rows, one task's, the driver gets those that the round may take
         best = best.withColumn("most", F.max("cnt").over(Window.partitionBy(F.lit(0)))).where(F.col("cnt") >= ROUND_SHARE * F.col("most"))
@@ -198,13 +347,13 @@ def bpe_merges(spark: SparkSession, word_counts: DataFrame, n_merges: int, merge
                 continue
             begins.add(a)
             ends.add(b)
-            ranks[a, b] = len(merges)
             merges.append((len(merges), a, b, int(cnt)))
+            learned.add(a, b)
             room -= a + b not in known
             known.add(a + b)
         r += 1
         if r % checkpoint_every == 0:
-            words = words.mapInArrow(_rewritten(dict(ranks)), "sym string, n bigint").checkpoint()
+            words = words.mapInArrow(_rewritten(learned.table()), "sym array<int>, n bigint").checkpoint()
     return spark.createDataFrame(merges, "rank int, a string, b string, cnt bigint")
 
 
@@ -225,15 +374,17 @@ def vocab_table(spark: SparkSession, merges: DataFrame, alphabet: DataFrame, ext
 
 def encode_words(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
     """Distinct words -> token arrays by the learned merges, lowest rank first; a special token is one token."""
-    ranks: dict[tuple[str, str], int] = {}
-    for p in merges:
-        ranks.setdefault(tuple(p), len(ranks))
-    whole = frozenset(SPECIAL_TOKENS)
+    table, whole = Merges(merges).table(), frozenset(SPECIAL_TOKENS)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens = [[w] if w in whole else bpe_apply(list(w), ranks) for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.list_(pa.string()))], names=["word", "tokens"])
+            got = batch.column(0).to_pylist()
+            special, plain, empty = [w for w in got if w in whole], [w for w in got if w and w not in whole], [w for w in got if w == ""]
+            sym, word = table.apply(*_characters(plain))
+            first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]]) if len(word) else np.zeros(0, np.int64)
+            offsets = np.r_[first, len(sym) + np.arange(len(special) + 1), np.full(len(empty), len(sym) + len(special))].astype(np.int32)
+            tokens = pa.ListArray.from_arrays(pa.array(offsets), pa.array(table.names(sym) + special, pa.string()))
+            yield pa.RecordBatch.from_arrays([pa.array([plain[i] for i in word[first].tolist()] + special + empty, pa.string()), tokens], names=["word", "tokens"])
 
     return words.select("word").mapInArrow(encode, "word string, tokens array<string>")
 

@@ -107,10 +107,12 @@ def q_vocab_table(spark, sf):
 def q_encode_corpus(spark, sf):
     docs = view(spark, sf, "documents")
     merges = [(r["a"], r["b"]) for r in _learned(spark, sf)[0].orderBy("rank").collect()]  # at most the vocabulary target
-    # a word of a document is one row with its count, so a frequent word joins once for each document
-    pt = TR.pretokens(docs, pattern=TR.UNIT_RE).groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
-    enc = TR.encode_words(pt.select("word").distinct(), merges).select("word", F.size("tokens").alias("size"))
-    per = pt.join(enc, "word").groupBy("doc_id").agg(F.sum(F.col("size") * F.col("n")).alias("n"))
+    # a run of a document is one row with its count, so a frequent one joins once for each document
+    counted = TR.runs(docs, "text", "doc_id").groupBy("doc_id", "run").agg(F.count(F.lit(1)).alias("n"))
+    units = TR.pretokens(TR.runs(docs).distinct(), "run", "run", TR.UNIT_RE).select("run", "word")
+    enc = TR.encode_words(units.select("word").distinct(), merges).select("word", F.size("tokens").alias("size"))
+    sizes = units.join(enc.hint("merge"), "word").groupBy("run").agg(F.sum("size").alias("size"))
+    per = counted.join(sizes.hint("merge"), "run").groupBy("doc_id").agg(F.sum(F.col("size") * F.col("n")).alias("n"))
     return docs.select("doc_id").join(per, "doc_id", "left").select("doc_id", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_tokens"))
 
 

@@ -136,3 +136,34 @@ def test_driver_gets_only_the_pairs_a_round_may_take(spark, monkeypatch):
     wc = spark.createDataFrame([("ab" * 3, 1000)] + [(chr(200 + i) + "z", 3) for i in range(300)], "word string, n long")
     TR.bpe_merges(spark, wc, 1, 1000)
     assert [len(x) for x in sizes] == [2]
+
+
+def test_words_merged_together_equal_the_sweeps():
+    rng = random.Random(6)
+    for _ in range(60):
+        parts, ranks = ["a", "b", "é", "𝄞"], {}
+        while len(ranks) < 14:
+            p = (rng.choice(parts), rng.choice(parts))
+            if p not in ranks:
+                ranks[p] = len(ranks)
+                parts.append("".join(p))
+        words = ["".join(rng.choice("abé𝄞c") for _ in range(rng.choice([1, 2, 5, 20, TR.LONG_WORD + 9]))) for _ in range(12)]
+        table = TR.Merges(list(ranks)).table()
+        sym, word = table.apply(*TR._characters(words))
+        assert [table.names(sym[word == i]) for i in range(len(words))] == [swept(list(w), ranks) for w in words]
+
+
+def test_empty_and_special_words_are_encoded(spark):
+    words = spark.createDataFrame([("",), ("<svg>",), ("aab",), ("width",), ("z",)], "word string")
+    got = {r.word: r.tokens for r in TR.encode_words(words, [("a", "b"), ("a", "ab")]).collect()}
+    assert got == {"": [], "<svg>": ["<svg>"], "aab": ["aab"], "width": ["width"], "z": ["z"]}
+
+
+def test_texts_are_taken_apart_once_per_distinct_run(spark, capsys):
+    texts = [" <svg  width=\"2\">low,low\tlow.\n", "a b xx y width=3", "", None, "<line a<path> </g >x1 stroke-widths"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 3)], "doc_id long, text string")
+    whole = docs.select(F.explode(F.regexp_extract_all("text", F.lit(TR.UNIT_RE), F.lit(0))).alias("w")).groupBy("w").count().collect()
+    assert {r.word: r.n for r in TR.unit_counts(docs).collect()} == {r.w: r["count"] for r in whole if r.w not in TR.SPECIAL_TOKENS}
+    TR.unit_counts(docs).explain()
+    plan = capsys.readouterr().out
+    assert plan.index("regexp_extract_all") < plan.index("split(")  # the pattern above, the counted runs below
