@@ -7,7 +7,11 @@ and, when it fails, a reason; nothing is dropped silently.
 
 from __future__ import annotations
 
+import itertools
+
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -222,28 +226,96 @@ def attrs_text(m) -> F.Column:
                                                                          T.escape_xml(e["value"]), F.lit('"'))), "")
 
 
+# What a row says of its place in the markup: a text; an opening, empty or closing tag; how an element's tag is written where
+# it opens (an empty one also ends there) or closes; a text instead of the token's; markup put in.
+TEXT, OPEN, EMPTY, CLOSE, OPENING, WHOLE, CLOSING, INSTEAD, ADDED = range(9)
+
+
+def _beside(items: list[tuple]) -> list[str]:
+    """The pieces of a record in which rows share a place: every token with every element and text of its place, in order."""
+    places: dict[int, list[tuple]] = {}
+    for item in items:
+        places.setdefault(item[0], []).append(item)
+    out = []
+    for pos, rows in places.items():
+        some = lambda *kinds: [p for _, _, k, p in rows if k in kinds]
+        opens, instead = some(OPENING, WHOLE) or [None], some(INSTEAD) or [None]
+        closes = some(CLOSING) + [None if p is None else f"</{p[1:].split(' ')[0]}>" for p in some(WHOLE)] or [None]
+        for _, _, kind, own in rows:
+            if kind == ADDED or kind > CLOSE:
+                continue
+            for o, c, x in itertools.product(opens, closes, instead):
+                tag = None if o is None else o + ("/>" if kind == EMPTY else ">")
+                out.append((pos, 0, tag if kind in (OPEN, EMPTY) else (c or own) if kind == CLOSE else own if x is None else x))
+        out += [(pos, ord, p) for _, ord, kind, p in rows if kind == ADDED]
+    return [p for _, _, p in sorted((x for x in out if x[2] is not None), key=lambda x: (x[0], x[1], x[2].encode()))]
+
+
+def _written(lists: pa.Array) -> pa.Array:
+    """The markup of each record of a batch from its rows ``(at, piece)``, by array operations; ``at`` is place, order and kind."""
+    rows = lists.flatten()
+    sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    rec = np.repeat(np.arange(len(lists)), sizes)
+    order = np.lexsort((rows.field("at").to_numpy(zero_copy_only=False), rec))
+    rec, at, piece = rec[order], rows.field("at").to_numpy(zero_copy_only=False)[order], rows.field("piece").take(pa.array(order))
+    pos, ord, kind = at >> 32, at >> 4 & (1 << 28) - 1, at & 15
+    there = piece.is_valid().to_numpy(zero_copy_only=False)
+    place = np.cumsum(np.concatenate([[True], (rec[1:] != rec[:-1]) | (pos[1:] != pos[:-1])])[:len(rec)]) - 1
+    n = place[-1] + 1 if len(place) else 0
+
+    def held(mask):
+        return np.bincount(place[mask], minlength=n)
+
+    several = held(kind <= CLOSE) > 1
+    for mask in (np.isin(kind, (OPENING, WHOLE)), kind == CLOSING, kind == INSTEAD, kind == ADDED):
+        several |= held(mask) > 1
+    several |= (held(kind == ADDED) > 0) & (held((kind == ADDED) & (ord == 0)) > 0)
+    token = np.full(n, -1)
+    token[place[kind <= CLOSE]] = kind[kind <= CLOSE]
+    token = token[place]
+    tag = np.isin(kind, (OPENING, WHOLE)) & there & np.isin(token, (OPEN, EMPTY))
+    other = (held((kind == CLOSING) & there) > 0)[place]
+    instead = (held((kind == INSTEAD) & there) > 0)[place]
+    keep = there & (tag | ((kind == CLOSING) & (token == CLOSE)) | ((kind == CLOSE) & ~other) | ((kind == TEXT) & ~instead)
+                    | ((kind == INSTEAD) & (token == TEXT)) | (kind == ADDED))
+    odd = np.zeros(len(lists), bool)
+    odd[rec[several[place]]] = True
+    keep &= ~odd[rec]
+    ends = np.where(tag, np.where(token == EMPTY, 2, 1), 0)[keep]
+    suffix = pa.array(["", ">", "/>"]).take(pa.array(ends))
+    pieces = pc.binary_join_element_wise(piece.filter(pa.array(keep)), suffix, "")
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(rec[keep], minlength=len(lists)))]).astype(np.int32)
+    out = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), pieces), "")
+    if odd.any():
+        texts = out.to_pylist()
+        for i in np.flatnonzero(odd):
+            texts[i] = "".join(_beside([(x["at"] >> 32, x["at"] >> 4 & (1 << 28) - 1, x["at"] & 15, x["piece"]) for x in lists[int(i)].as_py()]))
+        out = pa.array(texts, pa.string())
+    return out
+
+
 def svg_text(tokens: DataFrame, new_el: DataFrame, key: str = "rec_id", new_texts: DataFrame | None = None,
              added: DataFrame | None = None) -> DataFrame:
     """Tokens + rewritten elements -> markup per record. Comments, PIs and doctype are dropped (as an
     XML tree round trip does); tag prefixes removed; attribute order kept.
 
     ``new_texts`` ``(key, pos, new_text)`` replaces text tokens; ``added`` ``(key, pos, ord, piece)`` is markup put in
-    after the token at ``pos``, in the order of ``ord``."""
-    keep = tokens.where(F.col("kind").isin("open", "empty", "close", "text", "cdata"))
-    opens = new_el.select(key, F.col("open_pos").alias("pos"), "new_tag", "new_attrs")
-    closes = new_el.select(key, F.col("close_pos").alias("pos"), F.col("new_tag").alias("close_tag"))
-    j = keep.join(opens.hint("merge"), [key, "pos"], "left").join(closes.hint("merge"), [key, "pos"], "left")
-    texts = F.col("tok")
+    after the token at ``pos``, in the order of ``ord``. What tokens, elements and texts say of a place meets in one list
+    a record, so that no join sorts the tokens."""
+    kinds = F.when(F.col("kind") == "open", OPEN).when(F.col("kind") == "empty", EMPTY).when(F.col("kind") == "close", CLOSE).otherwise(TEXT)
+    own = F.when(F.col("kind") == "close", F.concat(F.lit("</"), local_name(F.col("name")), F.lit(">"))).when(F.col("kind").isin("text", "cdata"), F.col("tok"))
+    place = lambda pos, ord, kind, piece: F.struct((pos.cast("bigint") * (1 << 32) + ord * 16 + kind).alias("at"), piece.alias("piece"))
+    no = F.lit(0)
+    kind = F.col("_p.at").bitwiseAND(15)
+    parts = tokens.where(F.col("kind").isin("open", "empty", "close", "text", "cdata")).select(key, place(F.col("pos"), no, kinds, own).alias("_p"))
+    whole = F.col("close_pos").eqNullSafe(F.col("open_pos"))
+    opening = place(F.col("open_pos"), no, F.when(whole, WHOLE).otherwise(OPENING), F.concat(F.lit("<"), F.col("new_tag"), attrs_text(F.col("new_attrs"))))
+    closing = place(F.col("close_pos"), no, F.lit(CLOSING), F.concat(F.lit("</"), F.col("new_tag"), F.lit(">")))
+    both = F.when(whole | F.col("close_pos").isNull(), F.array(opening)).otherwise(F.array(opening, closing))
+    parts = parts.unionByName(new_el.select(key, F.explode(both).alias("_p")))
     if new_texts is not None:
-        j = j.join(new_texts.select(key, "pos", "new_text").hint("merge"), [key, "pos"], "left")
-        texts = F.coalesce("new_text", "tok")
-    piece = (F.when(F.col("kind") == "open", F.concat(F.lit("<"), F.col("new_tag"), attrs_text(F.col("new_attrs")), F.lit(">")))
-             .when(F.col("kind") == "empty", F.concat(F.lit("<"), F.col("new_tag"), attrs_text(F.col("new_attrs")), F.lit("/>")))
-             .when(F.col("kind") == "close", F.concat(F.lit("</"), F.coalesce(F.col("close_tag"), local_name(F.col("name"))), F.lit(">")))
-             .otherwise(texts))
-    parts = j.select(key, "pos", F.lit(0).alias("ord"), piece.alias("piece"))
+        parts = parts.unionByName(new_texts.select(key, place(F.col("pos"), no, F.lit(INSTEAD), F.col("new_text")).alias("_p")))
     if added is not None:
-        parts = parts.unionByName(added.select(key, "pos", "ord", "piece"))
-    return (parts.groupBy(key)
-            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "ord", "piece"))), lambda x: x["piece"]), "")
-                 .alias("svg_out")))
+        parts = parts.unionByName(added.select(key, place(F.col("pos"), F.col("ord"), F.lit(ADDED), F.col("piece")).alias("_p")))
+    lists = parts.groupBy(key).agg(F.collect_list("_p").alias("_ps"), F.count_if((kind <= CLOSE) | (kind == ADDED)).alias("_n"))
+    return lists.where("_n > 0").select(key, F.arrow_udf(_written, "string")("_ps").alias("svg_out"))
