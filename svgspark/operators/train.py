@@ -450,22 +450,29 @@ def packing_efficiency(packed: DataFrame, max_len: int) -> DataFrame:
                     F.round(F.sum("used") / (F.count(F.lit(1)) * max_len), 6).alias("efficiency"))
 
 
-def augment_fill(el: DataFrame, seed: int, key: str = "rec_id", hash_col: str = "hash", root_prob: float = 0.10) -> DataFrame:
-    """New ``fill`` per element: with probability root_prob a random root fill (other fills removed),
-    else a random fill on every path. Colours are 6 hex digits of md5(seed|hash|slot)."""
-    root_mode = uniform01(F.lit(seed), F.col(hash_col), F.lit("root")) < root_prob
+def root_mode(seed: int, hash_col: str = "hash", root_prob: float = 0.10) -> F.Column:
+    """Whether a record gets a root fill: true with probability root_prob."""
+    return uniform01(F.lit(seed), F.col(hash_col), F.lit("root")) < root_prob
+
+
+def augment_fill(el: DataFrame, seed: int, hash_col: str = "hash") -> DataFrame:
+    """New ``fill`` per element: where ``root_mode`` is true a random root fill (other fills removed),
+    else a random fill on every path. Colours are 6 hex digits of md5(seed|hash|slot). The elements have the ``root_mode``
+    and the hash of their record, which are told once a record."""
+    root_mode = F.col("root_mode")
     colour = lambda slot: F.concat(F.lit("#"), F.upper(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(hash_col), slot.cast("string"))), 1, 6)))
     is_root = F.col("depth") == 0
     fill = (F.when(root_mode & is_root, colour(F.lit("rootfill")))
             .when(root_mode, F.lit(None))
             .when(F.col("tag") == "path", colour(F.col("open_pos")))
             .otherwise(F.col("lattrs")["fill"]))
-    return el.withColumn("root_mode", root_mode).withColumn("new_fill", fill)
+    return el.withColumn("new_fill", fill)
 
 
-def augmented_svg(tokens: DataFrame, hashes: DataFrame, seed: int, key: str = "rec_id", root_prob: float = 0.10) -> DataFrame:
-    """Markup with the fills of ``augment_fill``: ``(key, svg_out)`` for well-formed records; ``hashes`` has ``(key, hash)``."""
-    el = augment_fill(T.lower_attrs(T.svg_elements(tokens, key)).join(hashes.hint("merge"), key), seed, key, root_prob=root_prob)
+def augmented_svg(hashed: DataFrame, tokens: DataFrame, seed: int, key: str = "rec_id") -> DataFrame:
+    """Markup with the fills of ``augment_fill``: ``(key, svg_out)`` for the tokens of well-formed records; those of ``hashed``
+    have the ``hash`` and ``root_mode`` of their record too."""
+    el = augment_fill(T.lower_attrs(T.svg_elements(hashed, key, ("hash", "root_mode"))), seed)
     other = F.map_filter("attrs", lambda k, v: F.lower(k) != "fill")
     there = F.map_contains_key("lattrs", F.lit("fill"))
     filled = F.transform_values("attrs", lambda k, v: F.when(F.lower(k) == "fill", F.col("new_fill")).otherwise(v))

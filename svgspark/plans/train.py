@@ -10,7 +10,7 @@ from svgspark.operators import corpus as C
 from svgspark.operators import train as TR
 from svgspark.operators import tree as T
 from svgspark.plans.registry import lit, register
-from svgspark.plans.tree import d_tokens, ok_elements, tokens
+from svgspark.plans.tree import d_tokens, ok_lists, ok_tokens
 from svgspark.session import once
 from svgspark.sources.tables import duck_with, view
 
@@ -204,11 +204,19 @@ FROM e)
 """
 
 
+HASHED = ("hash", "root_mode")
+
+
+def _hashed_tokens(spark, sf, seed=5):
+    """``ok_tokens`` with the hash of their record's text and what follows from it, which join the token lists."""
+    h = view(spark, sf, "svg_raw").select("rec_id", content_hash("svg").alias("hash")).withColumn("root_mode", TR.root_mode(seed))
+    return T.exploded(ok_lists(spark, sf).join(h.hint("merge"), "rec_id"), carry=HASHED)
+
+
 @register("augment_fill", D_FILLS + "SELECT rec_id, open_pos, root_mode, new_fill FROM fills")
 def q_augment_fill(spark, sf):
-    el = ok_elements(spark, sf)
-    h = view(spark, sf, "svg_raw").select("rec_id", content_hash("svg").alias("hash"))
-    return TR.augment_fill(el.join(h.hint("merge"), "rec_id"), 5).select("rec_id", "open_pos", "root_mode", "new_fill")
+    el = T.lower_attrs(T.svg_elements(_hashed_tokens(spark, sf), carry=HASHED))
+    return TR.augment_fill(el, 5).select("rec_id", "open_pos", "root_mode", "new_fill")
 
 
 @register("augment_svg", D_FILLS + """, pieces AS (SELECT t.rec_id, t.pos, CASE WHEN f.rec_id IS NULL THEN t.tok
@@ -218,6 +226,4 @@ def q_augment_fill(spark, sf):
   FROM dtok t JOIN dwf w ON w.rec_id = t.rec_id AND w.ok LEFT JOIN fills f ON f.rec_id = t.rec_id AND f.open_pos = t.pos WHERE t.kind <> 'comment')
 SELECT rec_id, string_agg(piece, '' ORDER BY pos) AS svg_out FROM pieces GROUP BY rec_id""")
 def q_augment_svg(spark, sf):
-    tk = tokens(spark, sf).join(T.wellformed(tokens(spark, sf)).where("ok").select("rec_id").hint("merge"), "rec_id", "left_semi")
-    h = view(spark, sf, "svg_raw").select("rec_id", content_hash("svg").alias("hash"))
-    return TR.augmented_svg(tk, h, 5)
+    return TR.augmented_svg(_hashed_tokens(spark, sf), ok_tokens(spark, sf), 5)
