@@ -65,3 +65,16 @@ def test_tokens_are_not_sorted(spark, name, capsys):
     # the one window is that of declared prefixes; the sorts left are of records
     assert plan.count("+- Window") <= 2 and "pos#" not in "".join(x for x in plan.splitlines() if "- Sort " in x and "prefix" not in x)
     assert "SortMergeJoin" not in plan or name == "svg_text"
+
+
+def test_record_files_have_no_companions(spark, tmp_path):
+    from pathlib import Path
+
+    from svgspark.plans.mining import _svg_files
+
+    spark.range(40).selectExpr("id AS p_partkey").write.parquet(f"{tmp_path}/part.parquet")
+    folder = _svg_files(spark, str(tmp_path)).removeprefix("file://").removeprefix("file:")
+    found = [p.name for p in Path(folder).rglob("*") if p.is_file() and p.name != "_SUCCESS"]
+    # one file a record, without the checksum files that double what is made and listed
+    assert len(found) == 40 and not any(n.endswith(".crc") for n in found)
+    assert E.queries()["svg_dir_scan"](spark, str(tmp_path)).count() == 40
