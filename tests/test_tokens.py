@@ -78,3 +78,26 @@ def test_record_files_have_no_companions(spark, tmp_path):
     # one file a record, without the checksum files that double what is made and listed
     assert len(found) == 40 and not any(n.endswith(".crc") for n in found)
     assert E.queries()["svg_dir_scan"](spark, str(tmp_path)).count() == 40
+
+
+def test_elements_without_a_matrix_may_be_left_out(spark):
+    from pyspark.sql import functions as F
+
+    svg = '<svg><g transform="translate(1 0)"/><g><path transform="translate(0 2)"/></g><g transform="scale(2)"><g><path transform="translate(3 4)"/></g></g></svg>'
+    el = T.lower_attrs(T.svg_elements(T.svg_tokens(spark.createDataFrame([(1, svg)], "rec_id long, svg string"))))
+    for some in (el, el.where("size(attrs) > 0")):
+        m = N.effective_transform(some.withColumn("m_local", N.local_matrix()), "rec_id").where(F.col("tag") == "path").orderBy("open_pos")
+        assert [(r.m_eff.a, r.m_eff.e, r.m_eff.f) for r in m.collect()] == [(1.0, 0.0, 2.0), (2.0, 6.0, 8.0)]
+
+
+def test_elements_are_not_joined_to_their_counts(spark, capsys):
+    from svgspark.operators import clean as K
+
+    docs = spark.createDataFrame([(1, "<svg><g><g/></g><g><path d='M0 0'/></g><defs><path/></defs><g><image/></g></svg>")], "rec_id long, svg string")
+    el = T.definition_units(T.lower_attrs(T.svg_elements(T.svg_tokens(docs))))
+    out = K.drop_empty(el)
+    assert sorted((r.open_pos, r.drop_reason) for r in out.collect()) == [
+        (1, "empty container"), (2, "empty container"), (7, "empty container"), (8, "unused definition"), (10, "empty container"), (11, "raster image")]
+    out.explain()
+    # the elements are made ready once for the counts, not again to take them back
+    assert capsys.readouterr().out.count("sum(") <= 2
